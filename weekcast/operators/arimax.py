@@ -1,0 +1,181 @@
+"""Regression with ARIMA(p, d, q) errors, no constant, in numpy.
+
+Per series (called inside Spark tasks on packed series, never on the driver):
+
+1. difference y and the exogenous matrix X ``d`` times;
+2. OLS of the differenced y on the differenced X (minimum-norm ``lstsq``, so
+   all-zero feature columns are harmless) -> regression residual u;
+3. Hannan-Rissanen (1982): a long autoregression on u estimates the
+   innovations; a joint OLS of y on X, p lags of u and q lags of the
+   innovation estimates gives (beta, phi, theta);
+4. the innovations are recomputed by the conditional-sum-of-squares
+   recursion with the new parameters and step 3 is repeated once;
+5. forecasts run the ARMA recursion forward with future innovations 0 and
+   undo the differencing from the last observed levels.
+
+This is not exact maximum likelihood; tests check recovered parameters and
+exact behaviour on noise-free series.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+
+
+@dataclass
+class ArimaxFit:
+    d: int
+    beta: np.ndarray
+    phi: np.ndarray
+    theta: np.ndarray
+    u: np.ndarray       # regression residual of the differenced series (history)
+    e: np.ndarray       # innovations (history, conditional)
+
+
+def difference(a: np.ndarray, d: int) -> np.ndarray:
+    for _ in range(d):
+        a = np.diff(a, axis=0)
+    return a
+
+
+def _lags(x: np.ndarray, nlags: int, start: int) -> np.ndarray:
+    """Rows t = start..len(x)-1 with columns x[t-1], ..., x[t-nlags]."""
+    n = len(x)
+    if nlags == 0:
+        return np.empty((n - start, 0))
+    return np.column_stack([x[start - i:n - i] for i in range(1, nlags + 1)])
+
+
+def css_innovations(u: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """e_t = u_t - sum phi_i u_{t-i} - sum theta_j e_{t-j}, pre-sample values 0."""
+    p, q, m = len(phi), len(theta), len(u)
+    v = u.copy()
+    for i in range(1, p + 1):
+        v[i:] -= phi[i - 1] * u[:-i]
+    if q == 0:
+        return v
+    e = np.zeros(m)
+    for t in range(m):
+        acc = v[t]
+        for j in range(1, min(q, t) + 1):
+            acc -= theta[j - 1] * e[t - j]
+        e[t] = acc
+    return e
+
+
+def fit(y, X, p: int, d: int, q: int, refinements: int = 1) -> ArimaxFit | None:
+    """Fit on one history; ``None`` when there are too few points."""
+    y = np.asarray(y, dtype=float)
+    n = len(y)
+    X = np.zeros((n, 0)) if X is None else np.asarray(X, dtype=float).reshape(n, -1)
+    yd, Xd = difference(y, d), difference(X, d)
+    m, k = len(yd), X.shape[1]
+    if m <= k + p + q + 1:
+        return None
+    beta = np.linalg.lstsq(Xd, yd, rcond=None)[0] if k else np.zeros(0)
+    u = yd - Xd @ beta
+    phi, theta = np.zeros(p), np.zeros(q)
+    if p == 0 and q == 0:
+        return ArimaxFit(d, beta, phi, theta, u, u.copy())
+    if q > 0:
+        long_order = min(max(p + q + 1, int(np.log(m) ** 2)), m // 3)
+        if long_order < 1 or m - long_order <= long_order:
+            return None
+        Z = _lags(u, long_order, long_order)
+        a = np.linalg.lstsq(Z, u[long_order:], rcond=None)[0]
+        e = np.zeros(m)
+        e[long_order:] = u[long_order:] - Z @ a
+        start = long_order + q
+    else:
+        e, start = None, p
+    start = max(start, p)
+    for it in range(refinements + 1):
+        if m - start <= k + p + q:
+            return None
+        cols = [Xd[start:], _lags(u, p, start)]
+        if q:
+            cols.append(_lags(e, q, start))
+        coef = np.linalg.lstsq(np.column_stack(cols), yd[start:], rcond=None)[0]
+        beta, phi, theta = coef[:k], coef[k:k + p], coef[k + p:]
+        u = yd - Xd @ beta
+        if q == 0:
+            break
+        e = css_innovations(u, phi, theta)
+        if not np.all(np.isfinite(e)):
+            return None
+        start = max(p, q)
+    e = css_innovations(u, phi, theta)
+    return ArimaxFit(d, beta, phi, theta, u, e)
+
+
+def fitted_values(y, model: ArimaxFit) -> np.ndarray:
+    """One-step-ahead in-sample predictions; the first ``d`` are NaN."""
+    y = np.asarray(y, dtype=float)
+    out = np.full(len(y), np.nan)
+    out[model.d:] = y[model.d:] - model.e
+    return out
+
+
+def forecast(y_hist, X_hist, X_future, model: ArimaxFit) -> np.ndarray:
+    """Multi-step forecast after the history, future innovations 0."""
+    y_hist = np.asarray(y_hist, dtype=float)
+    h = len(X_future) if X_future is not None else 0
+    if h == 0:
+        return np.zeros(0)
+    k = len(model.beta)
+    if k:
+        X_all = np.vstack([np.asarray(X_hist, float).reshape(len(y_hist), -1),
+                           np.asarray(X_future, float).reshape(h, -1)])
+        xb = (difference(X_all, model.d) @ model.beta)[-h:]
+    else:
+        xb = np.zeros(h)
+    p, q = len(model.phi), len(model.theta)
+    u = np.concatenate([model.u, np.zeros(h)])
+    e = np.concatenate([model.e, np.zeros(h)])
+    m = len(model.u)
+    for j in range(h):
+        t = m + j
+        acc = 0.0
+        for i in range(1, p + 1):
+            if t - i >= 0:
+                acc += model.phi[i - 1] * u[t - i]
+        for i in range(1, q + 1):
+            if t - i >= 0:
+                acc += model.theta[i - 1] * e[t - i]
+        u[t] = acc
+    f = xb + u[m:]
+    for level in reversed(range(model.d)):
+        f = difference(y_hist, level)[-1] + np.cumsum(f)
+    return f
+
+
+def holdout_loss(y, X, horizon: int, p: int, d: int, q: int) -> float:
+    """MSE of the forecast of the last ``horizon`` points from the rest; +inf on failure."""
+    y = np.asarray(y, dtype=float)
+    n = len(y)
+    cut = n - horizon
+    Xh = None if X is None else np.asarray(X, float).reshape(n, -1)
+    model = fit(y[:cut], None if Xh is None else Xh[:cut], p, d, q)
+    if model is None:
+        return float("inf")
+    f = forecast(y[:cut], None if Xh is None else Xh[:cut],
+                 np.zeros((horizon, 0)) if Xh is None else Xh[cut:], model)
+    with np.errstate(over="ignore", invalid="ignore"):
+        loss = float(np.mean((y[cut:] - f) ** 2))
+    return loss if np.isfinite(loss) else float("inf")
+
+
+def fit_and_forecast(y, X, horizon: int, p: int, d: int, q: int) -> np.ndarray | None:
+    """Fit on the history; in-sample fitted values followed by the forecast."""
+    y = np.asarray(y, dtype=float)
+    n = len(y)
+    cut = n - horizon
+    Xh = None if X is None else np.asarray(X, float).reshape(n, -1)
+    model = fit(y[:cut], None if Xh is None else Xh[:cut], p, d, q)
+    if model is None:
+        return None
+    f = forecast(y[:cut], None if Xh is None else Xh[:cut],
+                 np.zeros((horizon, 0)) if Xh is None else Xh[cut:], model)
+    return np.concatenate([fitted_values(y[:cut], model), f])

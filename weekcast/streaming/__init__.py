@@ -1,0 +1,6 @@
+"""Streaming: nothing to build.
+
+The workload this library covers is batch only: the notebooks it mirrors turn
+streaming support off and never start a stream.  This package stays empty on
+purpose rather than carrying operators the workload does not use.
+"""
