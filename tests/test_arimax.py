@@ -1,0 +1,48 @@
+"""Numeric behaviour of the ARIMAX kernel."""
+
+import numpy as np
+import pytest
+
+from weekcast.operators import arimax
+
+
+def test_linear_trend_continues_exactly():
+    t = np.arange(80.0)
+    y = 3 + 2 * t
+    out = arimax.fit_and_forecast(y, None, 20, 0, 2, 0)
+    assert np.allclose(out[-20:], y[-20:])
+    assert np.isnan(out[:2]).all() and np.allclose(out[2:60], y[2:60])
+
+
+def test_ar1_recovered():
+    rng = np.random.default_rng(11)
+    e = rng.normal(size=2000)
+    x = np.zeros(2000)
+    for i in range(1, 2000):
+        x[i] = 0.6 * x[i - 1] + e[i]
+    assert arimax.fit(x, None, 1, 0, 0).phi[0] == pytest.approx(0.6, abs=0.05)
+
+
+def test_ma1_recovered():
+    rng = np.random.default_rng(5)
+    e = rng.normal(size=3000)
+    z = e.copy()
+    z[1:] += 0.5 * e[:-1]
+    assert arimax.fit(z, None, 0, 0, 1).theta[0] == pytest.approx(0.5, abs=0.07)
+
+
+def test_event_step_coefficients():
+    covid = (np.arange(100) >= 50).astype(float)
+    y = 100 - 20 * covid
+    X = np.column_stack([np.ones(100), covid])
+    m = arimax.fit(y, X, 0, 0, 0)
+    assert np.allclose(m.beta, [100, -20])
+
+
+def test_no_constant_means_zero_forecast():
+    out = arimax.fit_and_forecast(np.arange(50.0) + 7, None, 5, 0, 0, 0)
+    assert np.allclose(out[-5:], 0.0)
+
+
+def test_failure_scores_infinite():
+    assert arimax.holdout_loss(np.arange(12.0), None, 10, 4, 2, 4) == float("inf")

@@ -151,8 +151,13 @@ def forecast(y_hist, X_hist, X_future, model: ArimaxFit) -> np.ndarray:
     return f
 
 
+@np.errstate(all="ignore")
 def holdout_loss(y, X, horizon: int, p: int, d: int, q: int) -> float:
-    """MSE of the forecast of the last ``horizon`` points from the rest; +inf on failure."""
+    """MSE of the forecast of the last ``horizon`` points from the rest; +inf on failure.
+
+    Diverging candidates (explosive AR or non-invertible MA) overflow to
+    inf/NaN and score +inf; numpy's warnings for that are silenced here.
+    """
     y = np.asarray(y, dtype=float)
     n = len(y)
     cut = n - horizon
@@ -162,11 +167,11 @@ def holdout_loss(y, X, horizon: int, p: int, d: int, q: int) -> float:
         return float("inf")
     f = forecast(y[:cut], None if Xh is None else Xh[:cut],
                  np.zeros((horizon, 0)) if Xh is None else Xh[cut:], model)
-    with np.errstate(over="ignore", invalid="ignore"):
-        loss = float(np.mean((y[cut:] - f) ** 2))
+    loss = float(np.mean((y[cut:] - f) ** 2))
     return loss if np.isfinite(loss) else float("inf")
 
 
+@np.errstate(all="ignore")
 def fit_and_forecast(y, X, horizon: int, p: int, d: int, q: int) -> np.ndarray | None:
     """Fit on the history; in-sample fitted values followed by the forecast."""
     y = np.asarray(y, dtype=float)

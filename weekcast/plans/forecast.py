@@ -50,8 +50,11 @@ def pack_series(weekly: DataFrame, event: dt.date = cal.TEST_EVENT) -> DataFrame
         F.min("wk").alias("first_wk"), F.max("wk").alias("last_wk"),
         F.map_from_entries(F.collect_list(F.struct("wk", "demand"))).alias("_obs"))
     weeks = cal.weekly_sequence(F.col("first_wk"), F.col("last_wk"))
-    feats = {name: F.transform(weeks, lambda w, _n=name: cal.exo_columns(w, event)[_n])
-             for name in FEATURES}
+
+    def feature(name):
+        return lambda w: cal.exo_columns(w, event)[name]
+
+    feats = {name: F.transform(weeks, feature(name)) for name in FEATURES}
     return packed.select(
         *KEYS, "first_wk", F.size(weeks).alias("n"),
         F.transform(weeks, lambda w: F.coalesce(F.element_at("_obs", w), F.lit(0.0))).alias("y"),
