@@ -49,20 +49,29 @@ def _lags(x: np.ndarray, nlags: int, start: int) -> np.ndarray:
 
 
 def css_innovations(u: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """e_t = u_t - sum phi_i u_{t-i} - sum theta_j e_{t-j}, pre-sample values 0."""
-    p, q, m = len(phi), len(theta), len(u)
+    """e_t = u_t - sum phi_i u_{t-i} - sum theta_j e_{t-j}, pre-sample values 0.
+
+    The AR part is vectorised; the MA recursion runs on Python floats with a
+    rolling window of the last q innovations (several times faster than
+    indexing numpy scalars for series of a few hundred points).
+    """
+    p, q = len(phi), len(theta)
     v = u.copy()
     for i in range(1, p + 1):
         v[i:] -= phi[i - 1] * u[:-i]
     if q == 0:
         return v
-    e = np.zeros(m)
-    for t in range(m):
-        acc = v[t]
-        for j in range(1, min(q, t) + 1):
-            acc -= theta[j - 1] * e[t - j]
-        e[t] = acc
-    return e
+    th = [float(x) for x in theta]
+    recent = [0.0] * q              # recent[0] = e_{t-1}, recent[1] = e_{t-2}, ...
+    out = []
+    for vt in v.tolist():
+        acc = vt
+        for j in range(q):
+            acc -= th[j] * recent[j]
+        out.append(acc)
+        recent.insert(0, acc)
+        recent.pop()
+    return np.array(out)
 
 
 def fit(y, X, p: int, d: int, q: int, refinements: int = 1) -> ArimaxFit | None:

@@ -6,6 +6,11 @@ Instead: range-partition and sort (distributed), count rows per partition
 window over that tiny table, and add each row's index inside its partition.
 The index comes from ``monotonically_increasing_id``, whose lower 33 bits
 are the record number inside the partition.
+
+The sorted frame is checkpointed (reliably, to the cluster's checkpoint
+folder) before it is read twice: range-partition boundaries come from a
+sample seeded by the RDD id, so two independent evaluations of the sort could
+split the rows differently, and the offsets would no longer fit the rows.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ _LOW_BITS = 33
 
 def global_row_number(df: DataFrame, order_cols, name: str = "row_id") -> DataFrame:
     """1-based rank of each row in ``order_cols`` order (ties in arbitrary order)."""
-    ordered = df.orderBy(*order_cols)
+    ordered = df.orderBy(*order_cols).checkpoint(eager=True)
     tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
                             F.monotonically_increasing_id().alias("_mid"))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))

@@ -2,8 +2,8 @@
 
 The calendar is derived from the data (first to last Monday with a shipment),
 so its size grows only with the time span, never with the row count.  Global
-bounds enter as scalar subqueries, which Spark evaluates once and inlines as
-literals: no join, no cross join, no single-partition window.
+bounds come from one two-value aggregate and enter as literals: no join, no
+cross join, no single-partition window.
 """
 
 from __future__ import annotations
@@ -60,8 +60,15 @@ def reference_calendar_factors(spark: SparkSession, digits: int = 6) -> DataFram
                     f["season_factor"].alias("season_factor"))
 
 
-def _bound(spark: SparkSession, sf_dir: str, name: str):
-    return inputs.data_calendar_bounds(spark, sf_dir).select(name).scalar()
+def _bounds(spark: SparkSession, sf_dir: str):
+    """Both calendar bounds as literals, from one two-value aggregate.
+
+    Fetching the single aggregated row is bounded; inlining it lets Catalyst
+    fold every calendar factor to constants per week, where a scalar
+    subquery would be re-planned (and re-scanned) at each reference.
+    """
+    row = inputs.data_calendar_bounds(spark, sf_dir).first()
+    return F.lit(row["first_wk"]), F.lit(row["last_wk"])
 
 
 def exo_features(weekly: DataFrame, event: dt.date = cal.TEST_EVENT) -> DataFrame:
@@ -76,7 +83,7 @@ def weeks_since_event(weekly: DataFrame, event: dt.date = cal.TEST_EVENT) -> Dat
 
 def series_calendar(spark: SparkSession, sf_dir: str, weekly: DataFrame) -> DataFrame:
     """Every series paired with every calendar week (generator, not a join)."""
-    first, last = _bound(spark, sf_dir, "first_wk"), _bound(spark, sf_dir, "last_wk")
+    first, last = _bounds(spark, sf_dir)
     return weekly.select(*KEYS).distinct().select(
         *KEYS, F.explode(cal.weekly_sequence(first, last)).alias("wk"))
 
@@ -85,7 +92,7 @@ def adjusted_demand(spark: SparkSession, sf_dir: str, weekly: DataFrame,
                     event: dt.date = cal.TEST_EVENT) -> DataFrame:
     """Demand shaping chain: x shock -> + 100*sqrt(pos) before the event ->
     x season -> round.  ``pos`` is the week's position in the calendar."""
-    first, last = _bound(spark, sf_dir, "first_wk"), _bound(spark, sf_dir, "last_wk")
+    first, last = _bounds(spark, sf_dir)
     wk = F.col("wk")
     f = factors(wk, last, event)
     pos = cal.week_index(wk, first)
