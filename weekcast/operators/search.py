@@ -26,14 +26,6 @@ def order_grid() -> list[tuple[int, int, int, int]]:
             for p, d, q in itertools.product(P_RANGE, D_RANGE, Q_RANGE)]
 
 
-def candidates_column(grid) -> Column:
-    """The candidate list as a literal ARRAY<STRUCT>; exploding it next to a
-    series row pairs that series with every candidate without a join."""
-    return F.array(*[F.struct(F.lit(c).alias("cand_id"), F.lit(p).alias("p"),
-                              F.lit(d).alias("d"), F.lit(q).alias("q"))
-                     for c, p, d, q in grid])
-
-
 def finite_or_inf(c) -> Column:
     """Null and NaN losses rank last in the arg-min."""
     inf = F.lit(float("inf"))

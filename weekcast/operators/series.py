@@ -83,17 +83,15 @@ def regularise(df: DataFrame, keys, value: str = "demand", order_col: str = "wk"
                fill: str = "null") -> DataFrame:
     """Insert every missing week between a series' first and last week.
 
-    Done per series without a join: pack the observed (week, value) pairs
-    into a map, walk the weekly sequence from min to max and look each week
-    up.  ``fill``: ``null`` (keep gaps null), ``zero``, or ``ffill``.
+    The spine (every Monday from each series' first to last week) is a
+    generator over the per-series bounds; observed rows are attached by an
+    equi-join on (keys, week), so the cost is linear in the spine size.
+    ``fill``: ``null`` (keep gaps null), ``zero``, or ``ffill``.
     """
-    packed = df.groupBy(*keys).agg(
-        F.min(order_col).alias("_first"), F.max(order_col).alias("_last"),
-        F.map_from_entries(F.collect_list(F.struct(order_col, value))).alias("_obs"))
-    weeks = weekly_sequence(F.col("_first"), F.col("_last"))
-    looked_up = F.transform(weeks, lambda w: F.struct(w.alias(order_col),
-                                                      F.element_at("_obs", w).alias(value)))
-    out = packed.select(*keys, F.inline(looked_up))
+    obs = df.select(*keys, order_col, value)
+    spine = (obs.groupBy(*keys).agg(F.min(order_col).alias("_first"), F.max(order_col).alias("_last"))
+                .select(*keys, F.explode(weekly_sequence(F.col("_first"), F.col("_last"))).alias(order_col)))
+    out = spine.join(obs, [*keys, order_col], "left")
     if fill == "zero":
         out = out.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
     elif fill == "ffill":
