@@ -64,8 +64,16 @@ def pack_series(weekly: DataFrame, event: dt.date = cal.TEST_EVENT) -> DataFrame
 
 
 def _spread(df: DataFrame, n_partitions: int | None) -> DataFrame:
+    """Round-robin the packed series over ``n`` partitions.
+
+    Each series is one self-contained row, so no key placement is needed and
+    round-robin gives every task the same number of series.  A hash
+    repartition on the series key would be dropped as redundant after the
+    packing aggregate (same keys, same count) and the remaining shuffle,
+    tiny in bytes, would then be coalesced by AQE into a single task.
+    """
     n = n_partitions or 2 * default_parallelism(df.sparkSession)
-    return df.repartition(n, *KEYS)
+    return df.repartition(n)
 
 
 def _design(row, features) -> np.ndarray | None:
