@@ -38,8 +38,14 @@ TEST_EVENT = dt.date(2000, 3, 1)
 
 
 def monday(c) -> Column:
-    """Week start (Monday) of a date or timestamp column, as DATE."""
-    return F.to_date(F.date_trunc("week", c))
+    """Week start (Monday) of a date or timestamp column, as DATE.
+
+    Plain date arithmetic (``weekday`` is 0 on Mondays): the same value as
+    ``date_trunc('week', ...)`` without its time-zone round trip, which is
+    measurably cheaper on the per-row hot path of every lineitem scan.
+    """
+    d = F.to_date(c)
+    return F.date_sub(d, F.weekday(d))
 
 
 def monday_of(d: dt.date) -> dt.date:
