@@ -83,23 +83,26 @@ def regularise(df: DataFrame, keys, value: str = "demand", order_col: str = "wk"
                fill: str = "null") -> DataFrame:
     """Insert every missing week between a series' first and last week.
 
-    The spine (every Monday from each series' first to last week) is a
-    generator over the per-series bounds; observed rows are attached by an
-    equi-join on (keys, week), so the cost is linear in the spine size.
+    One pass: each observed week looks ahead to the next observed week of its
+    series (``lead``) and emits itself plus the missing weeks in between.
+    Linear in the output, one exchange on the series key, no join back to
+    the input (which would scan the source twice).
     ``fill``: ``null`` (keep gaps null), ``zero``, or ``ffill``.
     """
-    obs = df.select(*keys, order_col, value)
-    spine = (obs.groupBy(*keys).agg(F.min(order_col).alias("_first"), F.max(order_col).alias("_last"))
-                .select(*keys, F.explode(weekly_sequence(F.col("_first"), F.col("_last"))).alias(order_col)))
-    out = spine.join(obs, [*keys, order_col], "left")
-    if fill == "zero":
-        out = out.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
-    elif fill == "ffill":
-        w = _ordered(keys, order_col).rowsBetween(Window.unboundedPreceding, 0)
-        out = out.withColumn(value, F.last(value, ignorenulls=True).over(w))
-    elif fill != "null":
+    if fill not in ("null", "zero", "ffill"):
         raise ValueError(f"unknown fill policy {fill!r}")
-    return out
+    w = _ordered(keys, order_col)
+    wk = F.col("_obs_wk")
+    ahead = df.select(*keys, F.col(order_col).alias("_obs_wk"), F.col(value).alias("_obs"),
+                      F.lead(order_col).over(w).alias("_next"))
+    last_in_gap = F.coalesce(F.date_sub(F.col("_next"), 7), wk)
+    rows = ahead.select(*keys, "_obs_wk", "_obs",
+                        F.explode(weekly_sequence(wk, last_in_gap)).alias(order_col))
+    observed = F.col(order_col) == F.col("_obs_wk")
+    filled = {"null": F.when(observed, F.col("_obs")),
+              "zero": F.when(observed, F.col("_obs")).otherwise(F.lit(0.0)),
+              "ffill": F.col("_obs")}[fill]
+    return rows.select(*keys, order_col, filled.alias(value))
 
 
 def packed_stats(packed: DataFrame, keys, name: str = "pts", value: str = "demand") -> DataFrame:

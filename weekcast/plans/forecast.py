@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekcast.functions import calendar as cal
-from weekcast.operators import arimax
+from weekcast.operators import arimax, series
 from weekcast.operators.search import arg_min, order_grid
 from weekcast.session import default_parallelism
 
@@ -44,23 +44,17 @@ def pack_series(weekly: DataFrame, event: dt.date = cal.TEST_EVENT) -> DataFrame
 
     Missing weeks get demand 0 (the input is a sum of shipped quantity, so an
     absent week shipped nothing); features are computed from the week itself,
-    so regularised rows carry keys and features too.  Gaps are filled inside
-    the packed row (a map lookup per week, bounded by weeks^2 per series),
-    which saves the extra shuffles a spine join would cost here.
+    so regularised rows carry keys and features too.  The gap fill's window
+    and the packing aggregate share one exchange on the series key.
     """
-    packed = weekly.groupBy(*KEYS).agg(
-        F.min("wk").alias("first_wk"), F.max("wk").alias("last_wk"),
-        F.map_from_entries(F.collect_list(F.struct("wk", "demand"))).alias("_obs"))
-    weeks = cal.weekly_sequence(F.col("first_wk"), F.col("last_wk"))
-
-    def feature(name):
-        return lambda w: cal.exo_columns(w, event)[name]
-
-    feats = {name: F.transform(weeks, feature(name)) for name in FEATURES}
+    dense = series.regularise(weekly, KEYS, "demand", "wk", fill="zero")
+    feats = cal.exo_columns(F.col("wk"), event)
+    point = F.struct(F.col("wk"), F.col("demand"), *[feats[f].alias(f) for f in FEATURES])
+    packed = dense.groupBy(*KEYS).agg(F.array_sort(F.collect_list(point)).alias("_pts"))
+    pts = F.col("_pts")
     return packed.select(
-        *KEYS, "first_wk", F.size(weeks).alias("n"),
-        F.transform(weeks, lambda w: F.coalesce(F.element_at("_obs", w), F.lit(0.0))).alias("y"),
-        *[c.alias(n) for n, c in feats.items()])
+        *KEYS, pts.getItem(0)["wk"].alias("first_wk"), F.size(pts).alias("n"),
+        pts["demand"].alias("y"), *[pts[f].alias(f) for f in FEATURES])
 
 
 def _spread(df: DataFrame, n_partitions: int | None) -> DataFrame:

@@ -31,6 +31,13 @@ def _weekly(spark, sf):
     return inputs.weekly(spark, sf)
 
 
+def _weekly_materialised(spark, sf):
+    """Weekly demand written once to the shared checkpoint folder, for queries
+    that read it more than once (a drill-down needs the key first, then its
+    rows).  The table is series x weeks, far smaller than its source scan."""
+    return inputs.weekly(spark, sf).checkpoint(eager=True)
+
+
 # --- scans, sources, sinks -------------------------------------------------
 
 def weekly_demand(spark, sf):
@@ -99,7 +106,7 @@ def exo_features(spark, sf):
 # --- series operators ------------------------------------------------------
 
 def first_series(spark, sf):
-    w = _weekly(spark, sf)
+    w = _weekly_materialised(spark, sf)
     first = w.select(*KEYS).orderBy(*KEYS).limit(1)
     return w.join(first, KEYS, "left_semi").select(*KEYS, "wk", "demand")
 
@@ -172,7 +179,7 @@ def array_params(spark, sf):
 
 
 def sample_series(spark, sf):
-    w = _weekly(spark, sf)
+    w = _weekly_materialised(spark, sf)
     return w.join(sampling.pick_one_series(w, KEYS), KEYS, "inner").select(*KEYS, "wk", "demand")
 
 
@@ -212,7 +219,7 @@ def value_hash(spark, sf):
 
 
 def check_rowcount(spark, sf):
-    w = _weekly(spark, sf)
+    w = _weekly_materialised(spark, sf)
     cf = demand.calendar_factors(spark, sf, EVENT)
     # the calendar has one row per week of the data span: a proven size bound
     joined_n = w.join(F.broadcast(cf), "wk").agg(F.count(F.lit(1))).scalar()
