@@ -10,7 +10,7 @@ from weekcast.sources import inputs
 def test_forecast_all_shape_and_status(spark):
     weekly = inputs.weekly(spark, SF_SMALL)
     grid = [(0, 0, 1, 0), (1, 1, 1, 0), (2, 0, 0, 0)]
-    out = forecast.forecast_all(weekly, grid=grid, checkpoint=False).cache()
+    out = forecast.forecast_all(weekly, grid=grid, materialise=False).cache()
     packed = forecast.pack_series(weekly).select("product", "sku", "n").collect()
     assert out.count() == sum(r["n"] for r in packed)
     st = {r["status"]: r["c"] for r in out.groupBy("status").agg(F.countDistinct("product", "sku").alias("c")).collect()}

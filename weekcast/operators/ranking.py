@@ -18,12 +18,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weekcast.session import checkpoint
+
 _LOW_BITS = 33
 
 
 def global_row_number(df: DataFrame, order_cols, name: str = "row_id") -> DataFrame:
     """1-based rank of each row in ``order_cols`` order (ties in arbitrary order)."""
-    ordered = df.orderBy(*order_cols).checkpoint(eager=True)
+    ordered = checkpoint(df.orderBy(*order_cols))
     tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
                             F.monotonically_increasing_id().alias("_mid"))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from weekcast.functions import calendar as cal
 from weekcast.operators import arimax, series
 from weekcast.operators.search import arg_min, order_grid
-from weekcast.session import default_parallelism
+from weekcast.session import checkpoint, default_parallelism
 
 KEYS = ["product", "sku"]
 FEATURES = ["covid", "christmas", "new_year"]
@@ -160,13 +160,13 @@ def unpack_forecast(refitted: DataFrame, horizon: int = HORIZON) -> DataFrame:
 
 
 def forecast_all(weekly: DataFrame, grid=None, horizon: int = HORIZON, min_train: int = MIN_TRAIN,
-                 event: dt.date = cal.TEST_EVENT, checkpoint: bool = True,
+                 event: dt.date = cal.TEST_EVENT, materialise: bool = True,
                  n_partitions: int | None = None) -> DataFrame:
     packed = pack_series(weekly, event)
-    if checkpoint:
+    if materialise:
         # reliable checkpoint in the cluster's shared folder: the two Python
         # stages below reuse it and a lost executor does not re-run the scan
-        packed = packed.checkpoint(eager=True)
+        packed = checkpoint(packed)
     losses = candidate_losses(packed, grid, horizon, min_train, n_partitions=n_partitions)
     best = best_orders(losses)
     return unpack_forecast(refit(packed, best, horizon, min_train, n_partitions=n_partitions), horizon)

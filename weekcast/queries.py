@@ -15,7 +15,7 @@ from weekcast.functions import calendar as cal
 from weekcast.functions import scalar
 from weekcast.operators import checks, ranking, sampling, search, series
 from weekcast.plans import demand, forecast, manymodels, runlog, tuning
-from weekcast.session import scratch_path
+from weekcast.session import checkpoint, scratch_path
 from weekcast.sources import inputs, sinks
 from weekcast.sources.tables import read_table
 
@@ -35,7 +35,7 @@ def _weekly_materialised(spark, sf):
     """Weekly demand written once to the shared checkpoint folder, for queries
     that read it more than once (a drill-down needs the key first, then its
     rows).  The table is series x weeks, far smaller than its source scan."""
-    return inputs.weekly(spark, sf).checkpoint(eager=True)
+    return checkpoint(inputs.weekly(spark, sf))
 
 
 # --- scans, sources, sinks -------------------------------------------------

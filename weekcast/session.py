@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -61,5 +62,38 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = False) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:8]}" if unique else f"{base}/{name}"
 
 
+def checkpoint(df):
+    """Reliable, eager checkpoint into the shared folder (cuts lineage; a lost
+    executor does not send the job back to the source scan)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.sparkContext.defaultParallelism))
+
+
+_SHIPPED: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``weekcast`` importable in the executors' Python workers.
+
+    The same as ``--py-files``: zip the package once per driver process and
+    ``addPyFile`` it once per application, so functions in Python stages
+    unpickle wherever the job was launched from.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="weekcast-pkg-"), "weekcast.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED[app] = out
