@@ -48,6 +48,33 @@ def _lags(x: np.ndarray, nlags: int, start: int) -> np.ndarray:
     return np.column_stack([x[start - i:n - i] for i in range(1, nlags + 1)])
 
 
+def invertible_ma(theta: np.ndarray) -> np.ndarray:
+    """Reflect MA roots inside the unit circle to their reciprocals.
+
+    theta(z) = 1 + theta_1 z + ... + theta_q z^q and the reflected polynomial
+    have the same autocovariances, but only the invertible one gives bounded
+    conditional innovations (over-differenced series produce theta near -1).
+    """
+    if len(theta) == 0 or not np.all(np.isfinite(theta)):
+        return theta
+    coefs = np.r_[theta[::-1], 1.0]          # highest power first
+    while len(coefs) > 1 and coefs[0] == 0:
+        coefs = coefs[1:]
+    if len(coefs) == 1:
+        return theta
+    roots = np.roots(coefs)
+    if np.all(np.abs(roots) > 1.0):
+        return theta
+    fixed = np.where(np.abs(roots) < 1.0, 1.0 / np.conj(roots), roots)
+    fixed = np.where(np.isclose(np.abs(fixed), 1.0), fixed * 1.001, fixed)
+    poly = np.real(np.poly(fixed))           # monic, highest power first
+    poly = poly / poly[-1]                    # constant term 1
+    out = np.zeros(len(theta))
+    tail = poly[::-1][1:]
+    out[:len(tail)] = tail
+    return out
+
+
 def css_innovations(u: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
     """e_t = u_t - sum phi_i u_{t-i} - sum theta_j e_{t-j}, pre-sample values 0.
 
@@ -100,22 +127,34 @@ def fit(y, X, p: int, d: int, q: int, refinements: int = 1) -> ArimaxFit | None:
     else:
         e, start = None, p
     start = max(start, p)
-    for it in range(refinements + 1):
-        if m - start <= k + p + q:
-            return None
+
+    def joint(u, e, start):
         cols = [Xd[start:], _lags(u, p, start)]
         if q:
             cols.append(_lags(e, q, start))
         coef = np.linalg.lstsq(np.column_stack(cols), yd[start:], rcond=None)[0]
-        beta, phi, theta = coef[:k], coef[k:k + p], coef[k + p:]
+        return coef[:k], coef[k:k + p], invertible_ma(coef[k + p:])
+
+    def css(beta, phi, theta):
         u = yd - Xd @ beta
-        if q == 0:
-            break
         e = css_innovations(u, phi, theta)
-        if not np.all(np.isfinite(e)):
-            return None
-        start = max(p, q)
-    e = css_innovations(u, phi, theta)
+        sse = float(np.sum(e[max(p, q):] ** 2))
+        return u, e, (sse if np.isfinite(sse) else np.inf)
+
+    if m - start <= k + p + q:
+        return None
+    beta, phi, theta = joint(u, e, start)
+    u, e, sse = css(beta, phi, theta)
+    # Iterated Hannan-Rissanen: re-regress on the CSS innovations, keeping a
+    # step only when it lowers the conditional sum of squares.
+    for _ in range(refinements if q else 0):
+        cand = joint(u, e, max(p, q))
+        cu, ce, csse = css(*cand)
+        if not csse < sse:
+            break
+        (beta, phi, theta), u, e, sse = cand, cu, ce, csse
+    if not np.isfinite(sse):
+        return None
     return ArimaxFit(d, beta, phi, theta, u, e)
 
 

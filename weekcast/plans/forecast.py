@@ -172,26 +172,31 @@ def forecast_all(weekly: DataFrame, grid=None, horizon: int = HORIZON, min_train
     return unpack_forecast(refit(packed, best, horizon, min_train, n_partitions=n_partitions), horizon)
 
 
-GAIN_SCHEMA = T.StructType(_KEY_FIELDS + [
-    T.StructField("loss_without", T.DoubleType()), T.StructField("loss_with", T.DoubleType()),
-    T.StructField("gain", T.DoubleType())])
+def holdout_loss_udfs(order, horizon: int = HORIZON):
+    """Scalar pandas UDFs (Arrow batches of packed series) returning the
+    hold-out loss of one fixed order, without and with three features."""
+    p, d, q = order
+
+    @F.pandas_udf(T.DoubleType())
+    def loss_without(y: pd.Series) -> pd.Series:
+        return pd.Series([arimax.holdout_loss(np.asarray(v, float), None, horizon, p, d, q) for v in y])
+
+    @F.pandas_udf(T.DoubleType())
+    def loss_with(y: pd.Series, x1: pd.Series, x2: pd.Series, x3: pd.Series) -> pd.Series:
+        return pd.Series([
+            arimax.holdout_loss(np.asarray(v, float), np.column_stack([a, b, c]), horizon, p, d, q)
+            for v, a, b, c in zip(y, x1, x2, x3)])
+
+    return loss_without, loss_with
 
 
 def exo_gain(packed: DataFrame, order=(1, 2, 1), horizon: int = HORIZON, min_train: int = MIN_TRAIN,
              features=FEATURES, n_partitions: int | None = None) -> DataFrame:
     """Hold-out loss of one order without and with the event features."""
-    p, d, q = order
-    feats = list(features)
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for row in pdf.itertuples(index=False):
-                y = np.asarray(row.y, dtype=float)
-                without = arimax.holdout_loss(y, None, horizon, p, d, q)
-                with_x = arimax.holdout_loss(y, _design(row, feats), horizon, p, d, q)
-                rows.append((row.product, row.sku, without, with_x, without - with_x))
-            yield pd.DataFrame(rows, columns=GAIN_SCHEMA.fieldNames())
-
-    eligible = packed.filter(F.col("n") >= F.lit(horizon + min_train)).select(*KEYS, "y", *feats)
-    return _spread(eligible, n_partitions).mapInPandas(run, GAIN_SCHEMA)
+    assert len(features) == 3
+    without, with_x = holdout_loss_udfs(order, horizon)
+    eligible = packed.filter(F.col("n") >= F.lit(horizon + min_train)).select(*KEYS, "y", *features)
+    return (_spread(eligible, n_partitions)
+            .select(*KEYS, without("y").alias("loss_without"),
+                    with_x("y", *[F.col(f) for f in features]).alias("loss_with"))
+            .withColumn("gain", F.col("loss_without") - F.col("loss_with")))
