@@ -46,3 +46,27 @@ def test_no_constant_means_zero_forecast():
 
 def test_failure_scores_infinite():
     assert arimax.holdout_loss(np.arange(12.0), None, 10, 4, 2, 4) == float("inf")
+
+
+def test_over_differenced_noise_stays_bounded():
+    rng = np.random.default_rng(2)
+    y = 40 + rng.normal(scale=20, size=300)
+    X = np.column_stack([(np.arange(300) > 150).astype(float), rng.integers(0, 2, 300)])
+    for order in ((1, 2, 1), (0, 1, 1), (2, 1, 2)):
+        for feats in (None, X):
+            model = arimax.fit(y[:-40], None if feats is None else feats[:-40], *order)
+            assert model is not None
+            assert np.all(np.abs(np.roots(np.r_[model.theta[::-1], 1.0])) >= 1.0 - 1e-9)
+            loss = arimax.holdout_loss(y, feats, 40, *order)
+            assert np.isfinite(loss) and loss < 100 * np.var(y[-40:])
+
+
+def test_invertible_ma_keeps_autocovariance_shape():
+    def acov(th):
+        c = np.r_[1.0, th]
+        return np.array([np.sum(c[:len(c) - k] * c[k:]) for k in range(len(c))])
+    for th in (np.array([-1.42]), np.array([-2.5, 1.0]), np.array([0.3, -0.2])):
+        r = arimax.invertible_ma(th)
+        ratio = acov(th) / acov(r)
+        assert np.allclose(ratio, ratio[0])
+        assert np.all(np.abs(np.roots(np.r_[r[::-1], 1.0])) > 1.0)
