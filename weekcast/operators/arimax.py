@@ -3,8 +3,8 @@
 Per series (called inside Spark tasks on packed series, never on the driver):
 
 1. difference y and the exogenous matrix X ``d`` times;
-2. OLS of the differenced y on the differenced X (minimum-norm ``lstsq``, so
-   all-zero feature columns are harmless) -> regression residual u;
+2. OLS of the differenced y on the differenced X (normal equations with a
+   vanishing ridge, so all-zero feature columns are harmless) -> residual u;
 3. Hannan-Rissanen (1982): a long autoregression on u estimates the
    innovations; a joint OLS of y on X, p lags of u and q lags of the
    innovation estimates gives (beta, phi, theta);
@@ -57,6 +57,13 @@ def invertible_ma(theta: np.ndarray) -> np.ndarray:
     """
     if len(theta) == 0 or not np.all(np.isfinite(theta)):
         return theta
+    if len(theta) == 1:
+        t = float(theta[0])
+        return theta if abs(t) < 1.0 else np.array([1.0 / t if abs(t) > 1.0 else t / 1.001])
+    if len(theta) == 2:
+        t1, t2 = float(theta[0]), float(theta[1])
+        if abs(t2) < 1.0 and t1 + t2 > -1.0 and t2 - t1 > -1.0:
+            return theta                      # both roots outside the unit circle
     coefs = np.r_[theta[::-1], 1.0]          # highest power first
     while len(coefs) > 1 and coefs[0] == 0:
         coefs = coefs[1:]
@@ -75,12 +82,35 @@ def invertible_ma(theta: np.ndarray) -> np.ndarray:
     return out
 
 
+def _ma_filter(v: list[float], th: list[float]) -> list[float]:
+    """e_t = v_t - sum_j th_j e_{t-j} with pre-sample e = 0 (q <= 4 unrolled)."""
+    q = len(th)
+    out = []
+    push = out.append
+    t1, t2, t3, t4 = (th + [0.0] * 4)[:4]
+    if q <= 4:
+        e1 = e2 = e3 = e4 = 0.0
+        for vt in v:
+            e0 = vt - t1 * e1 - t2 * e2 - t3 * e3 - t4 * e4
+            push(e0)
+            e4, e3, e2, e1 = e3, e2, e1, e0
+        return out
+    recent = [0.0] * q
+    for vt in v:
+        acc = vt
+        for j in range(q):
+            acc -= th[j] * recent[j]
+        push(acc)
+        recent.insert(0, acc)
+        recent.pop()
+    return out
+
+
 def css_innovations(u: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
     """e_t = u_t - sum phi_i u_{t-i} - sum theta_j e_{t-j}, pre-sample values 0.
 
-    The AR part is vectorised; the MA recursion runs on Python floats with a
-    rolling window of the last q innovations (several times faster than
-    indexing numpy scalars for series of a few hundred points).
+    The AR part is vectorised; the MA recursion runs on Python floats (much
+    faster than indexing numpy scalars for series of a few hundred points).
     """
     p, q = len(phi), len(theta)
     v = u.copy()
@@ -88,17 +118,28 @@ def css_innovations(u: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> np.nda
         v[i:] -= phi[i - 1] * u[:-i]
     if q == 0:
         return v
-    th = [float(x) for x in theta]
-    recent = [0.0] * q              # recent[0] = e_{t-1}, recent[1] = e_{t-2}, ...
-    out = []
-    for vt in v.tolist():
-        acc = vt
-        for j in range(q):
-            acc -= th[j] * recent[j]
-        out.append(acc)
-        recent.insert(0, acc)
-        recent.pop()
-    return np.array(out)
+    with np.errstate(all="ignore"):
+        return np.array(_ma_filter(v.tolist(), [float(x) for x in theta]))
+
+
+def ols(A: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least squares through the (tiny) normal equations with a vanishing ridge.
+
+    A few hundred rows and at most a dozen columns: solving the k x k system
+    is far cheaper than an SVD, and the ridge (1e-10 of the mean diagonal)
+    keeps all-zero or duplicated columns harmless (their weight goes to 0 /
+    is shared) without moving well-posed solutions measurably.
+    """
+    k = A.shape[1]
+    if k == 0:
+        return np.zeros(0)
+    G = A.T @ A
+    r = A.T @ b
+    lam = 1e-10 * (np.trace(G) / k) + 1e-300
+    try:
+        return np.linalg.solve(G + lam * np.eye(k), r)
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(A, b, rcond=None)[0]
 
 
 def fit(y, X, p: int, d: int, q: int, refinements: int = 1) -> ArimaxFit | None:
@@ -110,7 +151,7 @@ def fit(y, X, p: int, d: int, q: int, refinements: int = 1) -> ArimaxFit | None:
     m, k = len(yd), X.shape[1]
     if m <= k + p + q + 1:
         return None
-    beta = np.linalg.lstsq(Xd, yd, rcond=None)[0] if k else np.zeros(0)
+    beta = ols(Xd, yd)
     u = yd - Xd @ beta
     phi, theta = np.zeros(p), np.zeros(q)
     if p == 0 and q == 0:
@@ -120,7 +161,7 @@ def fit(y, X, p: int, d: int, q: int, refinements: int = 1) -> ArimaxFit | None:
         if long_order < 1 or m - long_order <= long_order:
             return None
         Z = _lags(u, long_order, long_order)
-        a = np.linalg.lstsq(Z, u[long_order:], rcond=None)[0]
+        a = ols(Z, u[long_order:])
         e = np.zeros(m)
         e[long_order:] = u[long_order:] - Z @ a
         start = long_order + q
@@ -132,7 +173,7 @@ def fit(y, X, p: int, d: int, q: int, refinements: int = 1) -> ArimaxFit | None:
         cols = [Xd[start:], _lags(u, p, start)]
         if q:
             cols.append(_lags(e, q, start))
-        coef = np.linalg.lstsq(np.column_stack(cols), yd[start:], rcond=None)[0]
+        coef = ols(np.column_stack(cols), yd[start:])
         return coef[:k], coef[k:k + p], invertible_ma(coef[k + p:])
 
     def css(beta, phi, theta):
