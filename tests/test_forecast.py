@@ -33,3 +33,17 @@ def test_search_independent_of_partitioning(spark):
     b = {(r["product"], r["sku"]): r["cand_id"] for r in
          forecast.best_orders(forecast.candidate_losses(packed, grid, n_partitions=11)).collect()}
     assert a == b and len(a) > 0
+
+
+def test_short_series_are_returned_unfitted(spark):
+    import datetime as dt
+    start = dt.date(2000, 1, 3)
+    rows = [("A", "long", start + dt.timedelta(weeks=i), float(10 + i % 7)) for i in range(80)]
+    rows += [("A", "short", start + dt.timedelta(weeks=i), float(5 + i % 3)) for i in range(45)]
+    weekly = spark.createDataFrame(rows, "product string, sku string, wk date, demand double")
+    out = forecast.forecast_all(weekly, grid=[(0, 1, 0, 0), (1, 0, 0, 1)], materialise=False)
+    st = {r["sku"]: r["status"] for r in out.select("sku", "status").distinct().collect()}
+    assert st == {"long": "ok", "short": "too_short"}
+    short = out.filter(F.col("sku") == "short")
+    assert short.count() == 45 and short.filter(F.col("demand_fitted").isNotNull()).count() == 0
+    assert out.filter((F.col("sku") == "long") & ~F.col("is_history")).count() == forecast.HORIZON
