@@ -149,9 +149,11 @@ def refit(packed: DataFrame, best: DataFrame, horizon: int = HORIZON, min_train:
 
 def unpack_forecast(refitted: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """Back to one row per series and week."""
+    # unfitted series (too_short / failed) keep their rows with null fitted values
+    fitted = F.coalesce(F.col("fitted"), F.array_repeat(F.lit(None).cast("double"), F.size("y")))
     z = refitted.select(*KEYS, "first_wk", "n", "status",
                         F.posexplode(F.arrays_zip(F.col("y").alias("demand"),
-                                                  F.col("fitted").alias("demand_fitted"))))
+                                                  fitted.alias("demand_fitted"))))
     return z.select(*KEYS, F.date_add("first_wk", F.col("pos") * 7).alias("wk"),
                     F.col("col.demand").alias("demand"),
                     F.col("col.demand_fitted").alias("demand_fitted"),
