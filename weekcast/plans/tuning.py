@@ -15,9 +15,10 @@ from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekcast.operators.ranking import global_row_number
 from weekcast.operators.sampling import bucket_split
 
 LABEL = "price"
@@ -51,16 +52,21 @@ def evaluator():
 def string_index_labels(df: DataFrame, columns) -> DataFrame:
     """StringIndexer's label order as a table: frequency desc, then label asc.
 
-    Computed with a grouped count and a window per column, so the (column,
-    label) list never passes through the driver.
+    Label counts are a grouped aggregate; the ranks come from one distributed
+    global row number over (column, count desc, label) minus each column's
+    first rank, so a column with very many distinct labels is never sorted
+    in a single task and the label list never passes through the driver.
     """
     stacked = None
     for c in columns:
         part = df.select(F.lit(c).alias("column"), F.col(c).alias("label")).filter(F.col("label").isNotNull())
         stacked = part if stacked is None else stacked.unionByName(part)
     counts = stacked.groupBy("column", "label").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("column").orderBy(F.col("_n").desc(), F.col("label"))
-    return counts.select("column", "label", (F.row_number().over(w) - 1).cast("double").alias("idx"))
+    ranked = global_row_number(counts, [F.col("column"), F.col("_n").desc(), F.col("label")], "_g")
+    # one row per indexed column: a size bound known from the call itself
+    starts = ranked.groupBy("column").agg(F.min("_g").alias("_s"))
+    return ranked.join(F.broadcast(starts), "column").select(
+        "column", "label", (F.col("_g") - F.col("_s")).cast("double").alias("idx"))
 
 
 def rf_pipeline(spark: SparkSession, listing: DataFrame) -> DataFrame:
