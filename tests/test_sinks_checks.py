@@ -70,3 +70,29 @@ def test_string_index_order_matches_mllib(spark):
     labels = StringIndexer(inputCol="c", outputCol="ci").fit(df).labels
     got = [r["label"] for r in tuning.string_index_labels(df, ["c"]).orderBy("idx").collect()]
     assert got == labels == ["b", "a", "c", "d"]
+
+
+def test_pandas_frame_with_array_columns(spark):
+    import pandas as pd
+    pdf = pd.DataFrame({"id": [1, 2], "ar": [[0.5, 0.2], [0.7]], "ma": [[0.1], [0.3, 0.2, 0.1]]})
+    schema = T.StructType([T.StructField("id", T.LongType()),
+                           T.StructField("ar", T.ArrayType(T.DoubleType())),
+                           T.StructField("ma", T.ArrayType(T.DoubleType()))])
+    df = spark.createDataFrame(pdf, schema=schema)
+    got = {r["id"]: r for r in df.select("id", F.concat(F.array(F.lit(1.0)), "ar").alias("ar1"),
+                                          F.size("ma").alias("nq")).collect()}
+    assert got[1]["ar1"] == [1.0, 0.5, 0.2] and got[2]["nq"] == 3
+
+
+def test_run_log_append_and_read(spark):
+    from weekcast.plans import runlog
+    path = scratch_path(spark, "runlog_demo", unique=True)
+    trials = spark.createDataFrame([("trial", 2, 10, 3.0), ("trial", 3, 40, 2.5), ("final", 3, 40, 2.4)],
+                                   "stage string, max_depth int, num_trees int, rmse double")
+    runlog.append_runs(runlog.trial_runs(trials, "parent-1", "a"), path)
+    runlog.append_runs(runlog.trial_runs(trials.limit(1), "parent-2", "b"), path)
+    log = runlog.read_runs(spark, path)
+    assert log.count() == 4
+    assert log.filter(F.col("parent_run_id") == "parent-1").count() == 3
+    best = log.filter(F.col("tags")["stage"] == "trial").orderBy(F.col("metrics")["rmse"]).first()
+    assert best["params"]["maxDepth"] == "3"

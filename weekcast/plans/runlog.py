@@ -29,6 +29,31 @@ def newest_runs(log: DataFrame, k: int = 10) -> DataFrame:
                             .limit(k).select("device", "run_id", "end_time"))
 
 
+RUN_SCHEMA = ("run_id string, parent_run_id string, end_time timestamp_ntz, "
+              "tags map<string,string>, params map<string,string>, metrics map<string,double>")
+
+
 def append_runs(runs: DataFrame, path: str) -> None:
-    """Add finished runs (run_id, parent_run_id, end_time, tags, params, metrics)."""
-    runs.write.mode("append").parquet(path)
+    """Add finished runs (run_id, parent_run_id, end_time, tags, params, metrics)
+    in one distributed write; nothing is logged from inside tasks, so a
+    retried task cannot log twice."""
+    runs.select("run_id", "parent_run_id", "end_time", "tags", "params", "metrics") \
+        .write.mode("append").parquet(path)
+
+
+def read_runs(spark, path: str) -> DataFrame:
+    """The run log with its declared schema (no inference pass)."""
+    return spark.read.schema(RUN_SCHEMA).parquet(path)
+
+
+def trial_runs(trials: DataFrame, parent_run_id: str, prefix: str) -> DataFrame:
+    """Run-log rows for a tuning result (stage, max_depth, num_trees, rmse)."""
+    idx = F.monotonically_increasing_id()
+    return trials.select(
+        F.concat(F.lit(prefix), F.lit("-"), F.col("stage"), F.lit("-"), idx.cast("string")).alias("run_id"),
+        F.lit(parent_run_id).alias("parent_run_id"),
+        F.localtimestamp().cast("timestamp_ntz").alias("end_time"),
+        F.create_map(F.lit("stage"), F.col("stage")).alias("tags"),
+        F.create_map(F.lit("maxDepth"), F.col("max_depth").cast("string"),
+                     F.lit("numTrees"), F.col("num_trees").cast("string")).alias("params"),
+        F.create_map(F.lit("rmse"), F.col("rmse")).alias("metrics"))
