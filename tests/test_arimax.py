@@ -70,3 +70,13 @@ def test_invertible_ma_keeps_autocovariance_shape():
         ratio = acov(th) / acov(r)
         assert np.allclose(ratio, ratio[0])
         assert np.all(np.abs(np.roots(np.r_[r[::-1], 1.0])) > 1.0)
+
+
+def test_shared_preparation_gives_identical_losses():
+    from weekcast.operators.search import order_grid
+    rng = np.random.default_rng(4)
+    y = np.abs(rng.normal(30, 10, size=200)).round()
+    X = np.column_stack([(np.arange(200) > 120).astype(float), rng.integers(0, 2, 200)])
+    grid = order_grid()
+    single = [arimax.holdout_loss(y, X, 40, p, d, q) for _, p, d, q in grid]
+    assert arimax.holdout_losses(y, X, 40, grid) == single

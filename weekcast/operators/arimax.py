@@ -142,17 +142,39 @@ def ols(A: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.linalg.lstsq(A, b, rcond=None)[0]
 
 
-def fit(y, X, p: int, d: int, q: int, refinements: int = 1) -> ArimaxFit | None:
+class Prepared:
+    """Per-(series, d) work shared by every (p, q) candidate: the differenced
+    data, the stage-1 regression and the long-autoregression innovations."""
+
+    def __init__(self, y, X, d: int):
+        y = np.asarray(y, dtype=float)
+        n = len(y)
+        X = np.zeros((n, 0)) if X is None else np.asarray(X, dtype=float).reshape(n, -1)
+        self.d = d
+        self.yd, self.Xd = difference(y, d), difference(X, d)
+        self.m, self.k = len(self.yd), X.shape[1]
+        self.beta0 = ols(self.Xd, self.yd)
+        self.u0 = self.yd - self.Xd @ self.beta0
+        self._innov: dict[int, np.ndarray] = {}
+
+    def innovations(self, order: int) -> np.ndarray:
+        """Residuals of a long AR(order) on the stage-1 residual (zeros before ``order``)."""
+        if order not in self._innov:
+            Z = _lags(self.u0, order, order)
+            e = np.zeros(self.m)
+            e[order:] = self.u0[order:] - Z @ ols(Z, self.u0[order:])
+            self._innov[order] = e
+        return self._innov[order]
+
+
+def fit(y, X, p: int, d: int, q: int, refinements: int = 1,
+        prepared: Prepared | None = None) -> ArimaxFit | None:
     """Fit on one history; ``None`` when there are too few points."""
-    y = np.asarray(y, dtype=float)
-    n = len(y)
-    X = np.zeros((n, 0)) if X is None else np.asarray(X, dtype=float).reshape(n, -1)
-    yd, Xd = difference(y, d), difference(X, d)
-    m, k = len(yd), X.shape[1]
+    pr = prepared if prepared is not None else Prepared(y, X, d)
+    yd, Xd, m, k = pr.yd, pr.Xd, pr.m, pr.k
     if m <= k + p + q + 1:
         return None
-    beta = ols(Xd, yd)
-    u = yd - Xd @ beta
+    beta, u = pr.beta0, pr.u0
     phi, theta = np.zeros(p), np.zeros(q)
     if p == 0 and q == 0:
         return ArimaxFit(d, beta, phi, theta, u, u.copy())
@@ -160,10 +182,7 @@ def fit(y, X, p: int, d: int, q: int, refinements: int = 1) -> ArimaxFit | None:
         long_order = min(max(p + q + 1, int(np.log(m) ** 2)), m // 3)
         if long_order < 1 or m - long_order <= long_order:
             return None
-        Z = _lags(u, long_order, long_order)
-        a = ols(Z, u[long_order:])
-        e = np.zeros(m)
-        e[long_order:] = u[long_order:] - Z @ a
+        e = pr.innovations(long_order)
         start = long_order + q
     else:
         e, start = None, p
@@ -240,26 +259,50 @@ def forecast(y_hist, X_hist, X_future, model: ArimaxFit) -> np.ndarray:
     return f
 
 
-@np.errstate(all="ignore")
-def holdout_loss(y, X, horizon: int, p: int, d: int, q: int) -> float:
-    """MSE of the forecast of the last ``horizon`` points from the rest; +inf on failure.
-
-    Diverging candidates (explosive AR or non-invertible MA) overflow to
-    inf/NaN and score +inf; numpy's warnings for that are silenced here.
-    """
+def _split(y, X, horizon: int):
     y = np.asarray(y, dtype=float)
     n = len(y)
     cut = n - horizon
     Xh = None if X is None else np.asarray(X, float).reshape(n, -1)
-    model = fit(y[:cut], None if Xh is None else Xh[:cut], p, d, q)
+    x_hist = None if Xh is None else Xh[:cut]
+    x_future = np.zeros((horizon, 0)) if Xh is None else Xh[cut:]
+    return y, cut, x_hist, x_future
+
+
+def _loss(y, cut, x_hist, x_future, model) -> float:
     if model is None:
         return float("inf")
-    f = forecast(y[:cut], None if Xh is None else Xh[:cut],
-                 np.zeros((horizon, 0)) if Xh is None else Xh[cut:], model)
+    f = forecast(y[:cut], x_hist, x_future, model)
     loss = float(np.mean((y[cut:] - f) ** 2))
     return loss if np.isfinite(loss) else float("inf")
 
 
+@np.errstate(all="ignore")
+def holdout_loss(y, X, horizon: int, p: int, d: int, q: int) -> float:
+    """MSE of the forecast of the last ``horizon`` points from the rest; +inf on failure.
+
+    Diverging candidates (explosive AR or non-invertible MA) overflow to
+    inf/NaN and score +inf; numpy's warnings for that are silenced here.
+    """
+    y, cut, x_hist, x_future = _split(y, X, horizon)
+    return _loss(y, cut, x_hist, x_future, fit(y[:cut], x_hist, p, d, q))
+
+
+@np.errstate(all="ignore")
+def holdout_losses(y, X, horizon: int, grid) -> list[float]:
+    """Hold-out loss of every (cand_id, p, d, q) of ``grid`` for one series,
+    sharing the per-d preparation between candidates (same values as
+    calling :func:`holdout_loss` for each)."""
+    y, cut, x_hist, x_future = _split(y, X, horizon)
+    prepared: dict[int, Prepared] = {}
+    out = []
+    for _, p, d, q in grid:
+        if d not in prepared:
+            prepared[d] = Prepared(y[:cut], x_hist, d)
+        out.append(_loss(y, cut, x_hist, x_future, fit(y[:cut], x_hist, p, d, q, prepared=prepared[d])))
+    return out
+
+
 @np.errstate(all="ignore")
 def fit_and_forecast(y, X, horizon: int, p: int, d: int, q: int) -> np.ndarray | None:
     """Fit on the history; in-sample fitted values followed by the forecast."""

@@ -93,10 +93,9 @@ def candidate_losses(packed: DataFrame, grid=None, horizon: int = HORIZON,
         for pdf in batches:
             out = []
             for row in pdf.itertuples(index=False):
-                y, X = np.asarray(row.y, dtype=float), _design(row, feats)
-                for cid, p, d, q in grid:
-                    out.append((row.product, row.sku, cid, p, d, q,
-                                arimax.holdout_loss(y, X, horizon, p, d, q)))
+                losses = arimax.holdout_losses(row.y, _design(row, feats), horizon, grid)
+                out.extend((row.product, row.sku, cid, p, d, q, loss)
+                           for (cid, p, d, q), loss in zip(grid, losses))
             yield pd.DataFrame(out, columns=LOSS_SCHEMA.fieldNames())
 
     eligible = packed.filter(F.col("n") >= F.lit(horizon + min_train)).select(*KEYS, "y", *feats)
