@@ -36,3 +36,10 @@ def test_scale_conf_sizes():
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = scale_conf(10 << 20, cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_cli_lists_queries(capsys):
+    from weekcast.__main__ import main
+    from weekcast.queries import QUERIES
+    assert main(["list"]) == 0
+    assert capsys.readouterr().out.split() == sorted(QUERIES)

@@ -46,7 +46,10 @@ def scale_conf(input_bytes: float, cores: int, partition_bytes: int = 256 << 20,
     * AQE skew join splits any shuffle partition 5x over the median and over
       256 MB (a key holding a third of the rows);
     * the broadcast threshold is the size check behind every implicit
-      broadcast: above it Catalyst plans a shuffle join instead.
+      broadcast: above it Catalyst plans a shuffle join instead;
+    * Arrow batches of 2,048 rows: a packed series row carries a few
+      hundred weeks of values (~10-15 KB), so the default 10,000-row batch
+      would hand each Python worker ~130 MB at once.
 
     For 100 TB on 1,000 executors x 8 cores this gives 409,600 initial
     shuffle partitions, coalesced by AQE towards 256 MB each.
@@ -63,6 +66,7 @@ def scale_conf(input_bytes: float, cores: int, partition_bytes: int = 256 << 20,
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     }
 
 
