@@ -31,8 +31,8 @@ def test_same_result_without_broadcast(spark, name):
 
 
 def test_scale_conf_sizes():
-    conf = scale_conf(100 * 2 ** 40, cores=8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    conf = scale_conf(12 * 2 ** 40, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 49152
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = scale_conf(10 << 20, cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
