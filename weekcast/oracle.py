@@ -88,6 +88,35 @@ MODELS = """m AS (
          var_pop(l_extendedprice) - power(covar_pop(l_quantity, l_extendedprice), 2) / var_pop(l_quantity) AS mse
   FROM lineitem GROUP BY 1)"""
 
+def _det3(m) -> str:
+    """SQL text of the determinant of a 3x3 matrix of SQL expressions."""
+    return (f"(({m[0][0]}) * (({m[1][1]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][1]}))"
+            f" - ({m[0][1]}) * (({m[1][0]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][0]}))"
+            f" + ({m[0][2]}) * (({m[1][0]}) * ({m[2][1]}) - ({m[1][1]}) * ({m[2][0]})))")
+
+
+_FEATS = ("l_quantity", "l_discount", "l_tax")
+_COV = [[f"c{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+_CY = ["cy0", "cy1", "cy2"]
+
+
+def _cramer(col: int) -> str:
+    m = [[(_CY[i] if j == col else _COV[i][j]) for j in range(3)] for i in range(3)]
+    return f"{_det3(m)} / {_det3(_COV)}"
+
+
+MODELS3 = ("""mom AS (
+  SELECT l_suppkey % 10 AS device_id, count(*) AS n_used, avg(l_extendedprice) AS my,
+         var_pop(l_extendedprice) AS vy, """ +
+    ", ".join(f"avg({f}) AS m{i}" for i, f in enumerate(_FEATS)) + ", " +
+    ", ".join(f"covar_pop({a}, {b}) AS c{i}{j}" for i, a in enumerate(_FEATS)
+              for j, b in enumerate(_FEATS) if j >= i) + ", " +
+    ", ".join(f"covar_pop({f}, l_extendedprice) AS cy{i}" for i, f in enumerate(_FEATS)) + """
+  FROM lineitem GROUP BY 1),
+sol AS (SELECT *, """ + ", ".join(f"{_cramer(i)} AS b{i}" for i in range(3)) + """ FROM mom),
+fit AS (SELECT *, my - (b0 * m0 + b1 * m1 + b2 * m2) AS intercept,
+               greatest(vy - (b0 * cy0 + b1 * cy1 + b2 * cy2), 0.0) AS mse FROM sol)""")
+
 RUNLOG = """r AS (
   SELECT event_id AS run_id, ts AS end_time,
          CASE WHEN event_type = 'error' THEN NULL ELSE CAST(user_id % 10 AS VARCHAR) END AS device,
@@ -208,6 +237,10 @@ FROM bounds""",
     "model_index": _with(MODELS) + f"""
 SELECT device_id, n_used, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(r2, 6) AS r2,
        round(mse, 2) AS mse, '{RUN_ID}' AS run_id FROM m""",
+    "model_index_multi": _with(MODELS3) + f"""
+SELECT device_id, n_used, round(b0, 4) AS coef_1, round(b1, 4) AS coef_2, round(b2, 4) AS coef_3,
+       round(intercept, 4) AS intercept, round(1 - mse / vy, 6) AS r2, round(mse, 2) AS mse,
+       '{RUN_ID}' AS run_id FROM fit""",
     "many_model_score": _with(MODELS) + """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_suppkey % 10 AS device_id,
        round(m.intercept + m.slope * l_quantity, 4) AS prediction, m.intercept IS NOT NULL AS has_model

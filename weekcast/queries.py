@@ -246,7 +246,11 @@ def model_index(spark, sf):
 
 
 def model_index_multi(spark, sf):
-    return manymodels.model_index_multi(inputs.devrows(spark, sf), RUN_ID)
+    m = manymodels.model_index_multi(inputs.devrows(spark, sf), RUN_ID)
+    return m.select("device_id", "n_used",
+                    *[F.round(F.col("coef")[i], 4).alias(f"coef_{i + 1}") for i in range(3)],
+                    F.round("intercept", 4).alias("intercept"), F.round("r2", 6).alias("r2"),
+                    F.round("mse", 2).alias("mse"), "run_id")
 
 
 def many_model_score(spark, sf):
