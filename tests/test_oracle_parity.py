@@ -51,7 +51,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_rows_check(spark):
     qs = E.queries()
-    for name in ("rand_columns", "value_hash", "model_index_multi"):
+    for name in ("rand_columns", "value_hash"):
         assert qs[name](spark, SF_SMALL).count() > 0
 
 
