@@ -48,30 +48,41 @@ def _lags(x: np.ndarray, nlags: int, start: int) -> np.ndarray:
     return np.column_stack([x[start - i:n - i] for i in range(1, nlags + 1)])
 
 
+def _schur_stable(a: list[float]) -> bool:
+    """True when z^q + a_1 z^(q-1) + ... + a_q has every root inside the unit
+    circle (Schur-Cohn step-down: all reflection coefficients below 1)."""
+    a = list(a)
+    for m in range(len(a), 0, -1):
+        k = a[m - 1]
+        if not abs(k) < 1.0:
+            return False
+        if m == 1:
+            break
+        den = 1.0 - k * k
+        a = [(a[i] - k * a[m - 2 - i]) / den for i in range(m - 1)]
+    return True
+
+
 def invertible_ma(theta: np.ndarray) -> np.ndarray:
     """Reflect MA roots inside the unit circle to their reciprocals.
 
     theta(z) = 1 + theta_1 z + ... + theta_q z^q and the reflected polynomial
     have the same autocovariances, but only the invertible one gives bounded
     conditional innovations (over-differenced series produce theta near -1).
+    Invertibility (every root of theta(z) outside the unit circle) is checked
+    by the step-down recursion; roots are computed only when a reflection is
+    needed.
     """
     if len(theta) == 0 or not np.all(np.isfinite(theta)):
         return theta
-    if len(theta) == 1:
-        t = float(theta[0])
-        return theta if abs(t) < 1.0 else np.array([1.0 / t if abs(t) > 1.0 else t / 1.001])
-    if len(theta) == 2:
-        t1, t2 = float(theta[0]), float(theta[1])
-        if abs(t2) < 1.0 and t1 + t2 > -1.0 and t2 - t1 > -1.0:
-            return theta                      # both roots outside the unit circle
+    if _schur_stable([float(t) for t in theta]):
+        return theta
     coefs = np.r_[theta[::-1], 1.0]          # highest power first
     while len(coefs) > 1 and coefs[0] == 0:
         coefs = coefs[1:]
     if len(coefs) == 1:
         return theta
     roots = np.roots(coefs)
-    if np.all(np.abs(roots) > 1.0):
-        return theta
     fixed = np.where(np.abs(roots) < 1.0, 1.0 / np.conj(roots), roots)
     fixed = np.where(np.isclose(np.abs(fixed), 1.0), fixed * 1.001, fixed)
     poly = np.real(np.poly(fixed))           # monic, highest power first
@@ -240,20 +251,24 @@ def forecast(y_hist, X_hist, X_future, model: ArimaxFit) -> np.ndarray:
     else:
         xb = np.zeros(h)
     p, q = len(model.phi), len(model.theta)
-    u = np.concatenate([model.u, np.zeros(h)])
-    e = np.concatenate([model.e, np.zeros(h)])
-    m = len(model.u)
-    for j in range(h):
-        t = m + j
+    phi, theta = model.phi.tolist(), model.theta.tolist()
+    u = model.u[-p:].tolist() if p else []          # most recent last
+    e = model.e[-q:].tolist() if q else []
+    u = [0.0] * (p - len(u)) + u
+    e = [0.0] * (q - len(e)) + e
+    ahead = []
+    for _ in range(h):
         acc = 0.0
-        for i in range(1, p + 1):
-            if t - i >= 0:
-                acc += model.phi[i - 1] * u[t - i]
-        for i in range(1, q + 1):
-            if t - i >= 0:
-                acc += model.theta[i - 1] * e[t - i]
-        u[t] = acc
-    f = xb + u[m:]
+        for i in range(p):
+            acc += phi[i] * u[-1 - i]
+        for j in range(q):
+            acc += theta[j] * e[-1 - j]
+        ahead.append(acc)
+        if p:
+            u.append(acc)
+        if q:
+            e.append(0.0)                            # future innovations are 0
+    f = xb + np.array(ahead)
     for level in reversed(range(model.d)):
         f = difference(y_hist, level)[-1] + np.cumsum(f)
     return f
