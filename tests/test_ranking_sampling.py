@@ -47,3 +47,10 @@ def test_expand_rows_count(spark):
     products = spark.createDataFrame([(f"p{i}",) for i in range(7)], "product string")
     out = products.select("product", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("i"))
     assert out.count() == 21
+
+
+def test_bernoulli_seed_changes_sample(spark):
+    df = spark.range(0, 20000).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b"))
+    s0 = {r["a"] for r in sampling.bernoulli(df, ["a", "b"], 100, seed=0).collect()}
+    s1 = {r["a"] for r in sampling.bernoulli(df, ["a", "b"], 100, seed=1).collect()}
+    assert s0 != s1 and abs(len(s0) - len(s1)) < 500

@@ -43,3 +43,11 @@ def test_cli_lists_queries(capsys):
     from weekcast.queries import QUERIES
     assert main(["list"]) == 0
     assert capsys.readouterr().out.split() == sorted(QUERIES)
+
+
+def test_cli_run_writes_parquet(spark):
+    from weekcast.__main__ import main
+    from weekcast.session import scratch_path
+    out = scratch_path(spark, "cli_out", unique=True)
+    assert main(["run", "series_count", "--sf", SF_SMALL, "--out", out]) == 0
+    assert spark.read.parquet(out).first()["n_series"] > 0

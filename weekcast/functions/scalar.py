@@ -21,14 +21,15 @@ def value_hash(c) -> Column:
     return F.abs(F.hash(canonical_text(c)).cast("bigint"))
 
 
-def mix_bucket(cols, buckets: int) -> Column:
+def mix_bucket(cols, buckets: int, seed: int = 0) -> Column:
     """Deterministic bucket of non-negative integer key columns.
 
     Plain modular arithmetic with bounded intermediates, so any SQL engine
     computes the same bucket (used where an oracle must agree) and it does
-    not depend on partitioning the way ``rand``/``sample`` do.
+    not depend on partitioning the way ``rand``/``sample`` do.  ``seed``
+    shifts the mix (another seed gives another sample of the same size).
     """
-    acc = F.lit(0).cast("bigint")
+    acc = F.lit(seed % _MIX_MOD).cast("bigint") * F.lit(15485863)
     for c, prime in zip(cols, _MIX_PRIMES):
         acc = acc + (F.col(c).cast("bigint") % _MIX_MOD) * F.lit(prime)
     return acc % F.lit(buckets)

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from weekcast.functions.scalar import mix_bucket
 
 
-def bernoulli(df: DataFrame, key_cols, per_mille: int) -> DataFrame:
+def bernoulli(df: DataFrame, key_cols, per_mille: int, seed: int = 0) -> DataFrame:
     """Keep a row when its key's bucket in 0..999 is below ``per_mille``."""
-    return df.filter(mix_bucket(key_cols, 1000) < F.lit(per_mille))
+    return df.filter(mix_bucket(key_cols, 1000, seed) < F.lit(per_mille))
 
 
 def bucket_split_label(key, weights=(6, 2, 2), names=("train", "val", "test")):
