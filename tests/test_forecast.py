@@ -47,3 +47,11 @@ def test_short_series_are_returned_unfitted(spark):
     short = out.filter(F.col("sku") == "short")
     assert short.count() == 45 and short.filter(F.col("demand_fitted").isNotNull()).count() == 0
     assert out.filter((F.col("sku") == "long") & ~F.col("is_history")).count() == forecast.HORIZON
+
+
+def test_forecast_all_is_deterministic(spark):
+    weekly = inputs.weekly(spark, SF_SMALL)
+    grid = [(0, 1, 1, 1), (1, 2, 0, 0), (2, 0, 1, 2)]
+    a = sorted(map(tuple, forecast.forecast_all(weekly, grid=grid, n_partitions=5).collect()))
+    b = sorted(map(tuple, forecast.forecast_all(weekly.repartition(3), grid=grid, n_partitions=9).collect()))
+    assert a == b
