@@ -1,9 +1,10 @@
 """Train one regressor per device, index the models as a table, score rows.
 
-Both training and scoring stay on the JVM: training is a grouped aggregate
-(partial aggregation, so a device with a third of all rows is no hotter than
-any other), scoring is an equi-join to the one-row-per-device model table
-plus a linear expression.
+Rows never leave the JVM: training is a grouped aggregate (partial
+aggregation, so a device with a third of all rows is no hotter than any
+other), scoring is an equi-join to the one-row-per-device model table plus a
+linear expression.  The one-feature model is closed form; with k features
+only the k x k solve on the one-row-per-device moments runs in numpy.
 """
 
 from __future__ import annotations
