@@ -29,6 +29,7 @@ def global_row_number(df: DataFrame, order_cols, name: str = "row_id") -> DataFr
     tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
                             F.monotonically_increasing_id().alias("_mid"))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    # prefix sums over one row per partition (a few thousand rows at most)
     offsets = counts.select(
         "_pid",
         (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
