@@ -96,3 +96,12 @@ def test_run_log_append_and_read(spark):
     assert log.filter(F.col("parent_run_id") == "parent-1").count() == 3
     best = log.filter(F.col("tags")["stage"] == "trial").orderBy(F.col("metrics")["rmse"]).first()
     assert best["params"]["maxDepth"] == "3"
+
+
+def test_overwrite_table_and_read_catalog_table(spark):
+    from weekcast.sources.tables import read_catalog_table
+    sinks.overwrite_table(spark.range(4).withColumn("x", F.col("id") * 2), "wc_catalog_demo")
+    sinks.overwrite_table(spark.range(3).withColumn("x", F.col("id") * 3), "wc_catalog_demo")
+    got = sorted(r["x"] for r in read_catalog_table(spark, "wc_catalog_demo", ["x"]).collect())
+    assert got == [0, 3, 6]
+    spark.sql("DROP TABLE wc_catalog_demo")
