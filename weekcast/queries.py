@@ -54,11 +54,13 @@ def range_rows(spark, sf):
 
 
 def rand_columns(spark, sf):
-    """Reproducible uniforms per record (hash of the id, not partition-seeded rand)."""
-    ids = range_rows(spark, sf)
-    f = [scalar.hash_uniform(["record_id"], seed) * float(scale) for seed, scale in ((1, 1), (2, 2), (3, 3))]
-    return ids.select("record_id", *[c.alias(f"feature_{i + 1}") for i, c in enumerate(f)],
-                      (f[0] + f[1] + f[2] + scalar.hash_uniform(["record_id"], 4)).alias("label"))
+    """Reproducible uniforms per lineitem row: a hash of the row key and a seed
+    (partition-seeded ``rand`` would change with the input's partitioning)."""
+    key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    rows = read_table(spark, sf, "lineitem", inputs.ROW_KEY)
+    f = [scalar.hash_uniform(key, seed) * float(scale) for seed, scale in ((1, 1), (2, 2), (3, 3))]
+    return rows.select(*inputs.ROW_KEY, *[c.alias(f"feature_{i + 1}") for i, c in enumerate(f)],
+                       (f[0] + f[1] + f[2] + scalar.hash_uniform(key, 4)).alias("label"))
 
 
 def write_readback(spark, sf):
