@@ -11,8 +11,9 @@ PYTHON_NODES = ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMapGro
 
 
 def plan(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    df.collect()  # run this DataFrame's own plan so AQE finalises it
+    # the final adaptive plan prints the final and the initial plan: keep the final one
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
 def q(spark, name):

@@ -21,8 +21,8 @@ def hot(spark):
 
 
 def _plan(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    df.collect()  # run this DataFrame's own plan so AQE finalises it
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
 def test_hot_device_model_exact_and_partial(spark, hot):
@@ -94,3 +94,31 @@ def test_weekly_join_splits_hot_part_key(spark):
         .agg(F.sum("l_quantity").alias("demand")).collect()))
     assert got == want
     assert "SortMergeJoin" in plan and "skew=true" in plan
+
+
+def test_scoring_join_splits_hot_device(spark, hot):
+    """Left join of rows to a model table that is not broadcast: the hot
+    device's rows are salted over many join keys and every row keeps its
+    prediction."""
+    m = models.fit_ols_one(hot, "device_id", "feature_1", "label") \
+        .select("device_id", F.array("slope").alias("coef"), "intercept", "n_used")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        # broadcast_max_rows=0: take the path of a model table too big to broadcast
+        scored = models.score(hot, m, "device_id", ["feature_1"], broadcast_max_rows=0,
+                              hot_fraction=0.2, salt_buckets=16)
+        plain = models.score(hot, m, "device_id", ["feature_1"])
+        got = sorted((r["id"], r["prediction"]) for r in scored.select("id", "prediction").collect())
+        want = sorted((r["id"], r["prediction"]) for r in plain.select("id", "prediction").collect())
+        # rows of the hot device (a third) per task of the salted join
+        per_task = (scored.filter(F.col("device_id") == 0)
+                    .groupBy(F.spark_partition_id().alias("t")).count().collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == want and len(got) == 30000 and all(p is not None for _, p in got)
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 10000

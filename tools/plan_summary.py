@@ -1,7 +1,7 @@
 """Summarise the executed physical plan of every registered query.
 
 Usage: python tools/plan_summary.py [sf_dir] > PLANS.md
-Runs each query once (noop sink) so AQE has finalised the plan, then counts
+Runs each query once (collect) so AQE has finalised its plan, then counts
 scans, exchanges by kind, joins, windows, generators and Python stages.
 """
 
@@ -48,8 +48,9 @@ def main():
         if name in SKIP:
             continue
         df = fn(spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        df.collect()  # run this DataFrame's own plan so AQE finalises it
+        # the final adaptive plan prints the final and the initial plan: keep the final one
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         counts = [len(re.findall(PATTERNS[c], plan)) for c in cols]
         print(f"| {name} | " + " | ".join(str(c) if c else "" for c in counts) + " |")
 

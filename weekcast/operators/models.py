@@ -3,8 +3,9 @@
 Training reduces every group to its moments with ordinary (partially
 aggregated) aggregates, so a device holding a third of all rows costs the
 same as any other.  The model table has one row per group; it meets the rows
-through an equi-join that Catalyst broadcasts only when the table's measured
-size is under ``spark.sql.autoBroadcastJoinThreshold``.
+through an equi-join that is broadcast only behind an explicit row-count
+check of the table; larger model tables take a shuffle join with hot groups
+salted.
 """
 
 from __future__ import annotations
@@ -85,14 +86,43 @@ def linear_prediction(coef: Column, intercept: Column, features) -> Column:
 
 
 def score(rows: DataFrame, models: DataFrame, group: str, features,
-          coef: str = "coef", intercept: str = "intercept") -> DataFrame:
+          coef: str = "coef", intercept: str = "intercept",
+          broadcast_max_rows: int = 200_000, hot_fraction: float = 0.01,
+          salt_buckets: int = 32) -> DataFrame:
     """Attach each row's own group model (left join) and predict.
 
     A group without a model gets a null prediction and ``has_model = false``
     instead of failing.
+
+    The join strategy is chosen behind a size check of the model table (one
+    row per group; pass a materialised table, counting it is cheap):
+
+    * up to ``broadcast_max_rows`` models (~100 bytes each): broadcast join,
+      rows are never shuffled, so a hot group costs nothing extra;
+    * beyond it: shuffle join, with groups above ``hot_fraction`` of all
+      rows (known from ``n_used``) salted: their rows spread over
+      ``salt_buckets`` join keys by a hash of the row, and only their model
+      rows are replicated once per bucket.  The hot list has at most
+      1 / hot_fraction entries (a proven bound), so it is broadcast.
     """
     m = models.select(group, F.col(coef).alias("_coef"), F.col(intercept).alias("_b0"))
-    joined = rows.join(m, on=group, how="left")
+    if models.count() <= broadcast_max_rows:
+        joined = rows.join(F.broadcast(m), group, "left")
+    elif "n_used" in models.columns and hot_fraction:
+        total = models.agg(F.sum("n_used")).scalar()
+        hot = (models.filter(F.col("n_used") > total * F.lit(hot_fraction))
+                     .select(group, F.lit(True).alias("_hot")))
+        row_cols = [F.col(c) for c in rows.columns]
+        rows_s = (rows.join(F.broadcast(hot), group, "left")
+                      .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*row_cols), F.lit(salt_buckets)))
+                                            .otherwise(F.lit(0)))
+                      .drop("_hot"))
+        last = F.when(F.col("_hot"), F.lit(salt_buckets - 1)).otherwise(F.lit(0))
+        m_s = (m.join(F.broadcast(hot), group, "left")
+                .select(group, "_coef", "_b0", F.explode(F.sequence(F.lit(0), last)).alias("_salt")))
+        joined = rows_s.join(m_s, [group, "_salt"], "left").drop("_salt")
+    else:
+        joined = rows.join(m, group, "left")
     return (joined.withColumn("prediction", linear_prediction(F.col("_coef"), F.col("_b0"), features))
                   .withColumn("has_model", F.col("_b0").isNotNull())
                   .drop("_coef", "_b0"))

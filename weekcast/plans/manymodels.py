@@ -33,7 +33,7 @@ def model_index_multi(rows: DataFrame, run_id: str) -> DataFrame:
 
 def as_model_table(index: DataFrame) -> DataFrame:
     """One-feature index in the generic (coef array, intercept) layout."""
-    return index.select(DEVICE, F.array(F.col("slope")).alias("coef"), "intercept")
+    return index.select(DEVICE, F.array(F.col("slope")).alias("coef"), "intercept", "n_used")
 
 
 def many_model_score(rows: DataFrame, index: DataFrame) -> DataFrame:

@@ -240,6 +240,12 @@ def _index(spark, sf):
     return manymodels.model_index(inputs.devrows(spark, sf), RUN_ID)
 
 
+def _index_table(spark, sf):
+    """The trained model table, written once (one row per device) so that
+    scoring reads it instead of re-training for every reference to it."""
+    return checkpoint(_index(spark, sf))
+
+
 def model_index(spark, sf):
     m = _index(spark, sf)
     return m.select("device_id", "n_used", F.round("slope", 6).alias("slope"),
@@ -257,14 +263,14 @@ def model_index_multi(spark, sf):
 
 def many_model_score(spark, sf):
     rows = inputs.devrows(spark, sf)
-    scored = manymodels.many_model_score(rows, _index(spark, sf))
+    scored = manymodels.many_model_score(rows, _index_table(spark, sf))
     return scored.select(*inputs.ROW_KEY, "device_id", F.round("prediction", 4).alias("prediction"),
                          "has_model")
 
 
 def routed_score(spark, sf):
     rows = inputs.devrows(spark, sf)
-    scored = manymodels.routed_score(spark, rows, _index(spark, sf), drop_device=0)
+    scored = manymodels.routed_score(spark, rows, _index_table(spark, sf), drop_device=0)
     return scored.groupBy("device_id").agg(F.count(F.lit(1)).alias("n"),
                                            F.round(F.avg("prediction"), 4).alias("mean_pred"))
 
