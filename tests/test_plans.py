@@ -68,3 +68,21 @@ def test_results_invariant_to_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert before == after
+
+
+def test_bucketed_series_table_needs_no_exchange(spark):
+    from weekcast.operators import series
+    from weekcast.session import scratch_path
+    from weekcast.sources import inputs, sinks
+    loc = scratch_path(spark, "bucketed_db", unique=True)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS wc_bucketed LOCATION '{loc}'")
+    try:
+        sinks.overwrite_table(inputs.weekly(spark, SF_SMALL), "wc_bucketed.weekly",
+                              bucket_by=["product", "sku"], buckets=8, sort_by=["product", "sku", "wk"])
+        t = spark.table("wc_bucketed.weekly")
+        p = plan(series.tail_split(t, ["product", "sku"], 40))
+        assert "Exchange" not in p
+        want = sorted(map(tuple, series.tail_split(inputs.weekly(spark, SF_SMALL), ["product", "sku"], 40).collect()))
+        assert sorted(map(tuple, series.tail_split(t, ["product", "sku"], 40).collect())) == want
+    finally:
+        spark.sql("DROP DATABASE wc_bucketed CASCADE")

@@ -20,8 +20,19 @@ def register_external(spark: SparkSession, table: str, path: str, fmt: str = "PA
     spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{path}'")
 
 
-def overwrite_table(df: DataFrame, table: str) -> None:
-    df.write.mode("overwrite").saveAsTable(table)
+def overwrite_table(df: DataFrame, table: str, bucket_by=None, buckets: int = 0, sort_by=None) -> None:
+    """Replace a catalog table; optionally bucketed (and sorted) by key.
+
+    A series table bucketed by its series key is read back already
+    hash-partitioned by that key, so every later series window or per-series
+    aggregate on it runs without an exchange.
+    """
+    writer = df.write.mode("overwrite")
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by)
+        if sort_by:
+            writer = writer.sortBy(*sort_by)
+    writer.saveAsTable(table)
 
 
 def build_or_reuse(spark: SparkSession, table: str, path: str, build, reset: bool = False) -> DataFrame:
