@@ -79,13 +79,26 @@ def scale_conf(shuffle_bytes: float, cores: int, partition_bytes: int = 256 << 2
     }
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; ``None`` under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder visible to the whole cluster, taken from ``spark.checkpoint.dir``.
 
     The cluster names the folder; we only read it.  Only a local-mode session
     with nothing configured (tests) gets a fresh folder of its own.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
@@ -113,7 +126,10 @@ def checkpoint(df):
 
 
 def default_parallelism(spark: SparkSession) -> int:
-    return max(1, int(spark.sparkContext.defaultParallelism))
+    sc = _context(spark)
+    if sc is None:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    return max(1, int(sc.defaultParallelism))
 
 
 _SHIPPED: dict[str, str] = {}
@@ -126,8 +142,8 @@ def ship_package(spark: SparkSession) -> None:
     ``addPyFile`` it once per application, so functions in Python stages
     unpickle wherever the job was launched from.
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else f"connect-{spark.conf.get('spark.app.name', '')}-{id(spark)}"
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -138,5 +154,8 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED[app] = out
