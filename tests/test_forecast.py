@@ -55,3 +55,11 @@ def test_forecast_all_is_deterministic(spark):
     a = sorted(map(tuple, forecast.forecast_all(weekly, grid=grid, n_partitions=5).collect()))
     b = sorted(map(tuple, forecast.forecast_all(weekly.repartition(3), grid=grid, n_partitions=9).collect()))
     assert a == b
+
+
+def test_forecast_all_fills_the_checked_frame(spark):
+    weekly = inputs.weekly(spark, SF_SMALL)
+    frame = forecast.series_frame(forecast.pack_series(weekly))
+    out = forecast.forecast_all(weekly, grid=[(0, 1, 1, 0)], materialise=False)
+    cols = ["product", "sku", "wk", "demand", "is_history"]
+    assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, frame.select(*cols).collect()))

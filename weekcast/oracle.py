@@ -257,6 +257,14 @@ GROUP BY 1""",
 SELECT product, sku, cand_id, loss FROM (
   SELECT *, row_number() OVER (PARTITION BY product, sku ORDER BY loss, cand_id) AS rk FROM losses)
 WHERE rk = 1""",
+    "forecast_frame": _with(WEEKLY, """b AS (SELECT product, sku, min(wk) AS a, max(wk) AS z FROM weekly GROUP BY 1, 2)""",
+        """g AS (SELECT product, sku, CAST(w AS DATE) AS wk FROM (
+  SELECT product, sku, unnest(generate_series(a, z, INTERVAL 7 DAY)) AS w FROM b))""",
+        """d AS (SELECT g.product, g.sku, g.wk, coalesce(weekly.demand, CAST(0.0 AS DOUBLE)) AS demand,
+         row_number() OVER (PARTITION BY g.product, g.sku ORDER BY g.wk) AS rn,
+         count(*) OVER (PARTITION BY g.product, g.sku) AS n
+  FROM g LEFT JOIN weekly USING (product, sku, wk))""") + f"""
+SELECT product, sku, wk, demand, rn <= n - {H} AS is_history, n >= {H + MIN_TRAIN} AS eligible FROM d""",
     "string_index": """
 WITH s AS (SELECT 'p_brand' AS "column", p_brand AS label FROM part
            UNION ALL SELECT 'p_type', p_type FROM part),

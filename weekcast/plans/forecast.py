@@ -160,6 +160,16 @@ def unpack_forecast(refitted: DataFrame, horizon: int = HORIZON) -> DataFrame:
                     "status")
 
 
+def series_frame(packed: DataFrame, horizon: int = HORIZON, min_train: int = MIN_TRAIN) -> DataFrame:
+    """The frame every forecast fills in: one row per series and dense week,
+    with the hold-out flag and whether the series is long enough to search.
+    Same packing and unpacking as :func:`forecast_all`, without the kernel."""
+    z = packed.select(*KEYS, "first_wk", "n", F.posexplode("y").alias("pos", "demand"))
+    return z.select(*KEYS, F.date_add("first_wk", F.col("pos") * 7).alias("wk"), "demand",
+                    (F.col("pos") < F.col("n") - F.lit(horizon)).alias("is_history"),
+                    (F.col("n") >= F.lit(horizon + min_train)).alias("eligible"))
+
+
 def forecast_all(weekly: DataFrame, grid=None, horizon: int = HORIZON, min_train: int = MIN_TRAIN,
                  event: dt.date = cal.TEST_EVENT, materialise: bool = True,
                  n_partitions: int | None = None) -> DataFrame:

@@ -306,6 +306,10 @@ def exo_gain(spark, sf):
     return forecast.exo_gain(forecast.pack_series(_weekly(spark, sf), EVENT))
 
 
+def forecast_frame(spark, sf):
+    return forecast.series_frame(forecast.pack_series(_weekly(spark, sf), EVENT))
+
+
 def forecast_all(spark, sf):
     return forecast.forecast_all(_weekly(spark, sf), event=EVENT)
 
@@ -350,7 +354,8 @@ QUERIES: dict[str, Query] = {
     "many_model_score": many_model_score, "routed_score": routed_score,
     "mse_by_series": mse_by_series, "rmse_global": rmse_global,
     "candidate_losses": candidate_losses, "best_candidate": best_candidate,
-    "arimax_losses": arimax_losses, "exo_gain": exo_gain, "forecast_all": forecast_all,
+    "arimax_losses": arimax_losses, "exo_gain": exo_gain, "forecast_frame": forecast_frame,
+    "forecast_all": forecast_all,
     "string_index": string_index, "rf_pipeline": rf_pipeline, "rf_tuned": rf_tuned,
     "runlog_latest": runlog_latest, "topk_runs": topk_runs, "write_readback": write_readback,
     "metric_csv_roundtrip": metric_csv_roundtrip, "check_rowcount": check_rowcount,
