@@ -60,3 +60,13 @@ def test_position(spark):
     df = spark.createDataFrame([("x", w, 0.0) for w in weeks(12)], "s string, wk date, demand double")
     out = series.with_position(df, ["s"]).filter("pos >= 10").collect()
     assert sorted(r["pos"] for r in out) == [10, 11]
+
+
+def test_regularise_keeps_repeated_weeks(spark):
+    w = weeks(4)
+    df = spark.createDataFrame([("x", w[0], 1.0), ("x", w[0], 2.0), ("x", w[3], 4.0)],
+                               "s string, wk date, demand double")
+    out = sorted((r["wk"], r["demand"]) for r in series.regularise(df, ["s"]).collect()
+                 if r["demand"] is not None)
+    assert out == [(w[0], 1.0), (w[0], 2.0), (w[3], 4.0)]
+    assert series.regularise(df, ["s"]).count() == 5

@@ -95,7 +95,8 @@ def regularise(df: DataFrame, keys, value: str = "demand", order_col: str = "wk"
     wk = F.col("_obs_wk")
     ahead = df.select(*keys, F.col(order_col).alias("_obs_wk"), F.col(value).alias("_obs"),
                       F.lead(order_col).over(w).alias("_next"))
-    last_in_gap = F.coalesce(F.date_sub(F.col("_next"), 7), wk)
+    # greatest(): a repeated week (unaggregated input) yields just itself
+    last_in_gap = F.greatest(F.coalesce(F.date_sub(F.col("_next"), 7), wk), wk)
     rows = ahead.select(*keys, "_obs_wk", "_obs",
                         F.explode(weekly_sequence(wk, last_in_gap)).alias(order_col))
     observed = F.col(order_col) == F.col("_obs_wk")
