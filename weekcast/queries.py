@@ -41,14 +41,17 @@ def _weekly_materialised(spark, sf):
 # --- scans, sources, sinks -------------------------------------------------
 
 def weekly_demand(spark, sf):
+    """Weekly demand per (product, sku): the standing `weekly` input."""
     return _weekly(spark, sf).select(*KEYS, "wk", "demand")
 
 
 def row_count(spark, sf):
+    """Row count of the weekly table."""
     return _weekly(spark, sf).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def range_rows(spark, sf):
+    """Ids 0..N-1 (N = lineitem rows) with device = id % 10."""
     n = read_table(spark, sf, "lineitem", ["l_orderkey"]).count()
     return spark.range(n).select(F.col("id").alias("record_id"), (F.col("id") % 10).alias("device_id"))
 
@@ -64,6 +67,7 @@ def rand_columns(spark, sf):
 
 
 def write_readback(spark, sf):
+    """Weekly table overwritten to the shared folder, registered, read back and summed per product."""
     path = scratch_path(spark, "weekly_demand")
     sinks.overwrite_parquet(_weekly(spark, sf), path)
     sinks.register_external(spark, "weekcast_weekly_demand", path)
@@ -72,6 +76,7 @@ def write_readback(spark, sf):
 
 
 def metric_csv_roundtrip(spark, sf):
+    """Per-product demand written as one CSV metric set and read back with a declared schema."""
     metrics = _weekly(spark, sf).groupBy("product").agg(F.sum("demand").alias("value")) \
         .select(scalar.clean_name(F.col("product")).alias("name"), "value")
     path = scratch_path(spark, "metrics", unique=True)
@@ -82,67 +87,82 @@ def metric_csv_roundtrip(spark, sf):
 # --- calendar and features -------------------------------------------------
 
 def calendar_q(spark, sf):
+    """Every Monday from the first to the last shipment week."""
     return demand.calendar(spark, sf)
 
 
 def calendar_factors(spark, sf):
+    """Calendar with ISO week, weeks-since-event counter, shock and season factors."""
     return demand.calendar_factors(spark, sf, EVENT)
 
 
 def weeks_since_event(spark, sf):
+    """Weekly rows with the weeks-since-event counter."""
     return demand.weeks_since_event(_weekly(spark, sf), EVENT)
 
 
 def series_calendar(spark, sf):
+    """Every series paired with every calendar week."""
     return demand.series_calendar(spark, sf, _weekly(spark, sf))
 
 
 def adjusted_demand(spark, sf):
+    """Weekly demand shaped by the shock, trend and season factors, rounded."""
     return demand.adjusted_demand(spark, sf, _weekly(spark, sf), EVENT)
 
 
 def exo_features(spark, sf):
+    """Weekly rows with covid, christmas and new_year flags."""
     return demand.exo_features(_weekly(spark, sf), EVENT)
 
 
 # --- series operators ------------------------------------------------------
 
 def first_series(spark, sf):
+    """All rows of the series with the smallest (product, sku)."""
     w = _weekly_materialised(spark, sf)
     first = w.select(*KEYS).orderBy(*KEYS).limit(1)
     return w.join(first, KEYS, "left_semi").select(*KEYS, "wk", "demand")
 
 
 def series_count(spark, sf):
+    """Number of distinct series."""
     return _weekly(spark, sf).select(*KEYS).dropDuplicates().agg(F.count(F.lit(1)).alias("n_series"))
 
 
 def series_bounds(spark, sf):
+    """First/last week, length and first week after the event per series."""
     return series.bounds(_weekly(spark, sf), KEYS, EVENT)
 
 
 def series_position(spark, sf):
+    """Zero-based week position per series, warm-up (pos < 10) dropped."""
     w = series.with_position(_weekly(spark, sf), KEYS)
     return w.filter(F.col("pos") >= 10).select(*KEYS, "wk", "pos")
 
 
 def tail_split(spark, sf):
+    """Weekly rows flagged as history or hold-out (last 40 weeks)."""
     return series.tail_split(_weekly(spark, sf), KEYS, H).select(*KEYS, "wk", "demand", "is_history")
 
 
 def dense_spine(spark, sf):
+    """Supplier series regularised to every Monday, gaps null."""
     return series.regularise(inputs.sparse(spark, sf), ["s_key"], fill="null")
 
 
 def series_diff(spark, sf):
+    """First and second differences per series."""
     return series.differences(_weekly(spark, sf), KEYS).select(*KEYS, "wk", "d1", "d2")
 
 
 def lag_features(spark, sf):
+    """Lags 1..4 of demand per series."""
     return series.lags(_weekly(spark, sf), KEYS, 4)
 
 
 def series_packed(spark, sf):
+    """Length, first, last and sum read back from each packed series."""
     packed = series.pack(_weekly(spark, sf), KEYS, "wk", ["demand"])
     return series.packed_stats(packed, KEYS)
 
@@ -150,6 +170,7 @@ def series_packed(spark, sf):
 # --- joins, hierarchy, arrays, sampling, sets, scalars ----------------------
 
 def hierarchy_join(spark, sf):
+    """Parts per (type, brand) joined to parts per type."""
     part = read_table(spark, sf, "part", ["p_type", "p_brand"])
     per_sku = part.groupBy(F.col("p_type").alias("product"), F.col("p_brand").alias("sku")) \
         .agg(F.count(F.lit(1)).alias("n_parts"))
@@ -158,6 +179,7 @@ def hierarchy_join(spark, sf):
 
 
 def hierarchy_keys(spark, sf):
+    """Each product expanded to ten keys product_01..product_10."""
     products = read_table(spark, sf, "part", ["p_type"]).select(F.col("p_type").alias("product")).distinct()
     i = F.explode(F.sequence(F.lit(1), F.lit(10))).alias("i")
     return products.select("product", i).select(
@@ -165,12 +187,14 @@ def hierarchy_keys(spark, sf):
 
 
 def column_append(spark, sf):
+    """Distinct products zipped with regions by rank."""
     products = read_table(spark, sf, "part", ["p_type"]).select(F.col("p_type").alias("product")).distinct()
     regions = read_table(spark, sf, "region", ["r_name"]).select(F.col("r_name").alias("region"))
     return ranking.zip_by_rank(products, ["product"], regions, ["region"]).select("product", "region")
 
 
 def array_params(spark, sf):
+    """Embedding arrays with a leading 1: size and element access."""
     emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
     arr = F.concat(F.array(F.lit(1.0)), F.transform("embedding", lambda x: x.cast("double")))
     return emb.select(F.col("vec_id").alias("id"), arr.alias("a")).select(
@@ -181,27 +205,32 @@ def array_params(spark, sf):
 
 
 def sample_series(spark, sf):
+    """All rows of the longest series (ties by smallest key)."""
     w = _weekly_materialised(spark, sf)
     return w.join(sampling.pick_one_series(w, KEYS), KEYS, "inner").select(*KEYS, "wk", "demand")
 
 
 def sample_rows(spark, sf):
+    """Lineitem row keys kept by a key-hash Bernoulli sample (10 %)."""
     li = read_table(spark, sf, "lineitem", inputs.ROW_KEY)
     return sampling.bernoulli(li, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], 100)
 
 
 def holdout_split(spark, sf):
+    """Listing rows per 60/20/20 key-bucket split with price sums."""
     lst = inputs.listing(spark, sf)
     return lst.groupBy(sampling.bucket_split_label("p_partkey").alias("split")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("price"), 2).alias("sum_price"))
 
 
 def union_train_val(spark, sf):
+    """Keys of train and validation splits, appended by position."""
     train, val, _ = sampling.bucket_split(inputs.listing(spark, sf), "p_partkey")
     return train.select("p_partkey").union(val.select("p_partkey"))
 
 
 def scalar_mix(spark, sf):
+    """Scalar functions on part: modulo, floor, abs, format, clean name, null text."""
     part = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_size", "p_retailprice"])
     size = F.col("p_size")
     return part.select(
@@ -215,12 +244,14 @@ def scalar_mix(spark, sf):
 
 
 def value_hash(spark, sf):
+    """Canonical text of a value and its non-negative Murmur3 hash."""
     part = read_table(spark, sf, "part", ["p_partkey", "p_size"])
     v = F.when(F.col("p_size") <= 40, F.col("p_size"))
     return part.select("p_partkey", scalar.canonical_text(v).alias("value"), scalar.value_hash(v).alias("h"))
 
 
 def check_rowcount(spark, sf):
+    """Data checks: join keeps rows; calendar length matches its bounds."""
     w = _weekly_materialised(spark, sf)
     cf = demand.calendar_factors(spark, sf, EVENT)
     # the calendar has one row per week of the data span: a proven size bound
@@ -247,6 +278,7 @@ def _index_table(spark, sf):
 
 
 def model_index(spark, sf):
+    """Per-device one-feature OLS: slope, intercept, r2, mse, rows used."""
     m = _index(spark, sf)
     return m.select("device_id", "n_used", F.round("slope", 6).alias("slope"),
                     F.round("intercept", 6).alias("intercept"), F.round("r2", 6).alias("r2"),
@@ -254,6 +286,7 @@ def model_index(spark, sf):
 
 
 def model_index_multi(spark, sf):
+    """Per-device three-feature OLS from grouped moments."""
     m = manymodels.model_index_multi(inputs.devrows(spark, sf), RUN_ID)
     return m.select("device_id", "n_used",
                     *[F.round(F.col("coef")[i], 4).alias(f"coef_{i + 1}") for i in range(3)],
@@ -262,6 +295,7 @@ def model_index_multi(spark, sf):
 
 
 def many_model_score(spark, sf):
+    """Every device row scored with its own device's model."""
     rows = inputs.devrows(spark, sf)
     scored = manymodels.many_model_score(rows, _index_table(spark, sf))
     return scored.select(*inputs.ROW_KEY, "device_id", F.round("prediction", 4).alias("prediction"),
@@ -269,6 +303,7 @@ def many_model_score(spark, sf):
 
 
 def routed_score(spark, sf):
+    """Rows routed through a saved model bundle missing device 0; mean prediction per device."""
     rows = inputs.devrows(spark, sf)
     scored = manymodels.routed_score(spark, rows, _index_table(spark, sf), drop_device=0)
     return scored.groupBy("device_id").agg(F.count(F.lit(1)).alias("n"),
@@ -278,63 +313,76 @@ def routed_score(spark, sf):
 # --- search with SQL forecasters -------------------------------------------------
 
 def mse_by_series(spark, sf):
+    """Hold-out MSE of the last-value forecaster per series."""
     t = search.tail_forecasts(_weekly(spark, sf), KEYS, H, MIN_TRAIN)
     return t.groupBy(*KEYS).agg(F.round(F.avg(F.pow(F.col("demand") - F.col("f_last"), 2)), 6).alias("mse"))
 
 
 def rmse_global(spark, sf):
+    """Hold-out RMSE of the last-value forecaster over all series."""
     t = search.tail_forecasts(_weekly(spark, sf), KEYS, H, MIN_TRAIN)
     return t.agg(F.round(F.sqrt(F.avg(F.pow(F.col("demand") - F.col("f_last"), 2))), 6).alias("rmse"))
 
 
 def candidate_losses(spark, sf):
+    """Hold-out loss of five SQL forecasters per series."""
     return search.sql_forecaster_losses(_weekly(spark, sf), KEYS, H, MIN_TRAIN)
 
 
 def best_candidate(spark, sf):
+    """Arg-min forecaster per series, ties by candidate id."""
     return search.arg_min(candidate_losses(spark, sf), KEYS, "loss", "cand_id", ["cand_id", "loss"])
 
 
 # --- ARIMAX search and forecast ---------------------------------------------------
 
 def arimax_losses(spark, sf):
+    """Hold-out loss of all 75 (p,d,q) orders per series."""
     packed = forecast.pack_series(_weekly(spark, sf), EVENT)
     return forecast.candidate_losses(packed).select(*KEYS, "p", "d", "q", "loss")
 
 
 def exo_gain(spark, sf):
+    """Hold-out loss of order (1,2,1) without and with event features."""
     return forecast.exo_gain(forecast.pack_series(_weekly(spark, sf), EVENT))
 
 
 def forecast_frame(spark, sf):
+    """Dense weekly frame of every series with hold-out and eligibility flags."""
     return forecast.series_frame(forecast.pack_series(_weekly(spark, sf), EVENT))
 
 
 def forecast_all(spark, sf):
+    """Search, arg-min, refit: fitted history and forecast tail for every series."""
     return forecast.forecast_all(_weekly(spark, sf), event=EVENT)
 
 
 # --- MLlib -----------------------------------------------------------------------------
 
 def string_index(spark, sf):
+    """StringIndexer label order (frequency desc, label asc) per string column."""
     return tuning.string_index_labels(inputs.listing(spark, sf), ["p_brand", "p_type"])
 
 
 def rf_pipeline(spark, sf):
+    """Random-forest pipeline fitted on train, scored on validation."""
     return tuning.rf_pipeline(spark, inputs.listing(spark, sf))
 
 
 def rf_tuned(spark, sf):
+    """Four forest trials on validation, best refitted on train + val, scored on test."""
     return tuning.rf_tuned(spark, inputs.listing(spark, sf))
 
 
 # --- run log ---------------------------------------------------------------------------
 
 def runlog_latest(spark, sf):
+    """Newest run per device from the run log."""
     return runlog.latest_per_device(inputs.runlog(spark, sf))
 
 
 def topk_runs(spark, sf):
+    """Ten newest runs with a device tag."""
     return runlog.newest_runs(inputs.runlog(spark, sf), 10)
 
 
