@@ -117,6 +117,44 @@ sol AS (SELECT *, """ + ", ".join(f"{_cramer(i)} AS b{i}" for i in range(3)) + "
 fit AS (SELECT *, my - (b0 * m0 + b1 * m1 + b2 * m2) AS intercept,
                greatest(vy - (b0 * cy0 + b1 * cy1 + b2 * cy2), 0.0) AS mse FROM sol)""")
 
+# Spark's hash() of a string: Murmur3 x86_32, seed 42, over its UTF-8 bytes
+# (4-byte little-endian blocks, then each remaining byte mixed on its own).
+# 32-bit arithmetic is emulated with masks; products go through HUGEINT.
+def _mul32(a: str, b: int) -> str:
+    return f"CAST((CAST({a} AS HUGEINT) * {b}) % 4294967296 AS BIGINT)"
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"((({x}) << {r}) | (({x}) >> {32 - r})) & 4294967295"
+
+
+def _mixk1(k: str) -> str:
+    return _mul32(_rotl(_mul32(k, 0xcc9e2d51), 15), 0x1b873593)
+
+
+def _mixh1(h: str, k: str) -> str:
+    return f"(({_rotl(f'xor({h}, {k})', 13)}) * 5 + {0xe6546b64}) & 4294967295"
+
+
+VALUE_HASH = ("""
+WITH s0 AS (
+  SELECT p_partkey, coalesce(CAST(CASE WHEN p_size <= 40 THEN p_size END AS VARCHAR), 'null') AS value
+  FROM part),
+s1 AS (SELECT *, strlen(value) AS n, """ +
+    ", ".join(f"CASE WHEN strlen(value) > {i} THEN ascii(substr(value, {i + 1}, 1)) ELSE 0 END AS b{i}"
+              for i in range(4)) + """ FROM s0),
+s2 AS (SELECT *, CASE WHEN n = 4 THEN """ + _mixh1("42", _mixk1("(b0 | (b1 << 8) | (b2 << 16) | (b3 << 24))")) +
+    """ WHEN n >= 1 THEN """ + _mixh1("42", _mixk1("b0")) + """ ELSE 42 END AS h1 FROM s1),
+s3 AS (SELECT *, CASE WHEN n IN (2, 3) THEN """ + _mixh1("h1", _mixk1("b1")) + """ ELSE h1 END AS h2 FROM s2),
+s4 AS (SELECT *, CASE WHEN n = 3 THEN """ + _mixh1("h2", _mixk1("b2")) + """ ELSE h2 END AS h3 FROM s3),
+f1 AS (SELECT *, xor(h3, n) AS g0 FROM s4),
+f2 AS (SELECT *, """ + _mul32("xor(g0, g0 >> 16)", 0x85ebca6b) + """ AS g1 FROM f1),
+f3 AS (SELECT *, """ + _mul32("xor(g1, g1 >> 13)", 0xc2b2ae35) + """ AS g2 FROM f2),
+f4 AS (SELECT *, xor(g2, g2 >> 16) AS g3 FROM f3)
+SELECT p_partkey, value,
+       abs(CASE WHEN g3 >= 2147483648 THEN g3 - 4294967296 ELSE g3 END) AS h
+FROM f4""")
+
 RUNLOG = """r AS (
   SELECT event_id AS run_id, ts AS end_time,
          CASE WHEN event_type = 'error' THEN NULL ELSE CAST(user_id % 10 AS VARCHAR) END AS device,
@@ -265,6 +303,7 @@ WHERE rk = 1""",
          count(*) OVER (PARTITION BY g.product, g.sku) AS n
   FROM g LEFT JOIN weekly USING (product, sku, wk))""") + f"""
 SELECT product, sku, wk, demand, rn <= n - {H} AS is_history, n >= {H + MIN_TRAIN} AS eligible FROM d""",
+    "value_hash": VALUE_HASH,
     "string_index": """
 WITH s AS (SELECT 'p_brand' AS "column", p_brand AS label FROM part
            UNION ALL SELECT 'p_type', p_type FROM part),
