@@ -155,6 +155,64 @@ SELECT p_partkey, value,
        abs(CASE WHEN g3 >= 2147483648 THEN g3 - 4294967296 ELSE g3 END) AS h
 FROM f4""")
 
+# Spark's xxhash64(col1, ..., colN): XXH64 of each value in turn, each seeded
+# with the previous hash (first seed 42); 64-bit arithmetic via UHUGEINT.
+_U = "UHUGEINT"
+_P1, _P2, _P3, _P4, _P5 = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                          0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+
+
+def _u(v) -> str:
+    return f"CAST('{v}' AS {_U})" if isinstance(v, int) else f"CAST({v} AS {_U})"
+
+
+def _m64(x: str) -> str:
+    return f"(({x}) % {_u(1 << 64)})"
+
+
+def _rotl64(x: str, r: int) -> str:
+    return f"(((({x}) << {r}) | (({x}) >> {64 - r})) & {_u((1 << 64) - 1)})"
+
+
+def _xx_steps(value: str, seed: str, out: str, is_long: bool) -> list[tuple[str, str]]:
+    """Assignments (column, expression) computing XXH64 of one value."""
+    t = f"_{out}"
+    if is_long:
+        core = [(f"{t}a", _m64(f"{seed} + {_u(_P5 + 8)}")),
+                (f"{t}b", f"xor({t}a, {_m64(f'{_rotl64(_m64(f'{_u(value)} * {_u(_P2)}'), 31)} * {_u(_P1)}')})"),
+                (f"{t}c", _m64(f"{_rotl64(f'{t}b', 27)} * {_u(_P1)} + {_u(_P4)}"))]
+    else:
+        core = [(f"{t}a", _m64(f"{seed} + {_u(_P5 + 4)}")),
+                (f"{t}b", f"xor({t}a, {_m64(f'({_u(value)} & {_u(0xFFFFFFFF)}) * {_u(_P1)}')})"),
+                (f"{t}c", _m64(f"{_rotl64(f'{t}b', 23)} * {_u(_P2)} + {_u(_P3)}"))]
+    return core + [(f"{t}d", f"xor({t}c, {t}c >> 33)"),
+                   (f"{t}e", _m64(f"{t}d * {_u(_P2)}")),
+                   (f"{t}f", f"xor({t}e, {t}e >> 29)"),
+                   (f"{t}g", _m64(f"{t}f * {_u(_P3)}")),
+                   (out, f"xor({t}g, {t}g >> 32)")]
+
+
+def _rand_columns_sql() -> str:
+    steps = []
+    seed = _u(42)
+    for i, (col, is_long) in enumerate((("l_orderkey", True), ("l_partkey", True),
+                                        ("l_suppkey", True), ("l_linenumber", False))):
+        steps += _xx_steps(col, seed, f"k{i}", is_long)
+        seed = f"k{i}"
+    for s_ in (1, 2, 3, 4):
+        steps += _xx_steps(str(s_), "k3", f"h{s_}", False)
+    ctes = ["c0 AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate FROM lineitem)"]
+    for i, (name, expr) in enumerate(steps, start=1):
+        ctes.append(f"c{i} AS (SELECT *, {expr} AS {name} FROM c{i - 1})")
+    two53 = 1 << 53
+    u = {s_: f"(CAST(h{s_} % {_u(two53)} AS DOUBLE) / CAST({two53} AS DOUBLE))" for s_ in (1, 2, 3, 4)}
+    f = {s_: f"({u[s_]} * CAST({float(s_)} AS DOUBLE))" for s_ in (1, 2, 3)}
+    return ("WITH " + ",\n".join(ctes) +
+            f"\nSELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, "
+            f"{f[1]} AS feature_1, {f[2]} AS feature_2, {f[3]} AS feature_3, "
+            f"((({f[1]} + {f[2]}) + {f[3]}) + {u[4]}) AS label FROM c{len(steps)}")
+
+
 RUNLOG = """r AS (
   SELECT event_id AS run_id, ts AS end_time,
          CASE WHEN event_type = 'error' THEN NULL ELSE CAST(user_id % 10 AS VARCHAR) END AS device,
@@ -304,6 +362,7 @@ WHERE rk = 1""",
   FROM g LEFT JOIN weekly USING (product, sku, wk))""") + f"""
 SELECT product, sku, wk, demand, rn <= n - {H} AS is_history, n >= {H + MIN_TRAIN} AS eligible FROM d""",
     "value_hash": VALUE_HASH,
+    "rand_columns": _rand_columns_sql(),
     "string_index": """
 WITH s AS (SELECT 'p_brand' AS "column", p_brand AS label FROM part
            UNION ALL SELECT 'p_type', p_type FROM part),
