@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from weekcast.llm import decontaminate, mixing, simhash
+from weekcast.llm import decontaminate, mixing, simhash, tokencount, wavelet
 from weekcast.llm.common import table
 
 
@@ -20,6 +21,16 @@ def op4_simhash_near_dedup(spark, sf):
     return got.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op3_token_counts(spark, sf):
+    """Tokens of every text under the 32k sentencepiece model."""
+    return tokencount.token_counts(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_token_files(spark, sf):
+    """All texts encoded, written as wavelet shards and read back."""
+    return wavelet.token_files(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_decontaminate(spark, sf):
     """Windows of 10 benchmark words found in all documents."""
     got = decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"), n=10)
@@ -29,7 +40,7 @@ def op10_decontaminate(spark, sf):
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op4_simhash_near_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_simhash_near_dedup, op9_token_files, op10_decontaminate)}
 
 SQL: dict[str, str] = {}
 
