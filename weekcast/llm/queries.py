@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from weekcast.llm import decontaminate, mixing, simhash, tokencount, wavelet
+from weekcast.llm import decontaminate, mixing, quality, simhash, tokencount, wavelet
 from weekcast.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op3_token_counts(spark, sf):
     return tokencount.token_counts(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_quality(spark, sf):
+    """Quality score of every document by boosted trees, learned outside the held-out fifth."""
+    return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op9_token_files(spark, sf):
     """All texts encoded, written as wavelet shards and read back."""
     return wavelet.token_files(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -40,7 +45,7 @@ def op10_decontaminate(spark, sf):
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_simhash_near_dedup, op9_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_simhash_near_dedup, op5_quality, op9_token_files, op10_decontaminate)}
 
 SQL: dict[str, str] = {}
 
