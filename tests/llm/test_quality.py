@@ -31,7 +31,7 @@ def test_held_out_accuracy(spark):
 
 def test_flat_trees_walk_like_nested_ones():
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(400, 3))
+    x = rng.normal(size=(3000, 3))
     y = ((x[:, 0] > 0.3) ^ (x[:, 2] < -0.2)).astype(float)
     t = quality.grow(x, y, trees=30)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from weekcast.llm import decontaminate, mixing, quality, simhash, tokencount, wavelet
+from weekcast.llm import decontaminate, lattice, mixing, quality, simhash, tokencount, wavelet
 from weekcast.llm.common import table
 
 
@@ -31,6 +31,11 @@ def op5_quality(spark, sf):
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op7_lattice_near_dedup(spark, sf):
+    """Links and components of all embeddings at cosine 0.95 or more."""
+    return lattice.near_duplicates(table(spark, sf, "embeddings"), least=0.95)
+
+
 def op9_token_files(spark, sf):
     """All texts encoded, written as wavelet shards and read back."""
     return wavelet.token_files(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -45,7 +50,7 @@ def op10_decontaminate(spark, sf):
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_simhash_near_dedup, op5_quality, op9_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_simhash_near_dedup, op5_quality, op7_lattice_near_dedup, op9_token_files, op10_decontaminate)}
 
 SQL: dict[str, str] = {}
 
