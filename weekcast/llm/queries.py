@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from weekcast.llm import decontaminate, lattice, mixing, quality, simhash, tokencount, wavelet
+from weekcast.llm import decontaminate, lattice, mixing, ppm, quality, simhash, tokencount, wavelet
 from weekcast.llm.common import table
 
 
@@ -36,6 +36,11 @@ def op7_lattice_near_dedup(spark, sf):
     return lattice.near_duplicates(table(spark, sf, "embeddings"), least=0.95)
 
 
+def op8_ppm_scores(spark, sf):
+    """log10 probability of every text by a byte PPM model, beside a unigram one."""
+    return ppm.score(table(spark, sf, "documents"))
+
+
 def op9_token_files(spark, sf):
     """All texts encoded, written as wavelet shards and read back."""
     return wavelet.token_files(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -50,7 +55,7 @@ def op10_decontaminate(spark, sf):
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_simhash_near_dedup, op5_quality, op7_lattice_near_dedup, op9_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_simhash_near_dedup, op5_quality, op7_lattice_near_dedup, op8_ppm_scores, op9_token_files, op10_decontaminate)}
 
 SQL: dict[str, str] = {}
 
