@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from weekcast.llm import decontaminate, lattice, mixing, ppm, quality, simhash, tokencount, wavelet
+from weekcast.llm import decontaminate, lattice, mixing, pii, ppm, quality, simhash, tokencount, wavelet
 from weekcast.llm.common import table
 
 
@@ -31,6 +31,15 @@ def op5_quality(spark, sf):
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op6_personal_data(spark, sf):
+    """Personal data in every text: base matches and what their contexts discover."""
+    got = pii.find(table(spark, sf, "documents"))
+    count = [F.size(F.expr(f"filter(base, s -> s.kind = {i})")).cast("long").alias(f"n_{k}")
+             for i, k in enumerate(pii.KINDS)]
+    return got.select("doc_id", *count, F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+                      pii.spans_text(F.col("spans")).alias("spans"))
+
+
 def op7_lattice_near_dedup(spark, sf):
     """Links and components of all embeddings at cosine 0.95 or more."""
     return lattice.near_duplicates(table(spark, sf, "embeddings"), least=0.95)
@@ -55,7 +64,7 @@ def op10_decontaminate(spark, sf):
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_simhash_near_dedup, op5_quality, op7_lattice_near_dedup, op8_ppm_scores, op9_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_simhash_near_dedup, op5_quality, op6_personal_data, op7_lattice_near_dedup, op8_ppm_scores, op9_token_files, op10_decontaminate)}
 
 SQL: dict[str, str] = {}
 
