@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from weekcast.llm import decontaminate, lattice, mixing, pii, ppm, quality, simhash, tokencount, wavelet
+from weekcast.llm import decontaminate, lattice, linededup, mixing, pii, ppm, quality, simhash, tokencount, wavelet
 from weekcast.llm.common import table
 
 
@@ -21,6 +21,13 @@ def op4_simhash_near_dedup(spark, sf):
     return got.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op2_line_dedup(spark, sf):
+    """Blocks of lines that repeat an earlier document, deleted from all documents."""
+    got = linededup.dedup(table(spark, sf, "documents"))
+    return got.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+                      F.sha2("text", 256).alias("text_sha256"))
+
+
 def op3_token_counts(spark, sf):
     """Tokens of every text under the 32k sentencepiece model."""
     return tokencount.token_counts(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -64,7 +71,7 @@ def op10_decontaminate(spark, sf):
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_token_counts, op4_simhash_near_dedup, op5_quality, op6_personal_data, op7_lattice_near_dedup, op8_ppm_scores, op9_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_line_dedup, op3_token_counts, op4_simhash_near_dedup, op5_quality, op6_personal_data, op7_lattice_near_dedup, op8_ppm_scores, op9_token_files, op10_decontaminate)}
 
 SQL: dict[str, str] = {}
 
