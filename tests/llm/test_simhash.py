@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from weekcast.llm import components, simhash
 
 
+def low_words(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
 def brute_fp(text, k=4):
-    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    words = re.findall(r"[^\x20\x09-\x0D]+", low_words(text))
     grams = [" ".join(words[i:i + k]) for i in range(max(len(words) - k, 0) + 1)] if words else []
     h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
     return sum(1 << i for i in range(64) if 2 * sum(x >> i & 1 for x in h) > len(h))

@@ -24,7 +24,8 @@ SMALL = 32
 
 
 def fingerprints(docs: DataFrame, k: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, fp long, copies): one row per distinct (key, text) with the number of its rows.
+    """(key, th, fp long, copies): one row per distinct (key, text) with the number of its rows; ``th``
+    is a hash of the text.
 
     Null, empty and blank texts have no words and fingerprint 0.  Texts of fewer than ``k`` words
     are one shingle.  Repeated rows raise ``copies`` and leave the fingerprint as it is.
@@ -46,7 +47,7 @@ def fingerprints(docs: DataFrame, k: int = 4, text: str = "text", key: str = "do
         c = F.col(f"s{i % 32}")
         count = c.bitwiseAND(F.lit(0xFFFFFFFF)) if i < 32 else F.shiftrightunsigned(c, 32)
         fp = fp.bitwiseOR(F.when(count * 2 > F.col("n"), F.lit(1 << i if i < 63 else -(1 << 63))).otherwise(F.lit(0)))
-    return agg.select("key", fp.alias("fp"), "copies")
+    return agg.select("key", "th", fp.alias("fp"), "copies")
 
 
 def masks(radius: int, bits: int = 64) -> list[int]:
@@ -116,24 +117,49 @@ def links(fps: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
     return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_verify(radius, keys), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 4, radius: int = 4, text: str = "text",
-                    key: str = "doc_id") -> DataFrame:
-    """(key, fp, component_id) for every row: component_id is the smallest key reachable over
-    links of at most ``radius`` differing bits.
-
-    Equal fingerprints meet in one table row first, so copies cost one row each.  An empty table
-    gives an empty result; null keys are kept, and only a component without any other key is null.
-    """
+def groups(docs: DataFrame, k: int = 4, radius: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, th, fp, copies, root, component_id) for every distinct (key, text): ``root`` names the
+    component, ``component_id`` is its smallest key.  Equal fingerprints meet in one table row before
+    any pair is sought, so copies cost one row each."""
     fp = staged(fingerprints(docs, k, text, key), "fingerprints")
     distinct = staged(fp.groupBy("fp").agg(F.min("key").alias("first")), "distinct-fp")
     comp = components(links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
     rooted = staged(distinct.join(comp, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("root")),
                     "rooted")
     least = staged(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
-    named = staged(rooted.join(least, "root").select("fp", "component_id"), "named")
-    return fp.join(named, "fp").select(F.col("key").alias(key), "fp", "component_id",
-                                       F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")) \
-        .drop("_copy")
+    named = staged(rooted.join(least, "root").select("fp", "root", "component_id"), "named")
+    return fp.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, k: int = 4, radius: int = 4, text: str = "text",
+                    key: str = "doc_id") -> DataFrame:
+    """(key, fp, component_id) for every row: component_id is the smallest key reachable over
+    links of at most ``radius`` differing bits.
+
+    An empty table gives an empty result; null keys are kept, and only a component without any
+    other key is null.
+    """
+    return groups(docs, k, radius, text, key).select(
+        F.col("key").alias(key), "fp", "component_id",
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")).drop("_copy")
+
+
+def keep_one(docs: DataFrame, k: int = 4, radius: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each component, columns as given: the smallest key (null last), then the smallest
+    hash of the text; of rows that repeat key and text one stays."""
+    found = staged(groups(docs, k, radius, text, key), "groups")
+    order = F.struct(F.col("key").isNull().alias("last"), "key", "th")
+    first = staged(found.groupBy("root").agg(F.min(order).alias("first")), "firsts")
+    kept = (F.col("key").eqNullSafe(F.col("first.key"))) & (F.col("th") == F.col("first.th"))
+    judged = staged(found.join(first, "root").select("key", "th", "copies", kept.alias("kept")), "judged")
+
+    def rows(of: str, how: str) -> DataFrame:
+        some = judged.where(of).select(F.col("key").alias("_key"), F.col("th").alias("_th"))
+        return docs.join(some, docs[key].eqNullSafe(some["_key"]) & (F.xxhash64(docs[text]) == some["_th"]), how)
+    alone = rows("not kept or copies > 1", "left_anti")
+    if judged.where("kept and copies > 1").isEmpty():
+        return alone
+    return alone.unionByName(rows("kept and copies > 1", "left_semi").dropDuplicates([key, text]))
 
 
 def fingerprint_text(fp: str = "fp"):
