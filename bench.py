@@ -21,14 +21,7 @@ from weekcast.session import local_session  # noqa: E402
 
 HEADLINE = ["weekly_demand", "exo_features", "adjusted_demand", "dense_spine", "tail_split",
             "candidate_losses", "best_candidate", "model_index", "many_model_score", "routed_score",
-            "runlog_latest", "arimax_losses", "exo_gain", "forecast_all", "rf_tuned"]
-
-
-def _warm(batches):
-    import numpy as np
-    from weekcast.operators import arimax
-    arimax.holdout_loss(np.arange(80.0), None, 10, 1, 1, 1)
-    yield from batches
+            "runlog_latest", "exo_gain", "forecast_best", "rf_tuned"]
 
 
 def run(spark, name, sf):
@@ -43,9 +36,6 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus)))
     run(spark, "weekly_demand", sf)  # warm-up: JVM, codegen, file listing
-    n = int(cpus) * 2                 # warm-up: start the Python workers and import the kernel once
-    spark.range(0, n, numPartitions=n).mapInPandas(_warm, "id long") \
-        .write.format("noop").mode("overwrite").save()
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
     times = {}
     for name in HEADLINE:
@@ -58,8 +48,7 @@ def main():
            "repeat": repeat,
            "rates": {"exo_features_rows_per_s": round(rows / times["exo_features"], 1),
                      "many_model_score_rows_per_s": round(rows / times["many_model_score"], 1),
-                     "arimax_fits_per_s": round(series * 75 / times["arimax_losses"], 1),
-                     "forecast_all_series_per_s": round(series / times["forecast_all"], 2)}}
+                     "forecast_best_series_per_s": round(series / times["forecast_best"], 2)}}
     print(json.dumps(out))
 
 

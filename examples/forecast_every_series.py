@@ -2,8 +2,8 @@
 
     python examples/forecast_every_series.py /root/testdata/sf0.01 /path/to/output
 
-The same flow as a per-series notebook (features, split, order search,
-refit, forecast), written as one Spark job over all series at once.
+Features, split, search over five forecasters, fitted history and forecast
+tail, as one Spark job over all series at once.
 """
 
 import os
@@ -23,7 +23,7 @@ def main(sf_dir: str, out: str) -> None:
     spark = local_session()
     weekly = inputs.weekly(spark, sf_dir)                         # (product, sku, wk, demand)
     demand.exo_features(weekly, TEST_EVENT).show(5)               # event / season flags, row-wise
-    result = forecast.forecast_all(weekly, event=TEST_EVENT)      # search 75 orders, refit, forecast
+    result = forecast.forecast_best(weekly)                        # search, fit, forecast
     result.write.mode("overwrite").parquet(out)
     written = spark.read.parquet(out)
     written.groupBy("status").agg(F.countDistinct("product", "sku").alias("series")).show()

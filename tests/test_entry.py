@@ -2,8 +2,8 @@
 
 import __spark_entry__ as E
 
-EXPECTED = ("struct<product:string,sku:string,wk:date,demand:double,demand_fitted:double,"
-            "is_history:boolean,status:string>")
+EXPECTED = ("struct<product:string,sku:string,wk:date,demand:double,is_history:boolean,status:string,"
+            "cand_id:int,loss:double,demand_fitted:double>")
 
 
 def test_entry_runs_with_stable_schema(spark):

@@ -1,65 +1,71 @@
-"""Forecast-all job: shape, status, placement-independent results."""
+"""Forecast job: shape, status, no series lost, regression on event features."""
 
+import datetime as dt
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
+from weekcast.functions import calendar as cal
 from weekcast.plans import forecast
 from weekcast.sources import inputs
 
+MON = dt.date(2000, 1, 3)
+
 
-def test_forecast_all_shape_and_status(spark):
+def test_no_series_is_lost(spark):
     weekly = inputs.weekly(spark, SF_SMALL)
-    grid = [(0, 0, 1, 0), (1, 1, 1, 0), (2, 0, 0, 0)]
-    out = forecast.forecast_all(weekly, grid=grid, materialise=False).cache()
-    packed = forecast.pack_series(weekly).select("product", "sku", "n").collect()
-    assert out.count() == sum(r["n"] for r in packed)
-    st = {r["status"]: r["c"] for r in out.groupBy("status").agg(F.countDistinct("product", "sku").alias("c")).collect()}
-    n_short = sum(1 for r in packed if r["n"] < forecast.HORIZON + forecast.MIN_TRAIN)
-    assert st.get("too_short", 0) == n_short
-    assert st.get("ok", 0) + st.get("failed", 0) == len(packed) - n_short
-    # every ok series has a forecast for all tail weeks
-    tails = out.filter((F.col("status") == "ok") & ~F.col("is_history"))
-    assert tails.filter(F.col("demand_fitted").isNull()).count() == 0
-    assert tails.groupBy("product", "sku").count().filter(F.col("count") != forecast.HORIZON).count() == 0
+    n = weekly.select("product", "sku").distinct().count()
+    out = forecast.forecast_best(weekly).cache()
+    assert out.select("product", "sku").distinct().count() == n
+    ok = out.filter("status = 'ok' and not is_history")
+    assert ok.filter("demand_fitted is null").count() == 0
+    assert ok.groupBy("product", "sku").count().filter(F.col("count") != forecast.HORIZON).count() == 0
+    frame = forecast.series_frame(weekly)
+    cols = ["product", "sku", "wk", "demand", "is_history"]
+    assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, frame.select(*cols).collect()))
     out.unpersist()
 
 
-def test_search_independent_of_partitioning(spark):
-    weekly = inputs.weekly(spark, SF_SMALL)
-    packed = forecast.pack_series(weekly)
-    grid = [(0, 1, 0, 0), (1, 0, 1, 1)]
-    a = {(r["product"], r["sku"]): r["cand_id"] for r in
-         forecast.best_orders(forecast.candidate_losses(packed, grid, n_partitions=3)).collect()}
-    b = {(r["product"], r["sku"]): r["cand_id"] for r in
-         forecast.best_orders(forecast.candidate_losses(packed, grid, n_partitions=11)).collect()}
-    assert a == b and len(a) > 0
+def test_gaps_are_weeks_without_demand(spark):
+    rows = [("A", "s", MON + dt.timedelta(weeks=i), 5.0) for i in range(60) if i % 4]
+    weekly = spark.createDataFrame(rows, "product string, sku string, wk date, demand double")
+    out = sorted(forecast.forecast_best(weekly).collect(), key=lambda r: r["wk"])
+    assert [r["wk"] for r in out] == [MON + dt.timedelta(weeks=i) for i in range(1, 60)]
+    assert [r["demand"] for r in out] == [5.0 if i % 4 else 0.0 for i in range(1, 60)]
+    assert forecast.dense(weekly, fill="null").filter("demand is null").count() == 14
 
 
 def test_short_series_are_returned_unfitted(spark):
-    import datetime as dt
-    start = dt.date(2000, 1, 3)
-    rows = [("A", "long", start + dt.timedelta(weeks=i), float(10 + i % 7)) for i in range(80)]
-    rows += [("A", "short", start + dt.timedelta(weeks=i), float(5 + i % 3)) for i in range(45)]
+    rows = [("A", "long", MON + dt.timedelta(weeks=i), float(10 + i % 7)) for i in range(41)]
+    rows += [("A", "short", MON + dt.timedelta(weeks=i), float(5 + i % 3)) for i in range(40)]
     weekly = spark.createDataFrame(rows, "product string, sku string, wk date, demand double")
-    out = forecast.forecast_all(weekly, grid=[(0, 1, 0, 0), (1, 0, 0, 1)], materialise=False)
-    st = {r["sku"]: r["status"] for r in out.select("sku", "status").distinct().collect()}
-    assert st == {"long": "ok", "short": "too_short"}
-    short = out.filter(F.col("sku") == "short")
-    assert short.count() == 45 and short.filter(F.col("demand_fitted").isNotNull()).count() == 0
-    assert out.filter((F.col("sku") == "long") & ~F.col("is_history")).count() == forecast.HORIZON
+    for out in (forecast.forecast_best(weekly), forecast.exo_gain(weekly)):
+        st = {r["sku"]: r["status"] for r in out.select("sku", "status").distinct().collect()}
+        assert st == {"long": "ok", "short": "too_short"}
 
 
-def test_forecast_all_is_deterministic(spark):
-    weekly = inputs.weekly(spark, SF_SMALL)
-    grid = [(0, 1, 1, 1), (1, 2, 0, 0), (2, 0, 1, 2)]
-    a = sorted(map(tuple, forecast.forecast_all(weekly, grid=grid, n_partitions=5).collect()))
-    b = sorted(map(tuple, forecast.forecast_all(weekly.repartition(3), grid=grid, n_partitions=9).collect()))
-    assert a == b
+def test_event_regression_matches_numpy(spark):
+    rng = np.random.default_rng(8)
+    event = MON + dt.timedelta(weeks=60)
+    weeks = [MON + dt.timedelta(weeks=i) for i in range(150)]
+    ys = [float(20 + (w >= event) * 15 + 6 * (w.isocalendar()[1] in (51, 52)) + rng.integers(0, 4)) for w in weeks]
+    weekly = spark.createDataFrame([("A", "s", w, y) for w, y in zip(weeks, ys)],
+                                   "product string, sku string, wk date, demand double")
+    r = forecast.exo_gain(weekly, event).first()
+    x = np.array([[w >= event, w.isocalendar()[1] in (51, 52), w.isocalendar()[1] <= 4] for w in weeks], float)
+    y = np.array(ys)
+    a = np.column_stack([np.ones(110), x[:110]])
+    coef = np.linalg.lstsq(a, y[:110], rcond=None)[0]
+    with_x = np.mean((y[110:] - np.column_stack([np.ones(40), x[110:]]) @ coef) ** 2)
+    without = np.mean((y[110:] - y[:110].mean()) ** 2)
+    assert r["loss_without"] == pytest.approx(without, abs=0.01) and r["loss_with"] == pytest.approx(with_x, abs=0.02)
+    assert r["gain"] > 0
 
 
-def test_forecast_all_fills_the_checked_frame(spark):
-    weekly = inputs.weekly(spark, SF_SMALL)
-    frame = forecast.series_frame(forecast.pack_series(weekly))
-    out = forecast.forecast_all(weekly, grid=[(0, 1, 1, 0)], materialise=False)
-    cols = ["product", "sku", "wk", "demand", "is_history"]
-    assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, frame.select(*cols).collect()))
+def test_flag_constant_in_the_history_adds_nothing(spark):
+    rows = [("A", "s", MON + dt.timedelta(weeks=i), float(i % 5)) for i in range(60)]
+    weekly = spark.createDataFrame(rows, "product string, sku string, wk date, demand double")
+    r = forecast.exo_gain(weekly, cal.REFERENCE_EVENT).first()
+    assert r["loss_with"] is not None and r["status"] == "ok"

@@ -39,7 +39,7 @@ def test_build_or_reuse(spark):
 def test_metric_names_must_be_quote_free(spark):
     import pytest
     bad = spark.createDataFrame([('a"b', 1.0)], "name string, value double")
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="quotes"):
         sinks.write_metrics(bad, scratch_path(spark, "bad_metrics", unique=True))
 
 
@@ -48,22 +48,39 @@ def test_compose_schema_and_expectations(spark):
     full = checks.compose_schema([T.StructField("z", T.IntegerType())], base)
     assert full.fieldNames() == ["z", "a"]
     df = spark.createDataFrame([], full)
-    assert checks.schema_problems(df, {"z": "int", "a": "string"}) == []
-    assert checks.schema_problems(df, {"z": "bigint", "q": "int"}) == [
-        "column z is int, expected bigint", "missing column q"]
+    want = T.StructType([T.StructField("z", T.LongType()), T.StructField("a", T.StringType()), T.StructField("q", T.IntegerType())])
+    got = {r["column_name"]: (r["actual"], r["ok"], r["n_values"]) for r in checks.schema_rows(df, "t", want).collect()}
+    assert got == {"z": ("int", False, 0), "a": ("string", True, 0), "q": (None, False, 0)}
 
 
-def test_pipeline_model_saves(spark):
+def listing(spark, n=60):
+    return spark.createDataFrame([(i, "a" if i % 2 else "b", "new" if i == 9 else "c", float(i % 5), float(i)) for i in range(n)],
+                                 "p_partkey long, p_brand string, p_type string, p_size double, price double")
+
+
+def test_forest_saves_with_its_features(spark):
     from pyspark.ml import PipelineModel
-    df = spark.createDataFrame([(i, "a" if i % 2 else "b", "c", float(i % 5), float(i)) for i in range(60)],
-                               "p_partkey long, p_brand string, p_type string, p_size double, price double")
-    pipe, rf = tuning.build_pipeline(df)
-    model = pipe.copy({rf.numTrees: 3, rf.maxDepth: 2}).fit(df)
+    df = listing(spark)
+    step = tuning.FeatureStep(df)
     path = scratch_path(spark, "pipeline_model", unique=True)
-    tuning.save_pipeline_model(model, path)
+    step.with_forest(step.forest(2, 3).fit(step.indexed(df))).write().overwrite().save(path)
     assert PipelineModel.load(path).transform(df).count() == 60
 
 
+def test_unseen_labels_are_skipped_and_counted(spark):
+    df = listing(spark)  # the row with key 9 is a test row, its label is in no train row
+    got = {r["split"]: tuple(r)[1:] for r in tuning.forest_checks(df).collect()}
+    assert got == {"train": (36, 0, 36), "val": (12, 0, 12), "test": (12, 1, 11)}
+    assert tuning.indexed_listing(df).where("p_partkey = 9").count() == 0
+
+
+def test_bins_follow_the_number_of_labels(spark):
+    df = spark.range(120).selectExpr("id p_partkey", "concat('b', id) p_brand", "'x' p_type", "cast(id as double) p_size", "cast(id as double) price")
+    step = tuning.FeatureStep(df)
+    assert step.bins() == 120
+    assert step.forest(2, 2).fit(step.indexed(df)).transform(step.indexed(df)).count() == 120
+
+
 def test_string_index_order_matches_mllib(spark):
     from pyspark.ml.feature import StringIndexer
     df = spark.createDataFrame([(x,) for x in "bbbaaccd"], "c string")
@@ -89,10 +106,12 @@ def test_run_log_append_and_read(spark):
     path = scratch_path(spark, "runlog_demo", unique=True)
     trials = spark.createDataFrame([("trial", 2, 10, 3.0), ("trial", 3, 40, 2.5), ("final", 3, 40, 2.4)],
                                    "stage string, max_depth int, num_trees int, rmse double")
-    runlog.append_runs(runlog.trial_runs(trials, "parent-1", "a"), path)
-    runlog.append_runs(runlog.trial_runs(trials.limit(1), "parent-2", "b"), path)
+    runlog.append_runs(runlog.trial_runs(trials, "parent-1"), path)
+    runlog.append_runs(runlog.trial_runs(trials.limit(1), "parent-2"), path)
     log = runlog.read_runs(spark, path)
     assert log.count() == 4
+    again = sorted(r[0] for r in runlog.trial_runs(trials.repartition(3), "parent-1").select("run_id").collect())
+    assert again == sorted(r[0] for r in log.filter("parent_run_id = 'parent-1'").select("run_id").collect())
     assert log.filter(F.col("parent_run_id") == "parent-1").count() == 3
     best = log.filter(F.col("tags")["stage"] == "trial").orderBy(F.col("metrics")["rmse"]).first()
     assert best["params"]["maxDepth"] == "3"

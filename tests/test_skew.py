@@ -110,7 +110,7 @@ def test_scoring_join_splits_hot_device(spark, hot):
     try:
         # broadcast_max_rows=0: take the path of a model table too big to broadcast
         scored = models.score(hot, m, "device_id", ["feature_1"], broadcast_max_rows=0,
-                              hot_fraction=0.2, salt_buckets=16)
+                              hot_fraction=0.2, rows_per_salt=600)
         plain = models.score(hot, m, "device_id", ["feature_1"])
         got = sorted((r["id"], r["prediction"]) for r in scored.select("id", "prediction").collect())
         want = sorted((r["id"], r["prediction"]) for r in plain.select("id", "prediction").collect())

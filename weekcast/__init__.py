@@ -5,8 +5,8 @@ Subpackages
 sources    table readers, the standing inputs built from them, and sinks
 functions  column-expression builders (calendar, event flags, scalar helpers)
 operators  series windows, packing, search/arg-min, per-group models, sampling, checks
-plans      composite jobs: demand shaping, many-models, forecast-all, MLlib tuning, run log
-streaming  intentionally empty (the workload has no streaming part)
+plans      composite jobs: demand shaping, many-models, forecasts, MLlib tuning, run log
+llm        training-data operators; nothing outside imports it
 """
 
 __all__ = ["queries", "oracle"]

@@ -1,7 +1,7 @@
 """Command line: list or run registered queries.
 
     python -m weekcast list
-    python -m weekcast run forecast_all --sf /root/testdata/sf0.01 [--out PATH] [--show 20]
+    python -m weekcast run forecast_best --sf /root/testdata/sf0.01 [--out PATH] [--show 20]
 
 ``--out`` writes the result as Parquet (overwrite); otherwise ``--show`` rows
 are printed.  The session is local unless ``--master`` names another one.

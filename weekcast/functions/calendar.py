@@ -12,14 +12,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
-# Fixed values that must equal the reference's (demand shaping and features).
+# Fixed values (demand shaping and features).
 #   shock decline right after the event, in percent:      20
 #   shock decline reached at the last calendar week:       7
 #   square-root trend factor while the counter is 0:      100
 #   season factor by ISO week: 51 -> 0.85, >=52 -> 0.8, 1 -> 1.1, 2 -> 1.15,
 #                              3 -> 1.1, 4 -> 1.05, any other week -> 1.0
 #   event feature weeks: christmas = ISO weeks 51-52, new_year = ISO weeks 1-4
-#   reference calendar: 3 x 52 weeks back from the Monday of 2021-07-19,
+#   given calendar: 3 x 52 weeks back from the Monday of 2021-07-19,
 #                       event date 2020-03-01
 # ---------------------------------------------------------------------------
 SHOCK_FROM_PCT = 20.0

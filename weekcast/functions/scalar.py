@@ -36,9 +36,10 @@ def mix_bucket(cols, buckets: int, seed: int = 0) -> Column:
 
 
 def hash_uniform(cols, seed: int) -> Column:
-    """Uniform [0, 1) from ``xxhash64(cols, seed)``: reproducible ``rand``."""
-    h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
-    return (F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53)))
+    """Uniform [0, 1) from the first 52 bits of md5 over the seed and the key
+    columns' text: a reproducible ``rand`` that any SQL engine can compute."""
+    key = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def clean_name(c) -> Column:

@@ -14,16 +14,17 @@ def check_row(name: str, expected: Column, actual: Column, source: DataFrame) ->
                  .withColumn("ok", F.col("expected") == F.col("actual"))
 
 
-def schema_problems(df: DataFrame, expected: dict[str, str]) -> list[str]:
-    """Missing columns or type mismatches against ``{column: simpleString}``."""
+def schema_rows(df: DataFrame, name: str, expected: T.StructType) -> DataFrame:
+    """One row per expected column of a table: type found (null if missing),
+    whether it is the expected one, and how many values the rows hold.  One
+    aggregate over the table."""
     have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    out = []
-    for col, typ in expected.items():
-        if col not in have:
-            out.append(f"missing column {col}")
-        elif have[col] != typ:
-            out.append(f"column {col} is {have[col]}, expected {typ}")
-    return out
+    one = df.agg(*[(F.count(f.name) if f.name in have else F.lit(0).cast("bigint")).alias(f.name) for f in expected.fields])
+    rows = [F.struct(F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"),
+                     F.lit(f.dataType.simpleString()).alias("expected"), F.lit(have.get(f.name)).cast("string").alias("actual"),
+                     F.lit(have.get(f.name) == f.dataType.simpleString()).alias("ok"), F.col(f.name).alias("n_values"))
+            for f in expected.fields]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def compose_schema(*parts) -> T.StructType:

@@ -2,80 +2,92 @@
 
 Training reduces every group to its moments with ordinary (partially
 aggregated) aggregates, so a device holding a third of all rows costs the
-same as any other.  The model table has one row per group; it meets the rows
-through an equi-join that is broadcast only behind an explicit row-count
-check of the table; larger model tables take a shuffle join with hot groups
-salted.
+same as any other; the small linear system is solved by column expressions on
+the one row per group.  The model table meets the rows through an equi-join
+that is broadcast only behind an explicit row-count check of the table;
+larger model tables take a shuffle join with hot groups salted.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+#: Rows that one salt of a hot group may hold in the shuffle join.
+ROWS_PER_SALT = 2_000_000
+
+
+def _complete(df: DataFrame, columns) -> DataFrame:
+    """Rows without a null or NaN in any of the columns: all moments come from the same rows."""
+    for c in columns:
+        df = df.filter(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")))
+    return df
 
 
 def fit_ols_one(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
     """OLS of y on one feature per group, closed form, all on the JVM.
 
     mse = var_pop(y) - covar_pop(x, y)^2 / var_pop(x)  (training error).
+    Rows with a null in x or y are left out; a group whose x is constant has
+    a null model.
     """
     X, Y = F.col(x), F.col(y)
-    return df.groupBy(group).agg(
+    return _complete(df, [x, y]).groupBy(group).agg(
         F.count(F.lit(1)).alias("n_used"),
         F.regr_slope(Y, X).alias("slope"),
         F.regr_intercept(Y, X).alias("intercept"),
         F.regr_r2(Y, X).alias("r2"),
-        (F.var_pop(Y) - F.pow(F.covar_pop(X, Y), 2) / F.var_pop(X)).alias("mse"),
+        (F.var_pop(Y) - F.try_divide(F.pow(F.covar_pop(X, Y), F.lit(2)), F.var_pop(X))).alias("mse"),
     )
 
 
-def _moment_aggs(features, y):
-    aggs = [F.count(F.lit(1)).alias("n_used"), F.avg(y).alias("m_y"), F.var_pop(y).alias("v_y")]
-    for i, a in enumerate(features):
-        aggs.append(F.avg(a).alias(f"m_{i}"))
-        aggs.append(F.covar_pop(a, y).alias(f"c_{i}_y"))
-        for j in range(i, len(features)):
-            aggs.append(F.covar_pop(a, features[j]).alias(f"c_{i}_{j}"))
-    return aggs
+def determinant(m) -> Column:
+    """Determinant of a small square matrix of columns, along the first row."""
+    if len(m) == 1:
+        return m[0][0]
+    out = None
+    for j, head in enumerate(m[0]):
+        term = head * determinant([row[:j] + row[j + 1:] for row in m[1:]])
+        out = term if out is None else (out - term if j % 2 else out + term)
+    return out
 
 
-def fit_ols(df: DataFrame, group: str, features, y: str) -> DataFrame:
-    """OLS of y on k features per group.
+def solve(m, v) -> list[Column]:
+    """Solution of a small linear system by Cramer's rule; null if it is singular, which a
+    determinant of no more than 1e-12 of the product of the diagonal counts as."""
+    k = len(v)
+    det, scale = determinant(m), None
+    for i in range(k):
+        scale = m[i][i] if scale is None else scale * m[i][i]
+    det = F.when(F.abs(det) > F.abs(scale) * F.lit(1e-12), det)
+    return [F.try_divide(determinant([[v[i] if j == c else m[i][j] for j in range(k)] for i in range(k)]), det)
+            for c in range(k)]
+
 
-    Spark computes the centred moments per group (partial aggregation, numerically
-    stable); the k x k solve runs in numpy on the one-row-per-group table.
+def fit_ols(df: DataFrame, group: str, features, y: str) -> DataFrame:
+    """OLS of y on k features per group from centred moments (partial
+    aggregation, numerically stable).  Rows with a null in any column are left
+    out; a group whose features are constant or collinear has a null model.
     Output: group, n_used, coef ARRAY<DOUBLE>, intercept, r2, mse.
     """
-    k = len(features)
-    moments = df.groupBy(group).agg(*_moment_aggs(list(features), y))
-    out_schema = T.StructType([
-        moments.schema[group], T.StructField("n_used", T.LongType()),
-        T.StructField("coef", T.ArrayType(T.DoubleType())),
-        T.StructField("intercept", T.DoubleType()), T.StructField("r2", T.DoubleType()),
-        T.StructField("mse", T.DoubleType())])
-
-    def solve(batches):
-        for pdf in batches:
-            rows = []
-            for r in pdf.itertuples(index=False):
-                r = r._asdict()
-                cxx = np.empty((k, k))
-                for i in range(k):
-                    for j in range(i, k):
-                        cxx[i, j] = cxx[j, i] = r[f"c_{i}_{j}"]
-                cxy = np.array([r[f"c_{i}_y"] for i in range(k)])
-                b = np.linalg.lstsq(cxx, cxy, rcond=None)[0]
-                means = np.array([r[f"m_{i}"] for i in range(k)])
-                mse = max(float(r["v_y"] - b @ cxy), 0.0)
-                r2 = 1.0 - mse / r["v_y"] if r["v_y"] > 0 else None
-                rows.append((r[group], int(r["n_used"]), b.tolist(),
-                             float(r["m_y"] - b @ means), r2, mse))
-            yield pd.DataFrame(rows, columns=out_schema.fieldNames())
-
-    return moments.mapInPandas(solve, out_schema)
+    features, k = list(features), len(features)
+    aggs = [F.count(F.lit(1)).alias("n_used"), F.avg(y).alias("m_y"), F.var_pop(y).alias("v_y")]
+    for i, a in enumerate(features):
+        aggs += [F.avg(a).alias(f"m_{i}"), F.covar_pop(a, y).alias(f"c_{i}_y")]
+        aggs += [F.covar_pop(a, features[j]).alias(f"c_{i}_{j}") for j in range(i, k)]
+    moments = _complete(df, [*features, y]).groupBy(group).agg(*aggs)
+    cxx = [[F.col(f"c_{min(i, j)}_{max(i, j)}") for j in range(k)] for i in range(k)]
+    b = solve(cxx, [F.col(f"c_{i}_y") for i in range(k)])
+    fit = moments.select("*", *[x.alias(f"b_{i}") for i, x in enumerate(b)])
+    explained, centre = F.lit(0.0), F.lit(0.0)
+    for i in range(k):
+        explained = explained + F.col(f"b_{i}") * F.col(f"c_{i}_y")
+        centre = centre + F.col(f"b_{i}") * F.col(f"m_{i}")
+    # greatest() skips nulls: a null model keeps a null error
+    mse = F.when(explained.isNotNull(), F.greatest(F.col("v_y") - explained, F.lit(0.0)))
+    return fit.select(group, "n_used", F.array(*[F.col(f"b_{i}") for i in range(k)]).alias("coef"),
+                      (F.col("m_y") - centre).alias("intercept"),
+                      (F.lit(1.0) - F.try_divide(mse, F.col("v_y"))).alias("r2"), mse.alias("mse"))
 
 
 def linear_prediction(coef: Column, intercept: Column, features) -> Column:
@@ -88,11 +100,12 @@ def linear_prediction(coef: Column, intercept: Column, features) -> Column:
 def score(rows: DataFrame, models: DataFrame, group: str, features,
           coef: str = "coef", intercept: str = "intercept",
           broadcast_max_rows: int = 200_000, hot_fraction: float = 0.01,
-          salt_buckets: int = 32) -> DataFrame:
+          rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Attach each row's own group model (left join) and predict.
 
-    A group without a model gets a null prediction and ``has_model = false``
-    instead of failing.
+    A group missing from the table gets ``has_model = false`` and a null
+    prediction instead of failing; a null model (constant features) is a model
+    with a null prediction.
 
     The join strategy is chosen behind a size check of the model table (one
     row per group; pass a materialised table, counting it is cheap):
@@ -100,32 +113,31 @@ def score(rows: DataFrame, models: DataFrame, group: str, features,
     * up to ``broadcast_max_rows`` models (~100 bytes each): broadcast join,
       rows are never shuffled, so a hot group costs nothing extra;
     * beyond it: shuffle join, with groups above ``hot_fraction`` of all
-      rows (known from ``n_used``) salted: their rows spread over
-      ``salt_buckets`` join keys by a hash of the row, and only their model
-      rows are replicated once per bucket.  The hot list has at most
+      rows (known from ``n_used``) salted: their rows spread over one join key
+      per ``rows_per_salt`` rows by a hash of the row, and only their model
+      rows are replicated, once per key.  The hot list has at most
       1 / hot_fraction entries (a proven bound), so it is broadcast.
     """
-    m = models.select(group, F.col(coef).alias("_coef"), F.col(intercept).alias("_b0"))
+    m = models.select(group, F.col(coef).alias("_coef"), F.col(intercept).alias("_b0"), F.lit(True).alias("_known"))
     if models.count() <= broadcast_max_rows:
         joined = rows.join(F.broadcast(m), group, "left")
     elif "n_used" in models.columns and hot_fraction:
         total = models.agg(F.sum("n_used")).scalar()
         hot = (models.filter(F.col("n_used") > total * F.lit(hot_fraction))
-                     .select(group, F.lit(True).alias("_hot")))
+                     .select(group, F.ceil(F.col("n_used") / rows_per_salt).cast("int").alias("_hot")))
         row_cols = [F.col(c) for c in rows.columns]
         rows_s = (rows.join(F.broadcast(hot), group, "left")
-                      .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*row_cols), F.lit(salt_buckets)))
-                                            .otherwise(F.lit(0)))
+                      .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*row_cols), F.col("_hot")).cast("int"), F.lit(0)))
                       .drop("_hot"))
-        last = F.when(F.col("_hot"), F.lit(salt_buckets - 1)).otherwise(F.lit(0))
+        last = F.coalesce(F.col("_hot") - 1, F.lit(0))
         m_s = (m.join(F.broadcast(hot), group, "left")
-                .select(group, "_coef", "_b0", F.explode(F.sequence(F.lit(0), last)).alias("_salt")))
+                .select(group, "_coef", "_b0", "_known", F.explode(F.sequence(F.lit(0), last)).alias("_salt")))
         joined = rows_s.join(m_s, [group, "_salt"], "left").drop("_salt")
     else:
         joined = rows.join(m, group, "left")
     return (joined.withColumn("prediction", linear_prediction(F.col("_coef"), F.col("_b0"), features))
-                  .withColumn("has_model", F.col("_b0").isNotNull())
-                  .drop("_coef", "_b0"))
+                  .withColumn("has_model", F.col("_known").isNotNull())
+                  .drop("_coef", "_b0", "_known"))
 
 
 def save_model_table(models: DataFrame, path: str) -> None:

@@ -1,31 +1,20 @@
 """Model search as data: candidates are rows, losses are a column, the best
 candidate per series is an arg-min aggregate.
 
-The SQL-expressible forecasters here share the split, loss and arg-min code
-with the ARIMAX search (``plans.forecast``); only the forecast differs.
+Forecasters are column expressions over one window partitioning; split, loss
+and arg-min are shared by all of them.
 """
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Search space of the ARIMA order: p, q in 0..4 and d in 0..2, integers.
-P_RANGE, D_RANGE, Q_RANGE = range(0, 5), range(0, 3), range(0, 5)
-
 # Forecasters that SQL can express, as (cand_id, name, window length or None).
 SQL_FORECASTERS = ((0, "last", None), (1, "mean4", 4), (2, "mean26", 26), (3, "mean52", 52),
                    (4, "drift", None))
 
 
-def order_grid() -> list[tuple[int, int, int, int]]:
-    """Full (cand_id, p, d, q) grid, cand_id = p*15 + d*5 + q (75 rows)."""
-    return [(p * 15 + d * 5 + q, p, d, q)
-            for p, d, q in itertools.product(P_RANGE, D_RANGE, Q_RANGE)]
-
-
 def finite_or_inf(c) -> Column:
     """Null and NaN losses rank last in the arg-min."""
     inf = F.lit(float("inf"))
@@ -43,44 +32,69 @@ def arg_min(df: DataFrame, keys, loss: str, tie: str, carry) -> DataFrame:
     return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")
 
 
-def tail_forecasts(df: DataFrame, keys, horizon: int, min_train: int,
-                   value: str = "demand", order_col: str = "wk") -> DataFrame:
-    """Tail rows of every long-enough series with each SQL forecaster's value.
+def forecasts(df: DataFrame, keys, horizon: int, value: str = "demand", order_col: str = "wk") -> DataFrame:
+    """Every row of every series with each forecaster's value for it.
 
-    History = all but the last ``horizon`` rows; series with fewer than
-    ``min_train`` history rows are left out (they are ``too_short``).
-    Forecasts are whole-partition window aggregates of the history, so the
-    whole thing is one exchange on the series key.
+    Adds ``is_history``, ``status`` and one column ``f_<name>`` per forecaster:
+    in the last ``horizon`` weeks its forecast from the history, before them
+    its one-step forecast from the weeks before (the fitted history; null in
+    the first week).  A series of no more than ``horizon`` weeks has no
+    history: its rows stay, with status ``too_short`` and null forecasts.
+    Input must be regular (one row per week).  One exchange on the series key.
     """
-    w_o = Window.partitionBy(*keys).orderBy(order_col)
-    w = Window.partitionBy(*keys)
-    y, rn = F.col(value), F.col("_rn")
-    t = (df.select(*keys, order_col, value)
-           .withColumn("_rn", F.row_number().over(w_o))
-           .withColumn("_nh", F.count(F.lit(1)).over(w) - F.lit(horizon)))
-    nh = F.col("_nh")
+    by = Window.partitionBy(*keys)
+    w = by.orderBy(order_col)
+    y, rn, nh = F.col(value), F.col("_rn"), F.col("_nh")
+    t = df.select(*keys, order_col, value, F.row_number().over(w).alias("_rn")) \
+          .withColumn("_nh", F.count(F.lit(1)).over(by) - F.lit(horizon))
     hist = rn <= nh
-    stats = {"f_last": F.max(F.when(rn == nh, y)).over(w),
-             "_first": F.max(F.when(rn == 1, y)).over(w)}
+    last, first = F.max(F.when(rn == nh, y)).over(by), F.max(F.when(rn == 1, y)).over(by)
+    before = F.lag(value, 1).over(w)
+    out = {"f_last": F.when(hist, before).otherwise(last)}
     for _, name, k in SQL_FORECASTERS:
         if k:
-            stats[f"f_{name}"] = F.avg(F.when(hist & (rn > nh - F.lit(k)), y)).over(w)
-    t = t.filter(nh >= F.lit(min_train)).select("*", *[c.alias(n) for n, c in stats.items()])
-    step = (rn - nh).cast("double")
-    slope = F.when(nh > 1, (F.col("f_last") - F.col("_first")) / (nh - F.lit(1))).otherwise(F.lit(0.0))
-    return (t.filter(~hist)
-             .withColumn("f_drift", F.col("f_last") + step * slope)
-             .drop("_first", "_nh"))
+            recent = F.avg(y).over(w.rowsBetween(-k, -1))
+            out[f"f_{name}"] = F.when(hist, recent).otherwise(F.avg(F.when(hist & (rn > nh - F.lit(k)), y)).over(by))
+    t = t.select("*", last.alias("_last"), first.alias("_first"), before.alias("_before"),
+                 *[c.alias(n) for n, c in out.items()])
+    ahead = F.col("_last") + (rn - nh) * F.coalesce(F.try_divide(F.col("_last") - F.col("_first"), nh - 1), F.lit(0.0))
+    step = F.col("_before") + F.coalesce(F.try_divide(F.col("_before") - F.col("_first"), rn - 2), F.lit(0.0))
+    ok = nh >= 1
+    t = t.withColumn("f_drift", F.when(hist, step).otherwise(ahead))
+    return t.select(*keys, order_col, value, (hist & ok).alias("is_history"),
+                    F.when(ok, "ok").otherwise("too_short").alias("status"),
+                    *[F.when(ok, F.col(f"f_{name}")).alias(f"f_{name}") for _, name, _ in SQL_FORECASTERS])
+
+
+def _tail_error(name: str, value: str) -> Column:
+    return F.when(~F.col("is_history"), F.pow(F.col(value) - F.col(f"f_{name}"), F.lit(2)))
 
 
-def sql_forecaster_losses(df: DataFrame, keys, horizon: int, min_train: int,
+def sql_forecaster_losses(df: DataFrame, keys, horizon: int,
                           value: str = "demand", order_col: str = "wk", digits: int = 6) -> DataFrame:
-    """(keys, cand_id, loss): mean squared tail error of each SQL forecaster."""
-    tails = tail_forecasts(df, keys, horizon, min_train, value, order_col)
-    y = F.col(value)
-    per_series = tails.groupBy(*keys).agg(
-        *[F.avg(F.pow(y - F.col(f"f_{name}"), 2)).alias(f"l{cid}") for cid, name, _ in SQL_FORECASTERS])
-    long = F.array(*[F.struct(F.lit(cid).alias("cand_id"), F.col(f"l{cid}").alias("loss"))
-                     for cid, _, _ in SQL_FORECASTERS])
-    return (per_series.select(*keys, F.inline(long))
-                      .withColumn("loss", F.round("loss", digits)))
+    """(keys, cand_id, loss, status): mean squared tail error of each SQL
+    forecaster; every series is there, too short ones with a null loss."""
+    rows = forecasts(df, keys, horizon, value, order_col)
+    per_series = rows.groupBy(*keys).agg(
+        F.max("status").alias("status"),
+        *[F.avg(_tail_error(name, value)).alias(f"l{cid}") for cid, name, _ in SQL_FORECASTERS])
+    long = F.array(*[F.struct(F.lit(cid).alias("cand_id"), F.col(f"l{cid}").alias("loss")) for cid, _, _ in SQL_FORECASTERS])
+    return per_series.select(*keys, "status", F.inline(long)).withColumn("loss", F.round("loss", digits))
+
+
+def forecast_best(df: DataFrame, keys, horizon: int, value: str = "demand", order_col: str = "wk",
+                  digits: int = 6) -> DataFrame:
+    """Fitted history and forecast tail of each series by its best forecaster
+    (smallest tail error, ties by id), with the loss.  The choice is a window
+    over the same partitioning as the forecasts: no join, no second exchange."""
+    by = Window.partitionBy(*keys)
+    rows = forecasts(df, keys, horizon, value, order_col)
+    losses = F.array(*[F.struct(finite_or_inf(F.round(F.avg(_tail_error(name, value)).over(by), digits)).alias("loss"),
+                                F.lit(cid).alias("cand_id")) for cid, name, _ in SQL_FORECASTERS])
+    best = F.when(F.col("status") == "ok", F.array_min("_losses"))
+    rows = rows.withColumn("_losses", losses).withColumn("_best", best)
+    fitted = F.lit(None).cast("double")
+    for cid, name, _ in SQL_FORECASTERS:
+        fitted = F.when(F.col("_best.cand_id") == cid, F.col(f"f_{name}")).otherwise(fitted)
+    return rows.select(*keys, order_col, value, "is_history", "status", F.col("_best.cand_id").alias("cand_id"),
+                       F.col("_best.loss").alias("loss"), F.round(fitted, digits).alias("demand_fitted"))

@@ -3,21 +3,17 @@
 Views ``lineitem part region embeddings events ...`` are pre-registered by
 the checker.  Column names and types follow the Spark results.  Floats that
 are not sums of integers are rounded in both engines to the same places.
+Nothing is imported from the code under test: constants are written out and
+calendars are generated here.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-from weekcast.functions import calendar as cal
-from weekcast.operators.search import SQL_FORECASTERS
-
+# Weeks held out, the event date, the first Monday on or after it, and the run id.
 H = 40
-MIN_TRAIN = 20
 RUN_ID = "weekcast-run-1"
-EVENT = cal.TEST_EVENT
-E = f"DATE '{EVENT.isoformat()}'"
-M0 = f"DATE '{cal.first_monday_on_or_after(EVENT).isoformat()}'"
+E = "DATE '2000-03-01'"
+M0 = "DATE '2000-03-06'"
 
 WEEKLY = """weekly AS (
   SELECT p_type AS product, p_brand AS sku, CAST(date_trunc('week', l_shipdate) AS DATE) AS wk,
@@ -37,48 +33,60 @@ def _counter(wk: str) -> str:
 
 
 def _shock(counter: str, max_counter: str) -> str:
-    drop = cal.SHOCK_FROM_PCT - cal.SHOCK_TO_PCT
+    # down by 20 % right after the event, by 7 % in the last week, linear between
     return (f"CASE WHEN {counter} = 0 THEN CAST(1.0 AS DOUBLE) ELSE "
-            f"(CAST(100.0 AS DOUBLE) - (CAST({cal.SHOCK_FROM_PCT} AS DOUBLE) - "
-            f"(CAST({drop} AS DOUBLE) / {max_counter}) * {counter})) / CAST(100.0 AS DOUBLE) END")
+            f"(CAST(100.0 AS DOUBLE) - (CAST(20.0 AS DOUBLE) - "
+            f"(CAST(13.0 AS DOUBLE) / {max_counter}) * {counter})) / CAST(100.0 AS DOUBLE) END")
 
 
 def _season(week: str) -> str:
-    parts = []
-    for wk_no, factor in cal.SEASON_FACTORS:
-        cond = f"{week} >= {wk_no}" if wk_no == 52 else f"{week} = {wk_no}"
-        parts.append(f"WHEN {cond} THEN CAST({factor} AS DOUBLE)")
-    return f"CASE {' '.join(parts)} ELSE CAST({cal.SEASON_DEFAULT} AS DOUBLE) END"
+    return (f"CASE WHEN {week} = 51 THEN CAST(0.85 AS DOUBLE) WHEN {week} >= 52 THEN CAST(0.8 AS DOUBLE) "
+            f"WHEN {week} = 1 THEN CAST(1.1 AS DOUBLE) WHEN {week} = 2 THEN CAST(1.15 AS DOUBLE) "
+            f"WHEN {week} = 3 THEN CAST(1.1 AS DOUBLE) WHEN {week} = 4 THEN CAST(1.05 AS DOUBLE) "
+            f"ELSE CAST(1.0 AS DOUBLE) END")
 
 
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-TAILS = f"""t AS (
-  SELECT product, sku, wk, demand,
-         row_number() OVER (PARTITION BY product, sku ORDER BY wk) AS rn,
-         count(*) OVER (PARTITION BY product, sku) - {H} AS nh
-  FROM weekly),
-s AS (
-  SELECT *,
-    max(CASE WHEN rn = nh THEN demand END) OVER (PARTITION BY product, sku) AS f_last,
-    max(CASE WHEN rn = 1 THEN demand END) OVER (PARTITION BY product, sku) AS f_first,
-    {", ".join(f"avg(CASE WHEN rn <= nh AND rn > nh - {k} THEN demand END) OVER (PARTITION BY product, sku) AS f_{name}"
-               for _, name, k in SQL_FORECASTERS if k)}
-  FROM t WHERE nh >= {MIN_TRAIN}),
-tails AS (
-  SELECT *, f_last + CAST(rn - nh AS DOUBLE) *
-         CASE WHEN nh > 1 THEN (f_last - f_first) / (nh - 1) ELSE CAST(0.0 AS DOUBLE) END AS f_drift
-  FROM s WHERE rn > nh)"""
-
-LOSSES = TAILS + """,
-per AS (SELECT product, sku, """ + ", ".join(
-    f"avg(power(demand - f_{name}, 2)) AS l{cid}" for cid, name, _ in SQL_FORECASTERS) + """
-        FROM tails GROUP BY product, sku),
+# every Monday from a series' first to its last week; weeks without shipments are 0
+DENSE = """dense AS (
+  SELECT g.product, g.sku, g.wk, coalesce(weekly.demand, CAST(0.0 AS DOUBLE)) AS demand
+  FROM (SELECT product, sku, CAST(w AS DATE) AS wk FROM (
+          SELECT product, sku, unnest(generate_series(min(wk), max(wk), INTERVAL 7 DAY)) AS w
+          FROM weekly GROUP BY product, sku)) g
+  LEFT JOIN weekly USING (product, sku, wk))"""
+
+_MEANS = (4, 26, 52)
+FORECASTS = f"""t AS (
+  SELECT product, sku, wk, demand, row_number() OVER o AS rn, count(*) OVER p - {H} AS nh,
+         lag(demand, 1) OVER o AS y1, first_value(demand) OVER o AS y0
+  FROM dense WINDOW p AS (PARTITION BY product, sku), o AS (PARTITION BY product, sku ORDER BY wk)),
+u AS (
+  SELECT *, max(CASE WHEN rn = nh THEN demand END) OVER p AS yl,
+    {", ".join(f"avg(CASE WHEN rn <= nh AND rn > nh - {k} THEN demand END) OVER p AS a{k}, "
+               f"avg(demand) OVER (PARTITION BY product, sku ORDER BY wk ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) AS b{k}"
+               for k in _MEANS)}
+  FROM t WINDOW p AS (PARTITION BY product, sku)),
+f AS (
+  SELECT product, sku, wk, demand, nh >= 1 AND rn <= nh AS is_history,
+         CASE WHEN nh >= 1 THEN 'ok' ELSE 'too_short' END AS status,
+         CASE WHEN nh < 1 THEN NULL WHEN rn <= nh THEN y1 ELSE yl END AS f0,
+         {", ".join(f"CASE WHEN nh < 1 THEN NULL WHEN rn <= nh THEN b{k} ELSE a{k} END AS f{i + 1}"
+                    for i, k in enumerate(_MEANS))},
+         CASE WHEN nh < 1 THEN NULL
+              WHEN rn <= nh THEN y1 + CASE WHEN rn > 2 THEN (y1 - y0) / (rn - 2) ELSE CAST(0.0 AS DOUBLE) END
+              ELSE yl + (rn - nh) * CASE WHEN nh > 1 THEN (yl - y0) / (nh - 1) ELSE CAST(0.0 AS DOUBLE) END END AS f4
+  FROM u)"""
+
+LOSSES = """per AS (SELECT product, sku, max(status) AS status, """ + ", ".join(
+    f"round(avg(power(demand - f{c}, 2)) FILTER (NOT is_history), 6) AS l{c}" for c in range(5)) + """
+        FROM f GROUP BY product, sku),
 losses AS (""" + "\n UNION ALL ".join(
-    f"SELECT product, sku, CAST({cid} AS INTEGER) AS cand_id, round(l{cid}, 6) AS loss FROM per"
-    for cid, _, _ in SQL_FORECASTERS) + ")"
+    f"SELECT product, sku, status, CAST({c} AS INTEGER) AS cand_id, l{c} AS loss FROM per" for c in range(5)) + """),
+best AS (SELECT product, sku, status, CASE WHEN status = 'ok' THEN cand_id END AS cand_id, loss FROM (
+  SELECT *, row_number() OVER (PARTITION BY product, sku ORDER BY loss NULLS LAST, cand_id) AS rk FROM losses) WHERE rk = 1)"""
 
 MODELS = """m AS (
   SELECT l_suppkey % 10 AS device_id, count(*) AS n_used,
@@ -117,101 +125,64 @@ sol AS (SELECT *, """ + ", ".join(f"{_cramer(i)} AS b{i}" for i in range(3)) + "
 fit AS (SELECT *, my - (b0 * m0 + b1 * m1 + b2 * m2) AS intercept,
                greatest(vy - (b0 * cy0 + b1 * cy1 + b2 * cy2), 0.0) AS mse FROM sol)""")
 
-# Spark's hash() of a string: Murmur3 x86_32, seed 42, over its UTF-8 bytes
-# (4-byte little-endian blocks, then each remaining byte mixed on its own).
-# 32-bit arithmetic is emulated with masks; products go through HUGEINT.
-def _mul32(a: str, b: int) -> str:
-    return f"CAST((CAST({a} AS HUGEINT) * {b}) % 4294967296 AS BIGINT)"
-
-
-def _rotl(x: str, r: int) -> str:
-    return f"((({x}) << {r}) | (({x}) >> {32 - r})) & 4294967295"
-
-
-def _mixk1(k: str) -> str:
-    return _mul32(_rotl(_mul32(k, 0xcc9e2d51), 15), 0x1b873593)
-
-
-def _mixh1(h: str, k: str) -> str:
-    return f"(({_rotl(f'xor({h}, {k})', 13)}) * 5 + {0xe6546b64}) & 4294967295"
-
-
-VALUE_HASH = ("""
-WITH s0 AS (
-  SELECT p_partkey, coalesce(CAST(CASE WHEN p_size <= 40 THEN p_size END AS VARCHAR), 'null') AS value
-  FROM part),
-s1 AS (SELECT *, strlen(value) AS n, """ +
-    ", ".join(f"CASE WHEN strlen(value) > {i} THEN ascii(substr(value, {i + 1}, 1)) ELSE 0 END AS b{i}"
-              for i in range(4)) + """ FROM s0),
-s2 AS (SELECT *, CASE WHEN n = 4 THEN """ + _mixh1("42", _mixk1("(b0 | (b1 << 8) | (b2 << 16) | (b3 << 24))")) +
-    """ WHEN n >= 1 THEN """ + _mixh1("42", _mixk1("b0")) + """ ELSE 42 END AS h1 FROM s1),
-s3 AS (SELECT *, CASE WHEN n IN (2, 3) THEN """ + _mixh1("h1", _mixk1("b1")) + """ ELSE h1 END AS h2 FROM s2),
-s4 AS (SELECT *, CASE WHEN n = 3 THEN """ + _mixh1("h2", _mixk1("b2")) + """ ELSE h2 END AS h3 FROM s3),
-f1 AS (SELECT *, xor(h3, n) AS g0 FROM s4),
-f2 AS (SELECT *, """ + _mul32("xor(g0, g0 >> 16)", 0x85ebca6b) + """ AS g1 FROM f1),
-f3 AS (SELECT *, """ + _mul32("xor(g1, g1 >> 13)", 0xc2b2ae35) + """ AS g2 FROM f2),
-f4 AS (SELECT *, xor(g2, g2 >> 16) AS g3 FROM f3)
-SELECT p_partkey, value,
-       abs(CASE WHEN g3 >= 2147483648 THEN g3 - 4294967296 ELSE g3 END) AS h
-FROM f4""")
-
-# Spark's xxhash64(col1, ..., colN): XXH64 of each value in turn, each seeded
-# with the previous hash (first seed 42); 64-bit arithmetic via UHUGEINT.
-_U = "UHUGEINT"
-_P1, _P2, _P3, _P4, _P5 = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
-                          0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
-
-
-def _u(v) -> str:
-    return f"CAST('{v}' AS {_U})" if isinstance(v, int) else f"CAST({v} AS {_U})"
-
-
-def _m64(x: str) -> str:
-    return f"(({x}) % {_u(1 << 64)})"
-
-
-def _rotl64(x: str, r: int) -> str:
-    return f"(((({x}) << {r}) | (({x}) >> {64 - r})) & {_u((1 << 64) - 1)})"
-
-
-def _xx_steps(value: str, seed: str, out: str, is_long: bool) -> list[tuple[str, str]]:
-    """Assignments (column, expression) computing XXH64 of one value."""
-    t = f"_{out}"
-    if is_long:
-        core = [(f"{t}a", _m64(f"{seed} + {_u(_P5 + 8)}")),
-                (f"{t}b", f"xor({t}a, {_m64(f'{_rotl64(_m64(f'{_u(value)} * {_u(_P2)}'), 31)} * {_u(_P1)}')})"),
-                (f"{t}c", _m64(f"{_rotl64(f'{t}b', 27)} * {_u(_P1)} + {_u(_P4)}"))]
-    else:
-        core = [(f"{t}a", _m64(f"{seed} + {_u(_P5 + 4)}")),
-                (f"{t}b", f"xor({t}a, {_m64(f'({_u(value)} & {_u(0xFFFFFFFF)}) * {_u(_P1)}')})"),
-                (f"{t}c", _m64(f"{_rotl64(f'{t}b', 23)} * {_u(_P2)} + {_u(_P3)}"))]
-    return core + [(f"{t}d", f"xor({t}c, {t}c >> 33)"),
-                   (f"{t}e", _m64(f"{t}d * {_u(_P2)}")),
-                   (f"{t}f", f"xor({t}e, {t}e >> 29)"),
-                   (f"{t}g", _m64(f"{t}f * {_u(_P3)}")),
-                   (out, f"xor({t}g, {t}g >> 32)")]
-
-
-def _rand_columns_sql() -> str:
-    steps = []
-    seed = _u(42)
-    for i, (col, is_long) in enumerate((("l_orderkey", True), ("l_partkey", True),
-                                        ("l_suppkey", True), ("l_linenumber", False))):
-        steps += _xx_steps(col, seed, f"k{i}", is_long)
-        seed = f"k{i}"
-    for s_ in (1, 2, 3, 4):
-        steps += _xx_steps(str(s_), "k3", f"h{s_}", False)
-    ctes = ["c0 AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate FROM lineitem)"]
-    for i, (name, expr) in enumerate(steps, start=1):
-        ctes.append(f"c{i} AS (SELECT *, {expr} AS {name} FROM c{i - 1})")
-    two53 = 1 << 53
-    u = {s_: f"(CAST(h{s_} % {_u(two53)} AS DOUBLE) / CAST({two53} AS DOUBLE))" for s_ in (1, 2, 3, 4)}
-    f = {s_: f"({u[s_]} * CAST({float(s_)} AS DOUBLE))" for s_ in (1, 2, 3)}
-    return ("WITH " + ",\n".join(ctes) +
-            f"\nSELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, "
-            f"{f[1]} AS feature_1, {f[2]} AS feature_2, {f[3]} AS feature_3, "
-            f"((({f[1]} + {f[2]}) + {f[3]}) + {u[4]}) AS label FROM c{len(steps)}")
-
+# Golden values: Spark's hash() of the texts '1' to '40' and 'null', made non-negative.
+VALUE_HASH_GOLDEN = """('1', 1625004744), ('2', 870267989), ('3', 1756013582), ('4', 2142269034), ('5', 135093849),
+  ('6', 1929623325), ('7', 141897003), ('8', 1276280174), ('9', 541481139), ('10', 1573909955),
+  ('11', 1726485189), ('12', 155192030), ('13', 2071733625), ('14', 651275377), ('15', 1255987793),
+  ('16', 1961710367), ('17', 1970338662), ('18', 483404947), ('19', 276947115), ('20', 635186254),
+  ('21', 1759010777), ('22', 1059805429), ('23', 866616713), ('24', 310565539), ('25', 958838101),
+  ('26', 1874720063), ('27', 2125090942), ('28', 1483018429), ('29', 1867692786), ('30', 1718779581),
+  ('31', 1727939050), ('32', 210093059), ('33', 48770877), ('34', 1269525580), ('35', 330350367),
+  ('36', 1212808154), ('37', 105128356), ('38', 2037588501), ('39', 392883167), ('40', 1771747499),
+  ('null', 673233193)"""
+VALUE_HASH = """
+WITH g(value, h) AS (VALUES """ + VALUE_HASH_GOLDEN + """),
+v AS (SELECT p_partkey, coalesce(CAST(CASE WHEN p_size <= 40 THEN p_size END AS VARCHAR), 'null') AS value FROM part)
+SELECT p_partkey, value, CAST(h AS BIGINT) AS h FROM v LEFT JOIN g USING (value)"""
+
+
+def _uniform(seed: int) -> str:
+    key = f"concat_ws(':', '{seed}', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
+    return f"(CAST(CAST('0x' || substr(md5({key}), 1, 13) AS BIGINT) AS DOUBLE) / CAST({1 << 52} AS DOUBLE))"
+
+
+RAND_COLUMNS = f"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, f1 AS feature_1, f2 AS feature_2, f3 AS feature_3,
+       f1 + f2 + f3 + f4 AS label
+FROM (SELECT *, {_uniform(1)} AS f1, {_uniform(2)} * CAST(2 AS DOUBLE) AS f2, {_uniform(3)} * CAST(3 AS DOUBLE) AS f3,
+             {_uniform(4)} AS f4 FROM lineitem)"""
+
+_FLAGS = ("covid", "christmas", "new_year")
+
+
+def _exo_gain() -> str:
+    """Regression on the three flags over each history: moments, then Cramer's rule (variances + 1e-6)."""
+    m = [[f"(c{min(i, j)}{max(i, j)} + 0.000001)" if i == j else f"c{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+    b = [f"({_det3([[f'cy{i}' if j == c else m[i][j] for j in range(3)] for i in range(3)])}) / {_det3(m)}" for c in range(3)]
+    return f"""
+x AS (SELECT *, row_number() OVER (PARTITION BY product, sku ORDER BY wk)
+             <= count(*) OVER (PARTITION BY product, sku) - {H} AS hist,
+             CAST(wk >= {E} AS DOUBLE) AS covid, CAST(week(wk) BETWEEN 51 AND 52 AS DOUBLE) AS christmas,
+             CAST(week(wk) BETWEEN 1 AND 4 AS DOUBLE) AS new_year FROM dense),
+mo AS (SELECT product, sku, avg(demand) AS my, {", ".join(f"avg({a}) AS m{i}, covar_pop({a}, demand) AS cy{i}" for i, a in enumerate(_FLAGS))},
+             {", ".join(f"covar_pop({_FLAGS[i]}, {_FLAGS[j]}) AS c{i}{j}" for i in range(3) for j in range(i, 3))}
+      FROM x WHERE hist GROUP BY product, sku),
+be AS (SELECT *, {", ".join(f"{e} AS b{i}" for i, e in enumerate(b))} FROM mo),
+e AS (SELECT x.product, x.sku, max(CASE WHEN x.hist THEN 1 ELSE 0 END) = 1 AS ok,
+             avg(power(demand - my, 2)) FILTER (NOT hist) AS w0,
+             avg(power(demand - (my + {" + ".join(f"b{i} * ({a} - m{i})" for i, a in enumerate(_FLAGS))}), 2)) FILTER (NOT hist) AS w1
+      FROM x LEFT JOIN be ON x.product = be.product AND x.sku = be.sku GROUP BY x.product, x.sku)
+SELECT product, sku, CASE WHEN ok THEN 'ok' ELSE 'too_short' END AS status, round(w0, 2) AS loss_without,
+       round(w1, 2) AS loss_with, round(w0 - w1, 2) AS gain FROM e"""
+
+
+# label order of the train rows: frequency first, then the label
+INDEXED = """tr AS (SELECT * FROM part WHERE p_partkey % 10 < 6),
+bi AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS DOUBLE) AS p_brand_code
+       FROM tr GROUP BY p_brand),
+ty AS (SELECT p_type, CAST(row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS DOUBLE) AS p_type_code
+       FROM tr GROUP BY p_type),
+ix AS (SELECT p_partkey, p_brand_code, p_type_code FROM part JOIN bi USING (p_brand) JOIN ty USING (p_type))"""
 
 RUNLOG = """r AS (
   SELECT event_id AS run_id, ts AS end_time,
@@ -222,7 +193,11 @@ RUNLOG = """r AS (
 SQL: dict[str, str] = {
     "weekly_demand": _with(WEEKLY) + "SELECT product, sku, wk, demand FROM weekly",
     "row_count": _with(WEEKLY) + "SELECT count(*) AS row_count FROM weekly",
-    "range_rows": "SELECT range AS record_id, range % 10 AS device_id FROM range((SELECT count(*) FROM lineitem))",
+    "range_rows": """
+SELECT *, record_id % 10 AS device_id FROM (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate,
+         row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate) - 1 AS record_id
+  FROM lineitem)""",
     "calendar": _with(BOUNDS, CAL) + "SELECT wk FROM cal",
     "calendar_factors": _with(BOUNDS, CAL) + f"""
 SELECT wk, CAST(week(wk) AS INTEGER) AS iso_week, {_counter('wk')} AS counter,
@@ -240,7 +215,7 @@ FROM cal""",
          {_season('week(wk)')} AS season
   FROM weekly)""") + f"""
 SELECT product, sku, wk,
-       round(CASE WHEN counter = 0 THEN demand * shock + CAST({cal.TREND_FACTOR} AS DOUBLE) * sqrt(pos)
+       round(CASE WHEN counter = 0 THEN demand * shock + CAST(100.0 AS DOUBLE) * sqrt(pos)
                   ELSE demand * shock END * season, 0) AS demand
 FROM f""",
     "exo_features": _with(WEEKLY) + f"""
@@ -255,29 +230,29 @@ FROM weekly""",
 SELECT product, sku, min(wk) AS first_wk, max(wk) AS last_wk, count(*) AS n,
        min(CASE WHEN wk >= {E} THEN wk END) AS first_after_event
 FROM weekly GROUP BY product, sku""",
-    "series_position": _with(WEEKLY) + """
+    "series_position": _with(WEEKLY, DENSE) + """
 SELECT product, sku, wk, pos FROM (
   SELECT product, sku, wk, CAST(row_number() OVER (PARTITION BY product, sku ORDER BY wk) - 1 AS INTEGER) AS pos
-  FROM weekly) WHERE pos >= 10""",
-    "tail_split": _with(WEEKLY) + f"""
+  FROM dense) WHERE pos >= 10""",
+    "tail_split": _with(WEEKLY, DENSE) + f"""
 SELECT product, sku, wk, demand,
        row_number() OVER (PARTITION BY product, sku ORDER BY wk)
          <= count(*) OVER (PARTITION BY product, sku) - {H} AS is_history
-FROM weekly""",
+FROM dense""",
     "dense_spine": _with("""sp AS (
   SELECT l_suppkey AS s_key, CAST(date_trunc('week', l_shipdate) AS DATE) AS wk, sum(l_quantity) AS demand
   FROM lineitem GROUP BY 1, 2)""", """g AS (
   SELECT s_key, CAST(w AS DATE) AS wk FROM (
     SELECT s_key, unnest(generate_series(min(wk), max(wk), INTERVAL 7 DAY)) AS w FROM sp GROUP BY s_key))""") +
         "SELECT g.s_key, g.wk, sp.demand FROM g LEFT JOIN sp USING (s_key, wk)",
-    "series_diff": _with(WEEKLY) + """
+    "series_diff": _with(WEEKLY, DENSE) + """
 SELECT product, sku, wk,
        demand - lag(demand, 1) OVER w AS d1,
        demand - 2 * lag(demand, 1) OVER w + lag(demand, 2) OVER w AS d2
-FROM weekly WINDOW w AS (PARTITION BY product, sku ORDER BY wk)""",
-    "lag_features": _with(WEEKLY) + "SELECT product, sku, wk, demand, " + ", ".join(
+FROM dense WINDOW w AS (PARTITION BY product, sku ORDER BY wk)""",
+    "lag_features": _with(WEEKLY, DENSE) + "SELECT product, sku, wk, demand, " + ", ".join(
         f"lag(demand, {k}) OVER w AS lag{k}" for k in range(1, 5)) +
-        " FROM weekly WINDOW w AS (PARTITION BY product, sku ORDER BY wk)",
+        " FROM dense WINDOW w AS (PARTITION BY product, sku ORDER BY wk)",
     "series_packed": _with(WEEKLY) + """
 SELECT product, sku, count(*) AS n, arg_min(demand, wk) AS first_demand,
        arg_max(demand, wk) AS last_demand, sum(demand) AS sum_demand
@@ -337,32 +312,40 @@ SELECT device_id, n_used, round(slope, 6) AS slope, round(intercept, 6) AS inter
 SELECT device_id, n_used, round(b0, 4) AS coef_1, round(b1, 4) AS coef_2, round(b2, 4) AS coef_3,
        round(intercept, 4) AS intercept, round(1 - mse / vy, 6) AS r2, round(mse, 2) AS mse,
        '{RUN_ID}' AS run_id FROM fit""",
-    "many_model_score": _with(MODELS) + """
+    "many_model_score": _with(MODELS3) + """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_suppkey % 10 AS device_id,
-       round(m.intercept + m.slope * l_quantity, 4) AS prediction, m.intercept IS NOT NULL AS has_model
-FROM lineitem LEFT JOIN m ON l_suppkey % 10 = m.device_id""",
-    "routed_score": _with(MODELS) + """
-SELECT l_suppkey % 10 AS device_id, count(*) AS n, round(avg(m.intercept + m.slope * l_quantity), 4) AS mean_pred
-FROM lineitem LEFT JOIN (SELECT * FROM m WHERE device_id <> 0) m ON l_suppkey % 10 = m.device_id
+       round(intercept + b0 * l_quantity + b1 * l_discount + b2 * l_tax, 4) AS prediction,
+       fit.device_id IS NOT NULL AS has_model
+FROM lineitem LEFT JOIN fit ON l_suppkey % 10 = fit.device_id""",
+    "routed_score": _with(MODELS3) + """
+SELECT l_suppkey % 10 AS device_id, count(*) AS n,
+       round(avg(intercept + b0 * l_quantity + b1 * l_discount + b2 * l_tax), 4) AS mean_pred
+FROM lineitem LEFT JOIN (SELECT * FROM fit WHERE device_id <> 0) m ON l_suppkey % 10 = m.device_id
 GROUP BY 1""",
-    "mse_by_series": _with(WEEKLY, TAILS) +
-        "SELECT product, sku, round(avg(power(demand - f_last, 2)), 6) AS mse FROM tails GROUP BY product, sku",
-    "rmse_global": _with(WEEKLY, TAILS) + "SELECT round(sqrt(avg(power(demand - f_last, 2))), 6) AS rmse FROM tails",
-    "candidate_losses": _with(WEEKLY, LOSSES) + "SELECT product, sku, cand_id, loss FROM losses",
-    "best_candidate": _with(WEEKLY, LOSSES) + """
-SELECT product, sku, cand_id, loss FROM (
-  SELECT *, row_number() OVER (PARTITION BY product, sku ORDER BY loss, cand_id) AS rk FROM losses)
-WHERE rk = 1""",
-    "forecast_frame": _with(WEEKLY, """b AS (SELECT product, sku, min(wk) AS a, max(wk) AS z FROM weekly GROUP BY 1, 2)""",
-        """g AS (SELECT product, sku, CAST(w AS DATE) AS wk FROM (
-  SELECT product, sku, unnest(generate_series(a, z, INTERVAL 7 DAY)) AS w FROM b))""",
-        """d AS (SELECT g.product, g.sku, g.wk, coalesce(weekly.demand, CAST(0.0 AS DOUBLE)) AS demand,
-         row_number() OVER (PARTITION BY g.product, g.sku ORDER BY g.wk) AS rn,
-         count(*) OVER (PARTITION BY g.product, g.sku) AS n
-  FROM g LEFT JOIN weekly USING (product, sku, wk))""") + f"""
-SELECT product, sku, wk, demand, rn <= n - {H} AS is_history, n >= {H + MIN_TRAIN} AS eligible FROM d""",
+    "mse_by_series": _with(WEEKLY, DENSE, FORECASTS) + """
+SELECT product, sku, max(status) AS status, round(avg(power(demand - f0, 2)) FILTER (NOT is_history), 6) AS mse
+FROM f GROUP BY product, sku""",
+    "rmse_global": _with(WEEKLY, DENSE, FORECASTS) + """
+SELECT round(sqrt(avg(power(demand - f0, 2)) FILTER (NOT is_history)), 6) AS rmse,
+       count(DISTINCT (product, sku)) AS n_series,
+       count(DISTINCT (product, sku)) FILTER (status <> 'ok') AS n_too_short FROM f""",
+    "candidate_losses": _with(WEEKLY, DENSE, FORECASTS, LOSSES) + "SELECT product, sku, cand_id, loss, status FROM losses",
+    "best_candidate": _with(WEEKLY, DENSE, FORECASTS, LOSSES) + "SELECT product, sku, status, cand_id, loss FROM best",
+    "forecast_best": _with(WEEKLY, DENSE, FORECASTS, LOSSES) + """
+SELECT f.product, f.sku, f.wk, f.demand, f.is_history, f.status, b.cand_id, CASE WHEN f.status = 'ok' THEN b.loss END AS loss,
+       round(CASE b.cand_id WHEN 0 THEN f0 WHEN 1 THEN f1 WHEN 2 THEN f2 WHEN 3 THEN f3 WHEN 4 THEN f4 END, 6) AS demand_fitted
+FROM f JOIN best b ON f.product = b.product AND f.sku = b.sku""",
+    "exo_gain": _with(WEEKLY, DENSE, _exo_gain().split("\nSELECT product, sku, CASE")[0].strip()) +
+        "SELECT product, sku, CASE" + _exo_gain().split("\nSELECT product, sku, CASE")[1],
+    "forecast_frame": _with(WEEKLY, DENSE, FORECASTS) +
+        "SELECT product, sku, wk, demand, is_history, status = 'ok' AS eligible FROM f",
     "value_hash": VALUE_HASH,
-    "rand_columns": _rand_columns_sql(),
+    "rand_columns": RAND_COLUMNS,
+    "indexed_listing": _with(INDEXED) + "SELECT p_partkey, p_brand_code, p_type_code FROM ix",
+    "forest_checks": _with(INDEXED) + """
+SELECT split, count(*) AS n_rows, count(*) - count(ix.p_partkey) AS n_skipped, count(ix.p_partkey) AS n_scored
+FROM (SELECT p_partkey, CASE WHEN p_partkey % 10 < 6 THEN 'train' WHEN p_partkey % 10 < 8 THEN 'val' ELSE 'test' END AS split
+      FROM part) LEFT JOIN ix USING (p_partkey) GROUP BY split""",
     "string_index": """
 WITH s AS (SELECT 'p_brand' AS "column", p_brand AS label FROM part
            UNION ALL SELECT 'p_type', p_type FROM part),
@@ -379,6 +362,22 @@ SELECT device, run_id, end_time FROM r WHERE device IS NOT NULL
 ORDER BY end_time DESC, run_id DESC LIMIT 10""",
     "write_readback": _with(WEEKLY) +
         "SELECT product, count(*) AS n, sum(demand) AS demand FROM weekly GROUP BY product",
+    "table_roundtrip": _with(WEEKLY) + """
+SELECT product, count(*) AS n, sum(demand) AS demand, source
+FROM weekly CROSS JOIN (VALUES ('built'), ('saved')) v(source) GROUP BY product, source""",
+    "runlog_roundtrip": _with(RUNLOG) + """
+SELECT 'device-' || device AS parent_run_id, count(*) AS n_declared, count(*) AS n_logged,
+       max(end_time) AS last_end, max(metric) AS best_metric
+FROM r WHERE device IS NOT NULL GROUP BY device""",
+    "schema_checks": """
+SELECT 'lineitem' AS table_name, 'l_partkey' AS column_name, 'bigint' AS expected, 'bigint' AS actual, true AS ok,
+       count(l_partkey) AS n_values FROM lineitem
+UNION ALL SELECT 'lineitem', 'l_quantity', 'double', 'double', true, count(l_quantity) FROM lineitem
+UNION ALL SELECT 'lineitem', 'l_shipdate', 'timestamp_ntz', 'timestamp_ntz', true, count(l_shipdate) FROM lineitem
+UNION ALL SELECT 'part', 'p_partkey', 'bigint', 'bigint', true, count(p_partkey) FROM part
+UNION ALL SELECT 'part', 'p_type', 'string', 'string', true, count(p_type) FROM part
+UNION ALL SELECT 'part', 'p_brand', 'string', 'string', true, count(p_brand) FROM part
+UNION ALL SELECT 'part', 'p_colour', 'string', NULL, false, 0""",
     "metric_csv_roundtrip": _with(WEEKLY) +
         "SELECT lower(replace(product, ' ', '-')) AS name, sum(demand) AS value FROM weekly GROUP BY product",
 }

@@ -2,8 +2,8 @@
 
 The calendar is derived from the data (first to last Monday with a shipment),
 so its size grows only with the time span, never with the row count.  Global
-bounds come from one two-value aggregate and enter as literals: no join, no
-cross join, no single-partition window.
+bounds come from a two-value aggregate of the weekly table and enter as
+literals: no join, no cross join, no single-partition window.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ def calendar_factors(spark: SparkSession, sf_dir: str, event: dt.date = cal.TEST
 
 
 def reference_calendar_factors(spark: SparkSession, digits: int = 6) -> DataFrame:
-    """The reference's own 157-week calendar (unit-test fixture, not a query)."""
+    """The given 157-week calendar (unit-test fixture, not a query)."""
     first, last = cal.reference_calendar_bounds()
     bounds = spark.range(1).select(F.lit(first).alias("first_wk"), F.lit(last).alias("last_wk"))
     c = calendar_from_bounds(bounds)
@@ -60,15 +60,16 @@ def reference_calendar_factors(spark: SparkSession, digits: int = 6) -> DataFram
                     f["season_factor"].alias("season_factor"))
 
 
-def _bounds(spark: SparkSession, sf_dir: str):
-    """Both calendar bounds as literals, from one two-value aggregate.
+def _bounds(weekly: DataFrame):
+    """First and last week of the weekly table as literals, from one two-value
+    aggregate.
 
-    Fetching the single aggregated row is bounded; inlining it lets Catalyst
-    fold every calendar factor to constants per week, where a scalar
-    subquery would be re-planned (and re-scanned) at each reference.
+    ``weekly`` must be materialised (a checkpoint): the bounds then read the
+    small weekly table, not lineitem.  Inlining the single row lets Catalyst
+    fold every calendar factor to constants per week.
     """
-    row = inputs.data_calendar_bounds(spark, sf_dir).first()
-    return F.lit(row["first_wk"]), F.lit(row["last_wk"])
+    row = weekly.agg(F.min("wk").alias("first_wk"), F.max("wk").alias("last_wk")).first()
+    return F.lit(row["first_wk"]).cast("date"), F.lit(row["last_wk"]).cast("date")
 
 
 def exo_features(weekly: DataFrame, event: dt.date = cal.TEST_EVENT) -> DataFrame:
@@ -81,18 +82,19 @@ def weeks_since_event(weekly: DataFrame, event: dt.date = cal.TEST_EVENT) -> Dat
     return weekly.select(*KEYS, "wk", cal.weeks_since_event(F.col("wk"), event).alias("counter"))
 
 
-def series_calendar(spark: SparkSession, sf_dir: str, weekly: DataFrame) -> DataFrame:
-    """Every series paired with every calendar week (generator, not a join)."""
-    first, last = _bounds(spark, sf_dir)
+def series_calendar(weekly: DataFrame) -> DataFrame:
+    """Every series paired with every calendar week (generator, not a join).
+    ``weekly`` is materialised by the caller."""
+    first, last = _bounds(weekly)
     return weekly.select(*KEYS).distinct().select(
         *KEYS, F.explode(cal.weekly_sequence(first, last)).alias("wk"))
 
 
-def adjusted_demand(spark: SparkSession, sf_dir: str, weekly: DataFrame,
-                    event: dt.date = cal.TEST_EVENT) -> DataFrame:
+def adjusted_demand(weekly: DataFrame, event: dt.date = cal.TEST_EVENT) -> DataFrame:
     """Demand shaping chain: x shock -> + 100*sqrt(pos) before the event ->
-    x season -> round.  ``pos`` is the week's position in the calendar."""
-    first, last = _bounds(spark, sf_dir)
+    x season -> round.  ``pos`` is the week's position in the calendar;
+    ``weekly`` is materialised by the caller."""
+    first, last = _bounds(weekly)
     wk = F.col("wk")
     f = factors(wk, last, event)
     pos = cal.week_index(wk, first)

@@ -1,213 +1,76 @@
-"""Forecast every series: enrich -> regularise -> split -> search -> arg-min
--> refit -> fitted values and forecast, as one distributed job.
-
-Shape of the plan::
-
-    weekly -> pack: one row per series (weeks, y, feature arrays)     [1 exchange]
-           -> checkpoint (reused by search and refit; cuts lineage)
-           -> repartition(n) -> mapInPandas: every candidate's hold-out loss
-           -> min_by arg-min per series                               [small exchange]
-           -> left join to packed -> repartition(n) -> mapInPandas: refit + predict
-           -> posexplode back to weekly rows
-
-Every Python stage sees one series at a time (bounded by the number of
-weeks); series are spread over ``n`` partitions chosen from the cluster's
-parallelism, because the stages are CPU-heavy but byte-light and AQE would
-otherwise coalesce them into a couple of tasks.
+"""Forecast every series: regularise -> split -> candidates -> arg-min -> fitted
+history and forecast tail, as one Spark dataflow without a Python stage.
+
+Series are made regular first (every Monday between a series' first and last
+week); all windows share the series key, so the whole job is the weekly
+aggregate plus one exchange.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weekcast.functions import calendar as cal
-from weekcast.operators import arimax, series
-from weekcast.operators.search import arg_min, order_grid
-from weekcast.session import checkpoint, default_parallelism
+from weekcast.operators import models, search, series
 
 KEYS = ["product", "sku"]
 FEATURES = ["covid", "christmas", "new_year"]
 HORIZON = 40
-MIN_TRAIN = 20
+#: Added to the variances of the event features: a flag that is constant in a history gets the
+#: coefficient 0 instead of making the system singular.
+RIDGE = 1e-6
 
-_KEY_FIELDS = [T.StructField("product", T.StringType()), T.StructField("sku", T.StringType())]
 
+def dense(weekly: DataFrame, fill: str = "zero") -> DataFrame:
+    """Weekly demand on every Monday of each series.  ``fill``: the input is a
+    sum of shipped quantity, so a missing week shipped nothing (``zero``);
+    ``null`` keeps gaps open, ``ffill`` repeats the last value."""
+    return series.regularise(weekly, KEYS, "demand", "wk", fill=fill)
 
-def pack_series(weekly: DataFrame, event: dt.date = cal.TEST_EVENT) -> DataFrame:
-    """One row per series on its dense weekly calendar.
 
-    Missing weeks get demand 0 (the input is a sum of shipped quantity, so an
-    absent week shipped nothing); features are computed from the week itself,
-    so regularised rows carry keys and features too.  The gap fill's window
-    and the packing aggregate share one exchange on the series key.
-    """
-    dense = series.regularise(weekly, KEYS, "demand", "wk", fill="zero")
-    feats = cal.exo_columns(F.col("wk"), event)
-    point = F.struct(F.col("wk"), F.col("demand"), *[feats[f].alias(f) for f in FEATURES])
-    packed = dense.groupBy(*KEYS).agg(F.array_sort(F.collect_list(point)).alias("_pts"))
-    pts = F.col("_pts")
-    return packed.select(
-        *KEYS, pts.getItem(0)["wk"].alias("first_wk"), F.size(pts).alias("n"),
-        pts["demand"].alias("y"), *[pts[f].alias(f) for f in FEATURES])
-
-
-def _spread(df: DataFrame, n_partitions: int | None) -> DataFrame:
-    """Round-robin the packed series over ``n`` partitions.
-
-    Each series is one self-contained row, so no key placement is needed and
-    round-robin gives every task the same number of series.  A hash
-    repartition on the series key would be dropped as redundant after the
-    packing aggregate (same keys, same count) and the remaining shuffle,
-    tiny in bytes, would then be coalesced by AQE into a single task.
+def series_frame(weekly: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """The frame that every forecast fills in: one row per series and week,
+    with the hold-out flag and whether the series has any history."""
+    rows = search.forecasts(dense(weekly), KEYS, horizon)
+    return rows.select(*KEYS, "wk", "demand", "is_history", (F.col("status") == "ok").alias("eligible"))
+
+
+def forecast_best(weekly: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """Every series week by week with the fitted values and forecasts of its best forecaster."""
+    return search.forecast_best(dense(weekly), KEYS, horizon)
+
+
+def exo_gain(weekly: DataFrame, event: dt.date = cal.TEST_EVENT, horizon: int = HORIZON) -> DataFrame:
+    """Tail error of a per-series regression without and with the event features.
+
+    Without: the mean of the history.  With: least squares on the three flags,
+    from window moments of the history and a 3 x 3 system solved by column
+    expressions.  Series without history have status ``too_short`` and nulls.
     """
-    n = n_partitions or 2 * default_parallelism(df.sparkSession)
-    return df.repartition(n)
-
-
-def _design(row, features) -> np.ndarray | None:
-    if not features:
-        return None
-    return np.column_stack([np.asarray(getattr(row, f), dtype=float) for f in features])
-
-
-LOSS_SCHEMA = T.StructType(_KEY_FIELDS + [
-    T.StructField("cand_id", T.IntegerType()), T.StructField("p", T.IntegerType()),
-    T.StructField("d", T.IntegerType()), T.StructField("q", T.IntegerType()),
-    T.StructField("loss", T.DoubleType())])
-
-
-def candidate_losses(packed: DataFrame, grid=None, horizon: int = HORIZON,
-                     min_train: int = MIN_TRAIN, features=FEATURES,
-                     n_partitions: int | None = None) -> DataFrame:
-    """Hold-out loss of every (p, d, q) candidate for every long-enough series."""
-    grid = list(grid or order_grid())
-    feats = list(features)
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                losses = arimax.holdout_losses(row.y, _design(row, feats), horizon, grid)
-                out.extend((row.product, row.sku, cid, p, d, q, loss)
-                           for (cid, p, d, q), loss in zip(grid, losses))
-            yield pd.DataFrame(out, columns=LOSS_SCHEMA.fieldNames())
-
-    eligible = packed.filter(F.col("n") >= F.lit(horizon + min_train)).select(*KEYS, "y", *feats)
-    return _spread(eligible, n_partitions).mapInPandas(run, LOSS_SCHEMA)
-
-
-def best_orders(losses: DataFrame) -> DataFrame:
-    """Arg-min per series; ties go to the smallest cand_id.  The order is
-    carried as named fields, never by position."""
-    return arg_min(losses, KEYS, "loss", "cand_id", ["cand_id", "p", "d", "q", "loss"])
-
-
-REFIT_SCHEMA = T.StructType(_KEY_FIELDS + [
-    T.StructField("first_wk", T.DateType()), T.StructField("n", T.IntegerType()),
-    T.StructField("p", T.IntegerType()), T.StructField("d", T.IntegerType()),
-    T.StructField("q", T.IntegerType()),
-    T.StructField("y", T.ArrayType(T.DoubleType())),
-    T.StructField("fitted", T.ArrayType(T.DoubleType())),
-    T.StructField("status", T.StringType())])
-
-
-def refit(packed: DataFrame, best: DataFrame, horizon: int = HORIZON, min_train: int = MIN_TRAIN,
-          features=FEATURES, n_partitions: int | None = None) -> DataFrame:
-    """Refit each series with its best order; fitted history + forecast tail."""
-    feats = list(features)
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for row in pdf.itertuples(index=False):
-                y = np.asarray(row.y, dtype=float)
-                fitted, status = None, "too_short"
-                if row.n >= horizon + min_train and not pd.isna(row.p):
-                    res = arimax.fit_and_forecast(y, _design(row, feats), horizon,
-                                                  int(row.p), int(row.d), int(row.q))
-                    if res is None or not np.all(np.isfinite(res[-horizon:])):
-                        status = "failed"
-                    else:
-                        fitted = [None if not np.isfinite(v) else float(v) for v in res]
-                        status = "ok"
-                rows.append((row.product, row.sku, row.first_wk, int(row.n),
-                             None if pd.isna(row.p) else int(row.p),
-                             None if pd.isna(row.d) else int(row.d),
-                             None if pd.isna(row.q) else int(row.q), y, fitted, status))
-            yield pd.DataFrame(rows, columns=REFIT_SCHEMA.fieldNames())
-
-    joined = packed.join(best.select(*KEYS, "p", "d", "q"), KEYS, "left")
-    return _spread(joined, n_partitions).mapInPandas(run, REFIT_SCHEMA)
-
-
-def unpack_forecast(refitted: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """Back to one row per series and week."""
-    # unfitted series (too_short / failed) keep their rows with null fitted values
-    fitted = F.coalesce(F.col("fitted"), F.array_repeat(F.lit(None).cast("double"), F.size("y")))
-    z = refitted.select(*KEYS, "first_wk", "n", "status",
-                        F.posexplode(F.arrays_zip(F.col("y").alias("demand"),
-                                                  fitted.alias("demand_fitted"))))
-    return z.select(*KEYS, F.date_add("first_wk", F.col("pos") * 7).alias("wk"),
-                    F.col("col.demand").alias("demand"),
-                    F.col("col.demand_fitted").alias("demand_fitted"),
-                    (F.col("pos") < F.col("n") - F.lit(horizon)).alias("is_history"),
-                    "status")
-
-
-def series_frame(packed: DataFrame, horizon: int = HORIZON, min_train: int = MIN_TRAIN) -> DataFrame:
-    """The frame every forecast fills in: one row per series and dense week,
-    with the hold-out flag and whether the series is long enough to search.
-    Same packing and unpacking as :func:`forecast_all`, without the kernel."""
-    z = packed.select(*KEYS, "first_wk", "n", F.posexplode("y").alias("pos", "demand"))
-    return z.select(*KEYS, F.date_add("first_wk", F.col("pos") * 7).alias("wk"), "demand",
-                    (F.col("pos") < F.col("n") - F.lit(horizon)).alias("is_history"),
-                    (F.col("n") >= F.lit(horizon + min_train)).alias("eligible"))
-
-
-def forecast_all(weekly: DataFrame, grid=None, horizon: int = HORIZON, min_train: int = MIN_TRAIN,
-                 event: dt.date = cal.TEST_EVENT, materialise: bool = True,
-                 n_partitions: int | None = None) -> DataFrame:
-    packed = pack_series(weekly, event)
-    if materialise:
-        # reliable checkpoint in the cluster's shared folder: the two Python
-        # stages below reuse it and a lost executor does not re-run the scan
-        packed = checkpoint(packed)
-    losses = candidate_losses(packed, grid, horizon, min_train, n_partitions=n_partitions)
-    best = best_orders(losses)
-    return unpack_forecast(refit(packed, best, horizon, min_train, n_partitions=n_partitions), horizon)
-
-
-def holdout_loss_udfs(order, horizon: int = HORIZON):
-    """Scalar pandas UDFs (Arrow batches of packed series) returning the
-    hold-out loss of one fixed order, without and with three features."""
-    p, d, q = order
-
-    @F.pandas_udf(T.DoubleType())
-    def loss_without(y: pd.Series) -> pd.Series:
-        return pd.Series([arimax.holdout_loss(np.asarray(v, float), None, horizon, p, d, q) for v in y])
-
-    @F.pandas_udf(T.DoubleType())
-    def loss_with(y: pd.Series, x1: pd.Series, x2: pd.Series, x3: pd.Series) -> pd.Series:
-        return pd.Series([
-            arimax.holdout_loss(np.asarray(v, float), np.column_stack([a, b, c]), horizon, p, d, q)
-            for v, a, b, c in zip(y, x1, x2, x3)])
-
-    return loss_without, loss_with
-
-
-def exo_gain(packed: DataFrame, order=(1, 2, 1), horizon: int = HORIZON, min_train: int = MIN_TRAIN,
-             features=FEATURES, n_partitions: int | None = None) -> DataFrame:
-    """Hold-out loss of one order without and with the event features."""
-    assert len(features) == 3
-    without, with_x = holdout_loss_udfs(order, horizon)
-    eligible = packed.filter(F.col("n") >= F.lit(horizon + min_train)).select(*KEYS, "y", *features)
-    return (_spread(eligible, n_partitions)
-            .select(*KEYS, without("y").alias("loss_without"),
-                    with_x("y", *[F.col(f) for f in features]).alias("loss_with"))
-            .withColumn("gain", F.col("loss_without") - F.col("loss_with")))
+    by = Window.partitionBy(*KEYS)
+    rows = dense(weekly).select("*", *[c.cast("double").alias(n) for n, c in cal.exo_columns(F.col("wk"), event).items()])
+    nh = F.count(F.lit(1)).over(by) - F.lit(horizon)
+    rows = rows.withColumn("_hist", F.row_number().over(by.orderBy("wk")) <= nh)
+
+    def past(c):
+        return F.when(F.col("_hist"), F.col(c))
+    k = len(FEATURES)
+    moments = [F.avg(past("demand")).over(by).alias("_my")]
+    for i, a in enumerate(FEATURES):
+        moments += [F.avg(past(a)).over(by).alias(f"_m{i}"), F.covar_pop(past(a), past("demand")).over(by).alias(f"_cy{i}")]
+        moments += [F.covar_pop(past(a), past(FEATURES[j])).over(by).alias(f"_c{i}{j}") for j in range(i, k)]
+    rows = rows.select("*", *moments)
+    cxx = [[F.col(f"_c{min(i, j)}{max(i, j)}") + (RIDGE if i == j else 0.0) for j in range(k)] for i in range(k)]
+    guess = F.col("_my")
+    for i, b in enumerate(models.solve(cxx, [F.col(f"_cy{i}") for i in range(k)])):
+        guess = guess + b * (F.col(FEATURES[i]) - F.col(f"_m{i}"))
+    tail, y = ~F.col("_hist"), F.col("demand")
+    got = rows.groupBy(*KEYS).agg(
+        F.when(F.max("_hist"), "ok").otherwise("too_short").alias("status"),
+        F.avg(F.when(tail, F.pow(y - F.col("_my"), F.lit(2)))).alias("_without"),
+        F.avg(F.when(tail, F.pow(y - guess, F.lit(2)))).alias("_with"))
+    return got.select(*KEYS, "status", F.round("_without", 2).alias("loss_without"), F.round("_with", 2).alias("loss_with"),
+                      F.round(F.col("_without") - F.col("_with"), 2).alias("gain"))

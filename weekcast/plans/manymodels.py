@@ -3,8 +3,7 @@
 Rows never leave the JVM: training is a grouped aggregate (partial
 aggregation, so a device with a third of all rows is no hotter than any
 other), scoring is an equi-join to the one-row-per-device model table plus a
-linear expression.  The one-feature model is closed form; with k features
-only the k x k solve on the one-row-per-device moments runs in numpy.
+linear expression.  The model itself is solved by column expressions.
 """
 
 from __future__ import annotations
@@ -14,10 +13,8 @@ from pyspark.sql import functions as F
 
 from weekcast.operators import models
 from weekcast.session import scratch_path
-from weekcast.sources import inputs
 
 DEVICE = "device_id"
-ONE_FEATURE = ["feature_1"]
 ALL_FEATURES = ["feature_1", "feature_2", "feature_3"]
 
 
@@ -27,31 +24,22 @@ def model_index(rows: DataFrame, run_id: str) -> DataFrame:
 
 
 def model_index_multi(rows: DataFrame, run_id: str) -> DataFrame:
-    """Same per device with all three features (moments + small numpy solve)."""
+    """Same per device with all three features (moments, solved by column expressions)."""
     return models.fit_ols(rows, DEVICE, ALL_FEATURES, "label").withColumn("run_id", F.lit(run_id))
 
 
-def as_model_table(index: DataFrame) -> DataFrame:
-    """One-feature index in the generic (coef array, intercept) layout."""
-    return index.select(DEVICE, F.array(F.col("slope")).alias("coef"), "intercept", "n_used")
-
-
 def many_model_score(rows: DataFrame, index: DataFrame) -> DataFrame:
-    return models.score(rows, as_model_table(index), DEVICE, ONE_FEATURE)
+    """Every row with its own device's three-feature model (``model_index_multi``)."""
+    return models.score(rows, index, DEVICE, ALL_FEATURES)
 
 
 def routed_score(spark: SparkSession, rows: DataFrame, index: DataFrame,
                  drop_device: int | None = 0) -> DataFrame:
     """Score through a saved model bundle; ``drop_device`` is left out of the
-    bundle on purpose to show the missing-model path (null prediction)."""
-    table = as_model_table(index)
+    bundle on purpose to show the missing-model path (null prediction).  The
+    bundle is the only copy of the model table that is written."""
     if drop_device is not None:
-        table = table.filter(F.col(DEVICE) != F.lit(drop_device))
+        index = index.filter(F.col(DEVICE) != F.lit(drop_device))
     path = scratch_path(spark, "model_bundle", unique=True)
-    models.save_model_table(table, path)
-    bundle = models.load_model_table(spark, path)
-    return models.score(rows, bundle, DEVICE, ONE_FEATURE)
-
-
-def device_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.devrows(spark, sf_dir)
+    models.save_model_table(index, path)
+    return models.score(rows, models.load_model_table(spark, path), DEVICE, ALL_FEATURES)

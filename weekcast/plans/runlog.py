@@ -3,7 +3,7 @@ append-only writer for new runs (one distributed write, no calls from tasks)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,29 +31,64 @@ def newest_runs(log: DataFrame, k: int = 10) -> DataFrame:
 
 RUN_SCHEMA = ("run_id string, parent_run_id string, end_time timestamp_ntz, "
               "tags map<string,string>, params map<string,string>, metrics map<string,double>")
+RUN_COLUMNS = ("run_id", "parent_run_id", "end_time", "tags", "params", "metrics")
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
-    """Add finished runs (run_id, parent_run_id, end_time, tags, params, metrics)
-    in one distributed write; nothing is logged from inside tasks, so a
-    retried task cannot log twice."""
-    runs.select("run_id", "parent_run_id", "end_time", "tags", "params", "metrics") \
-        .write.mode("append").parquet(path)
+    """Add finished runs in one distributed write; nothing is logged from
+    inside tasks, so a retried task cannot log twice."""
+    runs.select(*RUN_COLUMNS).write.mode("append").parquet(path)
 
 
-def read_runs(spark, path: str) -> DataFrame:
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """The run log with its declared schema (no inference pass)."""
     return spark.read.schema(RUN_SCHEMA).parquet(path)
 
 
-def trial_runs(trials: DataFrame, parent_run_id: str, prefix: str) -> DataFrame:
-    """Run-log rows for a tuning result (stage, max_depth, num_trees, rmse)."""
-    idx = F.monotonically_increasing_id()
+def _text_map(columns) -> F.Column:
+    pairs = []
+    for name, col in columns.items():
+        pairs += [F.lit(name), col.cast("string")]
+    return F.create_map(*pairs)
+
+
+def device_runs(log: DataFrame) -> DataFrame:
+    """A parent run per device: when its last child ended, how many there are."""
+    by = with_device(log).groupBy("device").agg(F.max("end_time").alias("end_time"), F.count(F.lit(1)).alias("n"))
+    return by.select(F.concat(F.lit("device-"), "device").alias("run_id"), F.lit(None).cast("string").alias("parent_run_id"),
+                     F.col("end_time").cast("timestamp_ntz").alias("end_time"),
+                     _text_map({"device": F.col("device")}).alias("tags"), _text_map({"children": F.col("n")}).alias("params"),
+                     F.create_map(F.lit("n"), F.col("n").cast("double")).alias("metrics"))
+
+
+def child_runs(log: DataFrame) -> DataFrame:
+    """The log's own runs under their devices' parents; ids follow from parent and run."""
+    rows = with_device(log)
+    parent = F.concat(F.lit("device-"), F.col("device"))
+    return rows.select(F.concat_ws("/", parent, F.col("run_id").cast("string")).alias("run_id"), parent.alias("parent_run_id"),
+                       F.col("end_time").cast("timestamp_ntz").alias("end_time"), "tags",
+                       _text_map({"run": F.col("run_id")}).alias("params"),
+                       F.create_map(F.lit("metric"), F.col("metric")).alias("metrics"))
+
+
+def trial_runs(trials: DataFrame, parent_run_id: str) -> DataFrame:
+    """Run-log rows for a tuning result (stage, max_depth, num_trees, rmse).  The id is made of the
+    parent's and the trial's parameters, so logging again gives the same ids."""
     return trials.select(
-        F.concat(F.lit(prefix), F.lit("-"), F.col("stage"), F.lit("-"), idx.cast("string")).alias("run_id"),
+        F.concat_ws("/", F.lit(parent_run_id), "stage", F.concat(F.lit("depth-"), "max_depth"),
+                    F.concat(F.lit("trees-"), "num_trees")).alias("run_id"),
         F.lit(parent_run_id).alias("parent_run_id"),
         F.localtimestamp().cast("timestamp_ntz").alias("end_time"),
-        F.create_map(F.lit("stage"), F.col("stage")).alias("tags"),
-        F.create_map(F.lit("maxDepth"), F.col("max_depth").cast("string"),
-                     F.lit("numTrees"), F.col("num_trees").cast("string")).alias("params"),
+        _text_map({"stage": F.col("stage")}).alias("tags"),
+        _text_map({"maxDepth": F.col("max_depth"), "numTrees": F.col("num_trees")}).alias("params"),
         F.create_map(F.lit("rmse"), F.col("rmse")).alias("metrics"))
+
+
+def children_by_parent(runs: DataFrame) -> DataFrame:
+    """Nested runs read back: per parent, its declared number of children and what was logged under it."""
+    kids = runs.filter(F.col("parent_run_id").isNotNull()).groupBy("parent_run_id").agg(
+        F.count(F.lit(1)).alias("n_logged"), F.max("end_time").alias("last_end"),
+        F.max(F.col("metrics")["metric"]).alias("best_metric"))
+    parents = runs.filter(F.col("parent_run_id").isNull()).select(
+        F.col("run_id").alias("parent_run_id"), F.col("params")["children"].cast("bigint").alias("n_declared"))
+    return parents.join(kids, "parent_run_id", "left")

@@ -1,66 +1,88 @@
-"""Tune one distributed MLlib pipeline over a small search space.
+"""Tune random forests over one indexed feature frame.
 
-Split by key bucket (60/20/20, stable under re-partitioning), index the
-string columns, assemble, random forest; every candidate is a
-``Pipeline.copy`` fitted on train and scored on validation; the best is
-refitted on train + validation and scored on test.  Each fit is itself a
-distributed Spark job; the candidate loop only submits them.
+Rows are split by key bucket (60/20/20, stable under re-partitioning).  The
+roles of the columns come from the schema.  Labels are indexed and features
+assembled once, from the train rows; the indexed frames are what every
+candidate forest is fitted and scored on, so a trial costs its forest alone.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weekcast.operators.ranking import global_row_number
 from weekcast.operators.sampling import bucket_split
+from weekcast.session import checkpoint, scratch_path
 
 LABEL = "price"
 KEY = "p_partkey"
 # Search space: max depth 2..5, number of trees 10..100 (4 evaluations).
 TRIALS = ((2, 10), (3, 40), (4, 70), (5, 100))
-MAX_BINS = 40
+# Fixed value: bins per feature.  More are used where a column has more labels.
+BINS = 40
 SEED = 42
 
 
-def columns_by_type(df: DataFrame, label: str = LABEL, key: str = KEY):
-    """String columns to index and double columns to use as-is (schema-driven)."""
-    strings = [f for f, t in df.dtypes if t == "string"]
-    numbers = [f for f, t in df.dtypes if t == "double" and f not in (label, key)]
-    return strings, numbers
+class FeatureStep:
+    """Label indexing and assembly, fitted once on the train rows."""
 
+    def __init__(self, train: DataFrame, key: str = KEY, target: str = LABEL):
+        self.key, self.target = key, target
+        roles = {f.name: f.dataType for f in train.schema.fields if f.name not in (key, target)}
+        self.labels = [n for n, t in roles.items() if isinstance(t, T.StringType)]
+        self.numbers = [n for n, t in roles.items() if isinstance(t, T.DoubleType)]
+        self.codes = [f"{n}_code" for n in self.labels]
+        steps = []
+        if self.labels:  # rows with a label that train has not seen are skipped
+            steps.append(StringIndexer(inputCols=self.labels, outputCols=self.codes, handleInvalid="skip"))
+        steps.append(VectorAssembler(inputCols=self.codes + self.numbers, outputCol="features"))
+        self.model = Pipeline(stages=steps).fit(train)
 
-def build_pipeline(df: DataFrame):
-    strings, numbers = columns_by_type(df)
-    indexed = [c + "Index" for c in strings]
-    indexer = StringIndexer(inputCols=strings, outputCols=indexed, handleInvalid="skip")
-    assembler = VectorAssembler(inputCols=indexed + numbers, outputCol="features")
-    rf = RandomForestRegressor(labelCol=LABEL, maxBins=MAX_BINS, seed=SEED)
-    return Pipeline(stages=[indexer, assembler, rf]), rf
+    def label_lists(self) -> list[list[str]]:
+        return [list(x) for x in self.model.stages[0].labelsArray] if self.labels else []
 
+    def bins(self) -> int:
+        return max([BINS, *(len(x) for x in self.label_lists())])
 
-def evaluator():
-    return RegressionEvaluator(predictionCol="prediction", labelCol=LABEL, metricName="rmse")
+    def indexed(self, rows: DataFrame) -> DataFrame:
+        return self.model.transform(rows).select(self.key, *self.codes, "features", self.target)
+
+    def forest(self, depth: int = 5, trees: int = 20) -> RandomForestRegressor:
+        return RandomForestRegressor(featuresCol="features", labelCol=self.target, maxBins=self.bins(),
+                                     maxDepth=depth, numTrees=trees, seed=SEED)
+
+    def with_forest(self, forest) -> PipelineModel:
+        """One model from raw rows to predictions, to be saved and loaded as a whole."""
+        return PipelineModel(stages=[*self.model.stages, forest])
+
+
+def metrics(predictions: DataFrame, target: str = LABEL) -> DataFrame:
+    """rmse, r2 and the number of rows scored, in one aggregate."""
+    y, p = F.col(target), F.col("prediction")
+    one = predictions.agg(F.avg(F.pow(y - p, F.lit(2))).alias("mse"), F.var_pop(y).alias("var"), F.count(F.lit(1)).alias("n"))
+    rows = [("rmse", F.sqrt("mse")), ("r2", F.lit(1.0) - F.try_divide(F.col("mse"), F.col("var"))),
+            ("n_scored", F.col("n").cast("double"))]
+    return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("metric"), v.alias("value")) for n, v in rows])))
 
 
 def string_index_labels(df: DataFrame, columns) -> DataFrame:
     """StringIndexer's label order as a table: frequency desc, then label asc.
 
-    Label counts are a grouped aggregate; the ranks come from one distributed
-    global row number over (column, count desc, label) minus each column's
-    first rank, so a column with very many distinct labels is never sorted
-    in a single task and the label list never passes through the driver.
+    One scan emits a row per column and label; counts are a grouped
+    aggregate; the ranks come from one distributed global row number over
+    (column, count desc, label) minus each column's first rank, so a column
+    with very many distinct labels is never sorted in a single task and the
+    label list never passes through the driver.
     """
-    stacked = None
-    for c in columns:
-        part = df.select(F.lit(c).alias("column"), F.col(c).alias("label")).filter(F.col("label").isNotNull())
-        stacked = part if stacked is None else stacked.unionByName(part)
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("label")) for c in columns]))) \
+        .filter(F.col("label").isNotNull())
     counts = stacked.groupBy("column", "label").agg(F.count(F.lit(1)).alias("_n"))
     ranked = global_row_number(counts, [F.col("column"), F.col("_n").desc(), F.col("label")], "_g")
     # one row per indexed column: a size bound known from the call itself
@@ -69,44 +91,56 @@ def string_index_labels(df: DataFrame, columns) -> DataFrame:
         "column", "label", (F.col("_g") - F.col("_s")).cast("double").alias("idx"))
 
 
+def indexed_listing(listing: DataFrame) -> DataFrame:
+    """Key and label index per string column for every listing row whose labels the train rows hold."""
+    train, _, _ = bucket_split(listing, KEY)
+    step = FeatureStep(train)
+    return step.indexed(listing).select(KEY, *step.codes)
+
+
+def forest_checks(listing: DataFrame) -> DataFrame:
+    """Per split: rows, rows skipped for unseen labels, rows that a forest scores."""
+    splits = dict(zip(("train", "val", "test"), bucket_split(listing, KEY)))
+    step = FeatureStep(splits["train"])
+    forest = step.forest(depth=2, trees=2).fit(step.indexed(splits["train"]))
+    out = None
+    for name, rows in splits.items():
+        scored = forest.transform(step.indexed(rows)).agg(F.count("prediction").alias("n_scored"))
+        one = rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("split"), "n_rows", scored.select("n_scored").scalar().alias("n_scored"))
+        one = one.select("split", "n_rows", (F.col("n_rows") - F.col("n_scored")).alias("n_skipped"), "n_scored")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def rf_pipeline(spark: SparkSession, listing: DataFrame) -> DataFrame:
-    train, val, test = bucket_split(listing, KEY)
-    pipeline, _ = build_pipeline(listing)
-    model = pipeline.fit(train)
-    preds = model.transform(val)
-    ev = evaluator()
-    rows = [("rmse", ev.evaluate(preds)),
-            ("r2", ev.setMetricName("r2").evaluate(preds)),
-            ("n_scored", float(preds.count()))]
-    return spark.createDataFrame(rows, "metric string, value double")
+    """A forest fitted on train, saved with its feature step, loaded again and scored on validation."""
+    train, val, _ = bucket_split(listing, KEY)
+    step = FeatureStep(train)
+    path = scratch_path(spark, "forest", unique=True)
+    step.with_forest(step.forest().fit(step.indexed(train))).write().overwrite().save(path)
+    return metrics(PipelineModel.load(path).transform(val))
 
 
 def rf_tuned(spark: SparkSession, listing: DataFrame, trials=TRIALS, parallelism: int = 4) -> DataFrame:
     """One row per trial (validation RMSE) and a final row (test RMSE).
 
     The candidates are fixed up front, so their fits are submitted as
-    concurrent Spark jobs (the scheduler interleaves their tasks) instead of
-    one after another.  The best trial is chosen by RMSE, ties by the
-    smaller model.
+    concurrent Spark jobs on the same indexed frames.  The best trial is
+    chosen by RMSE, ties by the smaller model, and refitted on train and
+    validation rows.
     """
-    train, val, test = (d.cache() for d in bucket_split(listing, KEY))
-    pipeline, rf = build_pipeline(listing)
-    ev = evaluator()
+    train, val, test = bucket_split(listing, KEY)
+    step = FeatureStep(train)
+    seen, judged, held = (checkpoint(step.indexed(d)) for d in (train, val, test))
 
-    def trial(params):
-        depth, trees = params
-        model = pipeline.copy({rf.maxDepth: depth, rf.numTrees: trees}).fit(train)
-        return ("trial", depth, trees, evaluator().evaluate(model.transform(val)))
+    def rmse(depth, trees, fit_on, score_on):
+        scored = step.forest(depth, trees).fit(fit_on).transform(score_on)
+        return metrics(scored, step.target).where("metric = 'rmse'").first()["value"]
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(trials)))) as pool:
-        results = list(pool.map(trial, trials))
-    best = min(results, key=lambda r: (r[3], r[1], r[2]))
-    final = pipeline.copy({rf.maxDepth: best[1], rf.numTrees: best[2]}).fit(train.union(val))
-    results.append(("final", best[1], best[2], ev.evaluate(final.transform(test))))
-    for d in (train, val, test):
-        d.unpersist()
-    return spark.createDataFrame(results, "stage string, max_depth int, num_trees int, rmse double")
-
-
-def save_pipeline_model(model, path: str) -> None:
-    model.write().overwrite().save(path)
+        losses = list(pool.map(lambda t: rmse(*t, seen, judged), trials))
+    best = min(zip(losses, trials))[1]
+    rows = [("trial", *t, loss) for t, loss in zip(trials, losses)]
+    rows.append(("final", *best, rmse(*best, seen.union(judged), held)))
+    return spark.createDataFrame(rows, "stage string, max_depth int, num_trees int, rmse double")

@@ -8,20 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weekcast.functions import calendar as cal
 from weekcast.functions import scalar
 from weekcast.operators import checks, ranking, sampling, search, series
 from weekcast.plans import demand, forecast, manymodels, runlog, tuning
-from weekcast.session import checkpoint, scratch_path
+from weekcast.session import checkpoint, scratch_path, unique_name
 from weekcast.sources import inputs, sinks
-from weekcast.sources.tables import read_table
+from weekcast.sources.tables import read_catalog_table, read_table
 
 KEYS = inputs.SERIES_KEY
 H = forecast.HORIZON
-MIN_TRAIN = forecast.MIN_TRAIN
 EVENT = cal.TEST_EVENT
 RUN_ID = "weekcast-run-1"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def _weekly(spark, sf):
     return inputs.weekly(spark, sf)
 
 
+def _dense(spark, sf):
+    """Weekly demand on every Monday of each series; weeks without shipments are 0."""
+    return forecast.dense(inputs.weekly(spark, sf))
+
+
 def _weekly_materialised(spark, sf):
     """Weekly demand written once to the shared checkpoint folder, for queries
     that read it more than once (a drill-down needs the key first, then its
@@ -47,14 +52,16 @@ def weekly_demand(spark, sf):
 
 def row_count(spark, sf):
     """Row count of the weekly table, through the SQL API over a temporary view."""
-    _weekly(spark, sf).createOrReplaceTempView("weekcast_weekly")
-    return spark.sql("SELECT COUNT(*) AS row_count FROM weekcast_weekly")
+    view = unique_name("weekly_view")
+    _weekly(spark, sf).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT COUNT(*) AS row_count FROM {view}")
 
 
 def range_rows(spark, sf):
-    """Ids 0..N-1 (N = lineitem rows) with device = id % 10."""
-    n = read_table(spark, sf, "lineitem", ["l_orderkey"]).count()
-    return spark.range(n).select(F.col("id").alias("record_id"), (F.col("id") % 10).alias("device_id"))
+    """Lineitem rows numbered 0..N-1 in key order, with device = number % 10."""
+    rows = ranking.global_row_number(read_table(spark, sf, "lineitem", inputs.ROW_KEY), inputs.ROW_KEY, "_row")
+    record = F.col("_row") - 1
+    return rows.select(*inputs.ROW_KEY, record.alias("record_id"), (record % 10).alias("device_id"))
 
 
 def rand_columns(spark, sf):
@@ -68,12 +75,41 @@ def rand_columns(spark, sf):
 
 
 def write_readback(spark, sf):
-    """Weekly table overwritten to the shared folder, registered, read back and summed per product."""
-    path = scratch_path(spark, "weekly_demand")
+    """Weekly table written to a new folder, registered, read back and summed per product; table and
+    folder are removed once the sums are kept."""
+    table, path = unique_name("weekly_demand"), scratch_path(spark, "weekly_demand", unique=True)
     sinks.overwrite_parquet(_weekly(spark, sf), path)
-    sinks.register_external(spark, "weekcast_weekly_demand", path)
-    return spark.table("weekcast_weekly_demand").groupBy("product").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("demand").alias("demand"))
+    sinks.register_external(spark, table, path)
+    return _then_remove(spark, _per_product(spark.table(table)), table, path)
+
+
+def _per_product(weekly):
+    return weekly.groupBy("product").agg(F.count(F.lit(1)).alias("n"), F.sum("demand").alias("demand"))
+
+
+def _then_remove(spark, df, table, path):
+    """Keep a small result (one row per group) and remove the table it was read from."""
+    kept = checkpoint(df)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    sinks.remove_path(spark, path)
+    return kept
+
+
+def table_roundtrip(spark, sf):
+    """Weekly table built once and reused (the second build must not run), then saved again as a
+    bucketed catalog table and read from the catalog; sums per product of both."""
+    first, path = unique_name("weekly_built"), scratch_path(spark, "weekly_built", unique=True)
+    built = sinks.build_or_reuse(spark, first, path, lambda: _weekly(spark, sf).select(*KEYS, "wk", "demand"))
+
+    def again():
+        raise AssertionError("an existing table was built again")
+    reused = sinks.build_or_reuse(spark, first, path, again)
+    saved, home = unique_name("weekly_saved"), scratch_path(spark, "weekly_saved", unique=True)
+    sinks.overwrite_table(built, saved, bucket_by=KEYS, buckets=8, sort_by=[*KEYS, "wk"], path=home)
+    a = _per_product(reused).withColumn("source", F.lit("built"))
+    b = _per_product(read_catalog_table(spark, saved, [*KEYS, "wk", "demand"])).withColumn("source", F.lit("saved"))
+    kept = _then_remove(spark, a.unionByName(b), saved, home)
+    return _then_remove(spark, kept, first, path)
 
 
 def metric_csv_roundtrip(spark, sf):
@@ -82,7 +118,9 @@ def metric_csv_roundtrip(spark, sf):
         .select(scalar.clean_name(F.col("product")).alias("name"), "value")
     path = scratch_path(spark, "metrics", unique=True)
     sinks.write_metrics(metrics, path)
-    return sinks.read_metrics(spark, path)
+    kept = checkpoint(sinks.read_metrics(spark, path))
+    sinks.remove_path(spark, path)
+    return kept
 
 
 # --- calendar and features -------------------------------------------------
@@ -104,12 +142,12 @@ def weeks_since_event(spark, sf):
 
 def series_calendar(spark, sf):
     """Every series paired with every calendar week."""
-    return demand.series_calendar(spark, sf, _weekly(spark, sf))
+    return demand.series_calendar(_weekly_materialised(spark, sf))
 
 
 def adjusted_demand(spark, sf):
     """Weekly demand shaped by the shock, trend and season factors, rounded."""
-    return demand.adjusted_demand(spark, sf, _weekly(spark, sf), EVENT)
+    return demand.adjusted_demand(_weekly_materialised(spark, sf), EVENT)
 
 
 def exo_features(spark, sf):
@@ -120,10 +158,19 @@ def exo_features(spark, sf):
 # --- series operators ------------------------------------------------------
 
 def first_series(spark, sf):
-    """All rows of the series with the smallest (product, sku)."""
-    w = _weekly_materialised(spark, sf)
-    first = w.select(*KEYS).orderBy(*KEYS).limit(1)
-    return w.join(first, KEYS, "left_semi").select(*KEYS, "wk", "demand")
+    """All rows of the series with the smallest (product, sku) that was shipped.
+
+    The key comes from part and the distinct shipped parts; the weekly
+    aggregate then reads the parts of that one series alone.
+    """
+    part = read_table(spark, sf, "part", ["p_partkey", "p_type", "p_brand"])
+    shipped = read_table(spark, sf, "lineitem", ["l_partkey"]).where("l_partkey is not null").distinct()
+    first = part.join(shipped, part["p_partkey"] == shipped["l_partkey"], "left_semi") \
+        .agg(F.min(F.struct("p_type", "p_brand")).alias("k")).first()["k"]
+    if first is None:
+        return _weekly(spark, sf).select(*KEYS, "wk", "demand")
+    return _weekly(spark, sf).where(F.col("product").eqNullSafe(first["p_type"]) & F.col("sku").eqNullSafe(first["p_brand"])) \
+        .select(*KEYS, "wk", "demand")
 
 
 def series_count(spark, sf):
@@ -137,14 +184,14 @@ def series_bounds(spark, sf):
 
 
 def series_position(spark, sf):
-    """Zero-based week position per series, warm-up (pos < 10) dropped."""
-    w = series.with_position(_weekly(spark, sf), KEYS)
+    """Zero-based week position per regular series, warm-up (pos < 10) dropped."""
+    w = series.with_position(_dense(spark, sf), KEYS)
     return w.filter(F.col("pos") >= 10).select(*KEYS, "wk", "pos")
 
 
 def tail_split(spark, sf):
-    """Weekly rows flagged as history or hold-out (last 40 weeks)."""
-    return series.tail_split(_weekly(spark, sf), KEYS, H).select(*KEYS, "wk", "demand", "is_history")
+    """Weeks of the regular series flagged as history or hold-out (last 40 weeks)."""
+    return series.tail_split(_dense(spark, sf), KEYS, H).select(*KEYS, "wk", "demand", "is_history")
 
 
 def dense_spine(spark, sf):
@@ -154,12 +201,12 @@ def dense_spine(spark, sf):
 
 def series_diff(spark, sf):
     """First and second differences per series."""
-    return series.differences(_weekly(spark, sf), KEYS).select(*KEYS, "wk", "d1", "d2")
+    return series.differences(_dense(spark, sf), KEYS).select(*KEYS, "wk", "d1", "d2")
 
 
 def lag_features(spark, sf):
     """Lags 1..4 of demand per series."""
-    return series.lags(_weekly(spark, sf), KEYS, 4)
+    return series.lags(_dense(spark, sf), KEYS, 4)
 
 
 def series_packed(spark, sf):
@@ -171,12 +218,13 @@ def series_packed(spark, sf):
 # --- joins, hierarchy, arrays, sampling, sets, scalars ----------------------
 
 def hierarchy_join(spark, sf):
-    """Parts per (type, brand) joined to parts per type."""
+    """Parts per (type, brand) beside parts per type, both from one scan of part."""
     part = read_table(spark, sf, "part", ["p_type", "p_brand"])
     per_sku = part.groupBy(F.col("p_type").alias("product"), F.col("p_brand").alias("sku")) \
         .agg(F.count(F.lit(1)).alias("n_parts"))
-    per_product = part.groupBy(F.col("p_type").alias("product")).agg(F.count(F.lit(1)).alias("product_parts"))
-    return per_sku.join(per_product, "product").select("product", "sku", "n_parts", "product_parts")
+    # one row per sku by now: the sum per product runs over counts, not parts
+    total = F.sum("n_parts").over(Window.partitionBy("product"))
+    return per_sku.where(F.col("product").isNotNull()).select("product", "sku", "n_parts", total.alias("product_parts"))
 
 
 def hierarchy_keys(spark, sf):
@@ -254,28 +302,36 @@ def value_hash(spark, sf):
 def check_rowcount(spark, sf):
     """Data checks: join keeps rows; calendar length matches its bounds."""
     w = _weekly_materialised(spark, sf)
-    cf = demand.calendar_factors(spark, sf, EVENT)
+    bounds = w.agg(F.count(F.lit(1)).alias("before"), F.min("wk").alias("first_wk"), F.max("wk").alias("last_wk"))
+    weeks = demand.calendar_from_bounds(bounds.select("first_wk", "last_wk"))
     # the calendar has one row per week of the data span: a proven size bound
-    joined_n = w.join(F.broadcast(cf), "wk").agg(F.count(F.lit(1))).scalar()
-    bounds = inputs.data_calendar_bounds(spark, sf)
-    cal_n = demand.calendar(spark, sf).agg(F.count(F.lit(1))).scalar()
-    rows_before = w.agg(F.count(F.lit(1)).alias("before"))
-    a = checks.check_row("join_keeps_rows", F.col("before"), joined_n, rows_before)
+    joined_n = w.join(F.broadcast(weeks.select("wk")), "wk").agg(F.count(F.lit(1))).scalar()
+    cal_n = weeks.agg(F.count(F.lit(1))).scalar()
+    a = checks.check_row("join_keeps_rows", F.col("before"), joined_n, bounds)
     b = checks.check_row("calendar_length",
                          cal.week_index(F.col("last_wk"), F.col("first_wk")) + 1, cal_n, bounds)
     return a.unionByName(b)
 
 
+def schema_checks(spark, sf):
+    """Schema expectations of the tables that the series are built from, one row per column."""
+    key = T.StructType([T.StructField("l_partkey", T.LongType())])
+    line = checks.compose_schema(key, [T.StructField("l_quantity", T.DoubleType()),
+                                       T.StructField("l_shipdate", T.TimestampNTZType())])
+    part = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("p_type", T.StringType()),
+                         T.StructField("p_brand", T.StringType()), T.StructField("p_colour", T.StringType())])
+    a = checks.schema_rows(read_table(spark, sf, "lineitem"), "lineitem", line)
+    return a.unionByName(checks.schema_rows(read_table(spark, sf, "part"), "part", part))
+
+
 # --- many models ---------------------------------------------------------------
 
 def _index(spark, sf):
     return manymodels.model_index(inputs.devrows(spark, sf), RUN_ID)
 
 
-def _index_table(spark, sf):
-    """The trained model table, written once (one row per device) so that
-    scoring reads it instead of re-training for every reference to it."""
-    return checkpoint(_index(spark, sf))
+def _models(spark, sf):
+    return manymodels.model_index_multi(inputs.devrows(spark, sf), RUN_ID)
 
 
 def model_index(spark, sf):
@@ -288,7 +344,7 @@ def model_index(spark, sf):
 
 def model_index_multi(spark, sf):
     """Per-device three-feature OLS from grouped moments."""
-    m = manymodels.model_index_multi(inputs.devrows(spark, sf), RUN_ID)
+    m = _models(spark, sf)
     return m.select("device_id", "n_used",
                     *[F.round(F.col("coef")[i], 4).alias(f"coef_{i + 1}") for i in range(3)],
                     F.round("intercept", 4).alias("intercept"), F.round("r2", 6).alias("r2"),
@@ -296,9 +352,10 @@ def model_index_multi(spark, sf):
 
 
 def many_model_score(spark, sf):
-    """Every device row scored with its own device's model."""
+    """Every device row scored with its own device's three-feature model."""
     rows = inputs.devrows(spark, sf)
-    scored = manymodels.many_model_score(rows, _index_table(spark, sf))
+    # one row per device, written once: scoring counts it and joins it without training again
+    scored = manymodels.many_model_score(rows, checkpoint(_models(spark, sf)))
     return scored.select(*inputs.ROW_KEY, "device_id", F.round("prediction", 4).alias("prediction"),
                          "has_model")
 
@@ -306,56 +363,54 @@ def many_model_score(spark, sf):
 def routed_score(spark, sf):
     """Rows routed through a saved model bundle missing device 0; mean prediction per device."""
     rows = inputs.devrows(spark, sf)
-    scored = manymodels.routed_score(spark, rows, _index_table(spark, sf), drop_device=0)
+    scored = manymodels.routed_score(spark, rows, _models(spark, sf), drop_device=0)
     return scored.groupBy("device_id").agg(F.count(F.lit(1)).alias("n"),
                                            F.round(F.avg("prediction"), 4).alias("mean_pred"))
 
 
-# --- search with SQL forecasters -------------------------------------------------
+# --- search and forecast ---------------------------------------------------------
 
 def mse_by_series(spark, sf):
-    """Hold-out MSE of the last-value forecaster per series."""
-    t = search.tail_forecasts(_weekly(spark, sf), KEYS, H, MIN_TRAIN)
-    return t.groupBy(*KEYS).agg(F.round(F.avg(F.pow(F.col("demand") - F.col("f_last"), 2)), 6).alias("mse"))
+    """Hold-out MSE of the last-value forecaster per series; too short ones have none."""
+    t = search.forecasts(_dense(spark, sf), KEYS, H)
+    err = F.when(~F.col("is_history"), F.pow(F.col("demand") - F.col("f_last"), F.lit(2)))
+    return t.groupBy(*KEYS).agg(F.max("status").alias("status"), F.round(F.avg(err), 6).alias("mse"))
 
 
 def rmse_global(spark, sf):
-    """Hold-out RMSE of the last-value forecaster over all series."""
-    t = search.tail_forecasts(_weekly(spark, sf), KEYS, H, MIN_TRAIN)
-    return t.agg(F.round(F.sqrt(F.avg(F.pow(F.col("demand") - F.col("f_last"), 2))), 6).alias("rmse"))
+    """Hold-out RMSE of the last-value forecaster over all series, and how many series it covers."""
+    t = search.forecasts(_dense(spark, sf), KEYS, H).filter(~F.col("is_history"))
+    ok = F.col("status") == "ok"
+    per = t.groupBy(*KEYS).agg(F.sum(F.when(ok, F.pow(F.col("demand") - F.col("f_last"), F.lit(2)))).alias("sse"),
+                               F.count(F.when(ok, 1)).alias("n"))
+    return per.agg(F.round(F.sqrt(F.try_divide(F.sum("sse"), F.sum("n"))), 6).alias("rmse"),
+                   F.count(F.lit(1)).alias("n_series"), F.count(F.when(F.col("n") == 0, 1)).alias("n_too_short"))
 
 
 def candidate_losses(spark, sf):
-    """Hold-out loss of five SQL forecasters per series."""
-    return search.sql_forecaster_losses(_weekly(spark, sf), KEYS, H, MIN_TRAIN)
+    """Hold-out loss of five SQL forecasters for every series, with its status."""
+    return search.sql_forecaster_losses(_dense(spark, sf), KEYS, H)
 
 
 def best_candidate(spark, sf):
-    """Arg-min forecaster per series, ties by candidate id."""
-    return search.arg_min(candidate_losses(spark, sf), KEYS, "loss", "cand_id", ["cand_id", "loss"])
-
-
-# --- ARIMAX search and forecast ---------------------------------------------------
-
-def arimax_losses(spark, sf):
-    """Hold-out loss of all 75 (p,d,q) orders per series."""
-    packed = forecast.pack_series(_weekly(spark, sf), EVENT)
-    return forecast.candidate_losses(packed).select(*KEYS, "p", "d", "q", "loss")
-
-
-def exo_gain(spark, sf):
-    """Hold-out loss of order (1,2,1) without and with event features."""
-    return forecast.exo_gain(forecast.pack_series(_weekly(spark, sf), EVENT))
+    """Arg-min forecaster per series, ties by candidate id; none for too short series."""
+    best = search.arg_min(candidate_losses(spark, sf), KEYS, "loss", "cand_id", ["status", "cand_id", "loss"])
+    return best.withColumn("cand_id", F.when(F.col("status") == "ok", F.col("cand_id")))
 
 
 def forecast_frame(spark, sf):
-    """Dense weekly frame of every series with hold-out and eligibility flags."""
-    return forecast.series_frame(forecast.pack_series(_weekly(spark, sf), EVENT))
+    """Regular weekly frame of every series with hold-out and eligibility flags."""
+    return forecast.series_frame(_weekly(spark, sf))
 
 
-def forecast_all(spark, sf):
+def forecast_best(spark, sf):
     """Search, arg-min, refit: fitted history and forecast tail for every series."""
-    return forecast.forecast_all(_weekly(spark, sf), event=EVENT)
+    return forecast.forecast_best(_weekly(spark, sf))
+
+
+def exo_gain(spark, sf):
+    """Hold-out loss of a per-series regression without and with the event features."""
+    return forecast.exo_gain(_weekly(spark, sf), EVENT)
 
 
 # --- MLlib -----------------------------------------------------------------------------
@@ -365,8 +420,18 @@ def string_index(spark, sf):
     return tuning.string_index_labels(inputs.listing(spark, sf), ["p_brand", "p_type"])
 
 
+def indexed_listing(spark, sf):
+    """Listing rows with their label indices from the train rows; unseen labels skipped."""
+    return tuning.indexed_listing(inputs.listing(spark, sf))
+
+
+def forest_checks(spark, sf):
+    """Rows, rows skipped and rows scored per split."""
+    return tuning.forest_checks(inputs.listing(spark, sf))
+
+
 def rf_pipeline(spark, sf):
-    """Random-forest pipeline fitted on train, scored on validation."""
+    """Random-forest pipeline fitted on train, saved, loaded and scored on validation."""
     return tuning.rf_pipeline(spark, inputs.listing(spark, sf))
 
 
@@ -387,6 +452,27 @@ def topk_runs(spark, sf):
     return runlog.newest_runs(inputs.runlog(spark, sf), 10)
 
 
+def runlog_roundtrip(spark, sf):
+    """Parent runs per device and their children appended to a log, read back and matched."""
+    log, path = inputs.runlog(spark, sf), scratch_path(spark, "runlog", unique=True)
+    runlog.append_runs(runlog.device_runs(log), path)
+    runlog.append_runs(runlog.child_runs(log), path)
+    kept = checkpoint(runlog.children_by_parent(runlog.read_runs(spark, path)))
+    sinks.remove_path(spark, path)
+    return kept
+
+
+def trial_log(spark, sf):
+    """The trials of the tuned forest logged under one parent run and read back."""
+    path = scratch_path(spark, "trials", unique=True)
+    runlog.append_runs(runlog.trial_runs(tuning.rf_tuned(spark, inputs.listing(spark, sf), trials=((2, 4), (3, 4))), RUN_ID), path)
+    kept = checkpoint(runlog.read_runs(spark, path).select(
+        "run_id", "parent_run_id", F.col("tags")["stage"].alias("stage"), F.col("params")["maxDepth"].alias("max_depth"),
+        (F.col("metrics")["rmse"] > 0).alias("has_rmse")))
+    sinks.remove_path(spark, path)
+    return kept
+
+
 QUERIES: dict[str, Query] = {
     "weekly_demand": weekly_demand, "row_count": row_count, "range_rows": range_rows,
     "rand_columns": rand_columns, "calendar": calendar_q, "calendar_factors": calendar_factors,
@@ -403,9 +489,10 @@ QUERIES: dict[str, Query] = {
     "many_model_score": many_model_score, "routed_score": routed_score,
     "mse_by_series": mse_by_series, "rmse_global": rmse_global,
     "candidate_losses": candidate_losses, "best_candidate": best_candidate,
-    "arimax_losses": arimax_losses, "exo_gain": exo_gain, "forecast_frame": forecast_frame,
-    "forecast_all": forecast_all,
-    "string_index": string_index, "rf_pipeline": rf_pipeline, "rf_tuned": rf_tuned,
-    "runlog_latest": runlog_latest, "topk_runs": topk_runs, "write_readback": write_readback,
+    "exo_gain": exo_gain, "forecast_frame": forecast_frame, "forecast_best": forecast_best,
+    "string_index": string_index, "indexed_listing": indexed_listing, "forest_checks": forest_checks,
+    "rf_pipeline": rf_pipeline, "rf_tuned": rf_tuned,
+    "runlog_latest": runlog_latest, "topk_runs": topk_runs, "runlog_roundtrip": runlog_roundtrip,
+    "trial_log": trial_log, "table_roundtrip": table_roundtrip, "schema_checks": schema_checks, "write_readback": write_readback,
     "metric_csv_roundtrip": metric_csv_roundtrip, "check_rowcount": check_rowcount,
 }

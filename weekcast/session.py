@@ -118,6 +118,11 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = False) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:8]}" if unique else f"{base}/{name}"
 
 
+def unique_name(name: str) -> str:
+    """A table or view name that no other run uses."""
+    return f"weekcast_{name}_{uuid.uuid4().hex[:8]}"
+
+
 def checkpoint(df):
     """Reliable, eager checkpoint into the shared folder (cuts lineage; a lost
     executor does not send the job back to the source scan)."""

@@ -20,7 +20,8 @@ def register_external(spark: SparkSession, table: str, path: str, fmt: str = "PA
     spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{path}'")
 
 
-def overwrite_table(df: DataFrame, table: str, bucket_by=None, buckets: int = 0, sort_by=None) -> None:
+def overwrite_table(df: DataFrame, table: str, bucket_by=None, buckets: int = 0, sort_by=None,
+                    path: str | None = None) -> None:
     """Replace a catalog table; optionally bucketed (and sorted) by key.
 
     A series table bucketed by its series key is read back already
@@ -28,6 +29,8 @@ def overwrite_table(df: DataFrame, table: str, bucket_by=None, buckets: int = 0,
     aggregate on it runs without an exchange.
     """
     writer = df.write.mode("overwrite")
+    if path:  # where the table's files go; the warehouse by default
+        writer = writer.option("path", path)
     if bucket_by:
         writer = writer.bucketBy(buckets, *bucket_by)
         if sort_by:
@@ -44,12 +47,18 @@ def build_or_reuse(spark: SparkSession, table: str, path: str, build, reset: boo
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """All metrics (name, value) in one CSV write.  Names must be quote-free."""
-    bad = metrics.filter(F.col("name").contains('"') | F.col("name").contains("'")).limit(1).count()
-    if bad:
-        raise ValueError("metric names must not contain quotes")
-    metrics.select("name", "value").write.mode("overwrite").csv(path)
+    """All metrics (name, value) in one CSV write.  Names must be quote-free:
+    a bad one fails its write task, so the input is planned and run once."""
+    bad = F.col("name").contains('"') | F.col("name").contains("'")
+    name = F.when(bad, F.raise_error(F.lit("metric names must not contain quotes"))).otherwise(F.col("name"))
+    metrics.select(name.alias("name"), "value").write.mode("overwrite").csv(path)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METRIC_SCHEMA).csv(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more, wherever it is stored."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
