@@ -120,14 +120,14 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, key: str =
     that follow them become one ``mark``.  Clean texts stay as they are, byte for byte.
     """
     got = staged(contamination(docs, benchmark, n, key, text, item).select("key", "th", "spans"), "hits")
-    t = F.col(text)
-    joined = docs.join(got, docs[key].eqNullSafe(got["key"]) & (F.xxhash64(docs[text]) == got["th"]), "left")
+    t, spans = docs[text], got["spans"]
+    joined = docs.join(got, docs[key].eqNullSafe(got["key"]) & (F.xxhash64(t) == got["th"]), "left")
     # word and the gap behind it, in order; a leading gap stays in front
     pieces = F.regexp_extract_all(t, F.lit(PART.replace("[", "[^", 1) + PART.replace("+", "*")), F.lit(0))
     lead = F.regexp_extract(t, "^" + PART.replace("+", "*"), 0)
     kept = F.transform(pieces, lambda p, i: F.when(
-        F.exists("spans", lambda s: (i >= s["pos"]) & (i < s["end"])),
-        F.when(F.exists("spans", lambda s: i == s["pos"]) & ~F.exists("spans", lambda s: (i > s["pos"]) & (i < s["end"])),
+        F.exists(spans, lambda s: (i >= s["pos"]) & (i < s["end"])),
+        F.when(F.exists(spans, lambda s: i == s["pos"]) & ~F.exists(spans, lambda s: (i > s["pos"]) & (i < s["end"])),
                F.lit(mark)).otherwise(F.lit(""))).otherwise(p))
-    cut = F.when(F.col("spans").isNull(), t).otherwise(F.concat(lead, F.array_join(kept, "")))
+    cut = F.when(spans.isNull(), t).otherwise(F.concat(lead, F.array_join(kept, "")))
     return joined.select(*[cut.alias(c) if c == text else docs[c] for c in docs.columns])
