@@ -204,6 +204,14 @@ SELECT wk, CAST(week(wk) AS INTEGER) AS iso_week, {_counter('wk')} AS counter,
        round({_shock(_counter('wk'), _counter('last_wk'))}, 6) AS shock_factor,
        {_season('week(wk)')} AS season_factor
 FROM cal""",
+    "season_lookup": _with(BOUNDS, CAL) + f"SELECT wk, CAST(week(wk) AS INTEGER) AS iso_week, {_season('week(wk)')} AS season_factor FROM cal",
+    "week_timestamps": _with(BOUNDS, CAL) + "SELECT wk, CAST(wk AS TIMESTAMP) AS at, "
+        "CAST(wk AS TIMESTAMP) >= TIMESTAMP '2000-03-01 00:00:00' AS after_event FROM cal",
+    "candidate_wins": _with(WEEKLY, DENSE, FORECASTS, LOSSES) + """
+SELECT CAST(c.id AS INTEGER) AS cand_id, c.forecaster, CAST(CASE WHEN c.k IS NULL THEN 0 ELSE 1 END AS INTEGER) AS n_params,
+       CAST(c.k AS DOUBLE) AS "window", count(best.cand_id) AS n_series
+FROM (VALUES (0, 'last', NULL), (1, 'mean4', 4), (2, 'mean26', 26), (3, 'mean52', 52), (4, 'drift', NULL)) c(id, forecaster, k)
+LEFT JOIN best ON c.id = best.cand_id GROUP BY ALL""",
     "weeks_since_event": _with(WEEKLY) + f"SELECT product, sku, wk, {_counter('wk')} AS counter FROM weekly",
     "series_calendar": _with(WEEKLY, BOUNDS, CAL) +
         "SELECT s.product, s.sku, cal.wk FROM (SELECT DISTINCT product, sku FROM weekly) s CROSS JOIN cal",

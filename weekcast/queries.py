@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,19 +98,23 @@ def _then_remove(spark, df, table, path):
 
 def table_roundtrip(spark, sf):
     """Weekly table built once and reused (the second build must not run), then saved again as a
-    bucketed catalog table and read from the catalog; sums per product of both."""
-    first, path = unique_name("weekly_built"), scratch_path(spark, "weekly_built", unique=True)
+    bucketed catalog table and read from the catalog; sums per product of both.  Both tables live in a
+    database of their own, which is dropped with its folder."""
+    db, home = unique_name("series"), scratch_path(spark, "series_db", unique=True)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{home}'")
+    first, path = f"{db}.built", f"{home}/built_files"
     built = sinks.build_or_reuse(spark, first, path, lambda: _weekly(spark, sf).select(*KEYS, "wk", "demand"))
 
     def again():
         raise AssertionError("an existing table was built again")
     reused = sinks.build_or_reuse(spark, first, path, again)
-    saved, home = unique_name("weekly_saved"), scratch_path(spark, "weekly_saved", unique=True)
-    sinks.overwrite_table(built, saved, bucket_by=KEYS, buckets=8, sort_by=[*KEYS, "wk"], path=home)
+    sinks.overwrite_table(built, f"{db}.saved", bucket_by=KEYS, buckets=8, sort_by=[*KEYS, "wk"])
     a = _per_product(reused).withColumn("source", F.lit("built"))
-    b = _per_product(read_catalog_table(spark, saved, [*KEYS, "wk", "demand"])).withColumn("source", F.lit("saved"))
-    kept = _then_remove(spark, a.unionByName(b), saved, home)
-    return _then_remove(spark, kept, first, path)
+    b = _per_product(read_catalog_table(spark, f"{db}.saved", [*KEYS, "wk", "demand"])).withColumn("source", F.lit("saved"))
+    kept = checkpoint(a.unionByName(b))
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    sinks.remove_path(spark, home)
+    return kept
 
 
 def metric_csv_roundtrip(spark, sf):
@@ -135,6 +140,22 @@ def calendar_factors(spark, sf):
     return demand.calendar_factors(spark, sf, EVENT)
 
 
+def season_lookup(spark, sf):
+    """Season factor of every calendar week, looked up in a table of literal rows."""
+    schema = T.StructType([T.StructField("iso_week", T.IntegerType()), T.StructField("factor", T.DoubleType())])
+    rows = spark.createDataFrame([(w, f) for w, f in cal.SEASON_FACTORS] + [(53, dict(cal.SEASON_FACTORS)[52])], schema)
+    weeks = demand.calendar(spark, sf).withColumn("iso_week", cal.iso_week(F.col("wk")))
+    # a handful of literal rows
+    return weeks.join(F.broadcast(rows), "iso_week", "left") \
+        .select("wk", "iso_week", F.coalesce("factor", F.lit(cal.SEASON_DEFAULT)).alias("season_factor"))
+
+
+def week_timestamps(spark, sf):
+    """Every calendar week as a midnight timestamp, and whether it is at or after the event's."""
+    at = F.col("wk").cast("timestamp_ntz")
+    return demand.calendar(spark, sf).select("wk", at.alias("at"), (at >= F.lit(EVENT).cast("timestamp_ntz")).alias("after_event"))
+
+
 def weeks_since_event(spark, sf):
     """Weekly rows with the weeks-since-event counter."""
     return demand.weeks_since_event(_weekly(spark, sf), EVENT)
@@ -398,6 +419,19 @@ def best_candidate(spark, sf):
     return best.withColumn("cand_id", F.when(F.col("status") == "ok", F.col("cand_id")))
 
 
+def candidate_wins(spark, sf):
+    """How many series choose each forecaster; the forecasters come as a pandas frame with arrays."""
+    frame = pd.DataFrame({"cand_id": [c for c, _, _ in search.SQL_FORECASTERS],
+                          "forecaster": [n for _, n, _ in search.SQL_FORECASTERS],
+                          "params": [[float(k)] if k else [] for _, _, k in search.SQL_FORECASTERS]})
+    schema = T.StructType([T.StructField("cand_id", T.IntegerType()), T.StructField("forecaster", T.StringType()),
+                           T.StructField("params", T.ArrayType(T.DoubleType()))])
+    wins = best_candidate(spark, sf).groupBy("cand_id").agg(F.count(F.lit(1)).alias("n"))
+    return spark.createDataFrame(frame, schema=schema).join(wins, "cand_id", "left").select(
+        "cand_id", "forecaster", F.size("params").alias("n_params"), F.try_element_at("params", F.lit(1)).alias("window"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_series"))
+
+
 def forecast_frame(spark, sf):
     """Regular weekly frame of every series with hold-out and eligibility flags."""
     return forecast.series_frame(_weekly(spark, sf))
@@ -476,7 +510,8 @@ def trial_log(spark, sf):
 QUERIES: dict[str, Query] = {
     "weekly_demand": weekly_demand, "row_count": row_count, "range_rows": range_rows,
     "rand_columns": rand_columns, "calendar": calendar_q, "calendar_factors": calendar_factors,
-    "weeks_since_event": weeks_since_event, "series_calendar": series_calendar,
+    "weeks_since_event": weeks_since_event, "season_lookup": season_lookup, "week_timestamps": week_timestamps,
+    "candidate_wins": candidate_wins, "series_calendar": series_calendar,
     "adjusted_demand": adjusted_demand, "exo_features": exo_features,
     "first_series": first_series, "series_count": series_count, "series_bounds": series_bounds,
     "series_position": series_position, "tail_split": tail_split, "dense_spine": dense_spine,
