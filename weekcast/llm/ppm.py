@@ -2,8 +2,9 @@
 
 The trie holds byte contexts of up to ORDER bytes with the counts of the bytes that follow them.  A
 byte is coded in the longest context known; a byte not seen there costs an escape (method C: as
-likely as the number of different bytes seen) and is sought in the next shorter context, without the
-bytes that the longer one would have coded (exclusion).  Below order 0 all remaining bytes are equal.
+likely as the number of different bytes seen, and what followed the context without becoming a node)
+and is sought in the next shorter context, without the bytes that the longer one would have coded
+(exclusion).  Below order 0 all remaining bytes are equal.
 Each text ends with the byte 0xFF, which UTF-8 never uses, so the scores are probabilities of texts.
 
 Counts of contexts and words are gathered from all training texts by Spark.  A trie node or a word
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from weekcast.llm.common import one_row, staged
 from weekcast.session import ship_package
 
-ORDER = 4
+ORDER = 5
 #: A node is in the trie if it has at least 1 / NODES of all bytes: at most NODES nodes of each order.
 NODES = 1 << 20
 #: A word is broadcast with its count if it is at least 1 / WORDS of all tokens: at most WORDS words.
@@ -231,6 +232,7 @@ class Model:
     tokens: int = 0
     distinct: int = 0
     docs: int = 0
+    size: int = 0                                      # bytes counted
     levels: list = field(default_factory=list)
     word_table: Table | None = None
 
@@ -245,24 +247,33 @@ class Model:
         for order in range(len(self.codes) - 1, -1, -1):
             code, n = self.codes[order], self.counts[order].astype(np.float64)
             ctx, where = np.unique(code >> np.uint64(8), return_inverse=True)
-            total, kinds = np.bincount(where, n, len(ctx)), np.bincount(where, minlength=len(ctx))
+            held, kinds = np.bincount(where, n, len(ctx)), np.bincount(where, minlength=len(ctx))
+            # all that followed the context, nodes or not: its own count as a node one order lower
+            total = np.maximum(held, self._occurrences(ctx, order))
             nodes = Table(code)
             level = {"nodes": nodes, "contexts": Table(ctx), "log_n": np.log10(n),
-                     "log_p": np.log10(n / (total + kinds)[where]), "log_all": np.log10(total + kinds),
-                     "log_escape": np.log10(kinds / (total + kinds))}
+                     "log_p": np.log10(n / (total + kinds)[where]), "log_escape": np.log10((total - held + kinds) / (total + kinds))}
             if above is not None:
                 # what is left here for a context above: its bytes are excluded
                 here = level["contexts"].find(above["ctx"] & np.uint64((1 << 8 * order) - 1))
                 same = nodes.find(above["code"] & np.uint64((1 << 8 * (order + 1)) - 1))
                 taken = np.bincount(above["where"], n[same], len(above["ctx"]))
                 rest, more = total[here] - taken, kinds[here] - above["kinds"]
+                novel = total[here] - held[here] + more
                 up = self.levels[0]
                 up["below_all"] = np.log10(np.maximum(rest + more, 1))
-                up["below_escape"] = np.where(more > 0, np.log10(np.maximum(more, 1) / np.maximum(rest + more, 1)), 0.0)
+                up["below_escape"] = np.where(novel > 0, np.log10(np.maximum(novel, 1) / np.maximum(rest + more, 1)), 0.0)
             above = {"ctx": ctx, "code": code, "where": where, "kinds": kinds}
             self.levels.insert(0, level)
         return self
 
+    def _occurrences(self, ctx: np.ndarray, order: int) -> np.ndarray:
+        """How often each context of an order occurs."""
+        if not order:
+            return np.full(len(ctx), float(self.size))
+        at = Table(self.codes[order - 1]).find(ctx)
+        return np.where(at >= 0, self.counts[order - 1][at], 0).astype(np.float64)
+
     def log10(self, grams: np.ndarray) -> np.ndarray:
         """log10 probability of each byte after its context."""
         out = np.zeros(len(grams))
@@ -308,7 +319,7 @@ def fit(counts: DataFrame, nodes: int = NODES, words: int = WORDS) -> Model:
     by = [np.flatnonzero(order == k) for k in range(ORDER + 1)]
     often = counts.where((F.col("kind") == _WORD) & (F.col("n") * words >= tokens)).select("code", "n").toArrow()
     return Model([code[i] for i in by], [n[i] for i in by], often.column("code").to_numpy().view(np.uint64),
-                 often.column("n").to_numpy(), tokens + docs, distinct + (docs > 0), docs)
+                 often.column("n").to_numpy(), tokens + docs, distinct + (docs > 0), docs, bytes_)
 
 
 # -- scoring ---------------------------------------------------------------------------------------
