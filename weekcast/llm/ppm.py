@@ -34,7 +34,7 @@ NODES = 1 << 20
 WORDS = 1 << 20
 #: Bytes handled at once, and distinct keys that a counting task holds before it passes them on.
 CHUNK = 1 << 20
-HELD = 4_000_000
+HELD = 1_500_000
 END = 0xFF
 _GRAM, _WORD, _DOCS = range(3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
