@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from weekcast.queries import QUERIES  # noqa: E402
 from weekcast.session import local_session, ship_package  # noqa: E402
 
-SKIP = {"rf_pipeline", "rf_tuned"}  # MLlib: many small jobs, no single plan
+SKIP = {"rf_pipeline", "rf_tuned", "trial_log", "forest_checks"}  # MLlib: many small jobs, no single plan
 PATTERNS = {
     "scans": r"FileScan parquet|Scan parquet|Scan ExistingRDD",
     "hash exch": r"Exchange hashpartitioning",

@@ -130,13 +130,6 @@ def checkpoint(df):
     return df.checkpoint(eager=True)
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    sc = _context(spark)
-    if sc is None:
-        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-    return max(1, int(sc.defaultParallelism))
-
-
 _SHIPPED: dict[str, str] = {}
 
 
