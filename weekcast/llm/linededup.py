@@ -154,7 +154,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rare: int =
     """
     gone = staged(repeated_lines(docs, key, text, rare, passage), "gone")
     k, t = F.coalesce(docs[key].cast("long"), F.lit(-(1 << 63))), docs[text]
-    got = docs.join(gone, (k == gone["key"]) & (F.xxhash64(t) == gone["th"]), "left")
+    # the deletions grow with the documents: a merge join at every size, which AQE may split
+    got = docs.join(gone.hint("merge"), (k == gone["key"]) & (F.xxhash64(t) == gone["th"]), "left")
     split = F.split(t, "\n")
     kept = F.filter(split, lambda line, i: ~F.array_contains(gone["gone"], i))
     text_out = F.when(gone["gone"].isNull(), t).otherwise(F.array_join(kept, "\n"))
