@@ -155,7 +155,8 @@ def keep_one(docs: DataFrame, k: int = 4, radius: int = 4, text: str = "text", k
 
     def rows(of: str, how: str) -> DataFrame:
         some = judged.where(of).select(F.col("key").alias("_key"), F.col("th").alias("_th"))
-        return docs.join(some, docs[key].eqNullSafe(some["_key"]) & (F.xxhash64(docs[text]) == some["_th"]), how)
+        # these grow with the documents: a merge join at every size, which AQE may split
+        return docs.join(some.hint("merge"), docs[key].eqNullSafe(some["_key"]) & (F.xxhash64(docs[text]) == some["_th"]), how)
     alone = rows("not kept or copies > 1", "left_anti")
     if judged.where("kept and copies > 1").isEmpty():
         return alone
