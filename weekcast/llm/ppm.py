@@ -33,7 +33,7 @@ NODES = 1 << 20
 #: A word is broadcast with its count if it is at least 1 / WORDS of all tokens: at most WORDS words.
 WORDS = 1 << 20
 #: Bytes handled at once, and distinct keys that a counting task holds before it passes them on.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 HELD = 1_500_000
 END = 0xFF
 _GRAM, _WORD, _DOCS = range(3)
