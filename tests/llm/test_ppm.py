@@ -75,6 +75,17 @@ def test_matches_plain_model(spark, monkeypatch, nodes, words):
         assert g[4:] == pytest.approx(w[4:], abs=1e-6)
 
 
+def test_rare_contexts_stay_in_the_model(spark):
+    # more than NODES bytes of training text: contexts met once or twice are below the broadcast share
+    held_in = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held_out = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rows = [(held_in[0], "abc " * 800_000), (held_in[1], "a rare quixotic phrase"), (held_in[2], "ñandú quixote"),
+            (held_out[0], "the quixotic phrases, rarely"), (held_out[1], "ñandus ab c"), (held_out[2], None)]
+    got = {r["doc_id"]: r["score"] for r in ppm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, _, _, _, _, s in brute(rows, nodes=1 << 60):
+        assert got[d] == pytest.approx(s, rel=1e-9, abs=1e-6)
+
+
 def test_byte_probabilities_sum_to_one(spark):
     docs = spark.createDataFrame([(i, "abracadabra " * (i % 4 + 1)) for i in range(40)], "doc_id long, text string")
     model = ppm.fit(ppm.counted(docs), nodes=40).build()

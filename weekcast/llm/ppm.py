@@ -7,9 +7,12 @@ and is sought in the next shorter context, without the bytes that the longer one
 (exclusion).  Below order 0 all remaining bytes are equal.
 Each text ends with the byte 0xFF, which UTF-8 never uses, so the scores are probabilities of texts.
 
-Counts of contexts and words are gathered from all training texts by Spark.  A trie node or a word
-goes into the broadcast tables if it holds at least a fixed share of all counts, so the tables have a
-proven size at any input; the other words are joined with their counts by a shuffle.
+Counts of contexts and words are gathered from all training texts by Spark, and every counted context
+is a node.  The probability of a byte depends on its gram alone (the ORDER bytes before it and itself).
+Grams and words that hold at least a fixed share of all counts are broadcast, so these tables have a
+proven size at any input; all others are joined by a shuffle.  The grams asked for meet the counted
+ones by their last LOW context bytes: such a group holds all longer contexts of its grams, and the
+nodes of the shorter ones, at most 256^LOW of an order, go to every task.
 """
 
 from __future__ import annotations
@@ -24,17 +27,21 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekcast.llm.common import one_row, staged
+from weekcast.llm.common import one_row, staged, whole_groups
 from weekcast.session import ship_package
 
 ORDER = 5
-#: A node is in the trie if it has at least 1 / NODES of all bytes: at most NODES nodes of each order.
+#: A gram is broadcast with its probability if it is at least 1 / NODES of all bytes: at most NODES grams.
 NODES = 1 << 20
+#: Context bytes by which grams are grouped; orders below LOW are in every task.
+LOW = 3
 #: A word is broadcast with its count if it is at least 1 / WORDS of all tokens: at most WORDS words.
 WORDS = 1 << 20
-#: Bytes handled at once, and distinct keys that a counting task holds before it passes them on.
+#: Bytes handled at once, distinct keys that a counting task holds before it passes them on, and grams
+#: from which on a task builds the nodes of the groups it has read.
 CHUNK = 1 << 19
 HELD = 1_500_000
+GROUPED = 500_000
 END = 0xFF
 _GRAM, _WORD, _DOCS = range(3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -233,16 +240,20 @@ class Model:
     distinct: int = 0
     docs: int = 0
     size: int = 0                                      # bytes counted
+    grams: tuple[np.ndarray, np.ndarray] | None = None  # frequent grams and log10 probabilities, in place of nodes
     levels: list = field(default_factory=list)
     word_table: Table | None = None
+    gram_table: Table | None = None
 
     def __getstate__(self):
-        return {**self.__dict__, "levels": [], "word_table": None}
+        return {**self.__dict__, "levels": [], "word_table": None, "gram_table": None}
 
     def build(self) -> Model:
-        if self.levels:
+        if self.word_table is not None:
             return self
         self.word_table = Table(self.word_codes)
+        if self.grams is not None:
+            self.gram_table = Table(self.grams[0])
         above = None                                   # contexts of the order above
         for order in range(len(self.codes) - 1, -1, -1):
             code, n = self.codes[order], self.counts[order].astype(np.float64)
@@ -274,6 +285,13 @@ class Model:
         at = Table(self.codes[order - 1]).find(ctx)
         return np.where(at >= 0, self.counts[order - 1][at], 0).astype(np.float64)
 
+    def settled(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of each byte, 0 where it is not known here, and where it is known."""
+        if self.grams is None:
+            return self.log10(grams), np.ones(len(grams), bool)
+        at = self.gram_table.find(grams)
+        return np.append(self.grams[1], 0.0)[at], at >= 0
+
     def log10(self, grams: np.ndarray) -> np.ndarray:
         """log10 probability of each byte after its context."""
         out = np.zeros(len(grams))
@@ -302,30 +320,121 @@ class Model:
         return out
 
 
-def fit(counts: DataFrame, nodes: int = NODES, words: int = WORDS) -> Model:
-    """The model of a table of counts.  The driver receives the nodes and words over their shares of
-    all counts, at most ``nodes`` per order and ``words``, and three sums."""
-    total = {r["kind"]: (r["s"], r["k"]) for r in
-             counts.groupBy("kind").agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("k")).collect()}  # three rows
-    bytes_, docs = total.get(_GRAM, (0, 0))[0], total.get(_DOCS, (0, 0))[0] or 0
+def _sums(counts: DataFrame) -> dict[int, tuple[int, int]]:
+    """Sum and number of the counts of each kind."""
+    return {r["kind"]: (r["s"], r["k"]) for r in
+            counts.groupBy("kind").agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("k")).collect()}  # three rows
+
+
+def _with_words(counts: DataFrame, words: int, total: dict, codes: list, sizes: list, **more) -> Model:
+    docs = total.get(_DOCS, (0, 0))[0] or 0
     tokens, distinct = total.get(_WORD, (0, 0))
+    often = counts.where((F.col("kind") == _WORD) & (F.col("n") * words >= tokens)).select("code", "n").toArrow()
+    return Model(codes, sizes, often.column("code").to_numpy().view(np.uint64), often.column("n").to_numpy(),
+                 tokens + docs, distinct + (docs > 0), docs, total.get(_GRAM, (0, 0))[0], **more)
+
+
+def fit(counts: DataFrame, nodes: int = NODES, words: int = WORDS) -> Model:
+    """A model cut to the nodes with at least 1 / ``nodes`` of all bytes.  The driver receives these, at
+    most ``nodes`` per order, the words over their share, at most ``words``, and three sums."""
+    total = _sums(counts)
     grams = counts.where(F.col("kind") == _GRAM)
     orders = F.explode(F.array(*[F.struct(F.lit(k).alias("order"), F.col("code").bitwiseAND(
         F.lit((1 << 8 * (k + 1)) - 1)).alias("code")) for k in range(ORDER + 1)]))
     trie = grams.select("n", orders.alias("o")).groupBy("o.order", "o.code").agg(F.sum("n").alias("n")) \
-        .where(F.col("n") * nodes >= bytes_).toArrow()
+        .where(F.col("n") * nodes >= total.get(_GRAM, (0, 0))[0]).toArrow()
     order, code = trie.column("order").to_numpy(), trie.column("code").to_numpy().view(np.uint64)
     n = trie.column("n").to_numpy()
     by = [np.flatnonzero(order == k) for k in range(ORDER + 1)]
-    often = counts.where((F.col("kind") == _WORD) & (F.col("n") * words >= tokens)).select("code", "n").toArrow()
-    return Model([code[i] for i in by], [n[i] for i in by], often.column("code").to_numpy().view(np.uint64),
-                 often.column("n").to_numpy(), tokens + docs, distinct + (docs > 0), docs, bytes_)
+    return _with_words(counts, words, total, [code[i] for i in by], [n[i] for i in by])
+
+
+def _nodes(code: np.ndarray, n: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of one order and their counts, from grams or nodes of a higher order."""
+    short, where = np.unique(code & np.uint64((1 << 8 * (order + 1)) - 1), return_inverse=True)
+    return short, np.bincount(where, n, len(short)).astype(np.int64)
+
+
+def _solve(low):
+    """(code, log) of the grams that are not broadcast; the rows come in whole groups, sorted by group."""
+    def solved(tables):
+        size, least, code0, n0 = low.value
+        rows = pa.concat_tables(tables)
+        code, n = rows.column("code").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+        ask = np.unique(code[n < least])
+        if len(ask):
+            held = n > 0
+            levels = [_nodes(code0, n0, k) for k in range(LOW)] + \
+                [_nodes(code[held], n[held], k) for k in range(LOW, ORDER + 1)]
+            none = np.zeros(0, np.uint64)
+            model = Model([c for c, _ in levels], [c for _, c in levels], none, none, size=size).build()
+            for lo in range(0, len(ask), GROUPED):
+                some = ask[lo:lo + GROUPED]
+                yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(model.log10(some))], names=["code", "log"])
+
+    def run(batches):
+        tables, held = [], 0
+        for part, _ in whole_groups(batches, ["ctx"]):
+            tables.append(part)
+            held += part.num_rows
+            if held >= GROUPED:
+                yield from solved(tables)
+                tables, held = [], 0
+        if tables:
+            yield from solved(tables)
+    return run
+
+
+def _logs(rows: DataFrame, low) -> DataFrame:
+    """(code, log): log10 probabilities of the grams among (code, n) that are not broadcast; ``n`` is 0 for
+    the ones that are only asked for."""
+    ctx = F.shiftright("code", 8).bitwiseAND(F.lit((1 << 8 * LOW) - 1))
+    return rows.repartition(ctx).select(ctx.alias("ctx"), "code", "n").sortWithinPartitions("ctx") \
+        .mapInArrow(_solve(low), "code long, log double")
+
+
+def whole(counts: DataFrame, nodes: int = NODES, words: int = WORDS):
+    """The model of all counted contexts: frequent grams and words, and what ``_logs`` needs for the other
+    grams in a broadcast.  The driver receives at most ``nodes`` grams, ``words`` words, 256^LOW nodes
+    and three sums."""
+    total = _sums(counts)
+    size = total.get(_GRAM, (0, 0))[0]
+    least = max(1, -(-size // nodes))
+    grams = counts.where(F.col("kind") == _GRAM).select("code", "n")
+    base = grams.groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * LOW) - 1)).alias("code")).agg(F.sum("n").alias("n")).toArrow()
+    low = counts.sparkSession.sparkContext.broadcast(
+        (size, least, base.column("code").to_numpy().view(np.uint64), base.column("n").to_numpy()))
+    # a counted gram is coded in its longest context; at most ``nodes`` contexts are broadcast
+    ctx = F.shiftright("code", 8).alias("ctx")
+    often = grams.where(F.col("n") >= least).select("code", "n", ctx)
+    sums = grams.select("n", ctx).join(F.broadcast(often.select("ctx").distinct()), "ctx") \
+        .groupBy("ctx").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    often = often.join(sums, "ctx").select("code", F.log10(F.col("n") / (F.col("total") + F.col("kinds"))).alias("log")).toArrow()
+    return _with_words(counts, words, total, [], [], grams=(
+        often.column("code").to_numpy().view(np.uint64), often.column("log").to_numpy())), low
 
 
 # -- scoring ---------------------------------------------------------------------------------------
 
 _SCORED = ("row long, key long, n_words long, known long, logs double, score double, "
-           "rare_code array<long>, rare_n array<long>")
+           "rare_code array<long>, rare_n array<long>, open_code array<long>, open_n array<long>")
+
+
+def _distinct(doc: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (doc, code), by doc, and how often each occurs."""
+    order = np.lexsort((code, doc))
+    doc, code = doc[order], code[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])
+    first = np.flatnonzero(new)
+    return doc[first], code[first], np.diff(np.append(first, len(doc)))
+
+
+def _lists(parts: list, n: int) -> tuple[pa.ListArray, pa.ListArray]:
+    """Codes and times of each of ``n`` texts; the parts are in the order of the texts."""
+    doc, code, times = (np.concatenate(p) for p in zip(*parts))
+    offsets = pa.array(np.append(0, np.cumsum(np.bincount(doc, minlength=n))), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(code.view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(times))
 
 
 def _score(model):
@@ -340,33 +449,25 @@ def _score(model):
                 continue
             words, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
             logs, score = np.zeros(n), np.zeros(n)
-            rare_doc, rare_code = [], []
+            rare, unsettled = [], []
             for chunk in _chunks(texts):
-                p = m.log10(chunk.grams())
+                grams = chunk.grams()
+                p, known_here = m.settled(grams)
                 cut = np.cumsum(np.append(0, np.diff(np.append(chunk.start - ORDER, len(chunk.data))) - ORDER))
                 sums = np.append(0.0, np.cumsum(p))
                 np.add.at(score, chunk.doc, sums[cut[1:]] - sums[cut[:-1]])
+                unsettled.append(_distinct(np.repeat(chunk.doc, np.diff(cut))[~known_here], grams[~known_here]))
                 code, doc = chunk.words()
                 at = m.word_table.find(code)
                 hit = at >= 0
                 words += np.bincount(doc, minlength=n)
                 known += np.bincount(doc[hit], minlength=n)
                 logs += np.bincount(doc[hit], log_c[at[hit]], n)
-                rare_doc.append(doc[~hit])
-                rare_code.append(code[~hit])
-            doc, code = np.concatenate(rare_doc), np.concatenate(rare_code)
-            order = np.lexsort((code, doc))
-            doc, code = doc[order], code[order]
-            new = np.ones(len(doc), bool)
-            new[1:] = (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])
-            first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(doc)))
-            offsets = np.append(0, np.cumsum(np.bincount(doc[first], minlength=n))).astype(np.int32)
+                rare.append(_distinct(doc[~hit], code[~hit]))
             yield pa.RecordBatch.from_arrays([
                 pa.array(row + np.arange(n)), keys, pa.array(words), pa.array(known), pa.array(logs), pa.array(score),
-                pa.ListArray.from_arrays(offsets, pa.array(code[first].view(np.int64))),
-                pa.ListArray.from_arrays(offsets, pa.array(times))],
-                names=["row", "key", "n_words", "known", "logs", "score", "rare_code", "rare_n"])
+                *_lists(rare, n), *_lists(unsettled, n)],
+                names=["row", "key", "n_words", "known", "logs", "score", "rare_code", "rare_n", "open_code", "open_n"])
             row += n
     return run
 
@@ -375,18 +476,19 @@ def held_out(key: Column, parts: int = 7, part: int = 2) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % parts == part
 
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", nodes: int = NODES, words: int = WORDS) -> DataFrame:
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", nodes: int | None = None, words: int = WORDS) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row.
 
     ``base_score``: add-one unigram log10 probability of the words and one end; ``score``: log10
     probability of the whole text by the byte model.  Both learn from the rows that are not held out.
+    ``nodes`` asks for a smaller model of the contexts with at least 1 / ``nodes`` of all bytes.
     Null texts are empty: one token, the end.  Repeated rows are counted and scored one by one; null
     keys hash as an empty string; an empty table gives no rows.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    counts = staged(counted(docs.where(~held_out(F.col(key))), text), "counts")
-    model = fit(counts, nodes, words)
+    counts = staged(counted(docs.where(~held_out(F.col(key).cast("long"))), text), "counts")
+    model, low = whole(counts, words=words) if nodes is None else (fit(counts, nodes, words), None)
     shared = spark.sparkContext.broadcast(model)
     done = staged(docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
                   .mapInArrow(_score(shared), _SCORED), "scored")
@@ -395,6 +497,16 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", nodes: int =
     seen = counts.where(F.col("kind") == _WORD).select("code", "n")
     found = rare.join(seen, "code").groupBy("row").agg(F.sum("times").alias("more"),
                                                         F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_logs"))
+    if low is not None:
+        parts = done.select("row", F.explode(F.arrays_zip("open_code", "open_n")).alias("r")) \
+            .select("row", F.col("r.open_code").alias("code"), F.col("r.open_n").alias("times"))
+        # the open grams of the other rows were counted
+        asked = done.where(held_out(F.col("key"))).select(F.explode("open_code").alias("code")).distinct() \
+            .select("code", F.lit(0).cast("long").alias("n"))
+        grams = counts.where(F.col("kind") == _GRAM).select("code", "n")
+        added = parts.join(_logs(grams.unionByName(asked), low), "code") \
+            .groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("added"))
+        done = done.join(added, "row", "left").withColumn("score", F.col("score") + F.coalesce("added", F.lit(0.0)))
     end = float(np.log10(model.docs + 1.0))
     total = float(np.log10(model.tokens + model.distinct + 1.0))
     tokens = F.col("n_words") + 1
