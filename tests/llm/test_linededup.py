@@ -57,6 +57,30 @@ def test_repeated_rows_null_keys_and_empty_tables(spark):
     assert linededup.dedup(df.limit(0)).count() == 0
 
 
+def test_repeated_lines_on_either_side(spark):
+    part = [" ".join(f"p{i}w{j}" for j in range(6)) for i in range(10)]
+    rows = [row(1, ["a", "a"]), row(2, ["a", "a"]), row(3, ["x", *part, "y", *part, "z"])]
+    rows += [row(4 + i, [f"own {i}", *part]) for i in range(12)] + [row(20, ["b", *part, "c", *part])]
+    got = removed(spark, rows)
+    assert got[1]["_n_removed"] == 0 and got[2]["text"] == ""
+    assert got[3]["_n_removed"] == 0 and got[20]["text"] == "b\nc"
+    assert all(got[4 + i]["text"] == f"own {i}" for i in range(12))
+    assert linededup.match([1, 2, 9, 1, 2], [1, 2]) == [(0, 0), (1, 1)]
+    assert linededup.match([5, 1, 1, 6, 1], [1, 1, 7, 6]) == [(1, 0), (2, 1), (3, 3)]
+
+
+def test_a_passage_whose_lines_stand_in_other_documents(spark):
+    part = [" ".join(f"p{i}w{j}" for j in range(6)) for i in range(10)]
+    rows = [row(i, [f"first {i}", p]) for i, p in enumerate(part)] + [row(50 + i, [f"own {i}", *part]) for i in range(12)]
+    # a short document of frequent lines that stands inside a longer one; its lines come first elsewhere
+    rows += [row(100 + i, [f"top {i}", "one", f"mid {i}", "two"]) for i in range(9)]
+    rows += [row(120, ["head", "one", "two", "tail"]), row(121, ["one", "two"])]
+    got = removed(spark, rows)
+    assert got[50]["_n_removed"] == 0
+    assert all(got[51 + i]["text"] == f"own {1 + i}" for i in range(11))
+    assert got[120]["_n_removed"] == 0 and got[121]["text"] == ""
+
+
 def test_op2_covers_all_documents(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = {r["doc_id"]: r for r in queries.op2_line_dedup(spark, SF_SMALL).collect()}

@@ -1,12 +1,14 @@
 """Line deduplication by pairwise alignment.
 
-Documents overlap where they share lines.  Every shared line links a document to the earliest one
-that holds the line, so a line in n documents makes n - 1 links, never all pairs, and no partner is
-dropped.  Each overlapping pair is aligned by patience diff: lines that occur once on both sides are
-anchors, their longest increasing run is kept and grown over equal neighbours into blocks (a link
-carries the few lines around its place, so lines that link elsewhere are recognised too).  A block
-is deleted from the later document if one of its lines is rare in the corpus; blocks of frequent
-lines alone are deleted when they are a passage or the whole document.
+Two documents are a pair if the alignment could delete something: every two that share a rare line;
+and, for frequent lines, a document with the earliest holder of each of its runs of neighbouring lines
+that just make a passage, and with the earliest holder of all its lines in a row if it is short.  Every
+passage is covered by such runs (one from its first line on, one up to each later line), so nothing
+hangs on who holds a single line first.  Each pair is aligned by patience diff: equal ends are taken,
+lines that occur once on both sides are anchors, their longest increasing run is kept, and the gaps
+between anchors are aligned in the same way; where no line is unique, the k-th occurrence of a line meets
+the k-th.  A block is deleted from the later document if one of its lines is rare in the corpus; blocks
+of frequent lines alone are deleted when they are a passage or the whole document.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +28,7 @@ from weekcast.session import ship_package
 RARE = 8
 #: Words from which on a block of frequent lines is a repeated passage.
 PASSAGE = 50
-#: Lines on each side of a place that a link carries.
+#: Lines on each side of a place that ``align`` is given.
 REACH = 3
 
 
@@ -58,7 +61,7 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def align(shared: list[dict], every: dict[int, dict]) -> list[list[dict]]:
-    """Blocks of one pair of documents.  ``shared``: the later document's lines (rank, h) that link to
+    """Blocks around the lines unique on both sides alone (``match`` does the whole alignment).  ``shared``: the later document's lines (rank, h) that link to
     the earlier one, with their ranks there (``places``) and the hashes around the first of those
     (``near``); ``every``: all its shared lines by rank.  Ranks number a document's lines with words."""
     own = {s["rank"]: s for s in shared}
@@ -91,26 +94,97 @@ def align(shared: list[dict], every: dict[int, dict]) -> list[list[dict]]:
     return blocks
 
 
-_SHARED = ("array<struct<pos:int,rank:int,h:bigint,n_words:int,df:bigint,first_key:bigint,first_th:bigint,"
-           "places:array<int>,near:array<bigint>>>")
+def match(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Aligned places (i, j), a[i] == b[j], increasing on both sides: patience diff with its recursion."""
+    out, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        i, m, j, n = todo.pop()
+        while i < m and j < n and a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        while i < m and j < n and a[m - 1] == b[n - 1]:
+            m, n = m - 1, n - 1
+            out.append((m, n))
+        if i == m or j == n:
+            continue
+        left, right = defaultdict(list), defaultdict(list)
+        for x in range(i, m):
+            left[a[x]].append(x)
+        for y in range(j, n):
+            right[b[y]].append(y)
+        anchors = [(x[0], right[h][0]) for h, x in left.items() if len(x) == 1 and len(right.get(h, ())) == 1]
+        if not anchors:
+            anchors = [pair for h, x in left.items() for pair in zip(x, right.get(h, ()))]
+        anchors = _increasing(sorted(anchors))
+        out += anchors
+        if anchors:
+            todo += [(x + 1, x2, y + 1, y2) for (x, y), (x2, y2) in zip([(i - 1, j - 1), *anchors], [*anchors, (m, n)])]
+    return sorted(out)
+
+
+def _runs(rare: int, passage: int):
+    """(run, key, th, ask): hashes of the runs of frequent lines of a document.  With ``ask``: the runs
+    that just make a passage, and all lines of a shorter document; without: what shorter ones may equal."""
+    def of(doc, n):
+        asked, offered = set(), set()
+        at = 0
+        while at < len(doc):
+            stop = at
+            while stop < len(doc) and doc[stop]["df"] > rare and doc[stop]["rank"] - doc[at]["rank"] == stop - at:
+                stop += 1
+            h, size = [s["h"] for s in doc[at:stop]], [s["n_words"] for s in doc[at:stop]]
+            for i in range(len(h)):
+                for step in (1, -1):
+                    j, held = i, 0
+                    while 0 <= j < len(h):
+                        held += size[j]
+                        lo, hi = min(i, j), max(i, j) + 1
+                        if held >= passage:
+                            asked.add(hash(tuple(h[lo:hi])))
+                            break
+                        if step > 0:
+                            (asked if hi - lo == n else offered).add(hash(tuple(h[lo:hi])))
+                        j += step
+            at = max(stop, at + 1)
+        return asked, offered - asked
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for key, th, n, doc in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                asked, offered = of(doc, n)
+                rows += [(r, key, th, True) for r in asked] + [(r, key, th, False) for r in offered]
+            if rows:
+                cols = list(zip(*rows))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.bool_())],
+                                                 names=["run", "key", "th", "ask"])
+    return run
 
 
-def _align_documents(rare: int, passage: int):
+def _align_pairs(rare: int, passage: int):
+    """(key, th, gone): lines of the later document deleted for one pair."""
     def run(batches):
         for batch in batches:
+            lists = {name: (c.offsets.to_numpy(), c.values.to_numpy()) for name, c in
+                     zip(batch.schema.names, batch.columns) if pa.types.is_list(c.type)}
             out = []
-            for shared, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                pairs, every = defaultdict(list), {s["rank"]: s for s in shared}
-                for s in shared:
-                    pairs[s["first_key"], s["first_th"]].append(s)
-                gone = set()
-                for pair in pairs.values():
-                    for block in align(pair, every):
-                        if any(s["df"] <= rare for s in block) or sum(s["n_words"] for s in block) >= passage \
-                                or len(block) == n:
-                            gone.update(s["pos"] for s in block)
-                out.append(sorted(gone))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))],
+            for row, n in enumerate(batch.column("n").to_pylist()):
+                rank, pos, h, size, df, other_rank, other_h = (v[o[row]:o[row + 1]] for o, v in (
+                    lists[c] for c in ("rank", "pos", "h", "n_words", "df", "other_rank", "other_h")))
+                both = np.intersect1d(h, other_h)
+                own, other = np.flatnonzero(np.isin(h, both)), np.flatnonzero(np.isin(other_h, both))
+                gone, block, last = [], [], None
+                for i, j in [*match(h[own].tolist(), other_h[other].tolist()), (None, None)]:
+                    here = None if i is None else (rank[own[i]], other_rank[other[j]])
+                    if block and (here is None or here != (last[0] + 1, last[1] + 1)):
+                        if (df[block] <= rare).any() or size[block].sum() >= passage or len(block) == n:
+                            gone += pos[block].tolist()
+                        block = []
+                    if here is not None:
+                        block.append(own[i])
+                    last = here
+                out.append(gone)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("th"), pa.array(out, pa.list_(pa.int32()))],
                                              names=["key", "th", "gone"])
     return run
 
@@ -124,24 +198,30 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", rar
     own = lines(docs, key, text).withColumn("key", F.coalesce("key", F.lit(low)))
     # identical rows are one document; a document's lines are bounded by its own text
     per_doc = own.groupBy("key", "th").agg(F.array_sort(F.collect_set(F.struct("pos", "h", "n_words"))).alias("l"))
-    around = F.transform(F.sequence(F.lit(-REACH), F.lit(REACH)),
-                         lambda d: F.when(F.col("rank") + d >= 0, F.get(F.col("all")["h"], F.col("rank") + d)))
-    ranked = staged(per_doc.select("key", "th", F.size("l").alias("n"), F.col("l").alias("all"),
-                                   F.posexplode("l").alias("rank", "l"))
-                    .select("key", "th", "n", "rank", around.alias("near"), "l.*"), "lines")
-    by_line = ranked.groupBy("key", "th", "h").agg(F.array_sort(F.collect_list("rank")).alias("ranks"),
-                                                   F.min_by("near", "rank").alias("near")) \
-        .groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("key", "th", "ranks", "near")).alias("first"))
+    ranked = staged(per_doc.select("key", "th", F.size("l").alias("n"), F.posexplode("l").alias("rank", "l"))
+                    .select("key", "th", "n", "rank", "l.*"), "lines")
     # written out: the join below then has plain exchanges, and a line of a third of all documents is split
-    held = staged(by_line.where("df > 1").select("h", "df", F.col("first.key").alias("first_key"),
-                                                 F.col("first.th").alias("first_th"),
-                                                 F.col("first.ranks").alias("places"),
-                                                 F.col("first.near").alias("near")), "shared-lines")
-    met = ranked.drop("near").join(held, "h").where((F.col("key") != F.col("first_key")) | (F.col("th") != F.col("first_th")))
-    fields = ["pos", "rank", "h", "n_words", "df", "first_key", "first_th", "places", "near"]
-    shared = met.groupBy("key", "th").agg(F.collect_list(F.struct(*fields)).alias("shared"), F.first("n").alias("n"))
-    return shared.select("key", "th", F.col("shared").cast(_SHARED).alias("shared"), "n") \
-        .mapInArrow(_align_documents(rare, passage), "key long, th long, gone array<int>").where(F.size("gone") > 0)
+    held = staged(ranked.select("key", "th", "h").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+                  .where("df > 1"), "shared-lines")
+    shared = staged(ranked.join(held, "h").groupBy("key", "th")
+                    .agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("rank", "pos", "h", "n_words", "df"))).alias("l")),
+                    "shared")
+    runs = staged(shared.select("key", "th", "n", "l").mapInArrow(_runs(rare, passage), "run long, key long, th long, ask boolean"), "runs")
+    first = runs.groupBy("run").agg(F.min(F.struct("key", "th")).alias("first"))
+    doc = F.struct("key", "th")
+    by_run = runs.where("ask").join(first, "run").where(F.col("first") < doc).select("key", "th", F.col("first").alias("other"))
+    # at most ``rare`` holders of a line
+    holders = shared.select("key", "th", F.explode("l").alias("l")).where(F.col("l.df") <= rare) \
+        .groupBy("l.h").agg(F.collect_set(doc).alias("d"))
+    by_line = holders.select("d", F.explode("d").alias("later")) \
+        .select("later.*", F.explode(F.filter("d", lambda x: x < F.col("later"))).alias("other"))
+    pairs = by_run.unionByName(by_line).select("key", "th", F.col("other.key").alias("other_key"), F.col("other.th").alias("other_th")).distinct()
+    others = shared.select(F.col("key").alias("other_key"), F.col("th").alias("other_th"),
+                           F.col("l.rank").alias("other_rank"), F.col("l.h").alias("other_h"))
+    both = pairs.join(shared.select("key", "th", "n", *[F.col(f"l.{c}").alias(c) for c in ("rank", "pos", "h", "n_words", "df")]), ["key", "th"]).join(others, ["other_key", "other_th"])
+    return both.drop("other_key", "other_th").mapInArrow(_align_pairs(rare, passage), "key long, th long, gone array<int>") \
+        .where(F.size("gone") > 0).groupBy("key", "th") \
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rare: int = RARE, passage: int = PASSAGE) -> DataFrame:
