@@ -61,6 +61,23 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert added(21) == [] and all(added(i) == [] for i in range(12))
 
 
+def test_chains_of_contexts_and_glued_contexts(spark):
+    # each context is confident only through values that the one before it has discovered
+    chain = [f"alpha beta{'x' * k}" for k in range(6)]
+    value = lambda k, i: f"0{k}0 77{k}{i}88{i}"
+    texts = [f"so ring me on +1 (124) 555-47{i:02d} today" for i in range(12)]
+    texts += [f"so ring me on {value(0, i)} today" for i in range(3)]
+    for k, c in enumerate(chain):
+        texts += [f"and {c} {value(k + j, i)} end" for j in (0, 1) for i in range(3 if j == 0 else 1)]
+    texts += [f"see tel:+1(124)555-48{i:02d} now" for i in range(12)] + ["see tel:0305551234 now", "the word tel: alone"]
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    added = {texts[i][s["start"]:s["end"]] for i, r in got.items() for s in r["spans"] if s not in r["base"]}
+    assert {value(0, i) for i in range(3)} <= added
+    assert value(1, 0) in added                        # "alpha beta" has discovered instances alone
+    assert "0305551234" in added
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "x"), (1, None, "x"), (None, "", "y"), (2, "a@b.c " * 3000, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, base string")

@@ -10,25 +10,25 @@ instances stays in Spark tables.
 from __future__ import annotations
 
 import re
+import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekcast.llm.common import one_row, staged
+from weekcast.llm.common import staged
 from weekcast.session import ship_package
 
 KINDS = ("email", "ip", "card", "phone")
 #: A pattern counts from this many distinct entities on, if entities follow this share of its
-#: occurrences; a new instance needs this score; rounds of the graph.
+#: occurrences; a new instance needs this score.
 SUPPORT = 3
 CONFIDENCE = 0.7
 INSTANCE = 0.8
-ROUNDS = 3
-#: A pattern is a candidate if it has at least 1 / PATTERNS of all places where entities meet
-#: patterns, so at most PATTERNS patterns of about 100 bytes are broadcast.
-PATTERNS = 20_000
+#: Bits of the broadcast sieve of patterns; those it lets through are joined exactly.
+SIEVE = 1 << 23
 _WORD_LONGEST = 24
 _WINDOW = 64
 
@@ -41,6 +41,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MAIL_LIKE = re.compile(r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9.-]{1,64}")
 _NUMBER_LIKE = re.compile(r"(?<![A-Za-z0-9])\+?\(?[0-9](?:[().\x20-]{0,2}[0-9]){6,30}(?![A-Za-z0-9])")
 _DIGITS = str.maketrans("123456789", "000000000")
+#: Where a value may start: a word, behind a character that no address has, a plus, a run of digits.
+_STARTS = re.compile(r"(?<!\S)(?=\S)|(?<=[^\sA-Za-z0-9._%+-])(?=[A-Za-z0-9._%+(-])|(?<=\S)(?=\+)|(?<=[^\s0-9])(?=[0-9])")
+_GLUED = "\x01"
 
 
 def luhn(digits: str) -> bool:
@@ -87,11 +90,15 @@ def _clean(word: str) -> str:
 
 
 def _patterns(text: str, start: int) -> list[str]:
-    """The last word and the last two words before a position."""
-    before = text[max(0, start - _WINDOW):start].split()[-2:]
-    if not before or any(len(w) > _WORD_LONGEST for w in before):
+    """The last word and the last two words before a place where a value may start; the part of a word
+    that the value is glued to counts as a word of its own kind."""
+    window = text[max(0, start - _WINDOW):start]
+    before = window.split()[-2:]
+    if not before or any(len(w) > _WORD_LONGEST for w in before) or not _STARTS.match(text, start):
         return []
     before = [_clean(w) for w in before]
+    if not window[-1].isspace():
+        before[-1] += _GLUED
     return [before[-1]] if len(before) < 2 else [before[-1], " ".join(before)]
 
 
@@ -132,57 +139,54 @@ def _find(batches):
         row += n
 
 
-def _occurrences(wanted):
-    """(pattern, total): how often each wanted pattern stands before another word, per task."""
+def _occurrences(sieve):
+    """(pattern, total): how often each pattern that passes the sieve stands before a place, per task."""
     def run(batches):
-        one, two = wanted.value
-        seen: dict[str, int] = {}
+        bits, seen = sieve.value, {}
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                words = _clean(t).split() if t else []
-                for w in words[:-1]:
-                    if w in one:
-                        seen[w] = seen.get(w, 0) + 1
-                for p in zip(words, words[1:-1]):
-                    if p in two:
-                        p = " ".join(p)
-                        seen[p] = seen.get(p, 0) + 1
+                for m in _STARTS.finditer(t or ""):
+                    for p in _patterns(t, m.start()):
+                        if p in seen:
+                            seen[p] += 1
+                        elif bits[zlib.crc32(p.encode()) % SIEVE]:
+                            seen[p] = 1
+            if len(seen) > 200_000:
+                yield _totals(seen)
+                seen = {}
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())],
-                                             names=["pattern", "total"])
+            yield _totals(seen)
     return run
 
 
-def _candidates(edges: DataFrame) -> list[str]:
-    """Patterns of SUPPORT distinct seeds with their share of all seed places: at most PATTERNS."""
-    seeds = edges.where("kind >= 0")
-    all_ = one_row(seeds.agg(F.count(F.lit(1))))[0]
-    got = seeds.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("value").alias("v")) \
-        .where((F.col("v") >= SUPPORT) & (F.col("n") * PATTERNS >= all_)).select("pattern").distinct()
-    return [r[0] for r in got.collect()]
+def _totals(seen: dict[str, int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())],
+                                      names=["pattern", "total"])
 
 
 def discover(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame | None:
-    """(row, spans): identifiers that the patterns add, by row of ``found``; None if no pattern is a
-    candidate.  Each round scores the patterns by the entities known, then the unknown instances by
-    the accepted patterns (noisy-or), and stops when nothing is new."""
+    """(row, spans): identifiers that the patterns add, by row of ``found``; None if no pattern has
+    enough values.  Each round scores all patterns by the entities known, then the unknown instances by
+    the accepted patterns (noisy-or); the rounds end when nothing is new."""
     spark = found.sparkSession
     near = found.select("row", F.explode("near").alias("i")).select("row", "i.*")
-    edges = near.select("value", "kind", F.explode("patterns").alias("pattern"))
-    wanted = _candidates(edges)
-    if not wanted:
+    edges = staged(near.select("value", F.explode("patterns").alias("pattern"))
+                   .groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("n")), "edges")
+    # what may become known in any round: patterns of SUPPORT distinct values, known or not
+    wanted = staged(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("v")).where(F.col("v") >= SUPPORT).select("pattern"), "wanted")
+    # SIEVE numbers at most
+    marks = wanted.select((F.crc32(F.encode("pattern", "UTF-8")) % SIEVE).alias("at")).distinct().toArrow().column("at").to_numpy()
+    if not len(marks):
         return None
-    sets = spark.sparkContext.broadcast(({w for w in wanted if " " not in w},
-                                         {tuple(w.split(" ")) for w in wanted if " " in w}))
-    totals = docs.select(text).mapInArrow(_occurrences(sets), "pattern string, total long") \
-        .groupBy("pattern").agg(F.sum("total").alias("total"))
-    # PATTERNS rows at most
-    totals = staged(totals, "pattern-totals")
+    bits = np.zeros(SIEVE, bool)
+    bits[marks] = True
+    sieve = spark.sparkContext.broadcast(bits)
+    totals = docs.select(text).mapInArrow(_occurrences(sieve), "pattern string, total long") \
+        .groupBy("pattern").agg(F.sum("total").alias("total")).join(wanted, "pattern")
     mail = F.col("value").contains("@")
-    weights = staged(edges.groupBy("pattern", "value").agg(F.count(F.lit(1)).alias("n"))
-                     .join(F.broadcast(totals), "pattern"), "graph")
+    weights = staged(edges.join(totals, "pattern"), "graph")
     known = staged(near.where("kind >= 0").select("value", "kind").distinct(), "known")
-    for _ in range(ROUNDS):
+    while True:
         scores = weights.join(known, "value").groupBy("pattern", "kind", "total") \
             .agg(F.sum("n").alias("hits"), F.count(F.lit(1)).alias("v")) \
             .withColumn("confidence", F.least(F.col("hits") / F.col("total"), F.lit(0.999))) \
