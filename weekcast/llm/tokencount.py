@@ -9,8 +9,8 @@ text's count is the sum along its path.  States and transitions are compiled whe
 
 Texts are cut into chunks.  A chunk's state map is constant from its first synchronising character
 on (white space after a word, or a character outside the vocabulary), so all chunks run side by side
-in numpy from there; a scan over the chunks of a text then composes the maps by running each lead,
-the part before that character, from its predecessor's end state.
+in numpy from there; each lead, the part before that character, is then run from its predecessor's
+end state, one chunk a pass.  Maps are not composed: a long text without white space runs serially.
 """
 
 from __future__ import annotations
