@@ -499,7 +499,7 @@ def runlog_roundtrip(spark, sf):
 def trial_log(spark, sf):
     """The trials of the tuned forest logged under one parent run and read back."""
     path = scratch_path(spark, "trials", unique=True)
-    runlog.append_runs(runlog.trial_runs(tuning.rf_tuned(spark, inputs.listing(spark, sf), trials=((2, 4), (3, 4))), RUN_ID), path)
+    runlog.append_runs(runlog.trial_runs(tuning.rf_tuned(spark, inputs.listing(spark, sf)), RUN_ID), path)
     kept = checkpoint(runlog.read_runs(spark, path).select(
         "run_id", "parent_run_id", F.col("tags")["stage"].alias("stage"), F.col("params")["maxDepth"].alias("max_depth"),
         (F.col("metrics")["rmse"] > 0).alias("has_rmse")))
