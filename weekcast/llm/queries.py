@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from weekcast.llm import decontaminate, lattice, linededup, mixing, pii, ppm, quality, simhash, tokencount, wavelet
-from weekcast.llm.common import table
+from weekcast.llm import bpe, decontaminate, lattice, linededup, merkle, mixing, pii, ppm, quality, simhash, spelling, tokencount, wavelet
+from weekcast.llm.common import ascii_lower, table
 
 
 def op1_mix_sources(spark, sf):
@@ -71,7 +71,32 @@ def op10_decontaminate(spark, sf):
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_line_dedup, op3_token_counts, op4_simhash_near_dedup, op5_quality, op6_personal_data, op7_lattice_near_dedup, op8_ppm_scores, op9_token_files, op10_decontaminate)}
+def op11_merkle_manifest(spark, sf):
+    """Manifest of all documents; a fifth of them is presented with its capitals lowered."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    text = F.when(tampered, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    return merkle.audit(table(spark, sf, "documents"), presented={"text": text}) \
+        .select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_spelling_variants(spark, sf):
+    """Words of all documents, the more frequent spelling each is a variant of, and where that leads."""
+    return spelling.variants(table(spark, sf, "documents"))
+
+
+def op13_byte_bpe(spark, sf):
+    """All texts encoded by the ranks of a local file, and decoded again."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    got = bpe.decode(bpe.encode(table(spark, sf, "documents"), ranks), ranks)
+    return got.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op2_line_dedup, op3_token_counts, op4_simhash_near_dedup, op5_quality, op6_personal_data,
+    op7_lattice_near_dedup, op8_ppm_scores, op9_token_files, op10_decontaminate, op11_merkle_manifest,
+    op12_spelling_variants, op13_byte_bpe)}
 
 SQL: dict[str, str] = {}
 
