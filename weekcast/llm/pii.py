@@ -9,8 +9,12 @@ instances stays in Spark tables.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
+from bisect import bisect_left, bisect_right
+from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekcast.llm.common import staged
+from weekcast.llm.common import staged, unstage
 from weekcast.session import ship_package
 
 KINDS = ("email", "ip", "card", "phone")
@@ -29,8 +33,11 @@ CONFIDENCE = 0.7
 INSTANCE = 0.8
 #: Bits of the broadcast sieve of patterns; those it lets through are joined exactly.
 SIEVE = 1 << 23
-_WORD_LONGEST = 24
-_WINDOW = 64
+#: Context words above this length are named by their hash.
+NAMED = 48
+#: Distinct words and neighbours that a counting task holds, and words of a text split at once.
+HELD = 400_000
+WORDS = 1 << 17
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -38,12 +45,14 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: What a seed's context may discover: a name before @ and a host, or seven digits with separators.
-_MAIL_LIKE = re.compile(r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9.-]{1,64}")
-_NUMBER_LIKE = re.compile(r"(?<![A-Za-z0-9])\+?\(?[0-9](?:[().\x20-]{0,2}[0-9]){6,30}(?![A-Za-z0-9])")
+_HOST = re.compile(r"[A-Za-z0-9.-]++")
+_NUMBER = re.compile(r"(?<![A-Za-z0-9])\+?\(?[0-9](?:[().\x20-]{0,2}[0-9])*+")
 _DIGITS = str.maketrans("123456789", "000000000")
 #: Where a value may start: a word, behind a character that no address has, a plus, a run of digits.
 _STARTS = re.compile(r"(?<!\S)(?=\S)|(?<=[^\sA-Za-z0-9._%+-])(?=[A-Za-z0-9._%+(-])|(?<=\S)(?=\+)|(?<=[^\s0-9])(?=[0-9])")
+_WORD = re.compile(r"\S+")
 _GLUED = "\x01"
+_HASHED = "\x02"
 
 
 def luhn(digits: str) -> bool:
@@ -86,34 +95,107 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _clean(word: str) -> str:
-    return word.lower().translate(_DIGITS)
+    return word.casefold().translate(_DIGITS)  # letter by letter, so that a part's clean form is part of the word's
 
 
-def _patterns(text: str, start: int) -> list[str]:
-    """The last word and the last two words before a place where a value may start; the part of a word
-    that the value is glued to counts as a word of its own kind."""
-    window = text[max(0, start - _WINDOW):start]
-    before = window.split()[-2:]
-    if not before or any(len(w) > _WORD_LONGEST for w in before) or not _STARTS.match(text, start):
+def _hash() -> hashlib.blake2b:
+    return hashlib.blake2b(digest_size=16)
+
+
+def _name(word: str) -> str:
+    """A context word as it stands in patterns: its clean form, or the hash of that if it is long."""
+    if len(word) <= NAMED:
+        return _clean(word)
+    h = _hash()
+    h.update(_clean(word).encode())
+    return _HASHED + h.hexdigest()
+
+
+def _glued(word: str, places: list[int]) -> list[str]:
+    """Names of the parts of a word before each of the places, ascending: one pass over the word."""
+    out, h, at = [], None, 0
+    for p in places:
+        if p <= NAMED:
+            out.append(_clean(word[:p]) + _GLUED)
+        else:
+            h = h or _hash()
+            h.update(_clean(word[at:p]).encode())
+            at = p
+            out.append(_HASHED + h.hexdigest() + _GLUED)
+    return out
+
+
+def _contexts(text: str, places: list[int]) -> list[list[str]]:
+    """Per place (ascending): the last word and the last two words before it, if a value may start there;
+    the part of a word that the value is glued to counts as a word of its own kind."""
+    if not places:
         return []
-    before = [_clean(w) for w in before]
-    if not window[-1].isspace():
-        before[-1] += _GLUED
-    return [before[-1]] if len(before) < 2 else [before[-1], " ".join(before)]
+    spans = [m.span() for m in _WORD.finditer(text, 0, places[-1] + 1)]
+    starts = [s for s, _ in spans]
+    names: dict[int, str] = {}
+
+    def name(k):
+        if k not in names:
+            names[k] = _name(text[spans[k][0]:spans[k][1]])
+        return names[k]
+    inside: dict[int, list[int]] = {}
+    at = []
+    for p in places:
+        k = bisect_right(starts, p) - 1
+        at.append(k)
+        if starts[k] < p:
+            own = inside.setdefault(k, [])
+            if not own or own[-1] != p - starts[k]:
+                own.append(p - starts[k])
+    parts = {(k, p): n for k, own in inside.items()
+             for p, n in zip(own, _glued(text[starts[k]:starts[k] + own[-1]], own))}
+    out = []
+    for k, p in zip(at, places):
+        if not _STARTS.match(text, p) or (k == 0 and starts[0] == p):
+            out.append([])
+            continue
+        last, before = (parts[k, p - starts[k]], k - 1) if starts[k] < p else (name(k - 1), k - 2)
+        out.append([last] if before < 0 else [last, f"{name(before)} {last}"])
+    return out
 
 
 def _value(found: str) -> str:
     return found.lower() if "@" in found else re.sub(r"[^0-9]", "", found)
 
 
+def _like(text: str) -> list[tuple[int, int]]:
+    """(start, end) of address-like and number-like strings, leftmost and longest, each search linear."""
+    out, done, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        host = _HOST.match(text, at + 1) if start < at else None
+        if host:
+            done = host.end()
+            out.append((start, done))
+        at = text.find("@", max(at + 1, done))
+    for m in _NUMBER.finditer(text):
+        found, end = m.group(), m.end()
+        if text[end:end + 1].isascii() and text[end:end + 1].isalpha():  # what is glued to a letter is cut off
+            found = found.rstrip("0123456789").rstrip("(). -")
+            end = m.start() + len(found)
+        if sum(map(found.count, "0123456789")) >= 7:
+            out.append((m.start(), end))
+    return out
+
+
 def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str]]]:
     """(start, end, kind or -1, value, patterns): base matches and identifier-like strings beside them."""
-    out = [(s, e, k, _value(text[s:e]), _patterns(text, s)) for s, k, e in base]
-    taken = [(s, e) for s, _, e in base]
-    for m in [*(_MAIL_LIKE.finditer(text) if "@" in text else ()), *_NUMBER_LIKE.finditer(text)]:
-        if not any(s < m.end() and m.start() < e for s, e in taken):
-            out.append((m.start(), m.end(), -1, _value(m.group()), _patterns(text, m.start())))
-    return out
+    starts = [s for s, _, _ in base]
+    reach = np.maximum.accumulate([e for _, _, e in base]).tolist() if base else []
+    out = [(s, e, k) for s, k, e in base]
+    for s, e in _like(text):
+        before = bisect_left(starts, e)
+        if not before or reach[before - 1] <= s:  # overlaps no base match
+            out.append((s, e, -1))
+    out.sort()
+    return [(s, e, k, _value(text[s:e]), p) for (s, e, k), p in zip(out, _contexts(text, [s for s, _, _ in out]))]
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
@@ -139,23 +221,96 @@ def _find(batches):
         row += n
 
 
+class _Counts:
+    """How often the patterns that pass the sieve stand before a place.
+
+    A word stands before a place unless it ends its text; places inside a word depend on that word alone.
+    A pair is wanted only if its last word is, so each distinct word is looked at once and most pairs are
+    passed over by a look at their last word.
+    """
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.pairs, self.last, self.last_pairs = Counter(), Counter(), Counter(), Counter()
+        self.seen: set[str] = set()
+        self.ends: dict[str, tuple[str | None, list[str]]] = {}  # wanted words: name, names of glued parts
+
+    def size(self) -> int:
+        return len(self.pairs) + len(self.seen)
+
+    def _passes(self, pattern: str) -> bool:
+        return self.bits[zlib.crc32(pattern.encode()) % SIEVE]
+
+    def _look(self, word: str) -> None:
+        self.seen.add(word)
+        name = _name(word)
+        plain = name if self._passes(name) else None
+        glued = []
+        if not (word.isascii() and word.isalpha()):
+            places = [m.start() for m in _STARTS.finditer(word) if m.start()]
+            glued = [g for g in _glued(word, places) if self._passes(g)]
+        if plain is not None or glued:
+            self.ends[word] = plain, glued
+
+    def add(self, text: str) -> None:
+        before = a = None
+        for words in [text.split()] if len(text) <= 8 * WORDS else self._split(text):
+            for w in set(words) - self.seen:
+                self._look(w)
+            wanted = self.ends
+            self.words.update([w for w in words if w in wanted])
+            self.pairs.update([p for p in zip(words, words[1:]) if p[1] in wanted])
+            if words and before is not None and words[0] in wanted:
+                self.pairs[before, words[0]] += 1
+            for w in words[-2:]:
+                a, before = before, w
+        if before in self.ends:
+            self.last[before] += 1
+            if a is not None:
+                self.last_pairs[a, before] += 1
+
+    @staticmethod
+    def _split(text):
+        words = (m.group() for m in _WORD.finditer(text))
+        while part := list(islice(words, WORDS)):
+            yield part
+
+    def totals(self) -> Counter:
+        out: Counter = Counter()
+        for w, n in self.words.items():
+            name, glued = self.ends[w]
+            if name is not None and n > self.last[w]:
+                out[name] += n - self.last[w]
+            for g in glued:
+                out[g] += n
+        named: dict[str, str] = {}
+        for (a, b), n in self.pairs.items():
+            if a not in named:
+                named[a] = _name(a)
+            name, glued = self.ends[b]
+            inner = n - self.last_pairs[a, b]
+            if name is not None and inner and self._passes(p := f"{named[a]} {name}"):
+                out[p] += inner
+            for g in glued:
+                if self._passes(p := f"{named[a]} {g}"):
+                    out[p] += n
+        return out
+
+
 def _occurrences(sieve):
     """(pattern, total): how often each pattern that passes the sieve stands before a place, per task."""
     def run(batches):
-        bits, seen = sieve.value, {}
+        held = _Counts(sieve.value)
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                for m in _STARTS.finditer(t or ""):
-                    for p in _patterns(t, m.start()):
-                        if p in seen:
-                            seen[p] += 1
-                        elif bits[zlib.crc32(p.encode()) % SIEVE]:
-                            seen[p] = 1
-            if len(seen) > 200_000:
-                yield _totals(seen)
-                seen = {}
-        if seen:
-            yield _totals(seen)
+                held.add(t or "")
+                if held.size() > HELD:
+                    yield _totals(held.totals())
+                    held.clear()
+        yield _totals(held.totals())
     return run
 
 
@@ -181,11 +336,14 @@ def discover(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame
     bits = np.zeros(SIEVE, bool)
     bits[marks] = True
     sieve = spark.sparkContext.broadcast(bits)
-    totals = docs.select(text).mapInArrow(_occurrences(sieve), "pattern string, total long") \
-        .groupBy("pattern").agg(F.sum("total").alias("total")).join(wanted, "pattern")
+    # written out before they are joined: a frequent context or value is then split between tasks
+    totals = staged(docs.select(text).mapInArrow(_occurrences(sieve), "pattern string, total long")
+                    .groupBy("pattern").agg(F.sum("total").alias("total")).join(wanted, "pattern"), "totals")
     mail = F.col("value").contains("@")
     weights = staged(edges.join(totals, "pattern"), "graph")
     known = staged(near.where("kind >= 0").select("value", "kind").distinct(), "known")
+    for old in (edges, wanted, totals):
+        unstage(old)
     while True:
         scores = weights.join(known, "value").groupBy("pattern", "kind", "total") \
             .agg(F.sum("n").alias("hits"), F.count(F.lit(1)).alias("v")) \
@@ -198,12 +356,18 @@ def discover(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame
             .where(F.col("score") >= INSTANCE) \
             .groupBy("value").agg(F.min_by("kind", F.struct(-F.col("score"), "kind")).alias("kind"))
         new = staged(new, "instances")
+        unstage(scores)
         if new.isEmpty():
             break
-        known = staged(known.unionByName(new), "known")
-    final = known.groupBy("value").agg(F.min("kind").alias("kind"))
-    return near.where("kind < 0").select("row", "start", "end", "value").join(final, "value") \
-        .groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("added"))
+        known, old = staged(known.unionByName(new), "known"), known
+        unstage(old)
+        unstage(new)
+    final = staged(known.groupBy("value").agg(F.min("kind").alias("kind")), "final")
+    added = staged(near.where("kind < 0").select("row", "start", "end", "value").join(final, "value")
+                   .groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("added")), "added")
+    for old in (weights, known, new, final):
+        unstage(old)
+    return added
 
 
 def spans_text(spans) -> F.Column:
