@@ -51,6 +51,20 @@ def test_links_and_components_match_brute_force(spark):
         assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values())
 
 
+def test_every_length_among_its_own_kind(spark):
+    rng = np.random.default_rng(9)
+    sets = {d: planted(rng, 60, d) for d in (2, 3, 20, 64)}
+    rows, want, at = [], {}, 0
+    for x in sets.values():
+        ids = list(range(at, at + len(x)))
+        want |= dict(zip(ids, zip(*brute(ids, x))))
+        rows += [(i, [float(v) for v in r]) for i, r in zip(ids, x)]
+        at += len(x)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in lattice.near_duplicates(df, block=64).collect()}
+    assert got == want
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(6)
     a = rng.normal(size=(4000, 64))

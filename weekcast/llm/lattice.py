@@ -9,6 +9,7 @@ components, and every pair inside a component is then counted exactly, block by
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 import numpy as np
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekcast.llm.common import one_row, staged, whole_groups
+from weekcast.llm.common import staged, whole_groups
 from weekcast.llm.components import components
 from weekcast.session import ship_package
 
@@ -58,6 +59,7 @@ def decode(y: np.ndarray) -> np.ndarray:
     return np.where((((y - a) ** 2).sum(1) <= ((y - b) ** 2).sum(1))[:, None], a, b)
 
 
+@functools.lru_cache(8)
 def directions(dims: int, tables: int = TABLES, spacing: float = SPACING, blocks: int = BLOCKS,
                seed: int = 11) -> list[np.ndarray]:
     """Per table, 8 orthogonal directions for each block; short vectors are padded with zeros."""
@@ -100,20 +102,31 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _hash(tables: list[np.ndarray], probes: int):
+def _hash(tables: int, spacing: float, probes: int):
+    """Cells of the vectors, those of each length by directions of their own."""
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            node, x = batch.column(0).to_numpy(), _matrix(batch.column(1))
-            for t, table in enumerate(tables):
-                c = cells(x, table, probes)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(c.size, t)), pa.array(c.ravel()), pa.array(np.repeat(node, c.shape[1]))],
-                    names=["t", "cell", "node"])
+            length = batch.column(2).to_numpy()
+            for dims in np.unique(length).tolist():
+                some = batch.take(pa.array(np.flatnonzero(length == dims)))
+                node, x = some.column(0).to_numpy(), _matrix(some.column(1))
+                for t, table in enumerate(directions(dims, tables, spacing)):
+                    c = cells(x, table, probes)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(c.size, dims)), pa.array(np.full(c.size, t)), pa.array(c.ravel()),
+                        pa.array(np.repeat(node, c.shape[1]))], names=["dims", "t", "cell", "node"])
     return run
 
 
+def _by_length(batches, keys: list[str]):
+    """Whole groups (see ``whole_groups``), tables of vectors of one length at a time."""
+    for rows, starts in whole_groups(batches, keys):
+        dims = rows.column("dims").to_numpy()
+        edge = np.flatnonzero(np.append(True, dims[1:] != dims[:-1])).tolist()
+        for lo, hi in zip(edge, [*edge[1:], len(dims)]):
+            yield rows.slice(lo, hi - lo), starts[(starts >= lo) & (starts < hi)] - lo
+
+
 def _small_pairs(x: np.ndarray, group: np.ndarray, least: float):
     """Linked pairs of rows at most SMALL apart inside their groups."""
     for d in range(1, min(SMALL, len(x))):
@@ -125,7 +138,7 @@ def _small_pairs(x: np.ndarray, group: np.ndarray, least: float):
 
 def _connect(least: float, keys: list[str]):
     def run(batches):
-        for rows, starts in whole_groups(batches, keys):
+        for rows, starts in _by_length(batches, keys):
             node, x = rows.column("node").to_numpy(), _matrix(rows.column("vector"))
             sizes = np.diff(np.append(starts, len(node)))
             small = np.repeat(sizes <= SMALL, sizes)
@@ -157,7 +170,7 @@ def _forest(node: np.ndarray, x: np.ndarray, least: float) -> list[tuple[np.ndar
 def _count(least: float, keys: list[str]):
     """Links per row inside each group; a pair of different blocks counts only across them."""
     def run(batches):
-        for rows, starts in whole_groups(batches, keys):
+        for rows, starts in _by_length(batches, keys):
             node, side, copies = (rows.column(c).to_numpy() for c in ("node", "side", "copies"))
             x = _matrix(rows.column("vector"))
             sizes = np.diff(np.append(starts, len(node)))
@@ -193,9 +206,9 @@ def _blocks(rows: DataFrame, block: int) -> DataFrame:
         .withColumn("side", F.when(F.col("b1") == F.col("b2"), 2).when(F.col("own") == F.col("b1"), 0).otherwise(1))
 
 
-def _valid(vector: Column, dims: int) -> Column:
+def _valid(vector: Column) -> Column:
     bad = F.exists(vector, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    return F.coalesce((F.size(vector) == dims) & ~bad & F.exists(vector, lambda v: v != 0), F.lit(False))
+    return F.coalesce(~bad & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95, key: str = "vec_id", vector: str = "embedding",
@@ -204,23 +217,22 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, key: str = "vec_id"
 
     ``n_links``: other rows at cosine ``least`` or more; ``component_id``: smallest key reachable over
     links, itself included.  Null and zero vectors and those with null or non-finite components link
-    with nothing, as do vectors of another length than the most frequent one (the longer on ties).
+    with nothing; vectors of different lengths do not link, each length is compared among its own kind.
     Equal vectors are one row with its number of copies until the last join, so copies cost nothing;
     an empty table gives no rows.
     """
     ship_package(vectors.sparkSession)
     rows = vectors.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("vector"))
-    dims = one_row(rows.where(F.size("vector") > 0).groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-                   .agg(F.max(F.struct("n", "d"))["d"]))[0] or 0
-    rows = rows.withColumn("node", F.when(_valid(F.col("vector"), dims), F.xxhash64("vector")))
+    rows = rows.withColumn("node", F.when(_valid(F.col("vector")), F.xxhash64("vector")))
     distinct = staged(rows.where("node is not null").groupBy("node")
                       .agg(F.first("vector").alias("vector"), F.min("key").alias("first"),
                            F.count(F.lit(1)).alias("copies")), "vectors")
-    keyed = distinct.select("node", "vector").mapInArrow(_hash(directions(dims, tables, spacing), probes),
-                                                         "t long, cell long, node long")
-    shared = staged(keyed.groupBy("t", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cells")
-    keys = ["t", "cell", "b1", "b2"]
-    met = _blocks(keyed.join(shared, ["t", "cell"]), block).select(*keys, "node") \
+    length = F.size("vector").cast("long").alias("dims")
+    keyed = distinct.select("node", "vector", length).mapInArrow(_hash(tables, spacing, probes),
+                                                                 "dims long, t long, cell long, node long")
+    shared = staged(keyed.groupBy("dims", "t", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cells")
+    keys = ["dims", "t", "cell", "b1", "b2"]
+    met = _blocks(keyed.join(shared, ["dims", "t", "cell"]), block).select(*keys, "node") \
         .join(distinct.select("node", "vector"), "node")
     links = met.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "node", "vector") \
         .mapInArrow(_connect(least, keys), "a long, b long")
@@ -228,8 +240,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, key: str = "vec_id"
     linked = staged(distinct.join(comp, "node"), "linked")
     groups = linked.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("component_id"))
     groups = staged(groups, "groups")
-    keys = ["component", "b1", "b2"]
-    inside = _blocks(linked.join(groups, "component"), block).select(*keys, "side", "node", "copies", "vector")
+    keys = ["dims", "component", "b1", "b2"]
+    inside = _blocks(linked.join(groups, "component").withColumn("dims", length), block).select(*keys, "side", "node", "copies", "vector")
     counts = inside.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_count(least, keys), "node long, links long") \
         .groupBy("node").agg(F.sum("links").alias("links"))
     named = linked.join(groups, "component").select("node", "component_id").join(counts, "node")

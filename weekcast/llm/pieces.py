@@ -14,9 +14,9 @@ import unicodedata
 import numpy as np
 import pandas as pd
 
-#: Code points handled at once, and distinct pieces remembered by a worker; neither changes a result.
+#: Code points handled at once, and distinct pieces remembered by a worker (some 60 MB); neither changes a result.
 CHUNK = 1 << 20
-STORE = 400_000
+STORE = 1_500_000
 
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 #: The code points with the White_Space property (fixed values).
@@ -101,12 +101,29 @@ class PieceEncoder:
         self._clear()
 
     def _clear(self):
-        self.known: dict[int, int] = {}
-        self.size = np.zeros(1024, np.int64)
-        self.at = np.zeros(1024, np.int64)
+        self.codes = np.zeros(0, np.uint64)              # known pieces, ascending, and their places
+        self.places = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
+        self.at = np.zeros(0, np.int64)
+        self.met = np.zeros(0, np.uint8)                 # chunks that had the piece, two at most
         self.ids = np.zeros(4096, np.uint32)
         self.used = 0
 
+    def _evict(self):
+        """Forget the pieces met in one chunk only; everything, if that leaves too many."""
+        keep = np.flatnonzero(self.met > 1)
+        if len(keep) > STORE // 2:
+            return self._clear()
+        new = np.full(len(self.met), -1)
+        new[keep] = np.arange(len(keep))
+        size = self.size[keep]
+        total = np.cumsum(size)
+        flat = np.arange(int(total[-1]) if len(keep) else 0) + np.repeat(self.at[keep] - (total - size), size)
+        kept = self.met[self.places] > 1
+        self.codes, self.places = self.codes[kept], new[self.places[kept]]
+        self.ids, self.used = self.ids[flat], len(flat)
+        self.size, self.at, self.met = size, total - size, np.ones(len(keep), np.uint8)
+
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -145,7 +162,7 @@ class PieceEncoder:
         which, distinct = pd.factorize(code)
         first = np.empty(len(distinct), np.int64)
         first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
-        place = self._place(joined, distinct.tolist(), start[first].tolist(), stop[first].tolist())[which]
+        place = self._place(joined, distinct, start[first], stop[first])[which]
         size = self.size[place]
         total = np.cumsum(size)
         flat = np.arange(int(total[-1])) + np.repeat(self.at[place] - (total - size), size)
@@ -157,34 +174,38 @@ class PieceEncoder:
             out[i] = ids[lo:hi]
             lo = hi
 
-    def _place(self, joined, codes, start, stop) -> np.ndarray:
-        if len(self.known) > STORE:
-            self._clear()
-        known = self.known
-        got = [known.get(c, -1) for c in codes]
-        miss = [j for j, p in enumerate(got) if p < 0]
-        if miss:
+    def _place(self, joined, code, start, stop) -> np.ndarray:
+        if len(self.codes) > STORE:
+            self._evict()
+        order = np.argsort(code)
+        code = code[order]
+        at = np.searchsorted(self.codes, code)
+        hit = at < len(self.codes)
+        hit[hit] = self.codes[at[hit]] == code[hit]
+        got = np.empty(len(code), np.int64)
+        got[hit] = self.places[at[hit]]
+        self.met[got[hit]] = 2
+        new = np.flatnonzero(~hit)
+        if len(new):
             # the library's merge model on one piece, its bytes spelled in the vocabulary's alphabet
             merge, spelled = self.tokenizer.model.tokenize, self.spelled
-            ids = [[t.id for t in merge(joined[start[j]:stop[j]].encode().decode("latin-1").translate(spelled))]
-                   for j in miss]
+            ids = [[t.id for t in merge(joined[a:b].encode().decode("latin-1").translate(spelled))]
+                   for a, b in zip(start[order[new]].tolist(), stop[order[new]].tolist())]
             size = np.array([len(x) for x in ids], np.int64)
             flat = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
-            n = len(known)
-            self._grow(n + len(miss), self.used + len(flat))
-            self.size[n:n + len(miss)] = size
-            self.at[n:n + len(miss)] = self.used + np.cumsum(size) - size
+            n = len(self.size)
+            got[new] = np.arange(n, n + len(new))
+            self.size = np.append(self.size, size)
+            self.at = np.append(self.at, self.used + np.cumsum(size) - size)
+            self.met = np.append(self.met, np.ones(len(new), np.uint8))
+            while len(self.ids) < self.used + len(flat):
+                self.ids = np.append(self.ids, np.zeros(len(self.ids), np.uint32))
             self.ids[self.used:self.used + len(flat)] = flat
             self.used += len(flat)
-            for k, j in enumerate(miss):
-                known[codes[j]] = got[j] = n + k
-        return np.array(got, np.int64)
-
-    def _grow(self, pieces: int, ids: int):
-        while len(self.size) < pieces:
-            self.size, self.at = np.append(self.size, np.zeros_like(self.size)), np.append(self.at, np.zeros_like(self.at))
-        while len(self.ids) < ids:
-            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+            self.codes, self.places = np.insert(self.codes, at[new], code[new]), np.insert(self.places, at[new], got[new])
+        out = np.empty(len(code), np.int64)
+        out[order] = got
+        return out
 
 
 @functools.cache

@@ -1,8 +1,9 @@
 """Token files as wavelet matrices: one compressed file per shard of a corpus.
 
 A shard holds the ids of consecutive documents as bit planes, highest bit first; each plane is kept
-in the order that stable partitions by the planes above it give.  With popcount samples over the
-planes a token is read, counted or located without decoding the shard.
+in the order that stable partitions by the planes above it give.  The file also holds the number of ones
+before every _STEP bytes of a plane: by these samples a token is read, counted or located (access, rank,
+select) with a look at a few stretches of each plane, without decoding the shard.
 """
 
 from __future__ import annotations
@@ -20,33 +21,33 @@ from weekcast.session import scratch_path, ship_package
 
 #: Ids per shard; a shard holds at least one document, whatever its length.
 SHARD_TOKENS = 1 << 22
-_MAGIC = b"WAVM"
+_MAGIC = b"WAV2"
 _STEP = 64  # bytes of a plane between two popcount samples
 
 
 class WaveletMatrix:
     """Sequence of unsigned integers with access, rank, select and decode over bit planes."""
 
-    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int]):
-        self.n, self.planes, self.zeros = n, planes, zeros
-        self._ones = None
+    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int], ones: list[np.ndarray]):
+        self.n, self.planes, self.zeros, self.ones = n, planes, zeros, ones
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         width = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         v = ids.astype(np.uint16 if width <= 16 else np.uint32)
-        planes, zeros = [], []
+        planes, zeros, ones = [], [], []
         for k in range(width - 1, -1, -1):
             bit = ((v >> v.dtype.type(k)) & v.dtype.type(1)).astype(bool)
             planes.append(np.packbits(bit))
+            ones.append(_samples(planes[-1]))
             low = np.flatnonzero(~bit)
             zeros.append(len(low))
             v = np.concatenate([v.take(low), v.take(np.flatnonzero(bit))])
-        return cls(len(ids), planes, zeros)
+        return cls(len(ids), planes, zeros, ones)
 
     def to_bytes(self) -> bytes:
         head = np.array([self.n, len(self.planes), *self.zeros], "<u8")
-        return _MAGIC + head.tobytes() + b"".join(p.tobytes() for p in self.planes)
+        return _MAGIC + head.tobytes() + b"".join(o.astype("<u4").tobytes() + p.tobytes() for o, p in zip(self.ones, self.planes))
 
     @classmethod
     def from_bytes(cls, data: bytes) -> WaveletMatrix:
@@ -54,8 +55,11 @@ class WaveletMatrix:
             raise ValueError("not a wavelet shard")
         n, width = (int(x) for x in np.frombuffer(data, "<u8", 2, 4))
         zeros = np.frombuffer(data, "<u8", width, 20).tolist()
-        size, at = (n + 7) // 8, 20 + 8 * width
-        return cls(n, [np.frombuffer(data, np.uint8, size, at + k * size) for k in range(width)], zeros)
+        size = (n + 7) // 8
+        blocks = -(-size // _STEP) + 1
+        at, step = 20 + 8 * width, 4 * blocks + size
+        return cls(n, [np.frombuffer(data, np.uint8, size, at + k * step + 4 * blocks) for k in range(width)], zeros,
+                   [np.frombuffer(data, "<u4", blocks, at + k * step) for k in range(width)])
 
     def decode(self) -> np.ndarray:
         """All ids in order: the partitions undone from the last plane to the first."""
@@ -71,13 +75,9 @@ class WaveletMatrix:
 
     def _rank1(self, level: int, i: int) -> int:
         """Ones among the first ``i`` bits of a plane."""
-        if self._ones is None:
-            self._ones = [np.append(0, np.cumsum(np.add.reduceat(np.bitwise_count(p).astype(np.int64),
-                                                                 np.arange(0, len(p), _STEP))))
-                          if len(p) else np.zeros(1, np.int64) for p in self.planes]
         plane, byte = self.planes[level], i >> 3
         block = byte // _STEP
-        n = int(self._ones[level][block]) + int(np.bitwise_count(plane[block * _STEP:byte]).sum())
+        n = int(self.ones[level][block]) + int(np.bitwise_count(plane[block * _STEP:byte]).sum())
         return n + (int(plane[byte] >> (8 - (i & 7))).bit_count() if i & 7 else 0)
 
     def access(self, i: int) -> int:
@@ -104,23 +104,47 @@ class WaveletMatrix:
         lo, hi = self._range(token, self.n if i is None else i)
         return hi - lo
 
-    def occurrences(self, token: int) -> np.ndarray:
-        """Positions of ``token``, ascending: its final range followed back through the planes."""
-        lo, hi = self._range(token, self.n)
-        at = np.arange(lo, hi)
+    def _select(self, level: int, bit: int, at: np.ndarray) -> np.ndarray:
+        """Positions of the ``at``-th ones or zeros (from 0) of a plane: the sample before each, then a look
+        at its stretch.  Where they are a good part of the plane, it is unpacked once."""
+        plane, ones = self.planes[level], self.ones[level].astype(np.int64)
+        if len(at) * _STEP * 8 > self.n:
+            bits = np.unpackbits(plane, count=self.n)
+            return np.flatnonzero(bits == bit)[at]
+        before = ones if bit else np.arange(len(ones)) * _STEP * 8 - ones
+        block = np.searchsorted(before[:-1], at, side="right") - 1
+        rows = block[:, None] * _STEP + np.arange(_STEP)
+        bits = np.unpackbits(np.append(plane, np.uint8(0))[np.minimum(rows, len(plane))], axis=1) == bit
+        inside = np.argmax(np.cumsum(bits, axis=1) > (at - before[block])[:, None], axis=1)
+        return block * _STEP * 8 + inside
+
+    def _back(self, token: int, at: np.ndarray) -> np.ndarray:
+        """Positions in the text of places below the last plane, followed back through the planes."""
         width = len(self.planes)
         for level in range(width - 1, -1, -1):
             if not len(at):
                 break
-            bit = np.unpackbits(self.planes[level], count=self.n).view(bool)
             one = token >> (width - 1 - level) & 1
-            at = np.flatnonzero(bit)[at - self.zeros[level]] if one else np.flatnonzero(~bit)[at]
-        return np.sort(at)
+            at = self._select(level, one, at - self.zeros[level] if one else at)
+        return at
+
+    def occurrences(self, token: int) -> np.ndarray:
+        """Positions of ``token``, ascending."""
+        lo, hi = self._range(token, self.n)
+        return self._back(token, np.arange(lo, hi))
 
     def select(self, token: int, k: int) -> int:
         """Position of the ``k``-th occurrence (from 0) of ``token``; -1 if there are fewer."""
-        at = self.occurrences(token)
-        return int(at[k]) if k < len(at) else -1
+        lo, hi = self._range(token, self.n)
+        return int(self._back(token, np.array([lo + k]))[0]) if 0 <= k < hi - lo else -1
+
+
+def _samples(plane: np.ndarray) -> np.ndarray:
+    """Ones before every _STEP bytes of a plane, and in all of it."""
+    if not len(plane):
+        return np.zeros(1, np.int64)
+    count = np.bitwise_count(plane)
+    return np.append(0, np.cumsum(np.add.reduceat(count, np.arange(0, len(plane), _STEP), dtype=np.int64)))
 
 
 _SHARD = pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("n_tokens", pa.int64()),
@@ -158,13 +182,14 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, key: str
           text: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
     """Encode every text, append ``end_id`` and write the shards, one file each, in ascending key order.
 
-    Rows are dealt by key range, so order needs no single task; null keys come first, rows that share
-    a key are ordered by text, null and empty texts hold the end id alone.  An empty table writes no
-    shard.  Spark's writer commits the files, so a lost executor only repeats its tasks.
+    Rows are dealt by ranges of key, start and hash of the text, so order needs no single task, not even
+    for rows that share a key; null keys come first, rows of one key are ordered by the first characters of
+    their texts, then by a hash; null and empty texts hold the end id alone.  An empty table writes no shard.  Spark's writer commits the files, so a lost executor only repeats its tasks.
     """
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")) \
-        .repartitionByRange("key").sortWithinPartitions("key", "text")
+        .select("*", F.substring("text", 1, 64).alias("head"), F.xxhash64("text").alias("hash"))
+    rows = rows.repartitionByRange("key", "head", "hash").sortWithinPartitions("key", "head", "hash").select("key", "text")
     rows.mapInArrow(_encode(tokenizer, end_id, shard_tokens), _SHARD_DDL) \
         .write.option("maxRecordsPerFile", 1).option("compression", "zstd").mode("overwrite").parquet(path)
 
