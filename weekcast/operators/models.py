@@ -41,27 +41,30 @@ def fit_ols_one(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
     )
 
 
-def determinant(m) -> Column:
-    """Determinant of a small square matrix of columns, along the first row."""
-    if len(m) == 1:
-        return m[0][0]
-    out = None
-    for j, head in enumerate(m[0]):
-        term = head * determinant([row[:j] + row[j + 1:] for row in m[1:]])
-        out = term if out is None else (out - term if j % 2 else out + term)
-    return out
+def solve_array(system: Column) -> Column:
+    """Solution of a positive semi-definite system, an array of k rows of k coefficients and the right side.
+
+    Elimination, one step per unknown, as a fold over the rows: the expression is of one size at any k.  A
+    pivot of no more than 1e-12 of its diagonal entry means that the unknown is a combination of others:
+    the system counts as singular and the solution is null.
+    """
+    size = F.size(system)
+
+    def step(m, i):
+        p = F.get(m, i)
+        pivot = F.get(p, i)
+        pivot = F.when(F.abs(pivot) > F.abs(F.get(F.get(system, i), i)) * F.lit(1e-12), pivot)
+        return F.transform(m, lambda row, r: F.when(r == i, F.transform(row, lambda x: F.try_divide(x, pivot))).otherwise(
+            F.zip_with(row, p, lambda x, y: x - F.try_divide(F.get(row, i), pivot) * y)))
+    done = F.aggregate(F.sequence(F.lit(0), size - 1), system, step)
+    x = F.transform(done, lambda row: F.element_at(row, -1))
+    return F.when(~F.exists(x, lambda v: v.isNull()), x)
 
 
 def solve(m, v) -> list[Column]:
-    """Solution of a small linear system by Cramer's rule; null if it is singular, which a
-    determinant of no more than 1e-12 of the product of the diagonal counts as."""
-    k = len(v)
-    det, scale = determinant(m), None
-    for i in range(k):
-        scale = m[i][i] if scale is None else scale * m[i][i]
-    det = F.when(F.abs(det) > F.abs(scale) * F.lit(1e-12), det)
-    return [F.try_divide(determinant([[v[i] if j == c else m[i][j] for j in range(k)] for i in range(k)]), det)
-            for c in range(k)]
+    """Solution of a small positive semi-definite system of columns; null if it is singular."""
+    x = solve_array(F.array(*[F.array(*[c.cast("double") for c in [*row, right]]) for row, right in zip(m, v)]))
+    return [F.get(x, F.lit(i)) for i in range(len(v))]
 
 
 def fit_ols(df: DataFrame, group: str, features, y: str) -> DataFrame:
@@ -77,8 +80,9 @@ def fit_ols(df: DataFrame, group: str, features, y: str) -> DataFrame:
         aggs += [F.covar_pop(a, features[j]).alias(f"c_{i}_{j}") for j in range(i, k)]
     moments = _complete(df, [*features, y]).groupBy(group).agg(*aggs)
     cxx = [[F.col(f"c_{min(i, j)}_{max(i, j)}") for j in range(k)] for i in range(k)]
-    b = solve(cxx, [F.col(f"c_{i}_y") for i in range(k)])
-    fit = moments.select("*", *[x.alias(f"b_{i}") for i, x in enumerate(b)])
+    system = F.array(*[F.array(*[c.cast("double") for c in [*row, F.col(f"c_{i}_y")]]) for i, row in enumerate(cxx)])
+    fit = moments.withColumn("_system", system).withColumn("_b", solve_array(F.col("_system")))
+    fit = fit.select("*", *[F.get("_b", F.lit(i)).alias(f"b_{i}") for i in range(k)])
     explained, centre = F.lit(0.0), F.lit(0.0)
     for i in range(k):
         explained = explained + F.col(f"b_{i}") * F.col(f"c_{i}_y")

@@ -389,3 +389,131 @@ UNION ALL SELECT 'part', 'p_colour', 'string', NULL, false, 0""",
     "metric_csv_roundtrip": _with(WEEKLY) +
         "SELECT lower(replace(product, ' ', '-')) AS name, sum(demand) AS value FROM weekly GROUP BY product",
 }
+
+
+# --- forests per device: the levels written out one after the other --------------------------
+
+_BINS, _TREES, _DEPTH, _LEAST = 16, 4, 3, 20
+
+
+def _bin(i: int, f: str) -> str:
+    at = f"floor(({f} - lo{i}) / (hi{i} - lo{i}) * CAST({_BINS} AS DOUBLE))"
+    return f"CAST(least({at}, {_BINS - 1}) AS INTEGER) AS b{i}"
+
+
+def _forest() -> str:
+    edges = ", ".join(f"min({f}) AS lo{i}, max({f}) AS hi{i}" for i, f in enumerate(_FEATS))
+    ctes = [f"edges AS (SELECT {edges} FROM lineitem)",
+            f"""rows AS (SELECT l_suppkey % 10 AS g, (l_orderkey * 7 + l_linenumber) % {_TREES} AS fold, l_extendedprice AS y,
+              CAST(round(l_extendedprice / CAST(0.01 AS DOUBLE)) AS BIGINT) AS c, {", ".join(_bin(i, f) for i, f in enumerate(_FEATS))}
+              FROM lineitem, edges)""",
+            f"""p0 AS (SELECT g, CAST(tree AS INTEGER) AS tree, 1 AS node, b0, b1, b2, count(*) AS n, CAST(sum(c) AS BIGINT) AS s
+              FROM rows, range({_TREES}) AS r(tree) WHERE fold <> tree GROUP BY ALL)"""]
+    for d in range(_DEPTH):
+        long = " UNION ALL ".join(f"SELECT g, tree, node, {i} AS feature, b{i} AS bin, n, s FROM p{d} WHERE node >= {1 << d}" for i in range(3))
+        ctes += [f"""h{d} AS (SELECT g, tree, node, feature, bin, CAST(sum(n) AS BIGINT) AS n, CAST(sum(s) AS BIGINT) AS s
+                  FROM ({long}) GROUP BY ALL)""",
+                 f"""w{d} AS (SELECT g, tree, node, feature, bin, CAST(sum(n) OVER o AS BIGINT) AS nl, CAST(sum(n) OVER p AS BIGINT) AS nt,
+                  CAST(sum(s) OVER o AS BIGINT) AS sl, CAST(sum(s) OVER p AS BIGINT) AS st FROM h{d}
+                  WINDOW p AS (PARTITION BY g, tree, node, feature),
+                         o AS (PARTITION BY g, tree, node, feature ORDER BY bin ROWS UNBOUNDED PRECEDING))""",
+                 f"""g{d} AS (SELECT *, CAST(sl AS DOUBLE) * CAST(sl AS DOUBLE) / nl
+                    + CAST(st - sl AS DOUBLE) * CAST(st - sl AS DOUBLE) / (nt - nl) - CAST(st AS DOUBLE) * CAST(st AS DOUBLE) / nt AS gain
+                  FROM w{d} WHERE nl >= {_LEAST} AND nt - nl >= {_LEAST})""",
+                 f"""s{d} AS (SELECT g, tree, node, feature, bin FROM (SELECT *, row_number() OVER (
+                    PARTITION BY g, tree, node ORDER BY gain DESC, feature, bin) AS k FROM g{d} WHERE gain > 0) WHERE k = 1)""",
+                 f"""p{d + 1} AS (SELECT g, tree, CASE WHEN feature IS NULL THEN node ELSE 2 * node + CASE WHEN
+                    (CASE feature WHEN 0 THEN b0 WHEN 1 THEN b1 ELSE b2 END) > bin THEN 1 ELSE 0 END END AS node, b0, b1, b2, n, s
+                  FROM p{d} LEFT JOIN s{d} USING (g, tree, node))"""]
+    ctes.append("inner_nodes AS (" + " UNION ALL ".join(f"SELECT * FROM s{d}" for d in range(_DEPTH)) + ")")
+    ctes.append("sums AS (" + " UNION ALL ".join(
+        f"SELECT g, tree, node, CAST(sum(n) AS BIGINT) AS n, CAST(sum(s) AS BIGINT) AS s FROM p{d} WHERE node >= {1 << d} GROUP BY ALL"
+        for d in range(_DEPTH + 1)) + ")")
+    ctes.append("nodes AS (SELECT g, tree, node, feature, bin, n, CAST(s AS DOUBLE) / n * CAST(0.01 AS DOUBLE) AS value "
+                "FROM sums LEFT JOIN inner_nodes USING (g, tree, node))")
+    return ",\n".join(ctes)
+
+
+SQL["device_trees"] = "WITH " + _forest() + """
+SELECT g AS device_id, tree, node, feature, bin, n, round(value, 4) AS value FROM nodes"""
+
+
+def _walk() -> str:
+    out, at = [], f"a0 AS (SELECT *, 1 AS node, row_number() OVER () AS id FROM rows, (SELECT DISTINCT tree FROM nodes))"
+    out.append(at)
+    for d in range(_DEPTH):
+        out.append(f"""a{d + 1} AS (SELECT a.* EXCLUDE (node), CASE WHEN m.feature IS NULL THEN a.node ELSE 2 * a.node + CASE WHEN
+          (CASE m.feature WHEN 0 THEN b0 WHEN 1 THEN b1 ELSE b2 END) > m.bin THEN 1 ELSE 0 END END AS node
+          FROM a{d} a JOIN nodes m ON a.g = m.g AND a.tree = m.tree AND a.node = m.node)""")
+    return ",\n".join(out)
+
+
+SQL["device_tree_scores"] = "WITH " + _forest() + ",\n" + _walk().replace(
+    "row_number() OVER () AS id FROM rows,", "id FROM (SELECT *, row_number() OVER () AS id FROM rows),") + f""",
+f AS (SELECT a.g, a.id, any_value(a.y) AS y, avg(m.value) AS p FROM a{_DEPTH} a
+      JOIN nodes m ON a.g = m.g AND a.tree = m.tree AND a.node = m.node GROUP BY a.g, a.id)
+SELECT g AS device_id, count(*) AS n, round(avg(p), 2) AS mean_pred, round(avg(power((y - p) / 1000, 2)), 4) AS mse
+FROM f GROUP BY g"""
+
+
+# --- autoregressive moving averages: windows, sums, Cramer's rule and a recursion over the weeks ----
+
+_LONG, _HISTORY, _RIDGE = 4, 24, "CAST(1e-6 AS DOUBLE)"
+
+
+def _det(m) -> str:
+    if len(m) == 1:
+        return f"({m[0][0]})"
+    return "(" + " ".join(f"{'-' if j % 2 else '+'} ({m[0][j]}) * {_det([r[:j] + r[j + 1:] for r in m[1:]])}" for j in range(len(m))) + ")"
+
+
+def _rule(prefix: str, k: int, names: str) -> str:
+    m = [[f"{prefix}{min(i, j)}{max(i, j)}" + (f" + {_RIDGE}" if i == j else "") for j in range(k)] for i in range(k)]
+    cols = [[[f"{prefix}y{i}" if j == c else m[i][j] for j in range(k)] for i in range(k)] for c in range(k)]
+    return ", ".join(f"{_det(x)} / {_det(m)} AS {names}{c}" for c, x in enumerate(cols))
+
+
+def _sums(prefix: str, k: int, x: str, y: str, where: str) -> str:
+    pairs = [f"coalesce(sum({x}{i} * {x}{j}) FILTER ({where}), 0) AS {prefix}{i}{j}" for i in range(k) for j in range(i, k)]
+    return ", ".join(pairs + [f"coalesce(sum({x}{i} * {y}) FILTER ({where}), 0) AS {prefix}y{i}" for i in range(k)])
+
+
+ARMA = f"""v AS (
+  SELECT product, sku, wk, demand, row_number() OVER (PARTITION BY product, sku ORDER BY wk) - 1 AS t,
+         count(*) OVER (PARTITION BY product, sku) - {H} AS nh FROM dense),
+c AS (SELECT *, demand - avg(CASE WHEN t < nh THEN demand END) OVER (PARTITION BY product, sku) AS z,
+             avg(CASE WHEN t < nh THEN demand END) OVER (PARTITION BY product, sku) AS mean FROM v WHERE nh >= {_HISTORY}),
+l AS (SELECT *, {", ".join(f"lag(z, {k + 1}) OVER (PARTITION BY product, sku ORDER BY wk) AS l{k}" for k in range(_LONG))} FROM c),
+m AS (SELECT product, sku, {_sums("m", _LONG, "l", "z", f"t >= {_LONG} AND t < nh")} FROM l GROUP BY product, sku),
+a AS (SELECT product, sku, {_rule("m", _LONG, "a")} FROM m),
+e AS (SELECT l.*, CASE WHEN t < {_LONG} THEN 0 ELSE z - {" - ".join(f"a{k} * l{k}" for k in range(_LONG))} END AS e
+      FROM l JOIN a USING (product, sku)),
+o AS (SELECT p.p, q.q FROM (VALUES (0), (1), (2)) AS p(p), (VALUES (0), (1)) AS q(q)),
+x AS (SELECT *, CASE WHEN p >= 1 THEN l0 ELSE 0 END AS x0, CASE WHEN p >= 2 THEN l1 ELSE 0 END AS x1,
+             CASE WHEN q >= 1 THEN e1 ELSE 0 END AS x2
+      FROM (SELECT *, lag(e, 1) OVER (PARTITION BY product, sku ORDER BY wk) AS e1 FROM e), o),
+n AS (SELECT product, sku, p, q, {_sums("n", 3, "x", "z", f"t >= {_LONG + 1} AND t < nh")} FROM x GROUP BY product, sku, p, q),
+b AS (SELECT *, abs(b2) < 1 AND abs(b1) < 1 AND b1 + b0 < 1 AND b1 - b0 < 1 AS stable
+      FROM (SELECT product, sku, p, q, {_rule("n", 3, "b")} FROM n)),
+rec AS (
+  SELECT product, sku, p, q, CAST(-1 AS BIGINT) AS t, CAST(0 AS DOUBLE) AS h, CAST(0 AS DOUBLE) AS h1, CAST(0 AS DOUBLE) AS r,
+         CAST(0 AS DOUBLE) AS f, CAST(0 AS DOUBLE) AS y, b0, b1, b2 FROM b WHERE stable
+  UNION ALL
+  SELECT product, sku, p, q, t, CASE WHEN t < nh THEN z ELSE f END, h, CASE WHEN t < nh THEN z - f ELSE 0 END, f + mean, demand, b0, b1, b2
+  FROM (SELECT rec.product, rec.sku, p, q, c.t, c.nh, c.z, c.mean, c.demand, rec.h, b0, b1, b2,
+               b0 * rec.h + b1 * rec.h1 + b2 * rec.r AS f
+        FROM rec JOIN c ON rec.product = c.product AND rec.sku = c.sku AND c.t = rec.t + 1)),
+al AS (SELECT product, sku, p, q, round(avg(power(y - f, 2)) FILTER (t >= nh), 4) AS loss
+       FROM rec JOIN (SELECT DISTINCT product, sku, nh FROM c) USING (product, sku) WHERE t >= 0 GROUP BY product, sku, p, q)"""
+_ARMA = "WITH RECURSIVE " + ",\n".join([WEEKLY, DENSE, ARMA])
+SQL["arma_losses"] = _ARMA + """
+SELECT s.product, s.sku, CAST(o.p AS INTEGER) AS p, CAST(o.q AS INTEGER) AS q,
+       CASE WHEN s.nh < 24 THEN 'too_short' WHEN loss IS NULL THEN 'unstable' ELSE 'ok' END AS status, loss
+FROM (SELECT DISTINCT product, sku, nh FROM v) s CROSS JOIN o LEFT JOIN al USING (product, sku, p, q)"""
+SQL["arma_forecast"] = _ARMA + """,
+pick AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY product, sku ORDER BY loss, p, q) AS k FROM al) WHERE k = 1)
+SELECT v.product, v.sku, v.wk, v.demand, v.t < v.nh AND v.nh >= 24 AS is_history,
+       CASE WHEN pick.p IS NULL THEN 'too_short' ELSE 'ok' END AS status, CAST(pick.p AS INTEGER) AS p, CAST(pick.q AS INTEGER) AS q,
+       round(rec.f, 4) AS demand_fitted
+FROM v LEFT JOIN pick USING (product, sku)
+LEFT JOIN rec ON rec.product = v.product AND rec.sku = v.sku AND rec.p = pick.p AND rec.q = pick.q AND rec.t = v.t"""

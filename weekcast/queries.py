@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from weekcast.functions import calendar as cal
 from weekcast.functions import scalar
-from weekcast.operators import checks, ranking, sampling, search, series
+from weekcast.operators import arma, checks, ranking, sampling, search, series, trees
 from weekcast.plans import demand, forecast, manymodels, runlog, tuning
 from weekcast.session import checkpoint, scratch_path, unique_name
 from weekcast.sources import inputs, sinks
@@ -447,6 +447,39 @@ def exo_gain(spark, sf):
     return forecast.exo_gain(_weekly(spark, sf), EVENT)
 
 
+def arma_losses(spark, sf):
+    """Hold-out loss of every autoregressive moving-average order for every series."""
+    return arma.losses(_dense(spark, sf), KEYS, H)
+
+
+def arma_forecast(spark, sf):
+    """Fitted history and forecast tail of every series by its best order."""
+    return arma.forecast(_dense(spark, sf), KEYS, H)
+
+
+# --- forests per device -----------------------------------------------------------------
+
+def _device_forest(spark, sf):
+    rows = inputs.devrows(spark, sf)
+    fold = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % trees.TREES
+    return rows, trees.fit(rows, manymodels.DEVICE, fold, manymodels.ALL_FEATURES, "label")
+
+
+def device_trees(spark, sf):
+    """A forest per device: the nodes of all trees of all devices, grown together."""
+    _, nodes = _device_forest(spark, sf)
+    return nodes.select("device_id", "tree", "node", "feature", "bin", "n", F.round("value", 4).alias("value"))
+
+
+def device_tree_scores(spark, sf):
+    """Every row scored by its own device's forest: rows, mean prediction and training error per device."""
+    rows, nodes = _device_forest(spark, sf)
+    scored = trees.score(rows, checkpoint(nodes), manymodels.DEVICE, manymodels.ALL_FEATURES)
+    error = F.pow((F.col("label") - F.col("prediction")) / 1000, F.lit(2))
+    return scored.groupBy("device_id").agg(F.count("prediction").alias("n"), F.round(F.avg("prediction"), 2).alias("mean_pred"),
+                                           F.round(F.avg(error), 4).alias("mse"))
+
+
 # --- MLlib -----------------------------------------------------------------------------
 
 def string_index(spark, sf):
@@ -524,6 +557,8 @@ QUERIES: dict[str, Query] = {
     "many_model_score": many_model_score, "routed_score": routed_score,
     "mse_by_series": mse_by_series, "rmse_global": rmse_global,
     "candidate_losses": candidate_losses, "best_candidate": best_candidate,
+    "arma_losses": arma_losses, "arma_forecast": arma_forecast,
+    "device_trees": device_trees, "device_tree_scores": device_tree_scores,
     "exo_gain": exo_gain, "forecast_frame": forecast_frame, "forecast_best": forecast_best,
     "string_index": string_index, "indexed_listing": indexed_listing, "forest_checks": forest_checks,
     "rf_pipeline": rf_pipeline, "rf_tuned": rf_tuned,
