@@ -23,9 +23,11 @@ LEAST = 20
 
 
 def _normal(rows: str, k: int):
-    """k x (k + 1) normal equations of an array of design rows (k regressors, then the value)."""
-    cell = f"aggregate({rows}, 0.0D, (a, r) -> a + r[i] * r[j]) + IF(i = j, {RIDGE!r}D, 0.0D)"
-    return F.expr(f"transform(sequence(0, {k - 1}), i -> transform(sequence(0, {k}), j -> {cell}))")
+    """k x (k + 1) normal equations of an array of design rows (k regressors, then the value): one fold
+    over the rows, which are evaluated once."""
+    start = ", ".join("array(" + ", ".join(f"{RIDGE!r}D" if i == j else "0.0D" for j in range(k + 1)) + ")" for i in range(k))
+    return F.expr(f"aggregate({rows}, array({start}), (m, r) -> "
+                  "transform(m, (row, i) -> transform(row, (v, j) -> v + r[i] * r[j])))")
 
 
 def _lag(array: str, t: str, k: int) -> str:
@@ -50,7 +52,7 @@ def fits(df: DataFrame, keys, horizon: int, value: str = "demand", order_col: st
     s = s.withColumn("z", F.expr("IF(nh > 0, transform(y, v -> v - mean), array())"))
     lags = ", ".join(f"z[t - {k}]" for k in range(1, LONG + 1))
     s = s.withColumn("d", F.expr(f"IF(nh > 0, transform(sequence({LONG}, nh - 1), t -> array({lags}, z[t])), array())"))
-    s = s.withColumn("a", solve_array(_normal("d", LONG)))
+    s = s.withColumn("m", _normal("d", LONG)).withColumn("a", solve_array(F.col("m")))
     guess = " - ".join(f"a[{k - 1}] * z[t - {k}]" for k in range(1, LONG + 1))
     s = s.withColumn("e", F.expr(f"IF(nh > 0, transform(sequence(0, nh - 1), t -> IF(t < {LONG}, 0.0D, z[t] - {guess})), array())"))
     order = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in ORDERS]))
@@ -59,7 +61,7 @@ def fits(df: DataFrame, keys, horizon: int, value: str = "demand", order_col: st
     own = [f"IF(p >= {k}, z[t - {k}], 0.0D)" for k in range(1, _P + 1)] + [f"IF(q >= {k}, e[t - {k}], 0.0D)" for k in range(1, _Q + 1)]
     first = LONG + _Q
     s = s.withColumn("d", F.expr(f"IF(nh > 0, transform(sequence({first}, nh - 1), t -> array({', '.join(own)}, z[t])), array())"))
-    s = s.withColumn("b", solve_array(_normal("d", _P + _Q)))
+    s = s.withColumn("m", _normal("d", _P + _Q)).withColumn("b", solve_array(F.col("m")))
     # a fit whose autoregression grows or whose residuals cannot be recovered has no forecast
     stable = "abs(b[2]) < 1 AND abs(b[1]) < 1 AND b[1] + b[0] < 1 AND b[1] - b[0] < 1"
     s = s.withColumn("status", F.expr(f"IF(nh = 0 OR ({stable}), status, 'unstable')")) \
@@ -71,20 +73,27 @@ def fits(df: DataFrame, keys, horizon: int, value: str = "demand", order_col: st
     ahead = ar.replace("get(z,", "get(h,")
     s = s.withColumn("h", F.expr(f"IF(nh > 0, aggregate(sequence(nh, size(y) - 1), slice(z, 1, nh), (h, t) -> "
                                  f"array_append(h, ({ahead}) + ({ma}))), array())"))
-    fitted = F.expr("IF(nh > 0, transform(h, (v, t) -> IF(t < nh, z[t] - r[t], v) + mean), NULL)")
+    fitted = F.expr("IF(nh > 0, transform(concat(zip_with(slice(z, 1, nh), r, (v, e) -> v - e), slice(h, nh + 1, size(y) - nh)), "
+                    "v -> v + mean), NULL)")
     return s.select(*keys, "p", "q", "status", "wks", "y", "nh", fitted.alias("fitted"))
 
 
+def mean_error(first: str, weeks: str):
+    """Mean squared error of ``fitted`` over some weeks from the ``first`` (1-based) on."""
+    pairs = f"zip_with(slice(y, {first}, {weeks}), slice(fitted, {first}, {weeks}), (v, f) -> pow(v - f, 2))"
+    return F.expr(f"aggregate({pairs}, 0.0D, (a, e) -> a + e) / ({weeks})")
+
+
 def losses(df: DataFrame, keys, horizon: int, value: str = "demand", order_col: str = "wk", digits: int = 4) -> DataFrame:
     """(keys, p, q, status, loss): mean squared error of each order over the last ``horizon`` weeks."""
-    error = F.expr(f"aggregate(sequence(nh, size(y) - 1), 0.0D, (a, t) -> a + pow(y[t] - fitted[t], 2)) / {horizon}")
+    error = mean_error("nh + 1", str(horizon))
     return fits(df, keys, horizon, value, order_col).select(
         *keys, "p", "q", "status", F.round(F.when(F.col("status") == "ok", error), digits).alias("loss"))
 
 
 def forecast(df: DataFrame, keys, horizon: int, value: str = "demand", order_col: str = "wk", digits: int = 4) -> DataFrame:
     """Fitted history and forecast tail of each series by the order of smallest loss, ties by (p, q)."""
-    error = F.expr(f"aggregate(sequence(nh, size(y) - 1), 0.0D, (a, t) -> a + pow(y[t] - fitted[t], 2)) / {horizon}")
+    error = mean_error("nh + 1", str(horizon))
     rows = fits(df, keys, horizon, value, order_col).withColumn(
         "loss", F.coalesce(F.round(F.when(F.col("status") == "ok", error), digits), F.lit(float("inf"))))
     best = rows.groupBy(*keys).agg(F.min_by(F.struct("p", "q", "status", "wks", "y", "nh", "fitted"),
