@@ -114,3 +114,20 @@ def test_empty_table_and_no_training_rows(spark):
     for r in got:
         assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (2, 0, 0, 0.0)
         assert r["score"] == pytest.approx(-3 * math.log10(256))
+
+
+def test_clashing_names_and_packing(spark):
+    df = spark.createDataFrame([(i, "the cat sat " * (i + 1)) for i in range(6)], "doc_id long, text string")
+    plain = {r["doc_id"]: r["score"] for r in ppm.score(df).collect()}
+    for c in ("kind", "slot", "part", "row", "blob", "key", "n_words", "known", "logs", "score", "code", "n", "n_tokens", "held_out"):
+        df = df.withColumn(c, df["doc_id"] * 0)
+    assert {r["doc_id"]: r["score"] for r in ppm.score(df).collect()} == pytest.approx(plain)
+    rng = np.random.default_rng(1)
+    code = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) >> rng.integers(0, 60, 5000).astype(np.uint64))
+    n = rng.integers(1, 1 << 40, len(code))
+    back = ppm.unpack(ppm.pack(code, n))
+    assert (back[0] == code).all() and (back[1] == n).all()
+    open_, row = np.repeat(code, 3), np.tile([4, 4, 9], len(code))
+    codes, which, rows, times = ppm.unpack_open(ppm.pack_open(open_, row))
+    assert (codes == code).all() and (which == np.repeat(np.arange(len(code)), 2)).all()
+    assert (rows == np.tile([4, 9], len(code))).all() and (times == np.tile([2, 1], len(code))).all()

@@ -77,6 +77,21 @@ def test_wavelet_matrix_round_trip():
             assert w.occurrences(t).tolist() == where.tolist()
             assert w.rank(t) == len(where) and w.rank(t, len(ids) // 2) == (where < len(ids) // 2).sum()
             assert w.select(t, 0) == (where[0] if len(where) else -1)
+            for k in {len(where) // 2, len(where) - 1, len(where)} - {-1}:
+                assert w.select(t, k) == (where[k] if k < len(where) else -1)
+
+
+def test_select_reads_stretches_by_the_stored_samples():
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 3000, 200_000).astype(np.uint32)
+    w = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(ids).to_bytes())
+    for plane, ones in zip(w.planes, w.ones):
+        bits = np.unpackbits(plane, count=w.n)
+        assert ones.tolist() == [int(bits[:i * wavelet._STEP * 8].sum()) for i in range(len(ones))]
+    for t in (0, 1, 1500, 2999):
+        where = np.flatnonzero(ids == t)
+        assert w.occurrences(t).tolist() == where.tolist()
+        assert [w.select(t, k) for k in range(0, len(where), 9)] == where[::9].tolist()
 
 
 def brute_files(rows, enc):
@@ -112,3 +127,14 @@ def test_op9_matches_brute_force(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(map(tuple, queries.op9_token_files(spark, SF_SMALL).collect()))
     assert got == brute_files(docs, pieces.encoder(BYTE_BPE).tokenizer)
+
+
+def test_very_long_text_and_clashing_names(spark):
+    """A text beyond a chunk of the encoder and beyond a shard; columns with the names used inside."""
+    rows = [(2, "some words " * 150_000), (1, "a"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_files(rows, pieces.encoder(BYTE_BPE).tokenizer)
+    for c in ("key", "head", "hash", "part", "shard", "ids", "sizes", "matrix", "start", "own", "n_tokens", "ids_crc32"):
+        docs = docs.withColumn(c, docs["doc_id"] * 0)
+    got = wavelet.token_files(docs, BYTE_BPE, shard_tokens=10_000).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == want

@@ -150,3 +150,97 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_
        coalesce(m.n_items, 0)::BIGINT AS n_items, sha256(coalesce(m.items, '')) AS items_sha256,
        coalesce(c.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
+#: CRC-32 of a list of byte values: the usual table by a recursion over eight bits, then one step a byte.
+_CRC = r"""crc_bits AS (
+  SELECT i, i AS c, 0 AS k FROM range(256) AS r(i)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS crc_t FROM crc_bits WHERE k = 8)"""
+
+
+def _crc(codes: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), "
+            "lambda c, x: xor(c >> 8, crc_t[(xor(c, x) & 255) + 1])), 4294967295)")
+
+
+def _ascii(text: str) -> str:
+    return f"list_transform(range(1, length({text}) + 1), lambda i: ord(substr({text}, i, 1))::BIGINT)"
+
+
+_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+SQL["op11_merkle_manifest"] = rf"""
+WITH RECURSIVE {_CRC},
+d AS (SELECT *, row_number() OVER () AS id,
+             CASE WHEN {_crc(_ascii("doc_id::VARCHAR"))} % 5 = 0 THEN {_LOW.format("text")} ELSE text END AS seen
+      FROM documents, crc_table),
+s AS (SELECT source AS src, row_number() OVER (ORDER BY source ASC NULLS FIRST) - 1 AS sid FROM (SELECT DISTINCT source FROM documents)),
+l AS (SELECT d.id, d.doc_id, s.sid, {_leaf("text")} AS leaf, {_leaf("seen")} AS given
+      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.src),
+p AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY doc_id ASC NULLS FIRST, leaf) - 1 AS pos,
+             count(*) OVER (PARTITION BY sid) AS n FROM l),
+lev AS (
+  SELECT sid, 0 AS k, pos, leaf AS h, n FROM p
+  UNION ALL
+  SELECT sid, k + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16 FROM lev WHERE n > 1 GROUP BY sid, k, pos // 16, n),
+sub AS (SELECT sid, h AS subroot FROM lev WHERE n = 1),
+top AS (
+  SELECT 0 AS k, sid AS pos, subroot AS h, (SELECT count(*) FROM sub) AS n FROM sub
+  UNION ALL
+  SELECT k + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16 FROM top WHERE n > 1 GROUP BY k, pos // 16, n),
+run AS (SELECT sid, k, pos // 16 AS parent, list(h ORDER BY pos) AS hs FROM lev WHERE n > 1 GROUP BY sid, k, pos // 16),
+top_run AS (SELECT k, pos // 16 AS parent, list(h ORDER BY pos) AS hs FROM top WHERE n > 1 GROUP BY k, pos // 16),
+up AS (
+  SELECT id, sid, 0 AS k, pos, given AS node, '' AS proof FROM p
+  UNION ALL
+  SELECT id, up.sid, up.k + 1, pos // 16,
+         sha256(array_to_string(list_transform(hs, lambda x, i: CASE WHEN i = pos % 16 + 1 THEN node ELSE x END), '')),
+         proof || array_to_string(list_filter(hs, lambda x, i: i <> pos % 16 + 1), '')
+  FROM up JOIN run ON run.sid = up.sid AND run.k = up.k AND run.parent = up.pos // 16),
+mid AS (SELECT id, max(sid) AS sid, arg_max(node, k) AS node, arg_max(proof, k) AS proof FROM up GROUP BY id),
+over_top AS (
+  SELECT id, 0 AS k, sid AS pos, node, proof FROM mid
+  UNION ALL
+  SELECT id, over_top.k + 1, pos // 16,
+         sha256(array_to_string(list_transform(hs, lambda x, i: CASE WHEN i = pos % 16 + 1 THEN node ELSE x END), '')),
+         proof || array_to_string(list_filter(hs, lambda x, i: i <> pos % 16 + 1), '')
+  FROM over_top JOIN top_run ON top_run.k = over_top.k AND top_run.parent = over_top.pos // 16),
+done AS (SELECT id, arg_max(node, k) AS folded_root, arg_max(proof, k) AS proof FROM over_top GROUP BY id)
+SELECT p.doc_id, p.leaf, sub.subroot, r.h AS root, sha256(done.proof) AS proof_sha256, done.folded_root,
+       done.folded_root = r.h AS verified
+FROM p JOIN sub USING (sid) JOIN done USING (id) CROSS JOIN (SELECT h FROM top WHERE n = 1) r"""
+
+SQL["op12_spelling_variants"] = rf"""
+WITH RECURSIVE {_CRC},
+r AS (SELECT doc_id, {_LOW.format("unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+'))")} AS w FROM documents),
+g AS (SELECT coalesce(doc_id::VARCHAR, '') AS key, w, count(*) AS n FROM r GROUP BY 1, 2),
+h AS (SELECT w, n, {_crc("list_concat(" + _ascii("(key || ':')") + ", flatten(list_transform(range(1, length(w) + 1), "
+                         "lambda i: CASE WHEN ord(substr(w, i, 1)) < 128 THEN [ord(substr(w, i, 1))::BIGINT] "
+                         "ELSE [(192 + ord(substr(w, i, 1)) // 64)::BIGINT, (128 + ord(substr(w, i, 1)) % 64)::BIGINT] END)))")} AS crc
+      FROM g, crc_table),
+e AS (SELECT CASE WHEN crc % 97 = 0 THEN substr(w, 1, crc % length(w)) || substr(w, crc % length(w) + 2) ELSE w END AS word, n FROM h),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM e GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+places AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+hole AS (SELECT DISTINCT word, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS k FROM places),
+less AS (SELECT DISTINCT word, substr(word, 1, i - 1) || substr(word, i + 1) AS k FROM places),
+near AS (SELECT a.word, b.word AS other FROM hole a JOIN hole b ON a.k = b.k AND a.word <> b.word
+         UNION SELECT less.word, words.word FROM less JOIN words ON less.k = words.word
+         UNION SELECT words.word, less.word FROM less JOIN words ON less.k = words.word),
+best AS (SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+                row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS k
+         FROM near JOIN words o ON o.word = near.other),
+f AS (SELECT words.word, words.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 2 * words.n THEN other END AS form,
+             CASE WHEN other_n >= 2 * words.n THEN other_n END AS form_n
+      FROM words LEFT JOIN best ON best.word = words.word AND best.k = 1),
+walk AS (SELECT word, word AS root, form AS next FROM f
+         UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN f ON f.word = walk.next)
+SELECT f.word, f.form, walk.root, f.n, f.n_near, f.form_n FROM f JOIN walk ON walk.word = f.word AND walk.next IS NULL"""
