@@ -517,3 +517,84 @@ SELECT v.product, v.sku, v.wk, v.demand, v.t < v.nh AND v.nh >= 24 AS is_history
        round(rec.f, 4) AS demand_fitted
 FROM v LEFT JOIN pick USING (product, sku)
 LEFT JOIN rec ON rec.product = v.product AND rec.sku = v.sku AND rec.p = pick.p AND rec.q = pick.q AND rec.t = v.t"""
+
+
+# --- exponential smoothing: the recursion as a fold over a list, rounds of a search one after the other ----
+
+_SEASON = 13
+_SMOOTHERS = """cand AS (
+  SELECT CAST(row_number() OVER (ORDER BY m, beta, alpha) - 1 AS INTEGER) AS cand_id, alpha, beta, phi, gamma, m
+  FROM (VALUES (CAST(0.1 AS DOUBLE)), (CAST(0.3 AS DOUBLE)), (CAST(0.5 AS DOUBLE)), (CAST(0.8 AS DOUBLE))) AS a(alpha),
+       (VALUES (CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)), (CAST(0.1 AS DOUBLE), CAST(0.9 AS DOUBLE))) AS t(beta, phi),
+       (VALUES (1, CAST(0 AS DOUBLE)), (13, CAST(0.1 AS DOUBLE))) AS s(m, gamma)),
+packed AS (
+  SELECT product, sku, max(wk) AS last_wk, list(demand ORDER BY wk) AS y, CAST(count(*) AS INTEGER) AS n,
+         CASE WHEN count(*) - 40 >= 26 THEN 'ok' ELSE 'too_short' END AS status
+  FROM dense GROUP BY product, sku)"""
+
+
+def _smoothed(source: str) -> str:
+    """Rows of ``source`` (candidate columns, part, nh) with the state st after nh values of the part."""
+    return f"""(SELECT * EXCLUDE (mean), list_reduce(list_concat(
+      [{{'l': mean, 'b': CAST(0 AS DOUBLE), 's': list_transform(part[1:m], lambda v: v - mean), 'v': CAST(0 AS DOUBLE)}}],
+      list_transform(part[m + 1:nh], lambda v: {{'l': CAST(0 AS DOUBLE), 'b': CAST(0 AS DOUBLE), 's': CAST([] AS DOUBLE[]), 'v': v}})),
+      lambda x, r: {{'l': x.l + phi * x.b + alpha * (r.v - (x.l + phi * x.b + x.s[1])),
+                     'b': phi * x.b + alpha * beta * (r.v - (x.l + phi * x.b + x.s[1])),
+                     's': list_append(x.s[2:], x.s[1] + gamma * (r.v - (x.l + phi * x.b + x.s[1]))), 'v': r.v}}) AS st
+      FROM (SELECT *, list_sum(part[1:m]) / m AS mean FROM ({source})))"""
+
+
+_DAMPED = "CASE WHEN phi = 1 THEN CAST(k AS DOUBLE) ELSE phi * (1 - power(phi, k)) / (1 - phi) END"
+
+
+def _missed(source: str, tail) -> str:
+    """Rows of ``source`` with the mean squared error over the ``tail`` values after nh."""
+    ahead = f"st.l + st.b * ({_DAMPED}) + st.s[(k - 1) % m + 1]"
+    return f"""(SELECT *, round(list_sum(list_transform(range(1, {tail} + 1), lambda k: power(part[nh + k] - ({ahead}), 2))) / {tail}, 4) AS loss
+      FROM {_smoothed(source)})"""
+
+
+_PACKED = _with(WEEKLY, DENSE, _SMOOTHERS)
+_OK = f"SELECT *, y AS part, n - {H} AS nh FROM packed, cand WHERE status = 'ok'"
+SQL["smoothing_losses"] = _PACKED + f"""
+SELECT product, sku, cand_id, status, loss FROM {_missed(_OK, H)}
+UNION ALL SELECT product, sku, cand_id, status, NULL FROM packed, cand WHERE status <> 'ok'"""
+SQL["smoothing_forecast"] = _PACKED + f""",
+pick AS (SELECT product, sku, cand_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY product, sku ORDER BY loss, cand_id) AS r FROM {_missed(_OK, H)}) WHERE r = 1)
+SELECT product, sku, CAST(last_wk + CAST(7 * k AS INTEGER) AS DATE) AS wk, cand_id,
+       round(st.l + st.b * ({_DAMPED}) + st.s[(k - 1) % m + 1], 4) AS demand_forecast
+FROM {_smoothed("SELECT *, y AS part, n AS nh FROM packed JOIN pick USING (product, sku) JOIN cand USING (cand_id)")}, range(1, {H + 1}) AS w(k)"""
+
+
+def _rungs() -> str:
+    ctes, tails, fits = [], (5, 10, 20, H), 16
+    for r, tail in enumerate(tails):
+        last = r == len(tails) - 1
+        nh = f"n - {tail}" if last else f"least(n - {tail}, {8 * tail})"
+        who = "packed, cand" if r == 0 else f"packed JOIN r{r - 1} USING (product, sku) JOIN cand USING (cand_id)"
+        rows = (f"SELECT product, sku, status, n, cand_id, alpha, beta, phi, gamma, m, CAST({nh} AS INTEGER) AS nh, "
+                f"y[n - ({nh}) - {tail} + 1:n] AS part FROM {who} WHERE status = 'ok'" + (" AND kept" if r else ""))
+        keep = 1 if last else fits // 2
+        ctes.append(f"""r{r} AS MATERIALIZED (SELECT product, sku, {r} AS rung, cand_id, {fits} AS n_fits, nh AS weeks, loss,
+          row_number() OVER (PARTITION BY product, sku ORDER BY loss, cand_id) <= {keep} AS kept FROM {_missed(rows, tail)})""")
+        fits = keep
+    return ",\n".join(ctes)
+
+
+SQL["halving_search"] = _PACKED + ",\n" + _rungs() + "\n" + " UNION ALL ".join(
+    f"SELECT product, sku, rung, cand_id, 'ok' AS status, n_fits, weeks, loss, kept FROM r{r}" for r in range(4)) + """
+UNION ALL SELECT product, sku, 0, cand_id, status, 0, 0, NULL, false FROM packed, cand WHERE status <> 'ok'"""
+
+
+# --- nested runs: from the roots down, one level after the other ------------------------------
+
+SQL["run_tree"] = """WITH RECURSIVE own AS (
+  SELECT event_id AS run_id, CASE WHEN event_id > 0 THEN event_id // 8 END AS up FROM events WHERE event_type <> 'error'),
+down AS (
+  SELECT run_id, run_id AS root_run_id, CAST(0 AS BIGINT) AS depth, CASE WHEN up IS NULL THEN 'root' ELSE 'orphan' END AS status
+  FROM own WHERE up IS NULL OR up NOT IN (SELECT run_id FROM own)
+  UNION ALL
+  SELECT own.run_id, down.root_run_id, down.depth + 1, 'nested' FROM down JOIN own ON own.up = down.run_id)
+SELECT down.*, coalesce(n, 0) AS n_children FROM down
+LEFT JOIN (SELECT up AS run_id, count(*) AS n FROM own WHERE up IS NOT NULL GROUP BY up) USING (run_id)"""

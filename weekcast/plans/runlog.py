@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekcast.session import checkpoint
+
 
 def _device():
     return F.col("tags").getItem("device")
@@ -92,3 +94,47 @@ def children_by_parent(runs: DataFrame) -> DataFrame:
     parents = runs.filter(F.col("parent_run_id").isNull()).select(
         F.col("run_id").alias("parent_run_id"), F.col("params")["children"].cast("bigint").alias("n_declared"))
     return parents.join(kids, "parent_run_id", "left")
+
+
+def run_tree(runs: DataFrame, run: str = "run_id", parent: str = "parent_run_id") -> DataFrame:
+    """Every run with its root, how deep it lies below it and its number of children:
+    (run_id, root_run_id, depth, n_children, status), for trees of any depth.
+
+    A run without a parent, or whose parent is not in the log (``orphan``), is a root.  Each round a run
+    hands its link to its ancestor's ancestor, so a chain of d runs takes about log2(d) rounds, and only runs that
+    have not met their root are joined.  Runs on or below a loop have status ``cycle``, no root and no
+    depth.  Repeated rows are one run; a run logged with two parents belongs to the smaller one; a null run id is left out.
+    Rounds are checkpointed: a lost executor repeats one, and joins know their sizes, so that a run with a
+    third of all runs below it is split by the adaptive plan.
+    """
+    own = checkpoint(runs.where(F.col(run).isNotNull()).groupBy(F.col(run).alias("run_id")).agg(F.min(parent).alias("up")))
+    known = own.select(F.col("run_id").alias("up"), F.lit(True).alias("there"))
+    kids = checkpoint(own.where("up is not null").groupBy("up").agg(F.count(F.lit(1)).alias("n_children")))
+    links = checkpoint(own.join(known, "up", "left").select("run_id", "up", F.coalesce("there", F.lit(False)).alias("there")))
+    at_root = F.col("there") == F.lit(False)
+    done = links.where(at_root).select("run_id", F.col("run_id").alias("root_run_id"), F.lit(0).cast("bigint").alias("depth"),
+                                       F.when(F.col("up").isNull(), "root").otherwise("orphan").alias("status"))
+    done = checkpoint(done)
+    open_ = checkpoint(links.where("there").select("run_id", "up", F.lit(1).cast("bigint").alias("depth")))
+    rounds, limit = 0, links.count().bit_length() + 1
+    while rounds < limit and open_.limit(1).count():
+        # an ancestor that is a root ends the search; any other one hands on its own ancestor
+        roots = done.select(F.col("run_id").alias("up"), F.col("root_run_id").alias("top"), F.col("depth").alias("above"))
+        met = checkpoint(open_.join(roots, "up", "left"))
+        done = checkpoint(done.unionByName(met.where("top is not null").select(
+            "run_id", F.col("top").alias("root_run_id"), (F.col("depth") + F.col("above")).alias("depth"), F.lit("nested").alias("status"))))
+        left = met.where("top is null").select("run_id", "up", "depth")
+        hop = open_.select(F.col("run_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("above"))
+        open_ = checkpoint(left.join(hop, "up").select("run_id", F.col("next").alias("up"), (F.col("depth") + F.col("above")).alias("depth")))
+        rounds += 1
+    loops = open_.select("run_id", F.lit(None).cast(done.schema["root_run_id"].dataType).alias("root_run_id"),
+                         F.lit(None).cast("bigint").alias("depth"), F.lit("cycle").alias("status"))
+    return done.unionByName(loops).join(kids.withColumnRenamed("up", "run_id"), "run_id", "left").select(
+        "run_id", "root_run_id", "depth", F.coalesce("n_children", F.lit(0)).cast("bigint").alias("n_children"), "status")
+
+
+def nested(log: DataFrame, width: int = 8) -> DataFrame:
+    """The log as nested runs: a run lies below the run whose id is its own divided by ``width``; runs
+    without a device tag (failed ones) are not in the log, so what lies below them is orphaned."""
+    own = F.col("run_id")
+    return with_device(log).select("run_id", F.when(own > 0, F.floor(own / width).cast("bigint")).alias("parent_run_id"))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from weekcast.functions import calendar as cal
 from weekcast.functions import scalar
-from weekcast.operators import arma, checks, ranking, sampling, search, series, trees
+from weekcast.operators import arma, checks, ranking, sampling, search, series, smoothing, trees
 from weekcast.plans import demand, forecast, manymodels, runlog, tuning
 from weekcast.session import checkpoint, scratch_path, unique_name
 from weekcast.sources import inputs, sinks
@@ -457,6 +457,21 @@ def arma_forecast(spark, sf):
     return arma.forecast(_dense(spark, sf), KEYS, H)
 
 
+def smoothing_losses(spark, sf):
+    """Hold-out loss of every smoothing candidate (level, trend, season) for every series."""
+    return smoothing.losses(_dense(spark, sf), KEYS, H)
+
+
+def smoothing_forecast(spark, sf):
+    """Weeks after the end of every series by its best smoothing candidate."""
+    return smoothing.forecast(_dense(spark, sf), KEYS, H)
+
+
+def halving_search(spark, sf):
+    """Successive halving over the smoothing candidates of every series, round by round."""
+    return smoothing.halving(_dense(spark, sf), KEYS, H)
+
+
 # --- forests per device -----------------------------------------------------------------
 
 def _device_forest(spark, sf):
@@ -540,6 +555,11 @@ def trial_log(spark, sf):
     return kept
 
 
+def run_tree(spark, sf):
+    """Nested runs of any depth: root, depth and children of every run."""
+    return runlog.run_tree(runlog.nested(inputs.runlog(spark, sf)))
+
+
 QUERIES: dict[str, Query] = {
     "weekly_demand": weekly_demand, "row_count": row_count, "range_rows": range_rows,
     "rand_columns": rand_columns, "calendar": calendar_q, "calendar_factors": calendar_factors,
@@ -558,11 +578,12 @@ QUERIES: dict[str, Query] = {
     "mse_by_series": mse_by_series, "rmse_global": rmse_global,
     "candidate_losses": candidate_losses, "best_candidate": best_candidate,
     "arma_losses": arma_losses, "arma_forecast": arma_forecast,
+    "smoothing_losses": smoothing_losses, "smoothing_forecast": smoothing_forecast, "halving_search": halving_search,
     "device_trees": device_trees, "device_tree_scores": device_tree_scores,
     "exo_gain": exo_gain, "forecast_frame": forecast_frame, "forecast_best": forecast_best,
     "string_index": string_index, "indexed_listing": indexed_listing, "forest_checks": forest_checks,
     "rf_pipeline": rf_pipeline, "rf_tuned": rf_tuned,
-    "runlog_latest": runlog_latest, "topk_runs": topk_runs, "runlog_roundtrip": runlog_roundtrip,
+    "runlog_latest": runlog_latest, "topk_runs": topk_runs, "runlog_roundtrip": runlog_roundtrip, "run_tree": run_tree,
     "trial_log": trial_log, "table_roundtrip": table_roundtrip, "schema_checks": schema_checks, "write_readback": write_readback,
     "metric_csv_roundtrip": metric_csv_roundtrip, "check_rowcount": check_rowcount,
 }
