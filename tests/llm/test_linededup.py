@@ -1,8 +1,13 @@
 """Line deduplication: alignments by hand, whole jobs, odd rows."""
 
+import random
+import re
+
 from tests.conftest import SF_SMALL
 from weekcast.llm import linededup, queries
 
+WHITE = " \t\n\r\x0b\x0c"
+
 
 def removed(spark, rows, **more):
     df = spark.createDataFrame(rows, "doc_id long, text string, key string, gone int, h int")
@@ -13,19 +18,10 @@ def row(i, lines):
     return (i, "\n".join(lines) if lines is not None else None, "x", 1, 2)
 
 
-def test_alignment_keeps_order_and_grows_blocks():
-    def blocks(*shared):
-        got = linededup.align(list(shared), {s["rank"]: s for s in shared})
-        return [[s["rank"] for s in b] for b in got]
-
-    def line(rank, h, places, near=(0,) * 7):
-        return {"rank": rank, "h": h, "places": places, "pos": rank, "near": list(near)}
-    # 0..2 aligned, 5 moved against the order, 3 a repeated line beside an anchor
-    assert blocks(line(0, 1, [4]), line(1, 2, [5]), line(2, 3, [6]), line(3, 9, [7, 1]), line(5, 7, [2])) == [[0, 1, 2, 3]]
-    assert blocks(line(0, 9, [1, 2])) == []
-    # a line that links to another document, recognised by what stands around the anchor
-    got = linededup.align([line(1, 2, [5], (0, 0, 8, 2, 0, 0, 0))], {0: line(0, 8, [0]), 1: line(1, 2, [5]), 2: line(2, 6, [1])})
-    assert [[s["rank"] for s in b] for b in got] == [[0, 1]]
+def test_alignment_keeps_order():
+    # 0..3 stand in order, 5 moved against it
+    assert linededup.match([1, 2, 3, 9, 8, 7], [6, 7, 5, 4, 1, 2, 3, 9]) == [(0, 4), (1, 5), (2, 6), (3, 7)]
+    assert linededup.match([1, 2], [3, 4]) == [] and linededup.match([], [1]) == []
     assert linededup._increasing([(0, 5), (1, 1), (2, 2), (3, 3)]) == [(1, 1), (2, 2), (3, 3)]
 
 
@@ -81,6 +77,87 @@ def test_a_passage_whose_lines_stand_in_other_documents(spark):
     assert got[120]["_n_removed"] == 0 and got[121]["text"] == ""
 
 
+def plain_dedup(texts):
+    """{doc: (lines, removed, text)} by comparing every two documents that may overlap, in plain Python."""
+    held, own = {}, {}
+    for d in sorted(texts):
+        own[d] = [(i, x.strip(WHITE)) for i, x in enumerate((texts[d] or "").split("\n")) if x.strip(WHITE)]
+        for line in {x for _, x in own[d]}:
+            held.setdefault(line, []).append(d)
+    gone = {d: set() for d in texts}
+
+    def size(line):
+        return len([w for w in re.split(r"[\x20\x09-\x0D]+", line) if w])
+
+    def runs(d):
+        """Runs of neighbouring frequent lines; whether one is asked for (just a passage, or all of the document)."""
+        h, out = [x for _, x in own[d]], {}
+        for i in range(len(h)):
+            for step in (1, -1):
+                j, words = i, 0
+                while 0 <= j < len(h) and len(held[h[j]]) > 8:
+                    words += size(h[j])
+                    run = tuple(h[min(i, j):max(i, j) + 1])
+                    out[run] = out.get(run, False) or words >= 50 or len(run) == len(h)
+                    if words >= 50:
+                        break
+                    j += step
+        return out
+    all_runs, first = {d: runs(d) for d in texts}, {}
+    for d in sorted(texts):
+        for run in all_runs[d]:
+            first.setdefault(run, d)
+    for d in sorted(texts):
+        others = {e for _, x in own[d] if len(held[x]) <= 8 for e in held[x] if e < d}
+        others |= {first[run] for run, asked in all_runs[d].items() if asked and first[run] < d}
+        for e in others:
+            # lines held by one document alone cannot be aligned
+            a, b = [[(r, i, x) for r, (i, x) in enumerate(own[f]) if x in {y for _, y in own[g]}] for f, g in ((d, e), (e, d))]
+            ids = {x: n for n, x in enumerate(dict.fromkeys(x for _, _, x in a + b))}
+            block, last = [], None
+            for pair in [*linededup.match([ids[x] for *_, x in a], [ids[x] for *_, x in b]), None]:
+                here = pair and (a[pair[0]][0], b[pair[1]][0])
+                if block and (here is None or here != (last[0] + 1, last[1] + 1)):
+                    lines = [x for _, _, x in block]
+                    if any(len(held[x]) <= 8 for x in lines) or sum(map(size, lines)) >= 50 or len(block) == len(own[d]):
+                        gone[d] |= {i for _, i, _ in block}
+                    block = []
+                if pair:
+                    block.append(a[pair[0]])
+                last = here
+    return {d: (len(own[d]), len(gone[d]), None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]))
+            for d, t in texts.items()}
+
+
+def test_whole_job_equals_brute_force(spark):
+    rng = random.Random(5)
+    lines = [" ".join(f"v{rng.randrange(60)}" for _ in range(rng.randrange(1, 14))) for _ in range(40)]
+    passages = [lines[i:i + 8] for i in range(0, 40, 8)]
+    texts = {}
+    for d in range(150):
+        parts = [f"own {d} {i}" for i in range(rng.randrange(4))]
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(parts) + 1)
+            parts[at:at] = rng.choice(passages) if rng.random() < 0.4 else rng.choices(lines, k=rng.randrange(1, 4))
+        if d > 20 and rng.random() < 0.2:
+            parts = texts[rng.randrange(d)].split("\n")[rng.randrange(3):]
+        texts[d] = "\n".join(parts)
+    got = {r["doc_id"]: (r["_n_lines"], r["_n_removed"], r["text"]) for r in removed(spark, [(d, t, "x", 1, 2) for d, t in texts.items()]).values()}
+    assert got == plain_dedup(texts)
+    assert sum(r > 0 for _, r, _ in got.values()) > 50
+
+
+def test_very_long_texts_and_names_of_the_new_columns(spark):
+    shared = [f"line {i} of many" for i in range(100_000)]
+    rows = [(1, "\n".join(["first", *shared])), (2, "\n".join(x for i, s in enumerate(shared) for x in ([s, f"mine {i}"] if i % 2 else [s]))),
+            (3, "word " * 200_000), (4, "word " * 200_000 + "\nend")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS _n_lines", "doc_id AS _n_removed")
+    got = {r["doc_id"]: r for r in linededup.dedup(df).collect()}
+    assert list(df.columns) == list(got[1].asDict()) and got[1]["_n_removed"] == 0
+    assert got[2]["_n_removed"] == 100_000 and got[2]["text"] == "\n".join(f"mine {i}" for i in range(1, 100_000, 2))
+    assert got[3]["_n_removed"] == 0 and got[4]["text"] == "end"
+
+
 def test_op2_covers_all_documents(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = {r["doc_id"]: r for r in queries.op2_line_dedup(spark, SF_SMALL).collect()}

@@ -28,15 +28,14 @@ from weekcast.session import ship_package
 RARE = 8
 #: Words from which on a block of frequent lines is a repeated passage.
 PASSAGE = 50
-#: Lines on each side of a place that ``align`` is given.
-REACH = 3
 
 
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, th, pos, h, n_words): the lines of each distinct (key, text) that hold a word; ``h``
     hashes the line without the white space around it."""
-    src = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("th"),
-                      F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+    # hashed and split before the lines are dealt out: once a text, not once a line
+    src = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("th"), F.split(text, "\n").alias("l")) \
+        .select("key", "th", F.posexplode("l").alias("pos", "line"))
     line = F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     return src.withColumn("line", line).where("line <> ''") \
         .select("key", "th", "pos", F.xxhash64("line").alias("h"), F.size(words(F.col("line"))).alias("n_words"))
@@ -60,40 +59,6 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def align(shared: list[dict], every: dict[int, dict]) -> list[list[dict]]:
-    """Blocks around the lines unique on both sides alone (``match`` does the whole alignment).  ``shared``: the later document's lines (rank, h) that link to
-    the earlier one, with their ranks there (``places``) and the hashes around the first of those
-    (``near``); ``every``: all its shared lines by rank.  Ranks number a document's lines with words."""
-    own = {s["rank"]: s for s in shared}
-    count = defaultdict(int)
-    for s in shared:
-        count[s["h"]] += 1
-    anchors = [(s["rank"], s["places"][0]) for s in sorted(shared, key=lambda s: s["rank"])
-               if count[s["h"]] == 1 and len(s["places"]) == 1]
-    matched = dict(_increasing(anchors))
-    for step in (1, -1):                               # grow over equal neighbours, down and up
-        for rank in sorted(matched, reverse=step < 0):
-            near, at = own[rank]["near"] if rank in own and matched[rank] == own[rank]["places"][0] else [], 0
-            r, q = rank + step, matched[rank] + step
-            while r not in matched and r in every:
-                at += step
-                linked = r in own and q in own[r]["places"]
-                known = abs(at) <= REACH and near and near[REACH + at] == every[r]["h"]
-                if not linked and not known:
-                    break
-                matched[r] = q
-                if linked and own[r]["places"][0] == q:
-                    near, at = own[r]["near"], 0
-                r, q = r + step, q + step
-    blocks, last = [], None
-    for r in sorted(matched):
-        if last is None or (r, matched[r]) != (last + 1, matched[last] + 1):
-            blocks.append([])
-        blocks[-1].append(every[r])
-        last = r
-    return blocks
-
-
 def match(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned places (i, j), a[i] == b[j], increasing on both sides: patience diff with its recursion."""
     out, todo = [], [(0, len(a), 0, len(b))]
@@ -207,7 +172,8 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", rar
                     .agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("rank", "pos", "h", "n_words", "df"))).alias("l")),
                     "shared")
     runs = staged(shared.select("key", "th", "n", "l").mapInArrow(_runs(rare, passage), "run long, key long, th long, ask boolean"), "runs")
-    first = runs.groupBy("run").agg(F.min(F.struct("key", "th")).alias("first"))
+    # written out as well: a run that a third of all documents hold is split by the join
+    first = staged(runs.groupBy("run").agg(F.min(F.struct("key", "th")).alias("first")), "first-holders")
     doc = F.struct("key", "th")
     by_run = runs.where("ask").join(first, "run").where(F.col("first") < doc).select("key", "th", F.col("first").alias("other"))
     # at most ``rare`` holders of a line
@@ -224,22 +190,33 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", rar
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
 
 
+def _between(x, i):
+    """The lines of ``x`` after its deleted line number i (from 1; 0: the start) and before the next one."""
+    start = F.when(i == 0, 0).otherwise(F.get(x["gone"], i - 1) + 1)
+    end = F.coalesce(F.get(x["gone"], i), F.size(x["lines"]))
+    return F.slice(x["lines"], start + 1, end - start)
+
+
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rare: int = RARE, passage: int = PASSAGE) -> DataFrame:
     """The rows of ``docs`` with repeated blocks deleted from the texts, and two more columns:
     ``_n_lines`` (lines that hold a word) and ``_n_removed``.
 
     Null texts stay null, texts without repeated lines stay byte for byte, a text that is repeated
     whole keeps only its blank lines.  Rows with equal key and text are one document and get equal
-    results; rows with equal key and other texts are ordered by a hash of the text.
+    results; rows with equal key and other texts are ordered by a hash of the text.  An empty table
+    stays empty.  Columns of ``docs`` that have the names of the two new ones are replaced by them.
     """
     gone = staged(repeated_lines(docs, key, text, rare, passage), "gone")
     k, t = F.coalesce(docs[key].cast("long"), F.lit(-(1 << 63))), docs[text]
     # the deletions grow with the documents: a merge join at every size, which AQE may split
     got = docs.join(gone.hint("merge"), (k == gone["key"]) & (F.xxhash64(t) == gone["th"]), "left")
     split = F.split(t, "\n")
-    kept = F.filter(split, lambda line, i: ~F.array_contains(gone["gone"], i))
+    # the stretches between deleted lines; the lines are split once, a text costs no more than its length
+    part = F.array(F.struct(split.alias("lines"), gone["gone"].alias("gone")))
+    kept = F.flatten(F.transform(part, lambda x: F.flatten(F.transform(
+        F.sequence(F.lit(0), F.size(x["gone"])), lambda i: _between(x, i)))))
     text_out = F.when(gone["gone"].isNull(), t).otherwise(F.array_join(kept, "\n"))
     n = F.coalesce(F.size(F.filter(split, lambda line: line.rlike(r"[^\x20\x09-\x0D]"))), F.lit(0))
-    return got.select(*[text_out.alias(c) if c == text else docs[c] for c in docs.columns],
+    return got.select(*[text_out.alias(c) if c == text else docs[c] for c in docs.columns if c not in ("_n_lines", "_n_removed")],
                       F.when(t.isNull(), 0).otherwise(n).cast("long").alias("_n_lines"),
                       F.coalesce(F.size(gone["gone"]), F.lit(0)).cast("long").alias("_n_removed"))
