@@ -598,3 +598,28 @@ down AS (
   SELECT own.run_id, down.root_run_id, down.depth + 1, 'nested' FROM down JOIN own ON own.up = down.run_id)
 SELECT down.*, coalesce(n, 0) AS n_children FROM down
 LEFT JOIN (SELECT up AS run_id, count(*) AS n FROM own WHERE up IS NOT NULL GROUP BY up) USING (run_id)"""
+
+
+# --- orders of differencing, and the table by year ----------------------------------------------
+
+
+def _kpss() -> str:
+    o = "OVER (PARTITION BY product, sku ORDER BY wk)"
+    e = ", ".join(f"d{d} - avg(d{d}) OVER (PARTITION BY product, sku) AS e{d}" for d in range(3))
+    lagged = ", ".join(f"lag(e{d}, {j}) {o} AS e{d}l{j}" for d in range(3) for j in range(1, 5))
+    sums = ", ".join(f"sum(e{d}) OVER (PARTITION BY product, sku ORDER BY wk ROWS UNBOUNDED PRECEDING) AS s{d}" for d in range(3))
+    m = ", ".join(f"count(e{d}) AS n{d}, sum(s{d} * s{d}) FILTER (e{d} IS NOT NULL) AS q{d}, sum(e{d} * e{d})"
+                  + "".join(f" + CAST({2 * (5 - j)} AS DOUBLE) / 5 * sum(e{d} * e{d}l{j})" for j in range(1, 5)) + f" AS v{d}" for d in range(3))
+    k = ", ".join(f"CASE WHEN n >= 22 AND v{d} > 1e-6 THEN round(q{d} / n{d} / v{d}, 6) END AS kpss{d}" for d in range(3))
+    return f"""a AS (SELECT product, sku, wk, demand AS d0, demand - lag(demand) {o} AS d1,
+                     demand - 2 * lag(demand) {o} + lag(demand, 2) {o} AS d2 FROM dense),
+b AS (SELECT *, {e} FROM a),
+c AS (SELECT *, {lagged}, {sums} FROM b),
+m AS (SELECT product, sku, count(*) AS n, {m} FROM c GROUP BY product, sku),
+k AS (SELECT product, sku, n, CASE WHEN n >= 22 THEN 'ok' ELSE 'too_short' END AS status, {k} FROM m)"""
+
+
+SQL["difference_order"] = _with(WEEKLY, DENSE, _kpss()) + """
+SELECT *, CASE WHEN status = 'ok' THEN CASE WHEN coalesce(kpss0, 0) <= 0.463 THEN 0 WHEN coalesce(kpss1, 0) <= 0.463 THEN 1 ELSE 2 END
+          END AS d FROM k"""
+SQL["weekly_refresh"] = _with(WEEKLY) + "SELECT *, CAST(year(wk) AS INTEGER) AS year FROM weekly WHERE wk IS NOT NULL"

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekcast.functions import calendar as cal
-from weekcast.sources import inputs
+from weekcast.sources import inputs, sinks
 
 KEYS = inputs.SERIES_KEY
+WEEKLY_SCHEMA = "product string, sku string, wk date, demand double, year int"
 
 
 def calendar_from_bounds(bounds: DataFrame) -> DataFrame:
@@ -102,3 +103,24 @@ def adjusted_demand(weekly: DataFrame, event: dt.date = cal.TEST_EVENT) -> DataF
     d = F.when(f["counter"] == 0, d + F.lit(cal.TREND_FACTOR) * F.sqrt(pos)).otherwise(d)
     d = d * f["season_factor"]
     return weekly.select(*KEYS, "wk", F.round(d, 0).alias("demand"))
+
+
+def refresh_weekly(li: DataFrame, part: DataFrame, path: str, since: int | None = None) -> DataFrame:
+    """Bring the weekly table at ``path``, partitioned by the year of the Monday, up to date and read it.
+
+    Only years from the stored table's last one on (or from ``since``, for late shipments) are read from ``li``, by a date
+    filter that reaches the scan, and written; earlier years keep their files.  Without a table at ``path`` all
+    years are built.  A year left without shipments keeps what it had; shipments without a date are in no week.
+    """
+    spark = li.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        # the year is the folder's name: no column is read for it
+        last = spark.read.schema(WEEKLY_SCHEMA).parquet(path).agg(F.max("year")).first()[0]
+        since = last if since is None else min(since, last or since)
+    if since is not None:
+        start = dt.date(since, 1, 1)
+        li = li.where(F.col("l_shipdate") >= F.lit(start + dt.timedelta(-start.weekday() % 7)))
+    rows = inputs.weekly_of(li, part).where("wk is not null").withColumn("year", F.year("wk"))
+    sinks.overwrite_partitions(rows, path, "year")
+    return spark.read.schema(WEEKLY_SCHEMA).parquet(path)

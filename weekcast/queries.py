@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from weekcast.functions import calendar as cal
 from weekcast.functions import scalar
-from weekcast.operators import arma, checks, ranking, sampling, search, series, smoothing, trees
+from weekcast.operators import arma, checks, ranking, sampling, search, series, smoothing, stationarity, trees
 from weekcast.plans import demand, forecast, manymodels, runlog, tuning
 from weekcast.session import checkpoint, scratch_path, unique_name
 from weekcast.sources import inputs, sinks
@@ -467,6 +467,11 @@ def smoothing_forecast(spark, sf):
     return smoothing.forecast(_dense(spark, sf), KEYS, H)
 
 
+def difference_order(spark, sf):
+    """How often every series must be differenced to be level-stationary, with the statistics."""
+    return stationarity.difference_order(_dense(spark, sf), KEYS)
+
+
 def halving_search(spark, sf):
     """Successive halving over the smoothing candidates of every series, round by round."""
     return smoothing.halving(_dense(spark, sf), KEYS, H)
@@ -544,6 +549,19 @@ def runlog_roundtrip(spark, sf):
     return kept
 
 
+def weekly_refresh(spark, sf):
+    """Weekly table by year, built from the shipments up to a year before the end, then refreshed with
+    all of them: only the last years are read again and written."""
+    li = read_table(spark, sf, "lineitem", ["l_partkey", "l_quantity", "l_shipdate"])
+    part = read_table(spark, sf, "part", ["p_partkey", "p_type", "p_brand"])
+    end, path = li.agg(F.date_sub(F.max("l_shipdate"), 365)).first()[0], scratch_path(spark, "weekly_years", unique=True)
+    if end is not None:
+        demand.refresh_weekly(li.where(F.col("l_shipdate") <= F.lit(end)), part, path)
+    kept = checkpoint(demand.refresh_weekly(li, part, path))
+    sinks.remove_path(spark, path)
+    return kept
+
+
 def trial_log(spark, sf):
     """The trials of the tuned forest logged under one parent run and read back."""
     path = scratch_path(spark, "trials", unique=True)
@@ -579,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "candidate_losses": candidate_losses, "best_candidate": best_candidate,
     "arma_losses": arma_losses, "arma_forecast": arma_forecast,
     "smoothing_losses": smoothing_losses, "smoothing_forecast": smoothing_forecast, "halving_search": halving_search,
+    "difference_order": difference_order, "weekly_refresh": weekly_refresh,
     "device_trees": device_trees, "device_tree_scores": device_tree_scores,
     "exo_gain": exo_gain, "forecast_frame": forecast_frame, "forecast_best": forecast_best,
     "string_index": string_index, "indexed_listing": indexed_listing, "forest_checks": forest_checks,

@@ -36,6 +36,11 @@ def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_quantity", "l_shipdate"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_brand"])
+    return weekly_of(li, part)
+
+
+def weekly_of(li: DataFrame, part: DataFrame) -> DataFrame:
+    """Weekly demand of some shipments; see ``weekly``."""
     return (
         li.join(part, li.l_partkey == part.p_partkey)
         .groupBy(F.col("p_type").alias("product"), F.col("p_brand").alias("sku"),

@@ -14,6 +14,12 @@ def overwrite_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
+    """Replace those partitions of ``path`` that ``df`` has rows of; the others keep their files.  A
+    partition is written in balanced pieces, however its rows are spread."""
+    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
 def register_external(spark: SparkSession, table: str, path: str, fmt: str = "PARQUET") -> None:
     """Replace a catalog table that points at ``path``."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
