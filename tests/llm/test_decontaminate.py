@@ -72,3 +72,35 @@ def test_shuffled_windows_give_the_same(spark, monkeypatch):
     want = spark_report(spark, docs, items)[2]
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     assert spark_report(spark, docs, items)[2] == want == plain(docs, items)
+
+
+def test_shuffled_windows_of_mixed_lengths(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(i, " ".join(rng.choices("abcdef", k=rng.randint(1, 14)))) for i in range(12)]
+    docs = [(i, " ".join(rng.choices("abcdefgh", k=rng.randint(0, 60)))) for i in range(40)] + [(99, "a b c d " * 3000)]
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    assert spark_report(spark, docs, items)[2] == plain(docs, items)
+
+
+def plain_cut(text, wins, mark):
+    """Word by word: what no window covers, and a mark where a window starts outside all others."""
+    lead = re.match(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", text).group()
+    pieces = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", text)
+    w = re.findall(WORD, low_words(text))
+    spans = [(p, p + len(x)) for x in wins for p in range(len(w)) if tuple(w[p:p + len(x)]) == x]
+    covered = {i for a, b in spans for i in range(a, b)}
+    inside = {i for a, b in spans for i in range(a + 1, b)}
+    starts = {a for a, _ in spans} - inside
+    out = "".join((mark if i in starts else "") + ("" if i in covered else p) for i, p in enumerate(pieces))
+    return lead + out if spans else text
+
+
+def test_spans_are_cut_as_by_hand(spark):
+    rng = random.Random(9)
+    items = [(1, "a b c"), (2, "c d e"), (3, "f"), (4, "a b c d")]
+    wins = [tuple(t.split()) for _, t in items]
+    docs = [(i, "- " * (i % 2) + ", ".join(rng.choices("aBcdefgh", k=rng.randint(0, 25)))) for i in range(60)]
+    docs += [(90, "A b c. f f; a b c a b c d e!"), (91, ""), (92, "... "), (93, "x. " * 20_000 + "a b c " * 20_000)]
+    d, b, _ = spark_report(spark, docs, items)
+    got = {r["doc_id"]: r["text"] for r in decontaminate.remove_spans(d, b, mark="#").collect()}
+    assert got == {i: plain_cut(t, wins, "#") for i, t in docs}

@@ -48,8 +48,9 @@ def hits(docs: DataFrame, wins: DataFrame, key: str = "doc_id", text: str = "tex
     ``th`` hashes the text, so rows that share a key are told apart."""
     wins = staged(wins, "windows")
     widths = sorted(r[0] for r in wins.select("width").distinct().collect())  # at most ANCHOR values
-    n = one_row(wins.agg(F.count(F.lit(1))))[0]
-    side = F.broadcast(wins) if n <= BROADCAST_WINDOWS else wins
+    n, longest = one_row(wins.agg(F.count(F.lit(1)), F.max("len")))
+    probed = n <= BROADCAST_WINDOWS
+    side = F.broadcast(wins) if probed else wins
     src = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), words(F.col(text), PART).alias("w"))
     found = None
     for a in widths:
@@ -57,9 +58,14 @@ def hits(docs: DataFrame, wins: DataFrame, key: str = "doc_id", text: str = "tex
         rows = src.where(F.size("w") >= a).select("key", "th", "w", F.posexplode(zipped).alias("pos", "g"))
         rows = rows.select("key", "th", "w", "pos", _anchor(
             [F.col("g")[F.lit("w" if i == 0 else str(i))] for i in range(a)]).alias("anchor"))
+        at = F.slice("w", F.col("pos") + 1, F.col("len"))
+        if not probed:
+            # a shuffled position takes the words of the longest window along, not the whole text's
+            rows = rows.withColumn("w", F.slice("w", F.col("pos") + 1, longest))
+            at = F.slice("w", 1, F.col("len"))
         # named columns, not slices of the hash table: the check of the whole window runs in the probe
         met = rows.join(side.where(F.col("width") == a), "anchor") \
-            .where(ascii_lower(F.concat_ws(" ", F.slice("w", F.col("pos") + 1, F.col("len")))) == F.col("window")) \
+            .where(ascii_lower(F.concat_ws(" ", at)) == F.col("window")) \
             .select("key", "th", "pos", "len", "items")
         found = met if found is None else found.unionByName(met)
     if found is None:
@@ -107,17 +113,36 @@ def _n_words(text: Column) -> Column:
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, key: str = "doc_id",
                      text: str = "text", item: str = "item_id") -> DataFrame:
-    """The documents without any window of the benchmark, columns as given."""
+    """The documents without any window of the benchmark, columns as given.  Null and empty texts have no
+    window and stay; repeated rows stay or go together; an empty table stays empty."""
     got = staged(contamination(docs, benchmark, n, key, text, item).select("key", "th"), "hits")
     return docs.join(got, docs[key].eqNullSafe(got["key"]) & (F.xxhash64(docs[text]) == got["th"]), "left_anti")
 
 
+def _places(spans: Column, first: int) -> Column:
+    """Distinct places under the spans, from the ``first``-th word of each on."""
+    return F.array_distinct(F.flatten(F.transform(spans, lambda s: F.when(
+        s["end"] - s["pos"] > first, F.sequence(s["pos"] + first, s["end"] - 1)).otherwise(F.array().cast("array<int>")))))
+
+
+def _without(x: Column, mark: str) -> Column:
+    """The pieces of ``x`` outside its spans, and a mark for each span that does not start inside another:
+    places are sorted with the kind in the last bit, which costs a text no more than sorting its words."""
+    every = F.when(F.size(x["pieces"]) > 0, F.sequence(F.lit(0), F.size(x["pieces"]) - 1)).otherwise(F.array().cast("array<int>"))
+    rest = F.transform(F.array_except(every, _places(x["spans"], 0)), lambda i: i.cast("long") * 2)
+    starts = F.array_distinct(F.transform(x["spans"], lambda s: s["pos"]))
+    marks = F.transform(F.array_except(starts, _places(x["spans"], 1)), lambda i: i.cast("long") * 2 + 1)
+    return F.transform(F.array_sort(F.concat(rest, marks)), lambda c: F.when(c % 2 == 1, F.lit(mark))
+                       .otherwise(F.get(x["pieces"], F.shiftright(c, 1).cast("int"))))
+
+
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, key: str = "doc_id",
                  text: str = "text", item: str = "item_id", mark: str = " ") -> DataFrame:
     """The documents with their hit words cut out of contaminated texts, columns as given.
 
     A contaminated text is rebuilt from its words and the runs between them; hit words and the runs
-    that follow them become one ``mark``.  Clean texts stay as they are, byte for byte.
+    that follow them become one ``mark``.  Clean texts stay as they are, byte for byte; null and empty texts are clean,
+    repeated rows get equal texts, an empty table stays empty.
     """
     got = staged(contamination(docs, benchmark, n, key, text, item).select("key", "th", "spans"), "hits")
     t, spans = docs[text], got["spans"]
@@ -125,9 +150,6 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, key: str =
     # word and the gap behind it, in order; a leading gap stays in front
     pieces = F.regexp_extract_all(t, F.lit(PART.replace("[", "[^", 1) + PART.replace("+", "*")), F.lit(0))
     lead = F.regexp_extract(t, "^" + PART.replace("+", "*"), 0)
-    kept = F.transform(pieces, lambda p, i: F.when(
-        F.exists(spans, lambda s: (i >= s["pos"]) & (i < s["end"])),
-        F.when(F.exists(spans, lambda s: i == s["pos"]) & ~F.exists(spans, lambda s: (i > s["pos"]) & (i < s["end"])),
-               F.lit(mark)).otherwise(F.lit(""))).otherwise(p))
+    kept = F.flatten(F.transform(F.array(F.struct(pieces.alias("pieces"), spans.alias("spans"))), lambda x: _without(x, mark)))
     cut = F.when(spans.isNull(), t).otherwise(F.concat(lead, F.array_join(kept, "")))
     return joined.select(*[cut.alias(c) if c == text else docs[c] for c in docs.columns])
