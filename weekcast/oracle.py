@@ -623,3 +623,65 @@ SQL["difference_order"] = _with(WEEKLY, DENSE, _kpss()) + """
 SELECT *, CASE WHEN status = 'ok' THEN CASE WHEN coalesce(kpss0, 0) <= 0.463 THEN 0 WHEN coalesce(kpss1, 0) <= 0.463 THEN 1 ELSE 2 END
           END AS d FROM k"""
 SQL["weekly_refresh"] = _with(WEEKLY) + "SELECT *, CAST(year(wk) AS INTEGER) AS year FROM weekly WHERE wk IS NOT NULL"
+
+
+# --- one tree over the listing, from the train rows: levels written out one after the other ----------
+
+_TABLE_DEPTH = 3
+
+
+def _impurity(n: str, s: str, q: str) -> str:
+    return f"(({q} - {s} * {s} / {n}) / {n})"
+
+
+def _one_tree() -> str:
+    """Rows with their node per level (r0 to r3), splits per level (b0 to b2)."""
+    value = "CASE u.feature WHEN 0 THEN c0 WHEN 1 THEN c1 ELSE c2 END"
+    out = ["""r0 AS (
+  SELECT p_partkey % 10 < 6 AS train, CASE WHEN p_partkey % 10 < 6 THEN 'train' WHEN p_partkey % 10 < 8 THEN 'val' ELSE 'test' END AS split,
+         p_brand_code AS c0, p_type_code AS c1, CAST(p_size AS DOUBLE) AS c2, round(p_retailprice * 100) AS y, 1 AS node
+  FROM part JOIN ix USING (p_partkey))""", "u AS (SELECT CAST(unnest([0, 1, 2]) AS INTEGER) AS feature)",
+           "sizes AS (SELECT v, (v + lead(v) OVER (ORDER BY v)) / 2 AS cut FROM (SELECT DISTINCT c2 AS v FROM r0 WHERE train))"]
+    for d in range(_TABLE_DEPTH):
+        # labels stand in the order of their mean price, sizes in their own
+        out.append(f"""h{d} AS (
+  SELECT node, u.feature, {value} AS v, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s, sum(y * y) AS q
+  FROM r{d}, u WHERE train AND node >= {1 << d} GROUP BY ALL)""")
+        out.append(f"""o{d} AS (
+  SELECT node, feature, v, row_number() OVER w AS pos, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(q) OVER w AS ql,
+         sum(n) OVER t AS nt, sum(s) OVER t AS st, sum(q) OVER t AS qt
+  FROM h{d} WINDOW t AS (PARTITION BY node, feature), w AS (PARTITION BY node, feature
+    ORDER BY CASE WHEN feature = 2 THEN v ELSE s / n END, v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""")
+        left, right = _impurity("nl", "sl", "ql"), _impurity("(nt - nl)", "(st - sl)", "(qt - ql)")
+        out.append(f"""b{d} AS (
+  SELECT node, feature, pos, cut FROM (
+    SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, pos) AS rk FROM (
+      SELECT o.*, {_impurity("nt", "st", "qt")} - nl / nt * {left} - (nt - nl) / nt * {right} AS gain
+      FROM o{d} o WHERE nl < nt AND abs({_impurity("nt", "st", "qt")}) > 1e-15) WHERE gain > 0) b
+  LEFT JOIN sizes ON b.feature = 2 AND sizes.v = b.v WHERE rk = 1)""")
+        out.append(f"""r{d + 1} AS (
+  SELECT r.* EXCLUDE (node), CASE WHEN b.node IS NULL THEN r.node
+         WHEN (CASE WHEN b.feature = 2 THEN r.c2 <= b.cut ELSE coalesce(o.pos <= b.pos, false) END) THEN 2 * r.node
+         ELSE 2 * r.node + 1 END AS node
+  FROM r{d} r LEFT JOIN b{d} b ON r.node = b.node
+  LEFT JOIN o{d} o ON b.feature < 2 AND o.node = b.node AND o.feature = b.feature
+                  AND o.v = CASE b.feature WHEN 0 THEN c0 ELSE c1 END)""")
+    inner = " UNION ALL ".join(f"""
+  SELECT b.node, b.feature, b.cut, (SELECT string_agg(CAST(CAST(o.v AS INTEGER) AS VARCHAR), ',' ORDER BY o.v) FROM o{d} o
+         WHERE b.feature < 2 AND o.node = b.node AND o.feature = b.feature AND o.pos <= b.pos) AS codes FROM b{d} b""" for d in range(_TABLE_DEPTH))
+    found = " UNION ALL ".join(f"SELECT node, count(*) AS n, sum(y) / count(*) AS value FROM r{d} WHERE train AND node >= {1 << d} GROUP BY node"
+                               for d in range(_TABLE_DEPTH + 1))
+    return ",\n".join([*out, f"inner_nodes AS ({inner})", f"nodes AS ({found})"])
+
+
+SQL["forest_table"] = _with(INDEXED, _one_tree()) + """
+SELECT 0 AS tree, node, feature, cut AS threshold, codes AS left_codes, n, round(value, 4) AS value
+FROM nodes LEFT JOIN inner_nodes USING (node)"""
+SQL["forest_table_scores"] = _with(INDEXED, _one_tree()) + f"""
+SELECT split, count(*) AS n_scored, round(avg(value), 3) AS mean_pred, round(sqrt(avg(power((y - value) / 100, 2))), 5) AS rmse
+FROM r{_TABLE_DEPTH} JOIN nodes USING (node) GROUP BY split"""
+SQL["table_diff"] = _with(WEEKLY, WEEKLY.replace("weekly AS", "early AS").replace("GROUP BY", "WHERE l_orderkey % 500 <> 0 GROUP BY")) + """
+SELECT w.product, w.sku, w.wk, CASE WHEN e.wk IS NULL THEN 'added' ELSE 'changed' END AS change,
+       CASE WHEN e.wk IS NULL THEN 0 ELSE 1 END AS n_left, 1 AS n_right
+FROM weekly w LEFT JOIN early e ON w.product = e.product AND w.sku = e.sku AND w.wk = e.wk
+WHERE e.wk IS NULL OR e.demand <> w.demand"""

@@ -12,14 +12,16 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekcast.operators.ranking import global_row_number
-from weekcast.operators.sampling import bucket_split
+from weekcast.operators.sampling import bucket_split, bucket_split_label
 from weekcast.session import checkpoint, scratch_path
+from weekcast.sources.sinks import remove_path
 
 LABEL = "price"
 KEY = "p_partkey"
@@ -28,6 +30,8 @@ TRIALS = ((2, 10), (3, 40), (4, 70), (5, 100))
 # Fixed value: bins per feature.  More are used where a column has more labels.
 BINS = 40
 SEED = 42
+# Depth of the one-tree forest that is read as a table, and bins enough for every distinct size.
+TABLE_DEPTH, TABLE_BINS = 3, 64
 
 
 class FeatureStep:
@@ -144,3 +148,91 @@ def rf_tuned(spark: SparkSession, listing: DataFrame, trials=TRIALS, parallelism
     rows = [("trial", *t, loss) for t, loss in zip(trials, losses)]
     rows.append(("final", *best, rmse(*best, seen.union(judged), held)))
     return spark.createDataFrame(rows, "stage string, max_depth int, num_trees int, rmse double")
+
+
+# --- a fitted forest as a table ---------------------------------------------------------------
+
+def forest_nodes(spark: SparkSession, path: str, depth: int) -> DataFrame:
+    """The nodes of a saved forest: (tree, node, feature, threshold, left, n, value).
+
+    Node 1 is a tree's root, the children of node i are 2 i and 2 i + 1.  A row goes left if its value of
+    ``feature`` is at most ``threshold``, or, for an indexed label, if it is one of ``left``; leaves have no
+    feature.  ``n`` counts the rows that the node was fitted on, ``value`` is their mean label.  The saved form
+    links nodes by number, so the places are found level by level: ``depth`` joins of a table that grows with
+    the forest and not with the rows.
+    """
+    d = F.col("nodeData")
+    inner = d["split"]["featureIndex"] >= 0
+    many, cut = d["split"]["numCategories"], d["split"]["leftCategoriesOrThreshold"]
+    saved = checkpoint(spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), d["id"].alias("id"), d["leftChild"].alias("_l"), d["rightChild"].alias("_r"),
+        F.when(inner, d["split"]["featureIndex"]).alias("feature"),
+        F.when(inner & (many < 0), F.get(cut, F.lit(0))).alias("threshold"),
+        F.when(inner & (many >= 0), F.array_sort(cut)).alias("left"),
+        d["rawCount"].alias("n"), d["prediction"].alias("value")))
+    level = saved.where("id = 0").select("tree", "id", F.lit(1).alias("node"), "_l", "_r")
+    places = level
+    for _ in range(depth):
+        ids = F.array(*[F.struct(F.col(c).alias("id"), (2 * F.col("node") + i).alias("node")) for i, c in enumerate(("_l", "_r"))])
+        below = level.where("_l >= 0").select("tree", F.inline(ids))
+        level = below.join(saved.select("tree", "id", "_l", "_r"), ["tree", "id"])
+        places = places.unionByName(level)
+    return places.select("tree", "id", "node").join(saved, ["tree", "id"]) \
+        .select("tree", "node", "feature", "threshold", "left", "n", "value")
+
+
+def packed_forest(nodes: DataFrame) -> DataFrame:
+    """One row: an array of trees, each an array of nodes by their number.  Its size is set by number and
+    depth of the trees."""
+    entry = F.struct("node", F.struct("feature", "threshold", "left", "value"))
+    by_tree = nodes.groupBy("tree").agg(F.map_from_entries(F.collect_list(entry)).alias("m"), F.max("node").alias("last"))
+    by_tree = by_tree.select("tree", F.expr("transform(sequence(0, last), i -> m[i])").alias("nodes"))
+    return by_tree.agg(F.transform(F.array_sort(F.collect_list(F.struct("tree", "nodes"))), lambda t: t["nodes"]).alias("trees"))
+
+
+def walk_forest(rows: DataFrame, nodes: DataFrame, depth: int, features: str = "features") -> DataFrame:
+    """Rows with ``prediction``, the mean of the leaves that they reach: column expressions over the packed
+    forest, no join and no shuffle of the rows.  Null for a row without features or a forest without nodes."""
+    x = vector_to_array(F.col(features))
+
+    def leaf(tree):
+        def step(node, _):
+            n = F.get(tree, node)
+            value = F.get(x, n["feature"])
+            goes_left = F.when(n["threshold"].isNotNull(), value <= n["threshold"]).otherwise(F.array_contains(n["left"], value))
+            return F.when(n["feature"].isNull(), node).otherwise(2 * node + F.when(goes_left, 0).otherwise(1))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(1), step, lambda node: F.get(tree, node)["value"])
+    leaves = F.transform("_trees", leaf)
+    mean = F.aggregate(leaves, F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n")),
+                       lambda a, v: F.struct((a["s"] + v).alias("s"), (a["n"] + 1).alias("n")),
+                       lambda a: F.try_divide(a["s"], a["n"]))
+    scored = rows.withColumn("_trees", packed_forest(nodes).scalar())
+    return scored.withColumn("prediction", F.when(F.col(features).isNotNull(), mean)).drop("_trees")
+
+
+def exact_label(listing: DataFrame) -> DataFrame:
+    """Prices in cents: sums of whole numbers do not depend on their order, so the same tree grows each time."""
+    return listing.withColumn(LABEL, F.round(F.col(LABEL) * 100))
+
+
+def table_forest(spark: SparkSession, listing: DataFrame):
+    """A forest of one tree, on all train rows, saved with its feature step and loaded: the step and its nodes."""
+    train, _, _ = bucket_split(listing, KEY)
+    step = FeatureStep(train)
+    forest = step.forest(TABLE_DEPTH, trees=1).setBootstrap(False).setMaxBins(max(TABLE_BINS, step.bins()))
+    path = scratch_path(spark, "forest", unique=True)
+    step.with_forest(forest.fit(step.indexed(train))).write().save(path)
+    uid = PipelineModel.load(path).stages[-1].uid
+    nodes = checkpoint(forest_nodes(spark, f"{path}/stages/*_{uid}", TABLE_DEPTH))
+    remove_path(spark, path)
+    return step, nodes
+
+
+def forest_table_scores(spark: SparkSession, listing: DataFrame) -> DataFrame:
+    """Per split: rows scored by the forest's table, their mean prediction and error."""
+    step, nodes = table_forest(spark, listing)
+    scored = walk_forest(step.indexed(listing), nodes, TABLE_DEPTH)
+    error = F.pow((F.col(LABEL) - F.col("prediction")) / 100, F.lit(2))
+    return scored.groupBy(bucket_split_label(KEY).alias("split")).agg(
+        F.count("prediction").alias("n_scored"), F.round(F.avg("prediction"), 3).alias("mean_pred"),
+        F.round(F.sqrt(F.avg(error)), 5).alias("rmse"))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from weekcast.functions import calendar as cal
 from weekcast.functions import scalar
-from weekcast.operators import arma, checks, ranking, sampling, search, series, smoothing, stationarity, trees
+from weekcast.operators import arma, checks, diff, ranking, sampling, search, series, smoothing, stationarity, trees
 from weekcast.plans import demand, forecast, manymodels, runlog, tuning
 from weekcast.session import checkpoint, scratch_path, unique_name
 from weekcast.sources import inputs, sinks
@@ -527,6 +527,18 @@ def rf_tuned(spark, sf):
     return tuning.rf_tuned(spark, inputs.listing(spark, sf))
 
 
+def forest_table(spark, sf):
+    """The nodes of a saved and loaded one-tree forest over the listing, as a table."""
+    _, nodes = tuning.table_forest(spark, tuning.exact_label(inputs.listing(spark, sf)))
+    codes = F.array_join(F.transform("left", lambda c: c.cast("int").cast("string")), ",")
+    return nodes.select("tree", "node", "feature", "threshold", codes.alias("left_codes"), "n", F.round("value", 4).alias("value"))
+
+
+def forest_table_scores(spark, sf):
+    """All listing rows scored by walking the forest's table: rows, mean prediction and error per split."""
+    return tuning.forest_table_scores(spark, tuning.exact_label(inputs.listing(spark, sf)))
+
+
 # --- run log ---------------------------------------------------------------------------
 
 def runlog_latest(spark, sf):
@@ -562,6 +574,14 @@ def weekly_refresh(spark, sf):
     return kept
 
 
+def table_diff(spark, sf):
+    """Weekly rows that the late orders (every 500th) add or change: tables with and without them compared."""
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_quantity", "l_shipdate"])
+    part = read_table(spark, sf, "part", ["p_partkey", "p_type", "p_brand"])
+    before, after = (checkpoint(inputs.weekly_of(rows, part)) for rows in (li.where(F.col("l_orderkey") % 500 != 0), li))
+    return diff.table_diff(before, after, [*KEYS, "wk"])
+
+
 def trial_log(spark, sf):
     """The trials of the tuned forest logged under one parent run and read back."""
     path = scratch_path(spark, "trials", unique=True)
@@ -597,10 +617,11 @@ QUERIES: dict[str, Query] = {
     "candidate_losses": candidate_losses, "best_candidate": best_candidate,
     "arma_losses": arma_losses, "arma_forecast": arma_forecast,
     "smoothing_losses": smoothing_losses, "smoothing_forecast": smoothing_forecast, "halving_search": halving_search,
-    "difference_order": difference_order, "weekly_refresh": weekly_refresh,
+    "difference_order": difference_order, "weekly_refresh": weekly_refresh, "table_diff": table_diff,
     "device_trees": device_trees, "device_tree_scores": device_tree_scores,
     "exo_gain": exo_gain, "forecast_frame": forecast_frame, "forecast_best": forecast_best,
     "string_index": string_index, "indexed_listing": indexed_listing, "forest_checks": forest_checks,
+    "forest_table": forest_table, "forest_table_scores": forest_table_scores,
     "rf_pipeline": rf_pipeline, "rf_tuned": rf_tuned,
     "runlog_latest": runlog_latest, "topk_runs": topk_runs, "runlog_roundtrip": runlog_roundtrip, "run_tree": run_tree,
     "trial_log": trial_log, "table_roundtrip": table_roundtrip, "schema_checks": schema_checks, "write_readback": write_readback,
