@@ -78,6 +78,32 @@ def test_masks_cover_every_pair():
         assert any(diff & m == 0 for m in ms)
 
 
+def test_second_masks_cover_every_pair_of_a_bucket():
+    rng = np.random.default_rng(4)
+    for first in simhash.masks(4):
+        second = simhash.masks(4, ~first)
+        assert all(m & first == 0 for m in second) and min((m | first).bit_count() for m in second) >= 48
+        free = [i for i in range(64) if not first >> i & 1]
+        for _ in range(100):
+            diff = sum(1 << int(b) for b in rng.choice(free, size=rng.integers(0, 5), replace=False))
+            assert any(diff & m == 0 for m in second)
+
+
+def test_hot_buckets_are_dealt_again_and_lose_no_link(spark):
+    rng = np.random.default_rng(6)
+    base = int(rng.integers(0, 2**63))
+    fps = {base ^ sum(1 << int(b) for b in rng.choice(64, 5, replace=False)) for _ in range(1500)}
+    signed = sorted(f - 2**64 if f >> 63 else f for f in fps)
+    df = spark.createDataFrame([(f,) for f in signed], "fp long")
+    keyed = df.select(F.lit(3).alias("t"), F.lit(0).cast("long").alias("k"), "fp")
+    assert simhash._dealt_again(keyed, 4).count() == 31 * len(signed)
+    want = brute_components(signed, [f & (2**64 - 1) for f in signed], 4)
+    for wide in (2, 10 ** 6):  # buckets beyond 8 are dealt again; none is
+        got = dict(components.components(simhash.links(df, 4, 4, wide)).collect())
+        assert [got.get(f, f) for f in signed] == want
+    assert len(set(want)) > 3
+
+
 @pytest.mark.parametrize("block", [4, 2048])
 def test_links_connect_like_all_pairs(spark, block):
     rng = np.random.default_rng(5)

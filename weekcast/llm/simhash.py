@@ -21,6 +21,8 @@ from weekcast.llm.components import components
 BLOCK = 2048
 #: Up to this size a bucket reports each link; above it a spanning forest of its links.
 SMALL = 32
+#: A bucket beyond this many blocks is dealt again by masks over the bits that its own mask leaves free.
+WIDE = 31
 
 
 def fingerprints(docs: DataFrame, k: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -50,11 +52,13 @@ def fingerprints(docs: DataFrame, k: int = 4, text: str = "text", key: str = "do
     return agg.select("key", "th", fp.alias("fp"), "copies")
 
 
-def masks(radius: int, bits: int = 64) -> list[int]:
-    """Structured masks: any two words within ``radius`` bits agree under at least one of them."""
+def masks(radius: int, among: int = (1 << 64) - 1) -> list[int]:
+    """Structured masks of the bits ``among``: any two words that differ in at most ``radius`` of those bits
+    agree under at least one of them."""
     space = (1 << (radius + 1)) - 1
-    vector = [1 + i % space for i in range(bits)]
-    return [sum(1 << i for i in range(bits) if (vector[i] & v).bit_count() % 2) for v in range(1, space + 1)]
+    bits = [i for i in range(64) if among >> i & 1]
+    vector = {b: 1 + i % space for i, b in enumerate(bits)}
+    return [sum(1 << b for b in bits if (vector[b] & v).bit_count() % 2) for v in range(1, space + 1)]
 
 
 def _signed(x: int) -> int:
@@ -100,17 +104,39 @@ def _verify(radius: int, keys: list[str]):
     return run
 
 
-def links(fps: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
+def _buckets(keyed: DataFrame) -> DataFrame:
+    """(t, k, n): buckets of two or more fingerprints."""
+    return staged(keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+
+
+def _dealt_again(keyed: DataFrame, radius: int) -> DataFrame:
+    """Rows (t, k, fp) in tables of two masks each: the row's own, and one of a covering family over the bits
+    that it leaves free.  Two fingerprints of a bucket differ in free bits only, so a pair within the radius
+    still meets."""
+    first = masks(radius)
+    both = F.array(*[F.array(*[F.lit(_signed(a | b)) for b in masks(radius, ~a)]) for a in first])
+    again = keyed.select("fp", "t", F.posexplode(F.get(both, F.col("t"))).alias("u", "m"))
+    return again.select(((F.col("t") + 1) * len(first) + F.col("u")).alias("t"), F.col("fp").bitwiseAND(F.col("m")).alias("k"), "fp")
+
+
+def links(fps: DataFrame, radius: int = 4, block: int = BLOCK, wide: int = WIDE) -> DataFrame:
     """Links (a, b) that connect the distinct fingerprints ``fps`` (column fp) just as all pairs
     within ``radius`` bits do.  Buckets of one are left out by a count; a bucket beyond ``block``
     is cut into blocks, and each pair of blocks is a group of its own, so no task holds more than
-    two blocks and no pair is missed."""
+    two blocks and no pair is missed.  A bucket of more than ``wide`` blocks, whose rows would meet more
+    than ``wide`` blocks each, is dealt again by a second mask.  At a radius of 4 two masks fix 48 bits or
+    more, which bounds a bucket by 2 ** 16 fingerprints and 32 blocks, however many there are in all."""
     keyed = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m)))
                                                     for m in masks(radius)])).alias("t", "k"))
-    shared = staged(keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    shared = _buckets(keyed)
+    hot = F.col("n") > block * wide
+    sized = keyed.join(shared, ["t", "k"])
+    if not shared.where(hot).isEmpty():
+        again = _dealt_again(keyed.join(shared.where(hot).select("t", "k"), ["t", "k"]), radius)
+        sized = sized.where(~hot).unionByName(again.join(_buckets(again), ["t", "k"]))
     parts = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    met = keyed.join(shared, ["t", "k"]).withColumn("parts", parts).withColumn("own", own) \
+    met = sized.withColumn("parts", parts).withColumn("own", own) \
         .select("t", "k", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")) \
         .select("t", "k", "fp", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"))
     keys = ["t", "k", "b1", "b2"]
