@@ -9,6 +9,8 @@ calendars are generated here.
 
 from __future__ import annotations
 
+import re
+
 # Weeks held out, the event date, the first Monday on or after it, and the run id.
 H = 40
 RUN_ID = "weekcast-run-1"
@@ -634,19 +636,20 @@ def _impurity(n: str, s: str, q: str) -> str:
     return f"(({q} - {s} * {s} / {n}) / {n})"
 
 
-def _one_tree() -> str:
-    """Rows with their node per level (r0 to r3), splits per level (b0 to b2)."""
-    value = "CASE u.feature WHEN 0 THEN c0 WHEN 1 THEN c1 ELSE c2 END"
+def _one_tree(fitted: str = "split = 'train'", tag: str = "") -> str:
+    """Rows with their node per level (r0 to r3), splits per level (b0 to b2), nodes; ``tag`` ends the names."""
+    value = "CASE feature WHEN 0 THEN c0 WHEN 1 THEN c1 ELSE c2 END"
     out = ["""r0 AS (
-  SELECT p_partkey % 10 < 6 AS train, CASE WHEN p_partkey % 10 < 6 THEN 'train' WHEN p_partkey % 10 < 8 THEN 'val' ELSE 'test' END AS split,
+  SELECT *, {fitted} AS train FROM (
+  SELECT CASE WHEN p_partkey % 10 < 6 THEN 'train' WHEN p_partkey % 10 < 8 THEN 'val' ELSE 'test' END AS split,
          p_brand_code AS c0, p_type_code AS c1, CAST(p_size AS DOUBLE) AS c2, round(p_retailprice * 100) AS y, 1 AS node
-  FROM part JOIN ix USING (p_partkey))""", "u AS (SELECT CAST(unnest([0, 1, 2]) AS INTEGER) AS feature)",
+  FROM part JOIN ix USING (p_partkey)))""", "u AS (SELECT CAST(unnest([0, 1, 2]) AS INTEGER) AS feature)",
            "sizes AS (SELECT v, (v + lead(v) OVER (ORDER BY v)) / 2 AS cut FROM (SELECT DISTINCT c2 AS v FROM r0 WHERE train))"]
     for d in range(_TABLE_DEPTH):
         # labels stand in the order of their mean price, sizes in their own
         out.append(f"""h{d} AS (
-  SELECT node, u.feature, {value} AS v, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s, sum(y * y) AS q
-  FROM r{d}, u WHERE train AND node >= {1 << d} GROUP BY ALL)""")
+  SELECT node, feature, {value} AS v, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s, sum(y * y) AS q
+  FROM r{d} CROSS JOIN u WHERE train AND node >= {1 << d} GROUP BY ALL)""")
         out.append(f"""o{d} AS (
   SELECT node, feature, v, row_number() OVER w AS pos, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(q) OVER w AS ql,
          sum(n) OVER t AS nt, sum(s) OVER t AS st, sum(q) OVER t AS qt
@@ -658,7 +661,7 @@ def _one_tree() -> str:
     SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, pos) AS rk FROM (
       SELECT o.*, {_impurity("nt", "st", "qt")} - nl / nt * {left} - (nt - nl) / nt * {right} AS gain
       FROM o{d} o WHERE nl < nt AND abs({_impurity("nt", "st", "qt")}) > 1e-15) WHERE gain > 0) b
-  LEFT JOIN sizes ON b.feature = 2 AND sizes.v = b.v WHERE rk = 1)""")
+  LEFT JOIN sizes z ON b.feature = 2 AND z.v = b.v WHERE rk = 1)""")
         out.append(f"""r{d + 1} AS (
   SELECT r.* EXCLUDE (node), CASE WHEN b.node IS NULL THEN r.node
          WHEN (CASE WHEN b.feature = 2 THEN r.c2 <= b.cut ELSE coalesce(o.pos <= b.pos, false) END) THEN 2 * r.node
@@ -671,7 +674,11 @@ def _one_tree() -> str:
          WHERE b.feature < 2 AND o.node = b.node AND o.feature = b.feature AND o.pos <= b.pos) AS codes FROM b{d} b""" for d in range(_TABLE_DEPTH))
     found = " UNION ALL ".join(f"SELECT node, count(*) AS n, sum(y) / count(*) AS value FROM r{d} WHERE train AND node >= {1 << d} GROUP BY node"
                                for d in range(_TABLE_DEPTH + 1))
-    return ",\n".join([*out, f"inner_nodes AS ({inner})", f"nodes AS ({found})"])
+    sql = ",\n".join([*out, f"inner_nodes AS ({inner})", f"nodes AS ({found})"]).replace("{fitted}", fitted)
+    names = [f"{c}{d}" for c in "rhob" for d in range(_TABLE_DEPTH + 1)] + ["u", "sizes", "inner_nodes", "nodes"]
+    for n in names if tag else ():
+        sql = re.sub(rf"\b{n} AS \(", f"{n}{tag} AS (", re.sub(rf"\b(FROM|JOIN) {n}\b", rf"\1 {n}{tag}", sql))
+    return sql
 
 
 SQL["forest_table"] = _with(INDEXED, _one_tree()) + """
@@ -680,6 +687,21 @@ FROM nodes LEFT JOIN inner_nodes USING (node)"""
 SQL["forest_table_scores"] = _with(INDEXED, _one_tree()) + f"""
 SELECT split, count(*) AS n_scored, round(avg(value), 3) AS mean_pred, round(sqrt(avg(power((y - value) / 100, 2))), 5) AS rmse
 FROM r{_TABLE_DEPTH} JOIN nodes USING (node) GROUP BY split"""
+# depths 1 to 3 judged on validation rows, the best (ties: the least deep) fitted again on train and validation rows
+_REFIT = _one_tree("split <> 'test'", "_re")
+
+
+def _missed_by(split: str, depth: int, tag: str = "") -> str:
+    """A tree of fewer levels is the top of the deeper one."""
+    return (f"SELECT 'x' AS stage, {depth} AS max_depth, round(sqrt(avg(power((y - value) / 100, 2))), 5) AS rmse, count(*) AS n_scored "
+            f"FROM r{depth}{tag} JOIN nodes{tag} USING (node) WHERE split = '{split}'")
+
+
+SQL["forest_search"] = _with(INDEXED, _one_tree(), _REFIT) + ", trial AS (" + " UNION ALL ".join(
+    _missed_by("val", d).replace("'x'", "'trial'") for d in (1, 2, 3)) + "), final AS (" + " UNION ALL ".join(
+    _missed_by("test", d, "_re").replace("'x'", "'final'") for d in (1, 2, 3)) + """)
+SELECT * FROM trial UNION ALL
+SELECT * FROM final WHERE max_depth = (SELECT max_depth FROM trial ORDER BY rmse, max_depth LIMIT 1)"""
 SQL["table_diff"] = _with(WEEKLY, WEEKLY.replace("weekly AS", "early AS").replace("GROUP BY", "WHERE l_orderkey % 500 <> 0 GROUP BY")) + """
 SELECT w.product, w.sku, w.wk, CASE WHEN e.wk IS NULL THEN 'added' ELSE 'changed' END AS change,
        CASE WHEN e.wk IS NULL THEN 0 ELSE 1 END AS n_left, 1 AS n_right

@@ -215,17 +215,42 @@ def exact_label(listing: DataFrame) -> DataFrame:
     return listing.withColumn(LABEL, F.round(F.col(LABEL) * 100))
 
 
-def table_forest(spark: SparkSession, listing: DataFrame):
-    """A forest of one tree, on all train rows, saved with its feature step and loaded: the step and its nodes."""
-    train, _, _ = bucket_split(listing, KEY)
-    step = FeatureStep(train)
-    forest = step.forest(TABLE_DEPTH, trees=1).setBootstrap(False).setMaxBins(max(TABLE_BINS, step.bins()))
+def one_tree_nodes(spark: SparkSession, step: FeatureStep, rows: DataFrame, depth: int = TABLE_DEPTH) -> DataFrame:
+    """The nodes of a forest of one tree, fitted on all indexed ``rows``, saved with its feature step and loaded."""
+    forest = step.forest(depth, trees=1).setBootstrap(False).setMaxBins(max(TABLE_BINS, step.bins()))
     path = scratch_path(spark, "forest", unique=True)
-    step.with_forest(forest.fit(step.indexed(train))).write().save(path)
+    step.with_forest(forest.fit(rows)).write().save(path)
     uid = PipelineModel.load(path).stages[-1].uid
-    nodes = checkpoint(forest_nodes(spark, f"{path}/stages/*_{uid}", TABLE_DEPTH))
+    nodes = checkpoint(forest_nodes(spark, f"{path}/stages/*_{uid}", depth))
     remove_path(spark, path)
-    return step, nodes
+    return nodes
+
+
+def table_forest(spark: SparkSession, listing: DataFrame):
+    """The feature step and the nodes of a forest of one tree, fitted on all train rows."""
+    train, _, _ = bucket_split(listing, KEY)
+    step = FeatureStep(train)
+    return step, one_tree_nodes(spark, step, step.indexed(train))
+
+
+def forest_search(spark: SparkSession, listing: DataFrame, depths=(1, 2, 3)) -> DataFrame:
+    """(stage, max_depth, rmse, n_scored): one-tree forests of every depth on validation rows, and the best one (ties:
+    the least deep), fitted again on train and validation rows, on test rows.  Scored by their tables; errors that
+    agree to five places are ties.
+    """
+    train, val, test = bucket_split(listing, KEY)
+    step = FeatureStep(train)
+    seen, judged, held = (checkpoint(step.indexed(d)) for d in (train, val, test))
+
+    def judge(stage, depth, fit_on, score_on):
+        error = F.pow((F.col(LABEL) - F.col("prediction")) / 100, F.lit(2))
+        r = walk_forest(score_on, one_tree_nodes(spark, step, fit_on, depth), depth).agg(
+            F.round(F.sqrt(F.avg(error)), 5).alias("rmse"), F.count("prediction").alias("n")).first()
+        return stage, depth, r["rmse"], r["n"]
+    trials = [judge("trial", d, seen, judged) for d in depths]
+    best = min(trials, key=lambda t: (t[2] is None, t[2], t[1]))[1]
+    rows = [*trials, judge("final", best, seen.union(judged), held)]
+    return spark.createDataFrame(rows, "stage string, max_depth int, rmse double, n_scored bigint")
 
 
 def forest_table_scores(spark: SparkSession, listing: DataFrame) -> DataFrame:

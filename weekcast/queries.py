@@ -539,6 +539,11 @@ def forest_table_scores(spark, sf):
     return tuning.forest_table_scores(spark, tuning.exact_label(inputs.listing(spark, sf)))
 
 
+def forest_search(spark, sf):
+    """Tree depth chosen on validation rows, refitted on train and validation, judged on test, all by node tables."""
+    return tuning.forest_search(spark, tuning.exact_label(inputs.listing(spark, sf)))
+
+
 # --- run log ---------------------------------------------------------------------------
 
 def runlog_latest(spark, sf):
@@ -621,7 +626,7 @@ QUERIES: dict[str, Query] = {
     "device_trees": device_trees, "device_tree_scores": device_tree_scores,
     "exo_gain": exo_gain, "forecast_frame": forecast_frame, "forecast_best": forecast_best,
     "string_index": string_index, "indexed_listing": indexed_listing, "forest_checks": forest_checks,
-    "forest_table": forest_table, "forest_table_scores": forest_table_scores,
+    "forest_table": forest_table, "forest_table_scores": forest_table_scores, "forest_search": forest_search,
     "rf_pipeline": rf_pipeline, "rf_tuned": rf_tuned,
     "runlog_latest": runlog_latest, "topk_runs": topk_runs, "runlog_roundtrip": runlog_roundtrip, "run_tree": run_tree,
     "trial_log": trial_log, "table_roundtrip": table_roundtrip, "schema_checks": schema_checks, "write_readback": write_readback,
