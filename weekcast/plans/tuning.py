@@ -32,6 +32,19 @@ BINS = 40
 SEED = 42
 # Depth of the one-tree forest that is read as a table, and bins enough for every distinct size.
 TABLE_DEPTH, TABLE_BINS = 3, 64
+# Rows that one task bags and scans at most: with 100 trees about 450 bytes each are held between the levels.
+TASK_ROWS = 50_000
+
+
+def dealt(rows: DataFrame, task_rows: int | None = None) -> DataFrame:
+    """The rows in partitions of about ``task_rows``, by a hash of the whole row and sorted inside.
+
+    A forest bags its rows by partition and holds a count per row and tree, and a small file is one partition
+    however many rows it has.  Dealt by the rows alone, the same rows give the same forest from any files.
+    Rows that one task may hold stay as they are.
+    """
+    parts = -(-rows.count() // (task_rows or TASK_ROWS))
+    return rows if parts < 2 else rows.repartition(parts, *rows.columns).sortWithinPartitions(*rows.columns)
 
 
 class FeatureStep:
@@ -58,6 +71,10 @@ class FeatureStep:
     def indexed(self, rows: DataFrame) -> DataFrame:
         return self.model.transform(rows).select(self.key, *self.codes, "features", self.target)
 
+    def fittable(self, rows: DataFrame) -> DataFrame:
+        """Indexed rows, dealt so that every task of a fit has a bounded share."""
+        return self.indexed(dealt(rows))
+
     def forest(self, depth: int = 5, trees: int = 20) -> RandomForestRegressor:
         return RandomForestRegressor(featuresCol="features", labelCol=self.target, maxBins=self.bins(),
                                      maxDepth=depth, numTrees=trees, seed=SEED)
@@ -106,7 +123,7 @@ def forest_checks(listing: DataFrame) -> DataFrame:
     """Per split: rows, rows skipped for unseen labels, rows that a forest scores."""
     splits = dict(zip(("train", "val", "test"), bucket_split(listing, KEY)))
     step = FeatureStep(splits["train"])
-    forest = step.forest(depth=2, trees=2).fit(step.indexed(splits["train"]))
+    forest = step.forest(depth=2, trees=2).fit(step.fittable(splits["train"]))
     out = None
     for name, rows in splits.items():
         scored = forest.transform(step.indexed(rows)).agg(F.count("prediction").alias("n_scored"))
@@ -122,7 +139,7 @@ def rf_pipeline(spark: SparkSession, listing: DataFrame) -> DataFrame:
     train, val, _ = bucket_split(listing, KEY)
     step = FeatureStep(train)
     path = scratch_path(spark, "forest", unique=True)
-    step.with_forest(step.forest().fit(step.indexed(train))).write().overwrite().save(path)
+    step.with_forest(step.forest().fit(step.fittable(train))).write().overwrite().save(path)
     return metrics(PipelineModel.load(path).transform(val))
 
 
@@ -136,7 +153,7 @@ def rf_tuned(spark: SparkSession, listing: DataFrame, trials=TRIALS, parallelism
     """
     train, val, test = bucket_split(listing, KEY)
     step = FeatureStep(train)
-    seen, judged, held = (checkpoint(step.indexed(d)) for d in (train, val, test))
+    seen, judged, held = (checkpoint(step.fittable(d)) for d in (train, val, test))
 
     def rmse(depth, trees, fit_on, score_on):
         scored = step.forest(depth, trees).fit(fit_on).transform(score_on)
@@ -230,7 +247,7 @@ def table_forest(spark: SparkSession, listing: DataFrame):
     """The feature step and the nodes of a forest of one tree, fitted on all train rows."""
     train, _, _ = bucket_split(listing, KEY)
     step = FeatureStep(train)
-    return step, one_tree_nodes(spark, step, step.indexed(train))
+    return step, one_tree_nodes(spark, step, step.fittable(train))
 
 
 def forest_search(spark: SparkSession, listing: DataFrame, depths=(1, 2, 3)) -> DataFrame:
@@ -240,7 +257,7 @@ def forest_search(spark: SparkSession, listing: DataFrame, depths=(1, 2, 3)) ->
     """
     train, val, test = bucket_split(listing, KEY)
     step = FeatureStep(train)
-    seen, judged, held = (checkpoint(step.indexed(d)) for d in (train, val, test))
+    seen, judged, held = (checkpoint(step.fittable(d)) for d in (train, val, test))
 
     def judge(stage, depth, fit_on, score_on):
         error = F.pow((F.col(LABEL) - F.col("prediction")) / 100, F.lit(2))
