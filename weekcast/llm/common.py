@@ -16,6 +16,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: White space that separates words.
 GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of a batch that a worker holds as Python texts at once.
+SLICE = 256
 
 
 def ascii_lower(text: Column) -> Column:
@@ -55,6 +57,12 @@ def one_row(df: DataFrame):
     return df.first()
 
 
+def sliced(batch: pa.RecordBatch, rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """A batch in views of ``rows`` rows: a worker's memory then holds the batch and one view's texts."""
+    for lo in range(0, batch.num_rows, rows):
+        yield batch.slice(lo, rows)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables that never cut a group of equal keys, with the row number where each group starts.
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekcast.llm.common import staged
+from weekcast.llm.common import sliced, staged
 from weekcast.session import ship_package
 
 #: Labelled rows that the trees are grown on, at most: those with the smallest hashes of their ids.
@@ -170,9 +170,9 @@ def _leaf(feature, cut, left, right, value, v):
 
 def _describe(batches):
     for batch in batches:
-        keys, texts = batch.column(0), batch.column(1).to_pylist()
-        x = pa.array([statistics(t) for t in texts], pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([keys, x], names=["key", "x"])
+        for few in sliced(batch):
+            x = pa.array([statistics(t) for t in few.column(1).to_pylist()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([few.column(0), x], names=["key", "x"])
 
 
 def described(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -239,6 +239,19 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
                       (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
+def _accepted(batches, at: int, trees: Trees, cut: float):
+    """The accepted rows, scored a batch at once; texts and results are held a slice at a time."""
+    for batch in batches:
+        x, lo = np.empty((batch.num_rows, len(FEATURES))), 0
+        for few in sliced(batch):
+            x[lo:lo + few.num_rows] = [statistics(t) for t in few.column(at).to_pylist()]
+            lo += few.num_rows
+        good, lo = trees.score(x) >= cut, 0
+        for few in sliced(batch):
+            yield few.filter(pa.array(good[lo:lo + few.num_rows]))
+            lo += few.num_rows
+
+
 def keep_good(docs: DataFrame, trees: Trees, text: str = "text", cut: float = CUT) -> DataFrame:
     """The rows that the trees accept, columns as given: each batch is scored beside its texts, so
     nothing is joined or shuffled."""
@@ -247,8 +260,5 @@ def keep_good(docs: DataFrame, trees: Trees, text: str = "text", cut: float = CU
     at = docs.columns.index(text)
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                x = np.array([statistics(t) for t in batch.column(at).to_pylist()], np.float64)
-                yield batch.filter(pa.array(model.value.score(x) >= cut))
+        yield from _accepted(batches, at, model.value, cut)
     return docs.mapInArrow(run, docs.schema)

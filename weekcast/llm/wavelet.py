@@ -40,9 +40,9 @@ class WaveletMatrix:
             bit = ((v >> v.dtype.type(k)) & v.dtype.type(1)).astype(bool)
             planes.append(np.packbits(bit))
             ones.append(_samples(planes[-1]))
-            low = np.flatnonzero(~bit)
+            low = v[~bit]
             zeros.append(len(low))
-            v = np.concatenate([v.take(low), v.take(np.flatnonzero(bit))])
+            v = np.concatenate([low, v[bit]])
         return cls(len(ids), planes, zeros, ones)
 
     def to_bytes(self) -> bytes:
@@ -68,8 +68,8 @@ class WaveletMatrix:
         for k, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
             bit = np.unpackbits(plane, count=self.n).view(bool)
             out = np.empty(self.n, kind)
-            out[np.flatnonzero(~bit)] = v[:zeros]
-            out[np.flatnonzero(bit)] = v[zeros:] | kind(1 << k)
+            out[~bit] = v[:zeros]
+            out[bit] = v[zeros:] | kind(1 << k)
             v = out
         return v
 
