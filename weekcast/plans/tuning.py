@@ -34,6 +34,8 @@ SEED = 42
 TABLE_DEPTH, TABLE_BINS = 3, 64
 # Rows that one task bags and scans at most: with 100 trees about 450 bytes each are held between the levels.
 TASK_ROWS = 50_000
+# Train rows that fits running side by side hold in all; more than that fill a cluster one fit at a time.
+FIT_ROWS = 3_000_000
 
 
 def dealt(rows: DataFrame, task_rows: int | None = None) -> DataFrame:
@@ -76,8 +78,9 @@ class FeatureStep:
         return self.indexed(dealt(rows))
 
     def forest(self, depth: int = 5, trees: int = 20) -> RandomForestRegressor:
+        """Each row's node per tree is kept from level to level: walked from the root again, it costs most of a fit."""
         return RandomForestRegressor(featuresCol="features", labelCol=self.target, maxBins=self.bins(),
-                                     maxDepth=depth, numTrees=trees, seed=SEED)
+                                     maxDepth=depth, numTrees=trees, seed=SEED, cacheNodeIds=True)
 
     def with_forest(self, forest) -> PipelineModel:
         """One model from raw rows to predictions, to be saved and loaded as a whole."""
@@ -147,9 +150,9 @@ def rf_tuned(spark: SparkSession, listing: DataFrame, trials=TRIALS, parallelism
     """One row per trial (validation RMSE) and a final row (test RMSE).
 
     The candidates are fixed up front, so their fits are submitted as
-    concurrent Spark jobs on the same indexed frames.  The best trial is
-    chosen by RMSE, ties by the smaller model, and refitted on train and
-    validation rows.
+    concurrent Spark jobs on the same indexed frames, as many at a time as
+    their rows allow (``FIT_ROWS``).  The best trial is chosen by RMSE, ties
+    by the smaller model, and refitted on train and validation rows.
     """
     train, val, test = bucket_split(listing, KEY)
     step = FeatureStep(train)
@@ -159,7 +162,8 @@ def rf_tuned(spark: SparkSession, listing: DataFrame, trials=TRIALS, parallelism
         scored = step.forest(depth, trees).fit(fit_on).transform(score_on)
         return metrics(scored, step.target).where("metric = 'rmse'").first()["value"]
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(trials)))) as pool:
+    at_once = min(parallelism, len(trials), FIT_ROWS // max(1, seen.count()))
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
         losses = list(pool.map(lambda t: rmse(*t, seen, judged), trials))
     best = min(zip(losses, trials))[1]
     rows = [("trial", *t, loss) for t, loss in zip(trials, losses)]
